@@ -1,24 +1,19 @@
-"""Scores over a column of class logits (``array<double>``)."""
+"""Scores over a column of class logits (``array<double>``).
 
-from __future__ import annotations
+Row maximum and log-sum-exp are bound once: a lambda that mentions an outer expression
+evaluates it for every element, which would be quadratic in the number of classes.
+"""
 
-from collections.abc import Callable
+from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-
-def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Evaluate ``value`` once per row and hand it to ``body``.
-
-    A lambda that mentions an outer expression evaluates it for every element, which
-    would make the row maximum quadratic in the number of classes.
-    """
-    return F.transform(F.array(value), body)[0]
+from sftlake.functions.once import bind
 
 
 def log_sum_exp(logits: Column) -> Column:
-    return _bind(
+    return bind(
         F.array_max(logits),
         lambda top: top + F.ln(F.aggregate(logits, F.lit(0.0), lambda acc, x: acc + F.exp(x - top))),
     )
@@ -26,7 +21,7 @@ def log_sum_exp(logits: Column) -> Column:
 
 def entropy(logits: Column) -> Column:
     """Shannon entropy in nats. A logit of -inf gives NaN (0 times -inf)."""
-    return _bind(
+    return bind(
         log_sum_exp(logits),
         lambda lse: -F.aggregate(
             logits, F.lit(0.0), lambda acc, x: acc + F.exp(x - lse) * (x - lse)
@@ -41,7 +36,7 @@ def log_prob(logits: Column, index: Column) -> Column:
 
 def log_probs(logits: Column, indexes: Column) -> Column:
     """Log-probabilities of an array of classes, in the same order."""
-    return _bind(
+    return bind(
         log_sum_exp(logits),
         lambda lse: F.transform(indexes, lambda i: F.element_at(logits, i + F.lit(1)) - lse),
     )

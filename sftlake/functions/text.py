@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from sftlake.functions.once import bind
+
 # The tags of a formatted response.
 THINK_OPEN, THINK_CLOSE = "<think>", "</think>"
 ANSWER_OPEN, ANSWER_CLOSE = "<answer>", "</answer>"
@@ -23,11 +25,14 @@ WHITESPACE = "".join(map(chr, (
     *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000,
 )))
 
-_WORD = f"[^{WHITESPACE}]+"
+# Unicode whitespace and the four separators that Python counts too.
+_BLANKS = r"[\s\x1c-\x1f]*+"
+_WORD = r"[^\s\x1c-\x1f]++"
 _FENCE = r"```[\s\S]*?```"
 _CODE_FENCE = r"```(?:python)?\n([\s\S]*?)```"
-_CONTROL = r"<\|[^|]*\|>"
-_PIECES = (_CONTROL, "<", r"\p{L}+", r"\p{N}", r"[^\s\p{L}\p{N}<]+")
+_CONTROL = r"<\|[^|]*+\|>"
+# No two of them can start with the same character, but for a control token and "<".
+_PIECES = (r"\p{L}++", r"[^\s\p{L}\p{N}<]++", r"\p{N}", _CONTROL, "<")
 
 
 def strip(text: Column) -> Column:
@@ -55,12 +60,15 @@ def extract_think(output: Column) -> Column:
     The body of the first closed ``<think>`` pair, even when empty; else the text
     without fenced blocks; else, when nothing is left, the text itself.
     """
-    prose = strip(
-        F.when(output.contains("```"), F.regexp_replace(output, _FENCE, "")).otherwise(output)
+    prose = bind(
+        strip(F.regexp_replace(output, _FENCE, "")),
+        lambda p: F.when(p != "", p).otherwise(strip(output)),
+    )
+    return (
+        F.when(_has_pair(output, THINK_OPEN, THINK_CLOSE), strip(_body(output, THINK_OPEN, THINK_CLOSE)))
+        .when(output.contains("```"), prose)
+        .otherwise(strip(output))
     )
-    return F.when(
-        _has_pair(output, THINK_OPEN, THINK_CLOSE), strip(_body(output, THINK_OPEN, THINK_CLOSE))
-    ).otherwise(F.when(prose != "", prose).otherwise(strip(output)))
 
 
 def format_response(think: Column, code: Column) -> Column:
@@ -88,9 +96,19 @@ def has_answer_tags(text: Column) -> Column:
     return text.contains(ANSWER_OPEN) & text.contains(ANSWER_CLOSE)
 
 
+def _count(text: Column, pattern: str, blanks: str) -> Column:
+    """Number of matches of a pattern that covers all but blanks; null text has none.
+
+    Every match becomes one letter together with the blanks around it, so the length is
+    the count and no array of strings is built. Text of blanks alone is left over, and trimmed.
+    """
+    letters = F.regexp_replace(text, f"{blanks}(?:{pattern}){blanks}", "x")
+    return F.coalesce(F.length(strip(letters)), F.lit(0))
+
+
 def word_count(text: Column) -> Column:
     """Number of whitespace-separated words; null text has none."""
-    return F.coalesce(F.size(F.regexp_extract_all(text, F.lit(_WORD), F.lit(0))), F.lit(0))
+    return _count(text, _WORD, "(?U)" + _BLANKS)
 
 
 def token_pattern(special_tokens: Sequence[str] = ()) -> str:
@@ -105,7 +123,8 @@ def tokens(text: Column, special_tokens: Sequence[str] = ()) -> Column:
 
 
 def token_count(text: Column, special_tokens: Sequence[str] = ()) -> Column:
-    return F.coalesce(F.size(tokens(text, special_tokens)), F.lit(0))
+    """Length of `tokens`, without making them."""
+    return _count(text, token_pattern(special_tokens), r"\s*+")
 
 
 def check_format(text: Column) -> Column:
@@ -131,14 +150,21 @@ def extract_answer_code(text: Column) -> Column:
     The first closed ``<answer>`` pair wins (``tag``, even when empty), then the last
     plain or python fence (``markdown``), else null and ``none``.
     """
-    tagged = _has_pair(text, ANSWER_OPEN, ANSWER_CLOSE)
-    fences = F.when(
-        text.contains("```"), F.regexp_extract_all(text, F.lit(_CODE_FENCE), F.lit(1))
+    def found(code: Column, source: Column) -> Column:
+        return F.struct(code.alias("code"), source.alias("source"))
+
+    none = found(F.lit(None).cast("string"), F.lit("none"))
+    fence = bind(
+        F.try_element_at(F.regexp_extract_all(text, F.lit(_CODE_FENCE), F.lit(1)), F.lit(-1)),
+        lambda last: F.when(last.isNotNull(), found(strip(last), F.lit("markdown"))).otherwise(none),
     )
-    last = F.try_element_at(fences, F.lit(-1))
-    return F.struct(
-        F.when(tagged, strip(_body(text, ANSWER_OPEN, ANSWER_CLOSE))).otherwise(strip(last)).alias("code"),
-        F.when(tagged, "tag").when(last.isNotNull(), "markdown").otherwise("none").alias("source"),
+    return (
+        F.when(
+            _has_pair(text, ANSWER_OPEN, ANSWER_CLOSE),
+            found(strip(_body(text, ANSWER_OPEN, ANSWER_CLOSE)), F.lit("tag")),
+        )
+        .when(text.contains("```"), fence)
+        .otherwise(none)
     )
 
 

@@ -24,7 +24,7 @@ def best_checkpoint(ckpts: DataFrame) -> DataFrame:
     the final best: the earliest with the lowest validation loss."""
     rows = running(
         ckpts.where(F.col("kind") == "epoch"), ["run_id"], "step",
-        {"_best_before": ("min", F.col("val_loss"))}, exclusive=True,
+        {"_best_before": ("min", F.col("val_loss"))}, exclusive=["_best_before"],
     )
     first = F.min(F.struct("val_loss", "step"))
     best = ckpts.where(F.col("kind") == "epoch").groupBy("run_id").agg(first.alias("_best"))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sftlake.functions import text as tx
+from sftlake.functions.once import computed, holds
 from sftlake.operators.ordering import quota_cutoff
 
 SFT_FIELDS = ("prompt", "response", "solution", "difficulty", "source")
@@ -27,11 +28,15 @@ def response() -> Column:
     return tx.format_response(tx.extract_think(F.col("output")), F.col("solution"))
 
 
+def _fits(text: Column, min_len: int, max_len: int, count: Counter) -> Column:
+    return holds(count(text), lambda n: n.between(min_len, max_len))
+
+
 def outcome(min_len: int, max_len: int, count: Counter = tx.token_count) -> Column:
     """What curation does with a raw row: ``no_solution``, ``length`` or ``kept``."""
     return (
         F.when(~has_solution(), "no_solution")
-        .when(~count(response()).between(min_len, max_len), "length")
+        .when(~_fits(response(), min_len, max_len, count), "length")
         .otherwise("kept")
     )
 
@@ -42,14 +47,15 @@ def filter_has_solution(df: DataFrame) -> DataFrame:
 
 
 def with_response(df: DataFrame) -> DataFrame:
-    return df.withColumn("response", response())
+    """Add the formatted response, computed once for all that follows."""
+    return computed(df, response=response())
 
 
 def filter_token_length(
     df: DataFrame, min_len: int, max_len: int, count: Counter = tx.token_count
 ) -> DataFrame:
     """Keep responses of ``min_len`` to ``max_len`` tokens, both inclusive."""
-    return df.where(count(F.col("response")).between(min_len, max_len))
+    return df.where(_fits(F.col("response"), min_len, max_len, count))
 
 
 def build_sft_record(df: DataFrame) -> DataFrame:
@@ -110,7 +116,7 @@ def curation_counters(
         cutoff = quota_cutoff(df, order, what == "kept", max_samples)
         if cutoff is not None:
             df = df.where(F.col(order) <= F.lit(cutoff))
-    return df.select(*by, what.alias("outcome")).groupBy(*by).agg(
+    return computed(df, outcome=what).groupBy(*by).agg(
         F.count(F.lit(1)).alias("checked"),
         F.count_if(F.col("outcome") == "kept").alias("kept"),
         F.count_if(F.col("outcome") == "no_solution").alias("skipped_no_solution"),

@@ -8,22 +8,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sftlake.functions import text as tx
+from sftlake.functions.once import computed
 
 
 def check_outputs(outputs: DataFrame) -> DataFrame:
     """Add the layout flags, the extracted code and its source to ``output`` rows."""
-    return (
-        outputs.withColumn("format", tx.check_format(F.col("output")))
-        .withColumn("_code", tx.extract_answer_code(F.col("output")))
-        .withColumn("code", F.col("_code.code"))
-        .withColumn("code_src", F.col("_code.source"))
-        .drop("_code")
+    output = F.col("output")
+    rows = computed(outputs, format=tx.check_format(output), _code=tx.extract_answer_code(output))
+    return rows.select(
+        *outputs.columns, "format", F.col("_code.code").alias("code"), F.col("_code.source").alias("code_src")
     )
 
 
 def stdin_precheck(outputs: DataFrame) -> DataFrame:
     """Flag outputs whose code would wait for input."""
-    rows = outputs.withColumn("_code", tx.extract_answer_code(F.col("output")))
+    rows = computed(outputs, _code=tx.extract_answer_code(F.col("output")))
     return rows.withColumn(
         "uses_stdin", F.coalesce(tx.uses_stdin(F.col("_code.code")), F.lit(False))
     ).drop("_code")
@@ -135,7 +134,7 @@ def special_token_coverage(
     def occurrences(token: str) -> Column:
         return F.size(F.filter("seen", lambda t: t == F.lit(token))).cast("bigint")
 
-    counts = df.select(seen.alias("seen")).agg(
+    counts = computed(df.select(text), seen=seen).agg(
         *(F.coalesce(F.sum(occurrences(token)), F.lit(0)).alias(token) for token in required)
     )
     return counts.unpivot([], list(required), "token", "occurrences").withColumn(
@@ -145,7 +144,9 @@ def special_token_coverage(
 
 def tag_round_trip(df: DataFrame, text: str, tags: Sequence[str] = (tx.THINK_OPEN, tx.ANSWER_OPEN)) -> DataFrame:
     """Rows in which a tag of the text is lost when its tokens are joined again."""
-    rows = df.select(F.col(text).alias("_text"), F.array_join(tx.tokens(F.col(text), tx.TAGS), "").alias("_back"))
+    rows = computed(
+        df.select(F.col(text).alias("_text")), _back=F.array_join(tx.tokens(F.col("_text"), tx.TAGS), "")
+    )
     return rows.agg(
         F.count(F.lit(1)).alias("texts"),
         *(F.count_if(F.col("_text").contains(t)).alias(f"with_{i}") for i, t in enumerate(tags)),

@@ -51,12 +51,13 @@ def running(
     by: Sequence[str],
     order: str,
     values: Mapping[str, tuple[str, Column]],
-    exclusive: bool = False,
+    exclusive: Sequence[str] = (),
     block: int = MAX_BUCKETS,
 ) -> DataFrame:
     """Running ``sum``/``count``/``min``/``max``/``last`` per ``by`` in the order of an integer column.
 
-    ``values`` maps each new column to ``(kind, column)``. The order is cut into blocks
+    ``values`` maps each new column to ``(kind, column)``; those named in ``exclusive`` leave
+    the current row out. The order is cut into blocks
     of ``block`` consecutive values: blocks are reduced first (with map-side combine),
     their prefix is taken over one row per block, and only the last step sorts rows,
     within one block of one key. So a key of any size is spread over many tasks.
@@ -75,13 +76,11 @@ def running(
         *(_COMBINE[kind](f"_part_{name}").over(earlier).alias(f"_before_{name}")
           for name, (kind, _) in values.items()),
     )
-    inside = (
-        W.partitionBy(*by, "_block").orderBy(order)
-        .rowsBetween(W.unboundedPreceding, -1 if exclusive else W.currentRow)
-    )
+    inside = W.partitionBy(*by, "_block").orderBy(order)
     out = rows.join(before, [*by, "_block"])
     for name, (kind, _) in values.items():
-        local, prior = _REDUCE[kind](f"_in_{name}").over(inside), F.col(f"_before_{name}")
+        frame = inside.rowsBetween(W.unboundedPreceding, -1 if name in exclusive else W.currentRow)
+        local, prior = _REDUCE[kind](f"_in_{name}").over(frame), F.col(f"_before_{name}")
         if kind in ("sum", "count"):
             total = F.coalesce(prior, F.lit(0)) + F.coalesce(local, F.lit(0))
         elif kind == "last":

@@ -43,46 +43,39 @@ def unit_scale(history: DataFrame) -> DataFrame:
 # -- training log ----------------------------------------------------------------------
 
 
-def _steps_before(batches: DataFrame, accum: int) -> DataFrame:
-    """Optimizer steps taken in earlier epochs: one row per run and epoch."""
-    epochs = batches.groupBy("run_id", "epoch").agg(
-        F.ceil((F.max("idx") + F.lit(1)) / F.lit(accum)).alias("steps")
-    )
-    earlier = W.partitionBy("run_id").orderBy("epoch").rowsBetween(W.unboundedPreceding, -1)
-    return epochs.select(
-        "run_id", "epoch", F.coalesce(F.sum("steps").over(earlier), F.lit(0)).cast("bigint").alias("_before")
-    )
+_LAST = ("entropy", "token_acc", "grad_norm")
+_PEAK = ("mem_alloc", "mem_reserved")
 
 
 def optimizer_steps(batches: DataFrame, accum: int) -> DataFrame:
     """One row per optimizer step: every ``accum`` batches, or at the end of an epoch.
 
-    Loss and tokens are totals; entropy and accuracy are those of the step's last
-    micro-batch on the first worker. Batches are reduced before anything else, so the
-    joined rows are ``accum`` times workers fewer.
+    Loss is that of the first worker, tokens those of all; entropy, accuracy and gradient
+    norm come from the step's last micro-batch on the first worker. Batches are read and
+    shuffled once, reduced by ``accum`` times the number of workers; steps of earlier
+    epochs and the start of an epoch are taken from the reduced rows.
     """
     first = F.col("rank") == 0
     last = F.when(first, F.col("idx"))
-    extra = {
-        name: F.max_by(F.when(first, F.col(name)), last).alias(name)
-        for name in ("entropy", "token_acc", "grad_norm") if name in batches.columns
-    }
-    peaks = {
-        name: F.max(name).alias(name)
-        for name in ("mem_alloc", "mem_reserved") if name in batches.columns
-    }
     steps = batches.groupBy(
         "run_id", "epoch", (F.floor(F.col("idx") / F.lit(accum)) + F.lit(1)).cast("bigint").alias("_step")
     ).agg(
         F.sum(F.when(first, F.col("loss"))).alias("loss_sum"),
         F.count_if(first).alias("batches"),
         F.sum("tokens").alias("tokens"),
+        F.min("ts_us").alias("start_us"),
         F.max("ts_us").alias("end_us"),
-        *extra.values(), *peaks.values(),
+        *(F.max_by(F.when(first, F.col(c)), last).alias(c) for c in _LAST if c in batches.columns),
+        *(F.max(c).alias(c) for c in _PEAK if c in batches.columns),
     )
-    return steps.join(_steps_before(batches, accum), ["run_id", "epoch"]).select(
-        "run_id", "epoch", (F.col("_before") + F.col("_step")).alias("step"),
-        "loss_sum", "batches", "tokens", "end_us", *extra, *peaks,
+    earlier = W.partitionBy("run_id").orderBy("epoch").rowsBetween(W.unboundedPreceding, -1)
+    epochs = steps.groupBy("run_id", "epoch").agg(
+        F.max("_step").alias("_steps"), F.min("start_us").alias("epoch_start_us")
+    ).select(
+        "run_id", "epoch", "epoch_start_us", F.coalesce(F.sum("_steps").over(earlier), F.lit(0)).alias("_before")
+    )
+    return steps.join(epochs, ["run_id", "epoch"]).withColumn("step", F.col("_before") + F.col("_step")).drop(
+        "_step", "_before", "start_us"
     )
 
 
@@ -97,38 +90,42 @@ def running_loss(batches: DataFrame) -> DataFrame:
 
 
 def _windows(batches: DataFrame, accum: int, every: int) -> DataFrame:
-    """One row per log window that ends on a log step: totals since the previous log of
-    the epoch. Steps after the epoch's last log step belong to no window."""
+    """One row per log step: totals since the previous log of the epoch, and its rates.
+
+    Steps after the last log step of an epoch belong to no window. The previous log and
+    the loss since the start of the epoch are running values over these few rows.
+    """
     steps = optimizer_steps(batches, accum)
-    start = batches.groupBy("run_id", "epoch").agg(F.min("ts_us").alias("start_us"))
-    last = F.col("step")
-    extra = [c for c in ("entropy", "token_acc", "grad_norm") if c in steps.columns]
-    peaks = [c for c in ("mem_alloc", "mem_reserved") if c in steps.columns]
+    at = F.col("step")
     windows = steps.groupBy(
-        "run_id", "epoch", F.ceil(F.col("step") / F.lit(every)).cast("bigint").alias("window")
+        "run_id", "epoch", F.ceil(at / F.lit(every)).cast("bigint").alias("window")
     ).agg(
         F.max("step").alias("step"),
         F.sum("loss_sum").alias("loss_sum"), F.sum("batches").alias("batches"),
         F.sum("tokens").alias("tokens"), F.max("end_us").alias("end_us"),
-        *(F.max_by(c, F.when(F.col(c).isNotNull(), last)).alias(c) for c in extra),
-        *(F.max(c).alias(c) for c in peaks),
-    )
-    return windows.where(F.pmod(F.col("step"), F.lit(every)) == 0).join(start, ["run_id", "epoch"])
-
-
-def _with_rate(windows: DataFrame) -> DataFrame:
+        F.min("epoch_start_us").alias("epoch_start_us"),
+        *(F.max_by(c, F.when(F.col(c).isNotNull(), at)).alias(c) for c in _LAST if c in steps.columns),
+        *(F.max(c).alias(c) for c in _PEAK if c in steps.columns),
+    ).where(F.pmod(F.col("step"), F.lit(every)) == 0)
     timed = running(
-        windows, ["run_id", "epoch"], "window", {"_prev_us": ("last", F.col("end_us"))}, exclusive=True
+        windows, ["run_id", "epoch"], "window",
+        {
+            "_prev_us": ("last", F.col("end_us")),
+            "_loss": ("sum", F.col("loss_sum")), "_n": ("sum", F.col("batches")),
+        },
+        exclusive=["_prev_us"],
     )
-    seconds = (F.col("end_us") - F.coalesce("_prev_us", "start_us")) / F.lit(1e6)
-    return timed.withColumn("seconds", F.greatest(seconds, F.lit(1e-6))).withColumn(
-        "tokens_per_sec", F.col("tokens") / F.col("seconds")
+    seconds = (F.col("end_us") - F.coalesce("_prev_us", "epoch_start_us")) / F.lit(1e6)
+    return (
+        timed.withColumn("seconds", F.greatest(seconds, F.lit(1e-6)))
+        .withColumn("tokens_per_sec", F.col("tokens") / F.col("seconds"))
+        .withColumn("loss", F.try_divide(F.col("_loss").cast("double"), F.col("_n")))
     )
 
 
 def throughput_windows(batches: DataFrame, accum: int, every: int) -> DataFrame:
     """Tokens of all workers per second between log steps; an epoch starts a new window."""
-    return _with_rate(_windows(batches, accum, every)).select(
+    return _windows(batches, accum, every).select(
         "run_id", "epoch", "step", "tokens", "seconds", "tokens_per_sec"
     )
 
@@ -137,20 +134,14 @@ def train_log(
     batches: DataFrame, accum: int, every: int, lr: Column | None = None
 ) -> DataFrame:
     """The full row logged every ``every`` optimizer steps. ``lr`` is an expression over ``step``."""
-    windows = running(
-        _with_rate(_windows(batches, accum, every)), ["run_id", "epoch"], "window",
-        {"_sum": ("sum", F.col("loss_sum")), "_n": ("sum", F.col("batches"))},
-    )
-    loss = F.try_divide(F.col("_sum").cast("double"), F.col("_n"))
-    carried = [c for c in ("entropy", "token_acc", "grad_norm") if c in windows.columns]
-    peaks = [(c, f"gpu_{c}_gb") for c in ("mem_alloc", "mem_reserved") if c in windows.columns]
-    return windows.withColumn("loss", loss).select(
+    windows = _windows(batches, accum, every)
+    return windows.select(
         "run_id", "epoch", "step", "loss",
         F.col("loss").alias("nll"), perplexity(F.col("loss")).alias("perplexity"),
-        *carried,
+        *(c for c in _LAST if c in windows.columns),
         *([] if lr is None else [lr.alias("lr")]),
         "tokens_per_sec",
-        *((F.col(c) / F.lit(1e9)).alias(name) for c, name in peaks),
+        *((F.col(c) / F.lit(1e9)).alias(f"gpu_{c}_gb") for c in _PEAK if c in windows.columns),
     )
 
 

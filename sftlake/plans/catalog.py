@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from sftlake.functions import schedule as sd
 from sftlake.functions import scoring as sc
 from sftlake.functions import text as tx
+from sftlake.functions.once import computed
 from sftlake.functions.tokenizer import with_tokenizer
 from sftlake.operators import checkpoints as ck
 from sftlake.operators import curate as cu
@@ -124,7 +125,7 @@ def _(spark, sf):
     """SELECT count(*) AS checked, count(*) FILTER (outcome = 'kept') AS kept,
     count(*) FILTER (outcome = 'no_solution') AS skipped_no_solution, count(*) FILTER (outcome = 'length') AS skipped_length FROM judged""", "judged"))
 def _(spark, sf):
-    raw = inp.raw_corpus(spark, sf).withColumn("outcome", cu.outcome(MIN_LEN, MAX_LEN))
+    raw = computed(inp.raw_corpus(spark, sf), outcome=cu.outcome(MIN_LEN, MAX_LEN))
     counters = {
         "checked": F.count(F.lit(1)),
         "kept": F.count_if(F.col("outcome") == "kept"),
@@ -322,10 +323,10 @@ def _(spark, sf):
 # -- numeric functions -----------------------------------------------------------------
 
 
-@query("perplexity", "SELECT event_id, round(exp(least(value / 10, 20)), 6) AS perplexity FROM events")
+@query("perplexity", "SELECT event_id, round(exp(least(value / 10, 20)), 3) AS perplexity FROM events")
 def _(spark, sf):
     loss = F.col("value") / F.lit(10.0)
-    return inp.table(spark, sf, "events").select("event_id", F.round(sc.perplexity(loss), 6).alias("perplexity"))
+    return inp.table(spark, sf, "events").select("event_id", F.round(sc.perplexity(loss), 3).alias("perplexity"))
 
 
 def _step() -> Column:
@@ -350,7 +351,7 @@ def _(spark, sf):
     return inp.table(spark, sf, "events").select("event_id", lr.alias("lr"))
 
 
-@query("tokens_per_sec", """SELECT event_id, CASE WHEN user_id % 10 = 0 THEN 0.0::DOUBLE ELSE user_id / value END AS rate FROM events""")
+@query("tokens_per_sec", """SELECT event_id, CASE WHEN user_id % 10 = 0 OR value <= 0 THEN 0.0::DOUBLE ELSE user_id / value END AS rate FROM events""")
 def _(spark, sf):
     seconds = F.when(F.col("user_id") % 10 == 0, F.lit(0.0)).otherwise(F.col("value"))
     return inp.table(spark, sf, "events").select("event_id", sd.tokens_per_sec(F.col("user_id"), seconds).alias("rate"))

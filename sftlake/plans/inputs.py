@@ -11,10 +11,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sftlake.functions import text as tx
+from sftlake.functions.once import computed
 from sftlake.functions.schedule import checkpoint_name, lr_cosine, wall_micros
 from sftlake.operators.checkpoints import REQUIRED_FILES
 from sftlake.operators.examples import SPECIAL_TOKENS
 from sftlake.operators.ordering import int_div, running
+from sftlake.sources.io import spread
 
 SYSTEM = "You fix code. Think first, then answer."
 WARMUP, TOTAL, PEAK = 50, 189, 2e-5
@@ -22,7 +24,8 @@ FILES = (*REQUIRED_FILES, "training_state.pt")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df, "doc_id") if name == "documents" else df
 
 
 def _cases(selector: Column, *values: Column | str | None) -> Column:
@@ -46,10 +49,9 @@ def raw_from_documents(docs: DataFrame) -> DataFrame:
         F.concat(F.lit("<think>\n"), text, F.lit("\n</think>tail")),
     )
     solution = F.when(doc % 11 == 0, "").when(doc % 13 != 0, F.concat(F.lit("print("), doc, F.lit(")")))
-    return docs.select(
+    return computed(docs, output=output).select(
         doc.alias("ord"),
-        F.concat_ws("/", "source", "lang", doc % 7).alias("input"),
-        output.alias("output"), solution.alias("solution"),
+        F.concat_ws("/", "source", "lang", doc % 7).alias("input"), "output", solution.alias("solution"),
         F.concat(F.lit("L"), F.col("n_chars") % 5).alias("difficulty"), "source",
     )
 
@@ -76,9 +78,9 @@ def model_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     shown = tasks.select(F.col("item_id").alias("_item"), F.col("text").alias("_task_text"))
     return (
-        docs.withColumn("_item", doc % 40).join(shown, "_item")
+        computed(docs.withColumn("_item", doc % 40).join(shown, "_item"), output=output)
         .select(
-            "doc_id", F.concat(F.lit("task"), "_item").alias("name"), output.alias("output"),
+            "doc_id", F.concat(F.lit("task"), "_item").alias("name"), "output",
             F.when(doc % 3 == 0, F.col("_task_text")).otherwise(text).alias("stdout"),
             (doc % 17 == 0).alias("timed_out"),
             F.when(doc % 50 == 0, F.lit(0)).otherwise(F.col("n_chars")).cast("bigint").alias("elapsed_ms"),

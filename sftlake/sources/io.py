@@ -22,6 +22,16 @@ _HISTORY_TYPES = {"_step": "bigint", "epoch": "int"}
 HISTORY_SCHEMA = ", ".join(f"`{k}` {_HISTORY_TYPES.get(k, 'double')}" for k in HISTORY_FIELDS)
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash a scan that has fewer partitions than there are cores over all cores.
+
+    A file of one row group is read by one task, and so are the text functions behind it.
+    A scan with enough partitions is returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+
 def read_sft_jsonl(
     spark: SparkSession, path: str | Sequence[str], strict: bool = True, schema: str = SFT_SCHEMA
 ) -> DataFrame:

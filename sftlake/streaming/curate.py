@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from sftlake.functions.once import computed
 from sftlake.functions.text import token_count
-from sftlake.operators.curate import Counter, curate, outcome
+from sftlake.operators.curate import Counter, build_sft_record, outcome, with_response
 from sftlake.sources.io import RAW_SCHEMA
 
 
@@ -30,8 +31,8 @@ def curate_stream(
     raw = reader.parquet(in_path)
     if prepare is not None:
         raw = prepare(raw)
-    what = outcome(min_len, max_len, count)
-    observed = raw.observe(
+    what = F.col("outcome")
+    judged = computed(raw, outcome=outcome(min_len, max_len, count)).observe(
         "curation",
         F.count(F.lit(1)).alias("checked"),
         F.count_if(what == "kept").alias("kept"),
@@ -39,7 +40,7 @@ def curate_stream(
         F.count_if(what == "length").alias("skipped_length"),
     )
     return (
-        curate(observed, min_len, max_len, count)
+        build_sft_record(with_response(judged.where(what == "kept")))
         .writeStream.format("parquet").outputMode("append")
         .option("path", out_dir).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()
