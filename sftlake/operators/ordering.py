@@ -31,8 +31,8 @@ def int_div(a: Column, b: Column | int) -> Column:
 
 
 def digest(value: Column, seed: int) -> Column:
-    """Seeded, uniform order key (32 hex digits)."""
-    return F.md5(F.concat(F.lit(f"{seed}|"), value.cast("string")))
+    """Seeded, uniform order key (32 hex digits). A null value counts as the empty text."""
+    return F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(value.cast("string"), F.lit(""))))
 
 
 def digest_bucket(key: Column) -> Column:
@@ -107,7 +107,7 @@ def number_by_position(df: DataFrame, order: str) -> DataFrame:
 
     Buckets are equal ranges of the column, and each of them is cut again in proportion
     to its rows, so gaps and clusters in the column do not pile up in one bucket. There
-    are at most ``2 * MAX_BUCKETS`` of them.
+    are at most ``2 * MAX_BUCKETS`` of them. The column must not be null.
     """
     span = df.agg(
         F.struct(

@@ -21,7 +21,7 @@ def split_cutoff(df: DataFrame, key: str, val_frac: float, seed: int) -> DataFra
     counts); only the prefix in which the target is reached is looked at prompt by
     prompt, which is 1/65,536 of the prompts.
     """
-    keys = df.select(digest(_prompt(key), seed).alias("h"))
+    keys = df.select(digest(F.col(key), seed).alias("h"))
     order = W.orderBy("bucket")
     buckets = keys.groupBy(digest_bucket(F.col("h")).alias("bucket")).agg(
         F.count(F.lit(1)).alias("n")
@@ -59,7 +59,7 @@ def group_split(
     """
     cutoff = split_cutoff(df, key, val_frac, seed).scalar()
     return df.withColumn(
-        "split", F.when(digest(_prompt(key), seed) <= cutoff, "val").otherwise("train")
+        "split", F.when(digest(F.col(key), seed) <= cutoff, "val").otherwise("train")
     )
 
 
