@@ -37,7 +37,7 @@ ORACLE: dict[str, str] = {}
 
 MIN_LEN, MAX_LEN = 32, 512  # native tokens; suits the lengths of the given texts
 MAX_LENGTH = 160
-ACCUM, EVERY = 4, 5
+ACCUM, EVERY = 7, 5
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
@@ -165,7 +165,7 @@ def _(spark, sf):
 @query("project_sft_fields", with_inputs(
     "SELECT NULL::VARCHAR AS prompt, NULL::VARCHAR AS response, solution, difficulty, source FROM raw", "raw"))
 def _(spark, sf):
-    return cu.project_sft_fields(inp.raw_corpus(spark, sf))
+    return cu.project_sft_fields(inp.raw_prompts(spark, sf))
 
 
 @query("build_sft_record", with_inputs(f"SELECT {_RECORD} FROM (SELECT *, output AS response FROM raw)", "raw"))
@@ -375,7 +375,7 @@ def _split_sql(select: str) -> str:
 
 
 def _split(spark: SparkSession, sf: str) -> DataFrame:
-    return sp.group_split(inp.raw_corpus(spark, sf), "input")
+    return sp.group_split(inp.raw_prompts(spark, sf), "input")
 
 
 @query("group_split", _split_sql("SELECT ord, input, split FROM raw JOIN sides USING (input)"))
@@ -390,7 +390,7 @@ def _(spark, sf):
     sum(v)::BIGINT AS val_rows, sum(CASE WHEN t > 0 THEN v ELSE 0 END)::DOUBLE / sum(v) AS leaked_share FROM sides""", "raw").replace("\n,", ","))
 def _(spark, sf):
     # a row-level split, to measure what it leaks
-    rows = inp.raw_corpus(spark, sf).select("input", F.md5(F.concat(F.lit("7|"), F.col("ord"))).alias("h"))
+    rows = inp.raw_prompts(spark, sf).select("input", F.md5(F.concat(F.lit("7|"), F.col("ord"))).alias("h"))
     rows = rows.withColumn("split", F.when(F.col("h") < "3" * 32, "val").otherwise("train"))
     return sp.split_leakage(rows, "input")
 
@@ -451,7 +451,7 @@ def _(spark, sf):
 @query("assign_batches", with_inputs("", "raw").rstrip() + _BATCHED.format(
     order=_BY_DIGEST, table="raw", drop=" WHERE rn < total - total % 8") + "SELECT ord, batch_id, pos_in_batch FROM batched")
 def _(spark, sf):
-    return ex.assign_batches(inp.raw_corpus(spark, sf).select("ord"), 8, drop_last=True)
+    return ex.assign_batches(inp.raw_prompts(spark, sf).select("ord"), 8, drop_last=True)
 
 
 @query("assign_batches_in_order", with_inputs("", "sft").rstrip() + _BATCHED.format(order="ord", table="sft", drop="")
@@ -556,17 +556,17 @@ def _(spark, sf):
 
 @query("distinct_difficulty", with_inputs("SELECT DISTINCT difficulty FROM raw", "raw"))
 def _(spark, sf):
-    return pr.distinct_values(inp.raw_corpus(spark, sf), "difficulty")
+    return pr.distinct_values(inp.raw_prompts(spark, sf), "difficulty")
 
 
 @query("distinct_source", with_inputs("SELECT DISTINCT source FROM raw", "raw"))
 def _(spark, sf):
-    return pr.distinct_values(inp.raw_corpus(spark, sf), "source")
+    return pr.distinct_values(inp.raw_prompts(spark, sf), "source")
 
 
 @query("row_count", with_inputs("SELECT count(*) AS rows FROM raw", "raw"))
 def _(spark, sf):
-    return pr.row_count(inp.raw_corpus(spark, sf))
+    return pr.row_count(inp.raw_prompts(spark, sf))
 
 
 _STATS = """count(*) AS rows, round(avg(x), 6) AS mean, median(x) AS median, min(x)::BIGINT AS min, max(x)::BIGINT AS max,
@@ -652,7 +652,7 @@ def _(spark, sf):
     round(1e5 * CASE WHEN step < 50 THEN 2e-5::DOUBLE * step / 50 ELSE 2e-5::DOUBLE * greatest(0, 0.5 * (1 + cos(pi() * (step - 50) / 139))) END, 6) AS lr,
     tokens_per_sec, gpu_mem_alloc_gb, gpu_mem_reserved_gb
     FROM (SELECT *, cum_loss::DOUBLE / cum_batches AS loss, (last_user * 0.01)::DOUBLE AS entropy, ((last_event % 100) * 0.01)::DOUBLE AS token_acc,
-      ((last_event % 7) * 0.5)::DOUBLE AS grad_norm, tokens / greatest((end_us - prev_us) / 1e6::DOUBLE, 1e-6::DOUBLE) AS tokens_per_sec,
+      ((last_event % 7) * 0.01)::DOUBLE AS grad_norm, tokens / greatest((end_us - prev_us) / 1e6::DOUBLE, 1e-6::DOUBLE) AS tokens_per_sec,
       (top_user * 100000000) / 1e9::DOUBLE AS gpu_mem_alloc_gb, (top_user * 150000000) / 1e9::DOUBLE AS gpu_mem_reserved_gb FROM windows)""", "windows"))
 def _(spark, sf):
     lr = F.round(sd.lr_e5(sd.lr_cosine(F.col("step"), inp.WARMUP, inp.TOTAL, inp.PEAK)), 6)

@@ -15,7 +15,7 @@ from sftlake.functions.once import computed
 from sftlake.functions.schedule import checkpoint_name, lr_cosine, wall_micros
 from sftlake.operators.checkpoints import REQUIRED_FILES
 from sftlake.operators.examples import SPECIAL_TOKENS
-from sftlake.operators.ordering import int_div, running
+from sftlake.operators.ordering import int_div
 from sftlake.sources.io import spread
 
 SYSTEM = "You fix code. Think first, then answer."
@@ -37,7 +37,8 @@ def _cases(selector: Column, *values: Column | str | None) -> Column:
     return out
 
 
-def raw_from_documents(docs: DataFrame) -> DataFrame:
+def raw_from_documents(docs: DataFrame, once: bool = True) -> DataFrame:
+    """The corpus; ``once`` computes ``output`` as if it were stored, instead of where it is used."""
     doc, text = F.col("doc_id"), F.col("text")
     output = _cases(
         F.pmod(int_div(doc, 20), F.lit(8)),
@@ -49,7 +50,8 @@ def raw_from_documents(docs: DataFrame) -> DataFrame:
         F.concat(F.lit("<think>\n"), text, F.lit("\n</think>tail")),
     )
     solution = F.when(doc % 11 == 0, "").when(doc % 13 != 0, F.concat(F.lit("print("), doc, F.lit(")")))
-    return computed(docs, output=output).select(
+    shaped = computed(docs, output=output) if once else docs.withColumn("output", output)
+    return shaped.select(
         doc.alias("ord"),
         F.concat_ws("/", "source", "lang", doc % 7).alias("input"), "output", solution.alias("solution"),
         F.concat(F.lit("L"), F.col("n_chars") % 5).alias("difficulty"), "source",
@@ -60,6 +62,11 @@ def raw_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_from_documents(table(spark, sf_dir, "documents"))
 
 
+def raw_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus for queries on its short columns: the texts are not read."""
+    return raw_from_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"), once=False).drop("output")
+
+
 def model_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, tasks = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     doc, text = F.col("doc_id"), F.col("text")
@@ -134,22 +141,21 @@ def logits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Micro-batches: the events of a type, dealt to two workers, 200 to an epoch."""
-    events = table(spark, sf_dir, "events").select(
-        F.col("event_type").alias("run_id"), (F.col("user_id") % 2).alias("rank"), "event_id", "user_id",
+    """Micro-batches of two workers: 4,000 events make a run, 400 an epoch."""
+    event, user = F.col("event_id"), F.col("user_id")
+
+    def hundredths(x: Column) -> Column:
+        return (x.cast("decimal(12,0)") * F.expr("0.01BD")).cast("decimal(14,2)")
+
+    return table(spark, sf_dir, "events").select(
+        F.concat(F.lit("run"), int_div(event, 4000)).alias("run_id"),
+        (int_div(event % 4000, 400) + F.lit(1)).alias("epoch"),
+        (event % 2).alias("rank"), int_div(event % 400, 2).alias("idx"),
         (F.col("value").cast("decimal(12,2)") * F.expr("0.01BD")).cast("decimal(14,4)").alias("loss"),
-        wall_micros(F.col("ts")).alias("ts_us"),
-    )
-    numbered = running(events, ["run_id", "rank"], "event_id", {"_rn": ("count", F.lit(1))})
-    rn = F.col("_rn") - F.lit(1)
-    return numbered.select(
-        "run_id", (int_div(rn, 200) + F.lit(1)).alias("epoch"), "rank", (rn % 200).alias("idx"),
-        "loss", (F.col("user_id") + F.lit(1)).alias("tokens"), "ts_us",
-        (F.col("user_id").cast("decimal(12,0)") * F.expr("0.01BD")).cast("decimal(14,2)").alias("entropy"),
-        ((F.col("event_id") % 100).cast("decimal(12,0)") * F.expr("0.01BD")).cast("decimal(14,2)").alias("token_acc"),
-        ((F.col("event_id") % 7).cast("decimal(12,0)") * F.expr("0.5BD")).cast("decimal(14,1)").alias("grad_norm"),
-        (F.col("user_id") * F.lit(100000000)).alias("mem_alloc"),
-        (F.col("user_id") * F.lit(150000000)).alias("mem_reserved"),
+        (user + F.lit(1)).alias("tokens"), wall_micros(F.col("ts")).alias("ts_us"),
+        hundredths(user).alias("entropy"), hundredths(event % 100).alias("token_acc"),
+        hundredths(event % 7).alias("grad_norm"),
+        (user * F.lit(100000000)).alias("mem_alloc"), (user * F.lit(150000000)).alias("mem_reserved"),
     )
 
 
@@ -311,21 +317,19 @@ SQL = {
     list_max(logits) + ln(list_sum(list_transform(logits, lambda x: exp(x - list_max(logits))))) AS lse
   FROM logits)""",
     "batches": """batches AS (
-  SELECT run_id, rn // 200 + 1 AS epoch, rank, rn % 200 AS idx, loss, tokens, ts_us, user_id, event_id
-  FROM (SELECT event_type AS run_id, user_id % 2 AS rank, user_id, event_id,
-          row_number() OVER (PARTITION BY event_type, user_id % 2 ORDER BY event_id) - 1 AS rn,
-          (value::DECIMAL(12,2) * 0.01)::DECIMAL(14,4) AS loss, user_id + 1 AS tokens, epoch_us(ts) AS ts_us
-        FROM events))""",
+  SELECT 'run' || (event_id // 4000) AS run_id, event_id % 4000 // 400 + 1 AS epoch, event_id % 2 AS rank, event_id % 400 // 2 AS idx,
+    (value::DECIMAL(12,2) * 0.01)::DECIMAL(14,4) AS loss, user_id + 1 AS tokens, epoch_us(ts) AS ts_us, user_id, event_id
+  FROM events)""",
     "before": """before AS (
   SELECT run_id, epoch, coalesce(sum(n) OVER (PARTITION BY run_id ORDER BY epoch
       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS steps_before
-  FROM (SELECT run_id, epoch, max(idx) // 4 + 1 AS n FROM batches GROUP BY run_id, epoch))""",
+  FROM (SELECT run_id, epoch, max(idx) // 7 + 1 AS n FROM batches GROUP BY run_id, epoch))""",
     "steps": """steps AS (
-  SELECT run_id, epoch, idx // 4 + 1 + steps_before AS step,
+  SELECT run_id, epoch, idx // 7 + 1 + steps_before AS step,
     sum(loss) FILTER (rank = 0) AS loss_sum, count(*) FILTER (rank = 0) AS batches, sum(tokens)::BIGINT AS tokens,
     max(ts_us) AS end_us, arg_max(user_id, idx) FILTER (rank = 0) AS last_user,
     arg_max(event_id, idx) FILTER (rank = 0) AS last_event, max(user_id) AS top_user
-  FROM batches JOIN before USING (run_id, epoch) GROUP BY run_id, epoch, idx // 4, steps_before)""",
+  FROM batches JOIN before USING (run_id, epoch) GROUP BY run_id, epoch, idx // 7, steps_before)""",
     "windows": """windows AS (
   SELECT *, coalesce(lag(end_us) OVER (PARTITION BY run_id, epoch ORDER BY step), start_us) AS prev_us,
     sum(loss_sum) OVER w AS cum_loss, sum(batches) OVER w AS cum_batches
