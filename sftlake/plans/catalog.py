@@ -475,13 +475,12 @@ def _(spark, sf):
     return ex.drop_report(_examples(spark, sf), inp.EOS_ID)
 
 
-def _byte_tokenizer():
-    return lambda texts: [text.encode() for text in texts]
-
-
 @query("with_tokenizer", "SELECT doc_id, octet_length(encode(text))::INTEGER AS tokens, ord(text[1]) < 128 AS ascii_start FROM documents")
 def _(spark, sf):
-    ids = with_tokenizer(_byte_tokenizer)(F.col("text"))
+    def byte_tokenizer():
+        return lambda texts: [text.encode() for text in texts]
+
+    ids = with_tokenizer(byte_tokenizer)(F.col("text"))
     return inp.table(spark, sf, "documents").select("doc_id", ids.alias("ids")).select(
         "doc_id", F.size("ids").alias("tokens"), (F.col("ids")[0] < 128).alias("ascii_start")
     )
