@@ -609,7 +609,8 @@ _COUNTERS = """count(*) AS checked, count(*) FILTER (outcome = 'kept') AS kept,
 
 
 @query("curation_counters", with_inputs(f"""SELECT {_COUNTERS} FROM judged
-    WHERE ord <= (SELECT max(ord) FROM (SELECT ord FROM judged WHERE outcome = 'kept' ORDER BY ord LIMIT {QUOTA}))""", "judged"))
+    WHERE (SELECT count(*) FROM judged WHERE outcome = 'kept') < {QUOTA}
+      OR ord <= (SELECT max(ord) FROM (SELECT ord FROM judged WHERE outcome = 'kept' ORDER BY ord LIMIT {QUOTA}))""", "judged"))
 def _(spark, sf):
     return cu.curation_counters(inp.raw_corpus(spark, sf), QUOTA, MIN_LEN, MAX_LEN)
 
