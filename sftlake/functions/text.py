@@ -137,7 +137,7 @@ def check_format(text: Column) -> Column:
     return F.struct(
         (think_open & think_close).alias("has_think"),
         (answer_open & answer_close).alias("has_answer"),
-        (~think_open | strip(text).startswith(THINK_OPEN)).alias("clean_start"),
+        (~think_open | F.ltrim(text, F.lit(WHITESPACE)).startswith(THINK_OPEN)).alias("clean_start"),
         clean_end.alias("clean_end"),
         order_ok.alias("order_ok"),
         (think_open & think_close & answer_open & answer_close & clean_end & order_ok).alias("fully_valid"),

@@ -7,9 +7,11 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
+from pyspark.sql.window import WindowSpec
 
 from sftlake.functions import text as tx
-from sftlake.operators.ordering import digest, number_by_digest, number_by_position
+from sftlake.functions.once import computed
+from sftlake.operators.ordering import digest, int_div, number_by_digest, number_by_position
 
 #: Label of a position that takes no part in the loss.
 MASKED = -100
@@ -130,11 +132,18 @@ def tokenised_examples(
     df: DataFrame, vocab: DataFrame, system: str, eos: str, max_length: int, unknown_id: int = 0
 ) -> DataFrame:
     """SFT records to examples: render, tokenise natively, encode, truncate and mask."""
-    pieces = example_text(df, system, eos).select(
+    answer = F.concat(F.coalesce("response", F.lit("")), F.lit(eos))
+    # No token reaches over the end of the rendered prompt: it ends in a newline, which only
+    # a control token could contain, and that would have to contain the one before it.
+    parts = computed(
+        df,
+        _prompt=tx.tokens(tx.render_chat(F.col("prompt"), system), SPECIAL_TOKENS),
+        _answer=tx.tokens(answer, SPECIAL_TOKENS),
+    )
+    pieces = parts.select(
         *df.columns,
-        # the rest of a long sequence is never looked at again
-        F.slice(tx.tokens(F.col("full_text"), SPECIAL_TOKENS), 1, max_length).alias("_tokens"),
-        tx.token_count(F.col("rendered"), SPECIAL_TOKENS).alias("prompt_len"),
+        F.slice(F.concat("_prompt", "_answer"), 1, max_length).alias("_tokens"),
+        F.size("_prompt").alias("prompt_len"),
     )
     coded = encode_tokens(pieces, vocab, "_tokens", "full_ids", unknown_id)
     return build_example(coded.drop("_tokens"), max_length)
@@ -165,53 +174,81 @@ def drop_report(examples: DataFrame, eos_id: int) -> DataFrame:
     ).withColumn("kept_pct", F.lit(100.0) * (F.col("total") - F.col("dropped")) / total)
 
 
-def assign_batches(
-    df: DataFrame, batch_size: int, order: str = "ord", shuffle: bool = True,
-    seed: int = 42, drop_last: bool = False,
+def _numbered(
+    df: DataFrame, batch_size: int, order: str, shuffle: bool, seed: int, drop_last: bool
 ) -> DataFrame:
-    """Add ``batch_id`` and ``pos_in_batch``; batches have ``batch_size`` rows.
-
-    A shuffle orders rows by a seeded digest of ``order``, else they keep its order.
-    ``drop_last`` removes the last batch when it is not full.
-    """
     if shuffle:
         rows = number_by_digest(df, digest(F.col(order), seed), order)
     else:
         rows = number_by_position(df, order)
     if drop_last:
         rows = rows.where(F.col("_rn") < F.col("_total") - F.pmod(F.col("_total"), F.lit(batch_size)))
-    return rows.select(
-        *df.columns,
-        F.floor(F.col("_rn") / F.lit(batch_size)).cast("bigint").alias("batch_id"),
-        F.pmod(F.col("_rn"), F.lit(batch_size)).cast("int").alias("pos_in_batch"),
+    return rows.withColumn("batch_id", int_div(F.col("_rn"), batch_size)).withColumn(
+        "pos_in_batch", F.pmod(F.col("_rn"), F.lit(batch_size)).cast("int")
     )
 
 
-def collate_pad(examples: DataFrame, pad_id: int = 0, batch: str = "batch_id") -> DataFrame:
-    """Pad every example to the longest of its batch and report the batch's shape.
+def assign_batches(
+    df: DataFrame, batch_size: int, order: str = "ord", shuffle: bool = True,
+    seed: int = 42, drop_last: bool = False,
+) -> DataFrame:
+    """Add ``batch_id`` and ``pos_in_batch``; batches have ``batch_size`` rows.
 
-    The window holds one batch, so its size is bounded by the batch size.
+    A shuffle orders rows by a seeded digest of ``order``, else they keep its order.
+    ``drop_last`` removes the last batch when it is not full.
     """
-    peers = W.partitionBy(batch)
-    width = F.max(F.size("input_ids")).over(peers)
-    padding = F.col("batch_width") - F.size("input_ids")
+    rows = _numbered(df, batch_size, order, shuffle, seed, drop_last)
+    return rows.select(*df.columns, "batch_id", "pos_in_batch")
+
+
+_FILLED = ("input_ids", "labels", "attention_mask")
+
 
-    def pad(column: str, value: int) -> Column:
+def _pad(examples: DataFrame, peers: WindowSpec, pad_id: int) -> DataFrame:
+    """Pad to the longest example of the window and report the batch's shape."""
+    def padded(column: str, value: int) -> Column:
         return F.concat(F.col(column), F.array_repeat(F.lit(value), F.col("_padding"))).alias(column)
 
-    filled = ("input_ids", "labels", "attention_mask")
     return (
-        examples.withColumn("batch_width", width)
+        examples.withColumn("batch_width", F.max(F.size("input_ids")).over(peers))
         .withColumn("batch_rows", F.count(F.lit(1)).over(peers))
-        .withColumn("_padding", padding)
+        .withColumn("_padding", F.col("batch_width") - F.size("input_ids"))
         .select(
-            *(c for c in examples.columns if c not in filled),
-            pad("input_ids", pad_id), pad("labels", MASKED), pad("attention_mask", 0),
+            *(c for c in examples.columns if c not in _FILLED),
+            padded("input_ids", pad_id), padded("labels", MASKED), padded("attention_mask", 0),
             "batch_rows", "batch_width",
         )
     )
 
 
+def collate_pad(examples: DataFrame, pad_id: int = 0, batch: str = "batch_id") -> DataFrame:
+    """Pad every example to the longest of its batch and report the batch's shape.
+
+    The window holds one batch, so its size is bounded by the batch size.
+    """
+    return _pad(examples, W.partitionBy(batch), pad_id)
+
+
+def batch_and_pad(
+    examples: DataFrame, batch_size: int, pad_id: int = 0, order: str = "ord", seed: int = 42,
+    drop_last: bool = False,
+) -> DataFrame:
+    """Shuffled batches and their padding, with one shuffle of the examples.
+
+    Numbering puts examples together by digest prefix, and all but the batches at the
+    edges of a prefix lie within one. Those are padded where they are; only the edge
+    batches, at most 65,536 of them, are brought together.
+    """
+    rows = _numbered(examples, batch_size, order, True, seed, drop_last)
+    whole = (F.col("batch_id") * batch_size >= F.col("_from")) & (
+        F.least((F.col("batch_id") + F.lit(1)) * batch_size, F.col("_total")) <= F.col("_to")
+    )
+    inner = _pad(rows.where(whole), W.partitionBy("_bucket", "batch_id"), pad_id)
+    edges = _pad(rows.where(~whole), W.partitionBy("batch_id"), pad_id)
+    kept = [*examples.columns, "batch_id", "pos_in_batch", "batch_rows", "batch_width"]
+    return inner.select(kept).unionByName(edges.select(kept))
+
+
 def step_plan(
     df: DataFrame, batch_size: int, workers: int, accum: int, epochs: int, split: str = "split"
 ) -> DataFrame:

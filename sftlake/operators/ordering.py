@@ -92,14 +92,14 @@ def running(
 
 
 def number_by_digest(df: DataFrame, key: Column, tie: str) -> DataFrame:
-    """Number all rows from 0 in the order of a digest: adds ``_rn`` and ``_total``.
+    """Number all rows from 0 in the order of a digest: adds ``_rn`` and ``_total``, and
+    the range of numbers ``_from`` to ``_to`` (exclusive) that the task's bucket covers.
 
     Rows are counted per digest prefix (at most 65,536 counts, so their running sum is
     one small task and their broadcast is bounded), then numbered inside each prefix.
     """
     rows = df.withColumn("_key", key).withColumn("_bucket", digest_bucket(F.col("_key")))
-    numbered = _number(rows, ["_bucket"], ["_key", tie])
-    return numbered.drop("_key")
+    return _number(rows, ["_bucket"], ["_key", tie]).drop("_key")
 
 
 def number_by_position(df: DataFrame, order: str) -> DataFrame:
@@ -140,19 +140,16 @@ def _number(rows: DataFrame, bucket: list[str], order: list[str]) -> DataFrame:
     everything = W.orderBy(*bucket)
     offsets = rows.groupBy(*bucket).agg(F.count(F.lit(1)).alias("_n")).select(
         *bucket,
-        F.coalesce(
-            F.sum("_n").over(everything.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)
-        ).alias("_offset"),
+        F.sum("_n").over(everything.rowsBetween(W.unboundedPreceding, W.currentRow)).alias("_to"),
+        (
+            F.sum("_n").over(everything.rowsBetween(W.unboundedPreceding, W.currentRow)) - F.col("_n")
+        ).alias("_from"),
         F.sum("_n").over(
             everything.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
         ).alias("_total"),
     )
     inside = F.row_number().over(W.partitionBy(*bucket).orderBy(*order))
-    return (
-        rows.join(F.broadcast(offsets), bucket)
-        .withColumn("_rn", F.col("_offset") + inside - F.lit(1))
-        .drop("_offset", *bucket)
-    )
+    return rows.join(F.broadcast(offsets), bucket).withColumn("_rn", F.col("_from") + inside - F.lit(1))
 
 
 def quota_cutoff(df: DataFrame, order: str, wanted: Column, n: int, parts: int = 1024) -> int | None:

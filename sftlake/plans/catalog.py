@@ -438,16 +438,27 @@ _BATCHED = """, batched AS (SELECT *, rn // 8 AS batch_id, (rn % 8)::INTEGER AS
 _BY_DIGEST = "md5('42|' || ord), ord"
 
 
-@query("collate_pad", with_inputs("", "examples").rstrip() + _BATCHED.format(order=_BY_DIGEST, table="examples", drop="") + """,
+_PADDED_SQL = with_inputs("", "examples").rstrip() + _BATCHED.format(order=_BY_DIGEST, table="examples", drop="") + """,
     sized AS (SELECT *, max(len(input_ids)) OVER (PARTITION BY batch_id) AS w, count(*) OVER (PARTITION BY batch_id) AS batch_rows FROM batched)
     SELECT ord, batch_id, pos_in_batch, array_to_string(input_ids || [0 FOR x IN range(w - len(input_ids))], ' ') AS input_ids,
       array_to_string(labels || [-100 FOR x IN range(w - len(input_ids))], ' ') AS labels,
-      array_to_string(attention_mask || [0 FOR x IN range(w - len(input_ids))], ' ') AS attention_mask, batch_rows, w::INTEGER AS batch_width FROM sized""")
-def _(spark, sf):
-    padded = ex.collate_pad(ex.assign_batches(_examples(spark, sf), 8))
+      array_to_string(attention_mask || [0 FOR x IN range(w - len(input_ids))], ' ') AS attention_mask, batch_rows, w::INTEGER AS batch_width FROM sized"""
+
+
+def _shown(padded: DataFrame) -> DataFrame:
     return padded.select("ord", "batch_id", "pos_in_batch", *map(_joined, _SHOWN), "batch_rows", "batch_width")
 
 
+@query("collate_pad", _PADDED_SQL)
+def _(spark, sf):
+    return _shown(ex.collate_pad(ex.assign_batches(_examples(spark, sf), 8)))
+
+
+@query("batch_and_pad", _PADDED_SQL)
+def _(spark, sf):
+    return _shown(ex.batch_and_pad(_examples(spark, sf), 8))
+
+
 @query("assign_batches", with_inputs("", "raw").rstrip() + _BATCHED.format(
     order=_BY_DIGEST, table="raw", drop=" WHERE rn < total - total % 8") + "SELECT ord, batch_id, pos_in_batch FROM batched")
 def _(spark, sf):
@@ -553,12 +564,12 @@ def _(spark, sf):
 # -- profiling -------------------------------------------------------------------------
 
 
-@query("distinct_difficulty", with_inputs("SELECT DISTINCT difficulty FROM raw", "raw"))
+@query("distinct_values", with_inputs("SELECT DISTINCT difficulty FROM raw", "raw"))
 def _(spark, sf):
     return pr.distinct_values(inp.raw_prompts(spark, sf), "difficulty")
 
 
-@query("distinct_source", with_inputs("SELECT DISTINCT source FROM raw", "raw"))
+@query("distinct_values_source", with_inputs("SELECT DISTINCT source FROM raw", "raw"))
 def _(spark, sf):
     return pr.distinct_values(inp.raw_prompts(spark, sf), "source")
 
@@ -579,13 +590,13 @@ def _stats(df: DataFrame, length: Column, *by: str) -> DataFrame:
     return out
 
 
-@query("length_stats_words", with_inputs(
+@query("length_stats", with_inputs(
     rf"SELECT {_STATS} FROM (SELECT len(regexp_extract_all(response, '[^\s\x{{0b}}\x{{1c}}-\x{{1f}}\x{{85}}\x{{a0}}\x{{1680}}\x{{2000}}-\x{{200a}}\x{{2028}}\x{{2029}}\x{{202f}}\x{{205f}}\x{{3000}}]+')) AS x FROM resp WHERE {_HAS_SOLUTION})", "resp"))
 def _(spark, sf):
     return _stats(_responses(spark, sf), tx.word_count(F.col("response")))
 
 
-@query("length_stats_tokens", with_inputs(
+@query("length_stats_by_source", with_inputs(
     f"SELECT source, {_STATS} FROM (SELECT source, {inp.sql_count('response')} AS x FROM resp WHERE {_HAS_SOLUTION}) GROUP BY source", "resp"))
 def _(spark, sf):
     return _stats(_responses(spark, sf), tx.token_count(F.col("response")), "source")

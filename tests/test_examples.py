@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from conftest import plan, rows
 from sftlake.operators import examples as ex
 
 
@@ -78,3 +78,28 @@ def test_step_plan(spark):
     assert one == {"train": (37, 10, 8, 12), "val": (5, 2, 2, 12)}
     two = {r.split: tuple(r)[1:] for r in ex.step_plan(df, 4, 2, 3, 2).collect()}
     assert two == {"train": (37, 4, 4, 24), "val": (5, 0, 0, 24)}
+
+
+@pytest.mark.parametrize("n, drop_last", [(1, False), (700, False), (700, True), (703, True)])
+def test_batch_and_pad_equals_two_steps(spark, monkeypatch, n, drop_last):
+    from sftlake.operators import ordering
+
+    df = spark.range(n).select(
+        F.col("id").alias("ord"), F.sequence(F.lit(1), (F.col("id") % 9 + 1).cast("int")).alias("input_ids")
+    ).withColumn("labels", F.col("input_ids")).withColumn("attention_mask", F.col("input_ids"))
+    for digits in (1, 4):  # long prefixes with inner batches, and short ones with edges only
+        monkeypatch.setattr(ordering, "DIGEST_DIGITS", digits)
+        one = ex.batch_and_pad(df, 8, drop_last=drop_last)
+        two = ex.collate_pad(ex.assign_batches(df, 8, drop_last=drop_last))
+        assert sorted(rows(one.select(two.columns))) == sorted(rows(two))
+
+
+def test_batch_and_pad_shuffles_examples_once(spark):
+    df = spark.range(100).select(
+        F.col("id").alias("ord"), F.array(F.lit(1)).alias("input_ids"), F.array(F.lit(1)).alias("labels"),
+        F.array(F.lit(1)).alias("attention_mask"),
+    )
+    out = ex.batch_and_pad(df, 8)
+    out.collect()
+    final = plan(out).split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final
