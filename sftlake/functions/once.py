@@ -26,7 +26,9 @@ def holds(value: Column, test: Callable[[Column], Column]) -> Column:
 def computed(df: DataFrame, **columns: Column) -> DataFrame:
     """Add columns through a generator of one row per row, which is never inlined.
 
-    Filters on other columns still pass below it, down to the scan.
+    Filters on other columns still pass below it, down to the scan. The columns are
+    computed even where a query does not use them, so this is for columns that a filter
+    needs; a plain projection is not repeated by the projections above it.
     """
     values = F.array(F.struct(*(column.alias(name) for name, column in columns.items())))
     return df.select("*", F.inline(values))

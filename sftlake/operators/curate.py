@@ -137,16 +137,15 @@ def format_gate(df: DataFrame, order: str = "ord") -> DataFrame:
 def tag_coverage(df: DataFrame, order: str = "ord", probe: int = 100, width: int = 120) -> DataFrame:
     """Answer tags in the first ``probe`` rows, with head and tail of the first response.
 
-    The texts are reduced to flags before the top-k, so what is merged is narrow.
+    Responses are reduced to a flag and their ends before the top-k, in one pass.
     """
-    flags = df.select(
+    ends = df.select(
         order,
         tx.has_answer_tags(F.col("response")).alias("tagged"),
         F.left("response", F.lit(width)).alias("head"),
         F.right("response", F.lit(width)).alias("tail"),
     )
-    first = flags.select(order, "tagged").orderBy(order).limit(probe).agg(
-        F.count(F.lit(1)).alias("probed"), F.count_if("tagged").alias("tagged")
+    return ends.orderBy(order).limit(probe).agg(
+        F.count(F.lit(1)).alias("probed"), F.count_if("tagged").alias("tagged"),
+        F.min_by("head", order).alias("head"), F.min_by("tail", order).alias("tail"),
     )
-    sample = flags.agg(F.min_by(F.struct("head", "tail"), order).alias("sample")).scalar()
-    return first.withColumn("sample", sample).select("probed", "tagged", "sample.head", "sample.tail")

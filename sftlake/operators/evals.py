@@ -33,13 +33,14 @@ def grade_results(outputs: DataFrame, tasks: DataFrame, skip_exec: bool = False)
 
     ``outputs`` has ``name, output, stdout, timed_out, elapsed``; ``tasks`` has ``name,
     expected_output``. A run passes when the expected text occurs in its stdout; code
-    that reads stdin, or timed out, fails; without code there is no verdict (null).
+    that reads stdin, or timed out, fails; without code there is no verdict (null), and
+    none without a task of that name unless the code fails anyway.
     The join carries no hint: a task table under the broadcast threshold is broadcast,
     a larger one is shuffled and its hot tasks are split by the adaptive skew join.
     """
     rows = check_outputs(outputs).withColumn(
         "tokens", tx.token_count(F.col("output"), tx.TAGS)
-    ).join(tasks.select("name", "expected_output"), "name")
+    ).join(tasks.select("name", "expected_output"), "name", "left")
     no_verdict = F.col("code").isNull() | (F.col("code") == "")
     if skip_exec:
         no_verdict = F.lit(True)

@@ -10,7 +10,6 @@ from pyspark.sql import Window as W
 from pyspark.sql.window import WindowSpec
 
 from sftlake.functions import text as tx
-from sftlake.functions.once import computed
 from sftlake.operators.ordering import digest, int_div, number_by_digest, number_by_position
 
 #: Label of a position that takes no part in the loss.
@@ -135,11 +134,10 @@ def tokenised_examples(
     answer = F.concat(F.coalesce("response", F.lit("")), F.lit(eos))
     # No token reaches over the end of the rendered prompt: it ends in a newline, which only
     # a control token could contain, and that would have to contain the one before it.
-    parts = computed(
-        df,
-        _prompt=tx.tokens(tx.render_chat(F.col("prompt"), system), SPECIAL_TOKENS),
-        _answer=tx.tokens(answer, SPECIAL_TOKENS),
-    )
+    parts = df.withColumns({
+        "_prompt": tx.tokens(tx.render_chat(F.col("prompt"), system), SPECIAL_TOKENS),
+        "_answer": tx.tokens(answer, SPECIAL_TOKENS),
+    })
     pieces = parts.select(
         *df.columns,
         F.slice(F.concat("_prompt", "_answer"), 1, max_length).alias("_tokens"),

@@ -793,7 +793,7 @@ _PROPS = """(SELECT event_id, CASE event_id % 5 WHEN 0 THEN '{"model_type": "a",
     SELECT event_id, ok, list_filter(['model_type', 'vocab_size'], lambda k: NOT coalesce(list_contains(keys, k), false)) AS missing FROM (
       SELECT event_id, json_valid(doc) AS ok, CASE WHEN json_valid(doc) THEN json_keys(doc) END AS keys FROM {_PROPS}))""")
 def _(spark, sf):
-    doc = inp._cases(
+    doc = inp.cases(
         F.col("event_id") % 5, '{"model_type": "a", "vocab_size": 9}', '{"model_type": "a"}', "not json",
         '{"vocab_size": 1, "model_type": null}', F.col("props"),
     )

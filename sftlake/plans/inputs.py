@@ -28,7 +28,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spread(df, "doc_id") if name == "documents" else df
 
 
-def _cases(selector: Column, *values: Column | str | None) -> Column:
+def cases(selector: Column, *values: Column | str | None) -> Column:
     """``CASE selector WHEN 0 THEN values[0] ...``; strings are literals."""
     out = None
     for i, value in enumerate(values):
@@ -40,7 +40,7 @@ def _cases(selector: Column, *values: Column | str | None) -> Column:
 def raw_from_documents(docs: DataFrame, once: bool = True) -> DataFrame:
     """The corpus; ``once`` computes ``output`` as if it were stored, instead of where it is used."""
     doc, text = F.col("doc_id"), F.col("text")
-    output = _cases(
+    output = cases(
         F.pmod(int_div(doc, 20), F.lit(8)),
         "", None, text,
         F.concat(text, F.lit("\n```python\nprint(1)\n```")),
@@ -71,7 +71,7 @@ def model_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, tasks = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     doc, text = F.col("doc_id"), F.col("text")
     think = F.concat(F.lit("<think>"), text, F.lit("</think>"))
-    output = _cases(
+    output = cases(
         F.pmod(int_div(doc, 20), F.lit(9)),
         F.concat(F.lit("<think>\n"), text, F.lit("\n</think>\n<answer>\nprint("), doc, F.lit(")\n</answer><|im_end|>")),
         F.concat(F.lit("Sure. "), think, F.lit("<answer>x = input()\n</answer>")),
@@ -145,13 +145,14 @@ def batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     event, user = F.col("event_id"), F.col("user_id")
 
     def hundredths(x: Column) -> Column:
-        return (x.cast("decimal(12,0)") * F.expr("0.01BD")).cast("decimal(14,2)")
+        # few digits, so that sums are added up as plain longs
+        return (x.cast("decimal(8,0)") * F.expr("0.01BD")).cast("decimal(8,2)")
 
     return table(spark, sf_dir, "events").select(
         F.concat(F.lit("run"), int_div(event, 4000)).alias("run_id"),
         (int_div(event % 4000, 400) + F.lit(1)).alias("epoch"),
         (event % 2).alias("rank"), int_div(event % 400, 2).alias("idx"),
-        (F.col("value").cast("decimal(12,2)") * F.expr("0.01BD")).cast("decimal(14,4)").alias("loss"),
+        (F.round(F.col("value") * F.lit(100.0)).cast("decimal(8,0)") * F.expr("0.0001BD")).cast("decimal(8,4)").alias("loss"),
         (user + F.lit(1)).alias("tokens"), wall_micros(F.col("ts")).alias("ts_us"),
         hundredths(user).alias("entropy"), hundredths(event % 100).alias("token_acc"),
         hundredths(event % 7).alias("grad_norm"),
@@ -192,7 +193,7 @@ def checkpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
 def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("checkpoint"),
-        _cases(F.col("l_linenumber") % 5, *FILES).alias("file"),
+        cases(F.col("l_linenumber") % 5, *FILES).alias("file"),
         F.round(F.col("l_extendedprice") * F.lit(100.0)).cast("bigint").alias("bytes"),
     )
 
