@@ -18,41 +18,42 @@ EOS = "<|im_end|>"
 SPECIAL_TOKENS = (*tx.TAGS, "<|im_start|>", EOS)
 
 
+def _block() -> Column:
+    return tx.chat_block(F.col("role"), F.coalesce("text", F.lit("")))
+
+
 def render_turns(turns: DataFrame) -> DataFrame:
-    """One rendered block per turn of ``(conv_id, turn, role, text)``; the last one opens
-    the assistant's answer. The blocks of a conversation in turn order are its text."""
-    last = turns.groupBy("conv_id").agg(F.max("turn").alias("_last"))
-    block = tx.chat_block(F.col("role"), F.coalesce("text", F.lit("")))
-    return turns.join(last, "conv_id").select(
-        "conv_id", "turn",
-        F.when(F.col("turn") == F.col("_last"), F.concat(block, F.lit(tx.GENERATION_PROMPT)))
-        .otherwise(block).alias("block"),
+    """One rendered block per turn of ``(conv_id, turn, role, text)``, and one more that
+    opens the assistant's answer. The blocks of a conversation in turn order are its text."""
+    opening = turns.groupBy("conv_id").agg((F.max("turn") + F.lit(1)).alias("turn")).withColumn(
+        "block", F.lit(tx.GENERATION_PROMPT)
     )
+    return turns.select("conv_id", "turn", _block().alias("block")).unionByName(opening)
 
 
-def render_conversation(turns: DataFrame) -> DataFrame:
-    """One row per conversation with its whole text.
+def render_conversation(turns: DataFrame, part_turns: int = 4096) -> DataFrame:
+    """The whole text of each conversation, in parts of ``part_turns`` turns.
 
-    The result is a single string per conversation, which bounds what a group can hold;
-    `render_turns` gives the same text without grouping.
+    A conversation of fewer turns is one row (part 0). A longer one is continued in the
+    next part, so that a group never holds more than ``part_turns`` blocks.
     """
-    message = F.struct("turn", tx.chat_block(F.col("role"), F.coalesce("text", F.lit(""))).alias("block"))
-    blocks = F.transform(F.array_sort(F.collect_list(message)), lambda m: m["block"])
-    return turns.groupBy("conv_id").agg(
-        F.concat(F.array_join(blocks, ""), F.lit(tx.GENERATION_PROMPT)).alias("text"),
-        F.count(F.lit(1)).alias("turns"),
+    message = F.struct("turn", "block")
+    blocks = F.array_sort(F.collect_list(message)).getField("block")
+    return (
+        render_turns(turns)
+        .groupBy("conv_id", int_div(F.col("turn"), part_turns).alias("part"))
+        .agg(F.array_join(blocks, "").alias("text"))
     )
 
 
 def conversation_tokens(turns: DataFrame) -> DataFrame:
     """Token count of every rendered conversation, without assembling it.
 
-    Each block starts and ends with a control token, so counts of blocks add up.
+    Each block starts and ends with a control token or line, so counts of blocks add up.
     """
-    count = tx.token_count(F.col("block"), SPECIAL_TOKENS)
-    return render_turns(turns).select("conv_id", count.alias("n")).groupBy("conv_id").agg(
-        F.sum("n").alias("tokens")
-    )
+    opening = tx.token_count(F.lit(tx.GENERATION_PROMPT), SPECIAL_TOKENS)
+    counts = turns.select("conv_id", tx.token_count(_block(), SPECIAL_TOKENS).cast("bigint").alias("n"))
+    return counts.groupBy("conv_id").agg((F.sum("n") + opening).alias("tokens"))
 
 
 def encode_tokens(

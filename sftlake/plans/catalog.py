@@ -252,14 +252,17 @@ def _(spark, sf):
     return inp.sft_records(spark, sf).select("ord", tx.render_chat(F.col("prompt"), inp.SYSTEM).alias("rendered"))
 
 
-@query("render_turns", f"""SELECT conv_id, turn, {inp.sql_block("role", "text")} || CASE WHEN turn = max(turn) OVER (PARTITION BY conv_id)
-    THEN '<|im_start|>assistant' || {NL} ELSE '' END AS block FROM conversations""")
+_BLOCKS = f"""SELECT conv_id, turn, {inp.sql_block("role", "text")} AS block FROM conversations
+    UNION ALL SELECT conv_id, max(turn) + 1, '<|im_start|>assistant' || {NL} FROM conversations GROUP BY conv_id"""
+
+
+@query("render_turns", _BLOCKS)
 def _(spark, sf):
     return ex.render_turns(inp.table(spark, sf, "conversations"))
 
 
-@query("render_conversation", f"""SELECT conv_id, string_agg({inp.sql_block("role", "text")}, '' ORDER BY turn) || '<|im_start|>assistant' || {NL} AS text,
-    count(*) AS turns FROM conversations GROUP BY conv_id""")
+@query("render_conversation", f"""SELECT conv_id, turn // 4096 AS part, string_agg(block, '' ORDER BY turn) AS text
+    FROM ({_BLOCKS}) GROUP BY ALL""")
 def _(spark, sf):
     return ex.render_conversation(inp.table(spark, sf, "conversations"))
 

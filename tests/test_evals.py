@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan, rows
+from conftest import plan
 from sftlake.operators import curate as cu
 from sftlake.operators import evals as ev
 from sftlake.operators import profile as pr

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import plan, rows
+from sftlake.functions.text import token_count
 from sftlake.operators import examples as ex
 
 
@@ -58,18 +59,21 @@ def test_encode_large_vocabulary_needs_key(spark):
         ex.encode_tokens(df, vocab, "t", max_vocab=1)
 
 
-def test_conversation_in_both_forms(spark):
+def test_conversation_in_all_forms(spark):
     turns = spark.createDataFrame(
-        [(1, 1, "assistant", "b"), (1, 0, "user", "a"), (2, 0, "user", None)], "conv_id int, turn int, role string, text string"
+        [(1, 1, "assistant", "b <|x"), (1, 0, "user", "a"), (2, 0, "user", None), *((3, i, "user", str(i)) for i in range(10))],
+        "conv_id int, turn bigint, role string, text string",
     )
     whole = {r.conv_id: r.text for r in ex.render_conversation(turns).collect()}
-    blocks = {}
-    for r in sorted(ex.render_turns(turns).collect(), key=lambda r: (r.conv_id, r.turn)):
+    assert whole[1] == "<|im_start|>user\na<|im_end|>\n<|im_start|>assistant\nb <|x<|im_end|>\n<|im_start|>assistant\n"
+    blocks, parts = {}, {}
+    for r in sorted(ex.render_turns(turns).collect()):
         blocks[r.conv_id] = blocks.get(r.conv_id, "") + r.block
-    assert whole == blocks
-    counts = dict(rows(ex.conversation_tokens(turns)))
-    from sftlake.functions.text import token_count
-    assert counts == {r[0]: r[1] for r in rows(ex.render_conversation(turns).select("conv_id", token_count(F.col("text"), ex.SPECIAL_TOKENS)))}
+    for r in sorted(ex.render_conversation(turns, part_turns=4).collect()):
+        parts[r.conv_id] = parts.get(r.conv_id, "") + r.text
+    assert whole == blocks == parts
+    count = token_count(F.col("text"), ex.SPECIAL_TOKENS)
+    assert dict(rows(ex.conversation_tokens(turns))) == dict(rows(ex.render_conversation(turns).select("conv_id", count)))
 
 
 def test_step_plan(spark):
