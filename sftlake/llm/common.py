@@ -20,6 +20,13 @@ def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def vocabulary(name: str = "byte_bpe_50k.json") -> str:
+    """A public tokenizer's file; the package that holds it is installed on every executor."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write a frame into the shared folder and read it back: lineage ends in replicated files."""
     path = shared_dir(df.sparkSession, name)

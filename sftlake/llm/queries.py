@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sftlake.llm import decontaminate, lines, mixing, warc
-from sftlake.llm.common import table
+from sftlake.llm import decontaminate, lines, mixing, token_counts, token_files, warc
+from sftlake.llm.common import table, vocabulary
 from sftlake.session import shared_dir
 
 #: DuckDB patterns and functions that several queries use.
@@ -14,6 +14,18 @@ _SPACE = r"[\x20\x09-\x0D]"
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_dir(spark, "tokens")
+    token_files.write_tokens(table(spark, sf_dir, "documents"), path, vocabulary())
+    return token_files.read_token_digests(spark, path)
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    counts = token_counts.token_counts(docs, vocabulary(), fields=("source", "text"), rule="start")
+    return counts.withColumn("n_tokens", F.col("n_tokens").cast("bigint"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, plan = mixing.mix(table(spark, sf_dir, "documents"))
     sized = spark.createDataFrame(
@@ -150,10 +162,12 @@ FROM m
 """
 
 QUERIES = {
+    "op1_token_files": op1_token_files,
     "op4_mixing": op4_mixing,
     "op5_line_dedup": op5_line_dedup,
     "op8_decontaminate": op8_decontaminate,
     "op9_warc": op9_warc,
+    "op10_token_counts": op10_token_counts,
 }
 ORACLE = {
     "op4_mixing": OP4_SQL,
