@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sftlake.llm import decontaminate, lines, mixing, token_counts, token_files, warc
-from sftlake.llm.common import table, vocabulary
+from sftlake.llm import decontaminate, lines, mixing, quality, token_counts, token_files, warc
+from sftlake.llm.common import crc_remainder, stored, table, vocabulary
 from sftlake.session import shared_dir
 
 #: DuckDB patterns and functions that several queries use.
@@ -26,6 +26,15 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("n_tokens", F.col("n_tokens").cast("bigint"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    held_out = crc_remainder(F.col("doc_id"), 3) == 1
+    machine = quality.train(docs, table(spark, sf_dir, "labels"), usable=~held_out)
+    return quality.score(docs, machine).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, plan = mixing.mix(table(spark, sf_dir, "documents"))
     sized = spark.createDataFrame(
@@ -163,6 +172,7 @@ FROM m
 
 QUERIES = {
     "op1_token_files": op1_token_files,
+    "op3_quality": op3_quality,
     "op4_mixing": op4_mixing,
     "op5_line_dedup": op5_line_dedup,
     "op8_decontaminate": op8_decontaminate,
