@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sftlake.llm import decontaminate, lines, mixing, quality, token_counts, token_files, warc
+from sftlake.llm import decontaminate, lines, mixing, near, quality, token_counts, token_files, warc
 from sftlake.llm.common import crc_remainder, stored, table, vocabulary
 from sftlake.session import shared_dir
 
@@ -109,6 +109,10 @@ FROM lines LEFT JOIN gone g ON lines.k = g.k GROUP BY r
 """
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.near_duplicates(table(spark, sf_dir, "documents"), words=2)
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(
         table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")
@@ -175,6 +179,7 @@ QUERIES = {
     "op3_quality": op3_quality,
     "op4_mixing": op4_mixing,
     "op5_line_dedup": op5_line_dedup,
+    "op7_near_duplicates": op7_near_duplicates,
     "op8_decontaminate": op8_decontaminate,
     "op9_warc": op9_warc,
     "op10_token_counts": op10_token_counts,
