@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sftlake.llm import decontaminate, lines, mixing, near, quality, token_counts, token_files, warc
+from sftlake.llm import decontaminate, forest, language, lines, mixing, near, quality, token_counts, token_files, warc
 from sftlake.llm.common import crc_remainder, stored, table, vocabulary
 from sftlake.session import shared_dir
 
@@ -26,6 +26,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("n_tokens", F.col("n_tokens").cast("bigint"))
 
 
+def op2_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
     held_out = crc_remainder(F.col("doc_id"), 3) == 1
@@ -109,6 +113,15 @@ FROM lines LEFT JOIN gone g ON lines.k = g.k GROUP BY r
 """
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = crc_remainder(F.col("doc_id"), 4) == 2
+    model = language.train(docs, usable=~held_out)
+    return language.identify(docs.drop("lang"), model, reject=False).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", F.col("lang_score").alias("score"), "rejected"
+    )
+
+
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_duplicates(table(spark, sf_dir, "documents"), words=2)
 
@@ -120,6 +133,26 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("text", "item_ids", "spans")
 
 
+OP7_SQL = rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(w) = 1 THEN w[1] ELSE w[i] || ' ' || w[i + 1] END AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w), 2))) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+sn AS (SELECT s.doc_id, g, n FROM s JOIN n USING (doc_id)),
+links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y
+  FROM sn a JOIN sn b ON a.g = b.g AND a.doc_id < b.doc_id AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+  GROUP BY 1, 2 HAVING 100 * count(*) >= 80 * (any_value(a.n) + any_value(b.n) - count(*))),
+ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (
+  SELECT doc_id AS node, doc_id AS root FROM documents
+  UNION SELECT ways.y, reach.root FROM reach JOIN ways ON ways.x = reach.node WHERE reach.root < ways.y)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, r.root AS component_id, d.doc_id = r.root AS kept
+FROM documents d JOIN (SELECT node, min(root) AS root FROM reach GROUP BY node) r ON r.node = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
+"""
+
 OP8_SQL = rf"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id,
@@ -176,9 +209,11 @@ FROM m
 
 QUERIES = {
     "op1_token_files": op1_token_files,
+    "op2_forest": op2_forest,
     "op3_quality": op3_quality,
     "op4_mixing": op4_mixing,
     "op5_line_dedup": op5_line_dedup,
+    "op6_language": op6_language,
     "op7_near_duplicates": op7_near_duplicates,
     "op8_decontaminate": op8_decontaminate,
     "op9_warc": op9_warc,
@@ -187,6 +222,7 @@ QUERIES = {
 ORACLE = {
     "op4_mixing": OP4_SQL,
     "op5_line_dedup": OP5_SQL,
+    "op7_near_duplicates": OP7_SQL,
     "op8_decontaminate": OP8_SQL,
     "op9_warc": OP9_SQL,
 }
