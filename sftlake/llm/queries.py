@@ -182,7 +182,9 @@ FROM d LEFT JOIN hit_words USING (r) LEFT JOIN hit_items USING (r)
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "warc")
     warc.write_warc(warc.captures(table(spark, sf_dir, "pages")), path)
-    found = warc.resolved(warc.assemble(warc.read_warc(spark, path, keep_blocks=False)))
+    # Headers and digests without blocks, kept: assembling looks at them several times, at the archives once.
+    records = stored(warc.read_warc(spark, path, keep_blocks=False), "warc-records")
+    found = warc.resolved(warc.assemble(records))
     page = lambda name: F.regexp_extract(name, r"^<urn:capture:(-?\d+):", 1)
     number = lambda text: F.when(text != "", text.cast("bigint"))
     return found.select(

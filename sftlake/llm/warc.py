@@ -206,14 +206,9 @@ def resolved(found: DataFrame) -> DataFrame:
     response that it refers to. The join is on record ids; many revisits of one response are split by
     adaptive execution."""
     response = F.col("response")
-    plain = found.select("*", response["record_id"].alias("_id"), response["refers_to"].alias("_to"))
-    base = plain.where("_to is null").groupBy(F.col("_id").alias("_base")).agg(
-        F.first(response["payload_bytes"]).alias("_bytes"), F.first(response["seen_digest"]).alias("_digest")
-    )
-    joined = plain.join(base, plain["_to"] == base["_base"], "left")
-    own = F.col("_to").isNull()
-    return joined.select(
-        *found.columns,
-        F.when(own, response["payload_bytes"]).otherwise(F.col("_bytes")).alias("payload_bytes"),
-        F.when(own, response["seen_digest"]).otherwise(F.col("_digest")).alias("payload_digest"),
+    # Responses look themselves up, so that they spread by their own ids instead of meeting under one null.
+    plain = found.select("*", F.coalesce(response["refers_to"], response["record_id"], "capture_id").alias("_to"))
+    base = found.where(response["refers_to"].isNull()).groupBy(response["record_id"].alias("_base")).agg(
+        F.first(response["payload_bytes"]).alias("payload_bytes"), F.first(response["seen_digest"]).alias("payload_digest")
     )
+    return plain.join(base, plain["_to"] == base["_base"], "left").drop("_to", "_base")
