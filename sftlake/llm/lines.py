@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from sftlake.llm.common import LOWER, SPACES, UPPER, sliced, stored, utf8
 
-#: kind 0: line to drop; 1: line that waits for its key's sum; 2: a key's documents in one partition.
+#: kind 0: line to drop; 1: line that waits for its key's sum; 2: a key's first line and number of documents in one partition.
 EVENT = "kind tinyint, h1 bigint, h2 bigint, doc bigint, uid bigint, pos int, n bigint"
 
 
@@ -75,7 +75,7 @@ class _Runs:
             key = (int(part["h1"][0]), int(part["h2"][0]))
             if key != self.key:
                 self.close(last=False)
-                self.key, self.n, self.doc, self.held, self.seen = key, 0, None, [], False
+                self.key, self.n, self.doc, self.held, self.seen, self.begin = key, 0, None, [], False, part[:1]
             fresh = (part["doc"][1:] != part["doc"][:-1]) | (part["uid"][1:] != part["uid"][:-1])
             begins = (int(part["doc"][0]), int(part["uid"][0])) != self.doc
             self.n += int(fresh.sum()) + begins
@@ -101,7 +101,7 @@ class _Runs:
             return
         if self.first_key or last:
             self._emit(1, self.held)
-            self.out.append((2, self.key, self.n))
+            self.out.append((2, self.begin, self.n))
         self.first_key = False
 
 
@@ -113,18 +113,12 @@ def _decider(least: int, keep_first: bool):
         runs = _Runs(least, keep_first)
 
         def flush() -> Iterator[pa.RecordBatch]:
-            for kind, *what in runs.out:
-                if kind == 2:
-                    (h1, h2), n = what
-                    cols = [[2], [h1], [h2], [None], [None], [None], [n]]
-                    arrays = [pa.array(c, t) for c, t in zip(cols, TYPES)]
-                else:
-                    r = what[0]
-                    size = len(r)
-                    arrays = [
-                        pa.array(np.full(size, kind, np.int8)), pa.array(r["h1"]), pa.array(r["h2"]),
-                        pa.array(r["doc"], mask=r["null"]), pa.array(r["uid"]), pa.array(r["pos"]), pa.nulls(size, pa.int64()),
-                    ]
+            for kind, r, *n in runs.out:
+                size = len(r)
+                arrays = [
+                    pa.array(np.full(size, kind, np.int8)), pa.array(r["h1"]), pa.array(r["h2"]), pa.array(r["doc"], mask=r["null"]),
+                    pa.array(r["uid"]), pa.array(r["pos"]), pa.array(n, pa.int64()) if n else pa.nulls(size, pa.int64()),
+                ]
                 yield pa.RecordBatch.from_arrays(arrays, names=NAMES)
             runs.out = []
 
@@ -142,8 +136,7 @@ def _decider(least: int, keep_first: bool):
     return run
 
 
-NAMES = ["kind", "h1", "h2", "doc", "uid", "pos", "n"]
-TYPES = [pa.int8(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
+NAMES = [f.split()[0] for f in EVENT.split(", ")]
 
 
 @F.pandas_udf(T.BinaryType())
@@ -179,11 +172,10 @@ def repeated_lines(
     ranged = rows.repartitionByRange("h1", "h2", "doc", "uid").sortWithinPartitions("h1", "h2", "doc", "uid", "pos")
     events = stored(ranged.mapInArrow(_decider(min_docs, keep == "first"), EVENT), "line-events")
     # At most two rows per partition, and the keys they name.
-    edge = events.where("kind = 2").groupBy("h1", "h2").agg(F.sum("n").alias("total"))
+    edge = events.where("kind = 2").groupBy("h1", "h2").agg(F.sum("n").alias("total"), F.min(F.struct("doc", "uid", "pos")).alias("first"))
     waiting = events.where("kind = 1").join(edge.where(F.col("total") >= min_docs), ["h1", "h2"])
     if keep == "first":
-        first = waiting.groupBy("h1", "h2").agg(F.min(F.struct("doc", "uid", "pos")).alias("first"))
-        waiting = waiting.join(first, ["h1", "h2"]).where(F.struct("doc", "uid", "pos") > F.col("first"))
+        waiting = waiting.where(F.struct("doc", "uid", "pos") > F.col("first"))
     gone = events.where("kind = 0").select("doc", "uid", "pos").unionByName(waiting.select("doc", "uid", "pos"))
     return gone.groupBy("doc", "uid").agg(F.array_sort(F.collect_set("pos")).alias("dropped"))
 
