@@ -131,8 +131,8 @@ def train(
                 names=["id", "lang", "slots", "counts"],
             )
 
-    # An id given more than once for a language counts with one of its texts.
-    table = rows.select("_id", "_text", "_lang").join(picked, ["_id", "_lang"]).select("_id", "_lang", "_text").mapInArrow(
+    same = rows["_id"].eqNullSafe(picked["_id"]) & (rows["_lang"] == picked["_lang"])
+    table = rows.join(picked, same, "left_semi").select("_id", "_lang", "_text").mapInArrow(
         features, "id bigint, lang string, slots array<int>, counts array<int>"
     ).toArrow().sort_by([("lang", "ascending"), ("id", "ascending")])
     groups: dict[str, np.ndarray] = {}
