@@ -2,8 +2,8 @@
 
 The vocabulary's pre-tokenizer never joins what stands before and after a single space (or newline) between
 two characters that are no white space: such a space opens the next piece. A text can therefore be cut there, and
-equal chunks have equal ids wherever they stand. A worker keeps the ids of the chunks it has met (bounded;
-a full table is emptied) and lets the library encode the new ones in one batch.
+equal chunks have equal ids wherever they stand. A worker keeps the ids of chunks it has met in two bounded tables (a full one
+becomes the older one, and the older one goes) and lets the library encode new chunks in one batch.
 """
 
 from __future__ import annotations
@@ -11,26 +11,34 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Sequence
+from itertools import accumulate, chain
 
 import numpy as np
 
-#: Distinct chunks that a worker remembers: about 120 MB.
-CACHE_CHUNKS = 600_000
+#: Distinct chunks in each of a worker's two tables: about 100 MB each.
+CACHE_CHUNKS = 500_000
 
-_ODD_SPACE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
-_PLAIN = re.compile(r"[ \n]?\S+")
+#: White space other than space and newline, as Python's str.isspace has it.
+_ODD_ASCII = tuple("\t\r\v\f\x1c\x1d\x1e\x1f") + ("\x00",)
+_ODD_SPACE = tuple(map(chr, (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
+#: Runs of white space, which the vocabulary's pre-tokenizer cuts by what follows.
+_RUNS = ("  ", " \n", "\n ", "\n\n")
+_FIRST = "\x00"
 _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
 
 
 def chunks(text: str) -> list[str]:
-    """Pieces of a text that encode on their own; joined they are the text. A piece after the first starts with
-    the space or newline before it."""
-    if "  " not in text and not _ODD_SPACE.search(text):
+    """Pieces of a text that encode on their own. The space before a piece is left out of it: a piece that starts with neither a
+    newline nor `_FIRST` follows a space. `_FIRST` marks a text's beginning and pieces that are to be taken as they are."""
+    has = text.__contains__
+    if not (
+        any(map(has, _RUNS)) or any(map(has, _ODD_ASCII)) or (not text.isascii() and any(map(has, _ODD_SPACE)))
+        or text[0] in " \n" or text[-1] in " \n"
+    ):  # only single spaces and newlines between other characters: a plain split is exact
         parts = text.replace("\n", " \n").split(" ")
-        # Only single spaces and newlines between other characters: the plain split is exact.
-        if "" not in parts and "\n" not in parts and parts[0][:1] != "\n":
-            return [parts[0], *[p if p[0] == "\n" else " " + p for p in parts[1:]]]
-    return _CUT.split(text)
+        parts[0] = _FIRST + parts[0]
+        return parts
+    return [_FIRST + p for p in _CUT.split(text)]
 
 
 class ByteBpe:
@@ -43,37 +51,44 @@ class ByteBpe:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.lengths = self.byte_lengths()
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         cut = [chunks(t) if t else [] for t in texts]
-        known = self.known
-        new = [c for c in set().union(*cut) if c not in known]
-        if new and len(known) + len(new) > CACHE_CHUNKS:
-            self.known = known = {}
-            new = list(set().union(*cut))
-        self._learn(new)
-        get = known.__getitem__
-        return [b"".join(map(get, c)) for c in cut]
+        flat = list(chain.from_iterable(cut))
+        found = list(map(self.known.get, flat))
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        if missing:
+            new = {flat[i] for i in missing}
+            if len(self.known) + len(new) > CACHE_CHUNKS:  # what is still in use comes over from the older table
+                self.older, self.known = self.known, {}
+                new.update(flat)
+            again = {c for c in new if c in self.older}
+            self.known.update((c, self.older[c]) for c in again)
+            self._learn(list(new - again))
+            for i in missing:
+                found[i] = self.known[flat[i]]
+        stops = list(accumulate(map(len, cut)))
+        return [b"".join(found[a:b]) for a, b in zip([0, *stops], stops)]
 
     def _learn(self, new: list[str]) -> None:
-        """Ids of new chunks. Plain ones are encoded as one text, in which each is a line or follows a space, and are told
-        apart by the bytes behind each id; the others are encoded one by one."""
-        plain = [c for c in new if _PLAIN.fullmatch(c)]
-        if plain:
-            # A first chunk has no space before it: it stands after a newline, which is a piece of its own.
-            opened = [c if c[0] in " \n" else "\n" + c for c in plain]
-            ids = np.array(self.tokenizer.encode_batch_fast(["".join(opened)], add_special_tokens=False)[0].ids, "<u4")
-            stops = np.searchsorted(np.cumsum(self.lengths[ids]), np.cumsum([len(c.encode()) for c in opened])) + 1
+        """Ids of new chunks. Those that follow a space or newline have no other one inside: they are encoded as one text
+        and told apart by the bytes behind each id. The others are encoded one by one."""
+        follow = [c for c in new if c[0] != _FIRST]
+        if follow:
+            whole = "".join([c if c[0] == "\n" else " " + c for c in follow])
+            ids = np.array(self.tokenizer.encode_batch_fast([whole], add_special_tokens=False)[0].ids, "<u4")
+            raw = np.frombuffer(whole.encode(), np.uint8)
+            starts = np.flatnonzero((raw == 32) | (raw == 10))
+            at = np.searchsorted(np.cumsum(self.lengths[ids]) - self.lengths[ids], starts) * 4
+            cuts = [*at.tolist(), 4 * len(ids)]
             data = ids.tobytes()
-            at = 0
-            for c, own, stop in zip(plain, opened, (stops * 4).tolist()):
-                self.known[c] = data[at + 4 * (c is not own) : stop]
-                at = stop
-        other = [c for c in new if not _PLAIN.fullmatch(c)] if len(plain) < len(new) else []
-        if other:
-            found = self.tokenizer.encode_batch_fast(other, add_special_tokens=False)
-            self.known.update((c, np.array(e.ids, "<u4").tobytes()) for c, e in zip(other, found))
+            self.known.update(zip(follow, map(data.__getitem__, map(slice, cuts, cuts[1:]))))
+        first = [c for c in new if c[0] == _FIRST]
+        if first:
+            encoded = self.tokenizer.encode_batch_fast([c[1:] for c in first], add_special_tokens=False)
+            self.known.update((c, np.array(e.ids, "<u4").tobytes()) for c, e in zip(first, encoded))
 
     def byte_lengths(self) -> np.ndarray:
         """Bytes of text behind each id. Every character of a byte-level token stands for one byte."""

@@ -6,8 +6,7 @@ crosses the end of a document. A shard is one row of a Parquet table: its docume
 rules (two symbols each), the rules' expansion lengths, and the remaining symbols. Expansion lengths say
 where each token lies without decoding, so a document, or a range of its tokens, is decoded from its own symbols.
 
-One round replaces all pairs that occur at least ``min_count`` times, the more frequent first where they
-overlap in hash counts, from left to right; new symbols take part in the next rounds. Rounds end when no such
+One round replaces pairs that occur at least ``min_count`` times, from left to right; new symbols take part in the next rounds. Rounds end when no such
 pair is left, the symbol space is used up or ``rounds`` is reached. Any outcome decodes to the input exactly.
 
 Defined cases: a null or empty text is a document of only the end id; documents of equal id are put in the
@@ -31,34 +30,37 @@ from sftlake.llm.common import sliced
 
 END_ID = 2
 SHARD_IDS = 1 << 20
-BINS = 1 << 17
+BINS = 1 << 19
 SHARD = (
     "part int, shard int, n_docs bigint, n_tokens bigint, doc_ids array<bigint>, doc_tokens array<bigint>, doc_symbols array<bigint>, "
     "first_rule bigint, width int, rules binary, rule_lengths binary, symbols binary"
 )
 
 
-def _bins(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return ((a * np.uint32(0x9E3779B1)) ^ (b * np.uint32(0x85EBCA6B))) >> np.uint32(32 - BINS.bit_length() + 1)
+def _frequent(a: np.ndarray, b: np.ndarray, ok: np.ndarray, min_count: int, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys (first symbol << 32 | second) of frequent pairs, the positions where they start, and each position's pair.
 
-
-def _frequent(a: np.ndarray, b: np.ndarray, ok: np.ndarray, min_count: int, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys (first symbol << 32 | second) of the most frequent pairs, sorted, and a mark per position where one starts."""
-    bins = _bins(a, b)
-    heavy = np.bincount(bins[ok], minlength=BINS) >= min_count
-    at = np.flatnonzero(heavy[bins] & ok)
-    if not len(at):
-        return np.empty(0, np.uint64), at
+    Pairs are counted in hash bins, in linear time. Of pairs that share a bin one is taken, the others wait for a later round.
+    """
+    bins = (((a * np.uint32(0x9E3779B1)) ^ (b * np.uint32(0x85EBCA6B))) >> np.uint32(32 - BINS.bit_length() + 1)).astype(np.intp)
+    bins[~ok] = BINS  # a pair that would cross the end of a document
+    heavy = np.bincount(bins, minlength=BINS + 1) >= min_count
+    heavy[BINS] = False
+    at = np.flatnonzero(heavy[bins])
+    bins = bins[at]
     keys = (a[at].astype(np.uint64) << np.uint64(32)) | b[at]
-    found, inverse, counts = np.unique(keys, return_inverse=True, return_counts=True)
+    taken = np.zeros(BINS + 1, np.uint64)
+    taken[bins] = keys
+    same = taken[bins] == keys
+    at, bins = at[same], bins[same]
+    counts = np.bincount(bins, minlength=BINS + 1)
     good = np.flatnonzero(counts >= min_count)
     if len(good) > most:
         good = np.sort(good[np.argsort(-counts[good], kind="stable")[:most]])
-    rank = np.full(len(found), -1, np.int64)
+    rank = np.full(BINS + 1, -1, np.int64)
     rank[good] = np.arange(len(good))
-    at_rank = rank[inverse]
-    chosen = at_rank >= 0
-    return found[good], np.stack([at[chosen], at_rank[chosen]])
+    rank = rank[bins]
+    return taken[good], at[rank >= 0], rank[rank >= 0]
 
 
 def repair(ids: np.ndarray, ends: np.ndarray, first_rule: int, rounds: int = 4, min_count: int = 24, most: int = 1 << 14) -> tuple:
@@ -69,10 +71,9 @@ def repair(ids: np.ndarray, ends: np.ndarray, first_rule: int, rounds: int = 4,
         room = most - (next_rule - first_rule)
         if room <= 0 or len(symbols) < 2:
             break
-        keys, where = _frequent(symbols[:-1], symbols[1:], ~ends[:-1], min_count, room)
+        keys, at, rank = _frequent(symbols[:-1], symbols[1:], ~ends[:-1], min_count, room)
         if not len(keys):
             break
-        at, rank = where
         # Pairs that overlap form runs of neighbouring positions: every second one is replaced.
         starts = np.concatenate(([True], np.diff(at) != 1))
         first = np.maximum.accumulate(np.where(starts, np.arange(len(at)), 0))
