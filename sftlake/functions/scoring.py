@@ -1,4 +1,4 @@
-"""Scores over a column of class logits (``array<double>``).
+"""Scores over a column of class logits (an array of floats or doubles; computed in double).
 
 Row maximum and log-sum-exp are bound once: a lambda that mentions an outer expression
 evaluates it for every element, which would be quadratic in the number of classes.
@@ -14,8 +14,8 @@ from sftlake.functions.once import bind
 
 def log_sum_exp(logits: Column) -> Column:
     return bind(
-        F.array_max(logits),
-        lambda top: top + F.ln(F.aggregate(logits, F.lit(0.0), lambda acc, x: acc + F.exp(x - top))),
+        F.array_max(logits).cast("double"),
+        lambda top: top + F.ln(F.aggregate(logits, F.lit(0.0), lambda acc, x: acc + F.exp(x.cast("double") - top))),
     )
 
 
@@ -24,21 +24,21 @@ def entropy(logits: Column) -> Column:
     return bind(
         log_sum_exp(logits),
         lambda lse: -F.aggregate(
-            logits, F.lit(0.0), lambda acc, x: acc + F.exp(x - lse) * (x - lse)
+            logits, F.lit(0.0), lambda acc, x: acc + F.exp(x.cast("double") - lse) * (x.cast("double") - lse)
         ),
     )
 
 
 def log_prob(logits: Column, index: Column) -> Column:
     """Log-probability of class ``index`` (0-based)."""
-    return F.element_at(logits, index + F.lit(1)) - log_sum_exp(logits)
+    return F.element_at(logits, index + F.lit(1)).cast("double") - log_sum_exp(logits)
 
 
 def log_probs(logits: Column, indexes: Column) -> Column:
     """Log-probabilities of an array of classes, in the same order."""
     return bind(
         log_sum_exp(logits),
-        lambda lse: F.transform(indexes, lambda i: F.element_at(logits, i + F.lit(1)) - lse),
+        lambda lse: F.transform(indexes, lambda i: F.element_at(logits, i + F.lit(1)).cast("double") - lse),
     )
 
 

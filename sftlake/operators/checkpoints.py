@@ -8,30 +8,35 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from sftlake.functions.schedule import checkpoint_step, megabytes
-from sftlake.operators.ordering import running
+from sftlake.operators.ordering import null_safe, running
 
 # Files every checkpoint must contain.
 REQUIRED_FILES = ("config.json", "tokenizer.json", "tokenizer_config.json", "model.safetensors")
 
 
+def _measured() -> Column:
+    """Has a validation loss that can be compared: neither null nor NaN."""
+    return F.col("val_loss").isNotNull() & ~F.isnan("val_loss")
+
+
 def best_checkpoint(ckpts: DataFrame) -> DataFrame:
     """Mark the epoch checkpoints that beat every earlier one of their run (strictly), and
-    the final best: the earliest with the lowest validation loss."""
+    the final best: the earliest with the lowest validation loss. One without a loss is neither."""
+    epochs = ckpts.where(F.col("kind") == "epoch")
     rows = running(
-        ckpts.where(F.col("kind") == "epoch"), ["run_id"], "step",
-        {"_best_before": ("min", F.col("val_loss"))}, exclusive=["_best_before"],
+        epochs, ["run_id"], "step",
+        {"_best_before": ("min", F.when(_measured(), F.col("val_loss")))}, exclusive=["_best_before"],
     )
-    first = F.min(F.struct("val_loss", "step"))
-    best = ckpts.where(F.col("kind") == "epoch").groupBy("run_id").agg(first.alias("_best"))
-    new_best = F.col("_best_before").isNull() | (F.col("val_loss") < F.col("_best_before"))
-    return rows.join(best, "run_id").select(
+    best = epochs.where(_measured()).groupBy("run_id").agg(F.min(F.struct("val_loss", "step")).alias("_best"))
+    new_best = _measured() & (F.col("_best_before").isNull() | (F.col("val_loss") < F.col("_best_before")))
+    return null_safe(rows, best, ["run_id"], "left").select(
         "run_id", "step", "name", "val_loss", new_best.alias("new_best"),
-        (F.col("step") == F.col("_best.step")).alias("is_best"),
+        F.coalesce(F.col("step") == F.col("_best.step"), F.lit(False)).alias("is_best"),
     )
 
 
@@ -42,36 +47,46 @@ def _kth_best(ckpts: DataFrame, k: int) -> DataFrame:
     contributes ``k`` rows per task however many checkpoints it has.
     """
     rank = F.row_number().over(W.partitionBy("run_id").orderBy("val_loss", "epoch", "step"))
-    best = ckpts.where(F.col("kind") == "epoch").withColumn("_rank", rank).where(F.col("_rank") <= k)
+    best = ckpts.where((F.col("kind") == "epoch") & _measured()).withColumn("_rank", rank).where(F.col("_rank") <= k)
     return best.groupBy("run_id").agg(F.max(F.struct("val_loss", "epoch", "step")).alias("_kth"))
 
 
 def retain_best_k(ckpts: DataFrame, k: int) -> DataFrame:
-    """Keep/drop decision for epoch checkpoints: the ``k`` lowest losses, earlier ones first."""
-    rows = ckpts.where(F.col("kind") == "epoch").join(_kth_best(ckpts, max(k, 1)), "run_id")
-    keep = F.struct("val_loss", "epoch", "step") <= F.col("_kth")
-    return rows.select("run_id", "step", "name", "val_loss", keep.alias("keep"))
+    """Keep/drop decision for epoch checkpoints: the ``k`` lowest losses, earlier ones first. One
+    without a loss takes no place and is not kept."""
+    rows = null_safe(ckpts.where(F.col("kind") == "epoch"), _kth_best(ckpts, max(k, 1)), ["run_id"], "left")
+    return rows.select("run_id", "step", "name", "val_loss", _within_best().alias("keep"))
+
+
+def _within_best() -> Column:
+    return _measured() & F.coalesce(F.struct("val_loss", "epoch", "step") <= F.col("_kth"), F.lit(False))
 
 
 def retain_latest_mid(ckpts: DataFrame) -> DataFrame:
     """Keep/drop decision for mid-epoch checkpoints: only a run's newest stays."""
     mids = ckpts.where(F.col("kind") == "mid")
     newest = mids.groupBy("run_id").agg(F.max("step").alias("_newest"))
-    return mids.join(newest, "run_id").select(
+    return null_safe(mids, newest, ["run_id"]).select(
         "run_id", "step", "name", (F.col("step") == F.col("_newest")).alias("keep")
     )
 
 
-def retention_plan(ckpts: DataFrame, k: int) -> DataFrame:
-    """Both rules together, with the reason for each decision."""
+def retention_plan(ckpts: DataFrame, k: int, out_dir: str | None = None) -> DataFrame:
+    """Both rules together, with the reason for each decision.
+
+    With ``out_dir``, a checkpoint whose ``path`` does not lie below that folder is left alone.
+    """
     newest = ckpts.where(F.col("kind") == "mid").groupBy("run_id").agg(F.max("step").alias("_newest"))
-    rows = ckpts.join(_kth_best(ckpts, max(k, 1)), "run_id", "left").join(newest, "run_id", "left")
-    best = (F.col("kind") == "epoch") & (F.struct("val_loss", "epoch", "step") <= F.col("_kth"))
+    rows = null_safe(null_safe(ckpts, _kth_best(ckpts, max(k, 1)), ["run_id"], "left"), newest, ["run_id"], "left")
+    best = (F.col("kind") == "epoch") & _within_best()
     latest = (F.col("kind") == "mid") & (F.col("step") == F.col("_newest"))
     ours = F.col("name").startswith("checkpoint-")
+    below = F.lit(True) if out_dir is None else F.coalesce(
+        F.col("path").startswith(out_dir.rstrip("/") + "/") & ~F.col("path").contains("/../"), F.lit(False)
+    )
     reason = (
-        F.when(best, "best-k").when(latest, "latest-mid")
-        .when(~ours, "not-a-checkpoint").otherwise("superseded")
+        F.when(best, "best-k").when(latest, "latest-mid").when(~ours, "not-a-checkpoint")
+        .when(~below, "outside-output-dir").otherwise("superseded")
     )
     return rows.select("run_id", "step", "name", reason.alias("reason")).withColumn(
         "keep", F.col("reason") != "superseded"
@@ -89,13 +104,12 @@ def latest_checkpoint(ckpts: DataFrame) -> DataFrame:
 
 
 def checkpoint_inventory(manifest: DataFrame) -> DataFrame:
-    """Files of each checkpoint and their size; repeated entries of a file are added up first."""
-    files = manifest.groupBy("checkpoint", "file").agg(F.sum("bytes").alias("bytes"))
-    return files.groupBy("checkpoint").agg(
-        F.array_sort(F.collect_list("file")).alias("files"),
-        F.count(F.lit(1)).alias("n_files"),
-        F.sum("bytes").alias("bytes"),
-    ).withColumn("mb", megabytes(F.col("bytes")))
+    """Files of each checkpoint and their size; a file listed more than once is one file."""
+    return manifest.groupBy("checkpoint").agg(
+        F.array_sort(F.collect_set("file")).alias("files"), F.sum("bytes").alias("bytes")
+    ).select(
+        "checkpoint", "files", F.size("files").cast("bigint").alias("n_files"), "bytes", megabytes(F.col("bytes")).alias("mb")
+    )
 
 
 def required_files_check(manifest: DataFrame, required: Sequence[str] = REQUIRED_FILES) -> DataFrame:
@@ -125,7 +139,8 @@ def json_required_keys(
 
 
 def state_check(states: DataFrame) -> DataFrame:
-    """Checks of a training state: fields present and not negative, step as in the name."""
+    """Checks of a training state: fields present and not negative, step as in the name, and
+    the optimizer's state (``optimizer``, boolean) saved with it. Step 0 is a valid step."""
     present = F.col("epoch").isNotNull() & F.col("step").isNotNull()
     return states.select(
         "name",
@@ -133,4 +148,5 @@ def state_check(states: DataFrame) -> DataFrame:
         F.coalesce(F.col("epoch") >= 0, F.lit(False)).alias("epoch_ok"),
         F.coalesce(F.col("step") >= 0, F.lit(False)).alias("step_ok"),
         F.coalesce(F.col("step") == checkpoint_step(F.col("name")), F.lit(False)).alias("name_ok"),
+        F.coalesce(F.col("optimizer"), F.lit(False)).alias("optimizer_ok"),
     )

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sftlake.functions import text as tx
-from sftlake.functions.once import computed, holds
+from sftlake.functions.once import bind, computed, holds
 from sftlake.operators.ordering import quota_cutoff
 
 SFT_FIELDS = ("prompt", "response", "solution", "difficulty", "source")
@@ -32,6 +32,17 @@ def _fits(text: Column, min_len: int, max_len: int, count: Counter) -> Column:
     return holds(count(text), lambda n: n.between(min_len, max_len))
 
 
+def judged(df: DataFrame, min_len: int, max_len: int, count: Counter = tx.token_count) -> DataFrame:
+    """Add ``outcome`` and the formatted ``response`` (null without a solution), each computed once."""
+    def told(text: Column) -> Column:
+        kept = _fits(text, min_len, max_len, count)
+        return F.struct(F.when(kept, "kept").otherwise("length").alias("outcome"), text.alias("response"))
+
+    nothing = F.struct(F.lit("no_solution").alias("outcome"), F.lit(None).cast("string").alias("response"))
+    verdict = F.when(~has_solution(), nothing).otherwise(bind(response(), told))
+    return computed(df, _judged=verdict).select(*df.columns, "_judged.outcome", "_judged.response")
+
+
 def outcome(min_len: int, max_len: int, count: Counter = tx.token_count) -> Column:
     """What curation does with a raw row: ``no_solution``, ``length`` or ``kept``."""
     return (
@@ -68,9 +79,10 @@ def build_sft_record(df: DataFrame) -> DataFrame:
     )
 
 
-def project_sft_fields(df: DataFrame) -> DataFrame:
-    """Exactly the five SFT fields; a column the input lacks is null."""
+def project_sft_fields(df: DataFrame, order: str | None = None) -> DataFrame:
+    """Exactly the five SFT fields, after ``order`` if one is named; a column the input lacks is null."""
     return df.select(
+        *([] if order is None else [order]),
         *(F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in SFT_FIELDS)
     )
 
@@ -87,7 +99,7 @@ def take_quota(df: DataFrame, order: str, n: int, wanted: Column | None = None)
     """The first ``n`` rows (that meet ``wanted``) in source order.
 
     Found as a cut-off position and applied as a range filter that reaches the scan, so
-    a quota of millions costs no sort and no single task.
+    a quota of millions costs no sort and no single task. Equal positions at the cut-off are an error.
     """
     keep = F.lit(True) if wanted is None else wanted
     cutoff = quota_cutoff(df, order, keep, n)

@@ -64,8 +64,11 @@ def _share(part: Column, whole: Column) -> Column:
     return F.coalesce(F.try_divide(F.lit(100.0) * part, whole.cast("double")), F.lit(0.0))
 
 
-def eval_summary(results: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Counts and percentages of a graded set. The pass rate ignores rows without verdict."""
+def eval_summary(results: DataFrame, by: Sequence[str] = (), max_new_tokens: int | None = None) -> DataFrame:
+    """Counts and percentages of a graded set. The pass rate ignores rows without verdict.
+
+    With ``max_new_tokens`` it also tells how many outputs stopped before that cap.
+    """
     n = F.col("n")
     counted = results.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"),
@@ -76,6 +79,7 @@ def eval_summary(results: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         F.count_if(F.col("code_src") == "markdown").alias("via_markdown"),
         F.count("exec_pass").alias("executed"),
         F.count_if("exec_pass").alias("passed"),
+        *([] if max_new_tokens is None else [F.count_if(F.col("tokens") < max_new_tokens).alias("stopped")]),
         F.sum("elapsed").alias("_elapsed"),
         F.sum("tokens").alias("_tokens"),
     )
@@ -87,15 +91,17 @@ def eval_summary(results: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         F.try_divide(F.lit(100.0) * F.col("passed"), F.col("executed").cast("double")).alias("pass_pct"),
         F.try_divide(F.col("_elapsed").cast("double"), n).alias("avg_elapsed"),
         F.try_divide(F.col("_tokens").cast("double"), n).alias("avg_tokens"),
+        *([] if max_new_tokens is None else ["stopped", _share(F.col("stopped"), n).alias("stop_pct")]),
     )
 
 
-COMPARED = ("format_pct", "think_pct", "answer_pct", "pass_pct", "avg_tokens")
+COMPARED = ("stop_pct", "format_pct", "think_pct", "answer_pct", "pass_pct", "avg_tokens")
 
 
 def compare_evals(summaries: DataFrame, base: str, tuned: str) -> DataFrame:
     """Metrics of two models side by side, from summaries keyed by ``model``."""
-    long = summaries.unpivot(["model"], list(COMPARED), "metric", "value")
+    metrics = [m for m in COMPARED if m in summaries.columns]
+    long = summaries.unpivot(["model"], metrics, "metric", "value")
     return long.groupBy("metric").pivot("model", [base, tuned]).agg(F.first("value")).select(
         "metric", F.col(f"`{base}`").alias("base"), F.col(f"`{tuned}`").alias("tuned"),
         (F.col(f"`{tuned}`") - F.col(f"`{base}`")).alias("delta"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
@@ -31,19 +33,18 @@ def render_turns(turns: DataFrame) -> DataFrame:
     return turns.select("conv_id", "turn", _block().alias("block")).unionByName(opening)
 
 
-def render_conversation(turns: DataFrame, part_turns: int = 4096) -> DataFrame:
-    """The whole text of each conversation, in parts of ``part_turns`` turns.
+def render_conversation(turns: DataFrame) -> DataFrame:
+    """The whole text of each conversation, one row each.
 
-    A conversation of fewer turns is one row (part 0). A longer one is continued in the
-    next part, so that a group never holds more than ``part_turns`` blocks.
+    Blocks are joined per 1,024 turn numbers first, then these parts in order, so no group holds more
+    than parts until the row that is the result. `render_turns` suits conversations without bound.
     """
-    message = F.struct("turn", "block")
-    blocks = F.array_sort(F.collect_list(message)).getField("block")
-    return (
-        render_turns(turns)
-        .groupBy("conv_id", int_div(F.col("turn"), part_turns).alias("part"))
-        .agg(F.array_join(blocks, "").alias("text"))
-    )
+    def joined(order: str, text: str) -> Column:
+        return F.array_join(F.array_sort(F.collect_list(F.struct(order, text))).getField(text), "").alias(text)
+
+    part = int_div(F.col("turn"), 1024).alias("part")
+    parts = render_turns(turns).withColumnRenamed("block", "text").groupBy("conv_id", part).agg(joined("turn", "text"))
+    return parts.groupBy("conv_id").agg(joined("part", "text"))
 
 
 def conversation_tokens(turns: DataFrame) -> DataFrame:
@@ -57,22 +58,31 @@ def conversation_tokens(turns: DataFrame) -> DataFrame:
 
 
 def encode_tokens(
-    df: DataFrame, vocab: DataFrame, tokens: str, ids: str = "input_ids", unknown_id: int = 0,
-    key: str | None = None, max_vocab: int = 1_000_000,
+    df: DataFrame, vocab: DataFrame, tokens: str, key: str, ids: str = "input_ids", unknown_id: int = 0
 ) -> DataFrame:
     """Replace a token array by ids of a vocabulary ``(token, id)``; rows keep their place.
 
-    A vocabulary of at most ``max_vocab`` entries travels to the tasks, where whole
-    Arrow batches are looked up at once and nothing is shuffled. A larger one is joined,
-    which needs a unique ``key`` to put the rows together again.
+    The vocabulary is joined, whatever its size; of a token's several ids the smallest counts.
+    ``key`` must be unique. Tokens that most rows hold are split by the adaptive skew join.
+    """
+    table = vocab.groupBy("token").agg(F.min("id").cast("int").alias("id"))
+    words = df.select(key, F.posexplode(tokens).alias("_pos", "token"))
+    code = F.coalesce(F.col("id"), F.lit(unknown_id)).cast("int")
+    coded = words.join(table, "token", "left").groupBy(key).agg(
+        F.array_sort(F.collect_list(F.struct("_pos", code.alias("id")))).getField("id").alias(ids)
+    )
+    empty = F.when(F.col(tokens).isNotNull(), F.array().cast("array<int>"))
+    return df.join(coded, key, "left").withColumn(ids, F.coalesce(F.col(ids), empty))
+
+
+def encode_tokens_in_memory(
+    df: DataFrame, vocab: Mapping[str, int], tokens: str, ids: str = "input_ids", unknown_id: int = 0
+) -> DataFrame:
+    """`encode_tokens` with a vocabulary that the caller holds, as a tokenizer does.
+
+    It travels to the tasks, where whole Arrow batches are looked up; nothing is shuffled or joined.
     """
-    table = vocab.select("token", F.col("id").cast("int").alias("id")).limit(max_vocab + 1).toArrow()
-    if table.num_rows > max_vocab:
-        if key is None:
-            raise ValueError("a vocabulary this large needs a unique key column")
-        return _encode_by_join(df, vocab, tokens, ids, unknown_id, key)
-    known = table.column("token").combine_chunks()
-    codes = table.column("id").combine_chunks()
+    known, codes = pa.array(list(vocab), pa.string()), pa.array(list(vocab.values()), pa.int32())
 
     @F.arrow_udf("array<int>")
     def lookup(batch: pa.Array) -> pa.Array:
@@ -84,18 +94,6 @@ def encode_tokens(
     return df.withColumn(ids, lookup(F.col(tokens)))
 
 
-def _encode_by_join(
-    df: DataFrame, vocab: DataFrame, tokens: str, ids: str, unknown_id: int, key: str
-) -> DataFrame:
-    words = df.select(key, F.posexplode(tokens).alias("_pos", "token"))
-    code = F.coalesce(F.col("id"), F.lit(unknown_id)).cast("int")
-    coded = words.join(vocab, "token", "left").groupBy(key).agg(
-        F.array_sort(F.collect_list(F.struct("_pos", code.alias("id")))).getField("id").alias(ids)
-    )
-    empty = F.when(F.col(tokens).isNotNull(), F.array().cast("array<int>"))
-    return df.join(coded, key, "left").withColumn(ids, F.coalesce(F.col(ids), empty))
-
-
 def example_text(df: DataFrame, system: str, eos: str = EOS) -> DataFrame:
     """Add ``rendered`` (the prompt in chat layout) and ``full_text`` (with answer and EOS)."""
     return df.withColumn("rendered", tx.render_chat(F.col("prompt"), system)).withColumn(
@@ -129,9 +127,13 @@ def build_example(
 
 
 def tokenised_examples(
-    df: DataFrame, vocab: DataFrame, system: str, eos: str, max_length: int, unknown_id: int = 0
+    df: DataFrame, vocab: DataFrame | Mapping[str, int], system: str, eos: str, max_length: int, unknown_id: int = 0,
+    key: str = "ord",
 ) -> DataFrame:
-    """SFT records to examples: render, tokenise natively, encode, truncate and mask."""
+    """SFT records to examples: render, tokenise natively, encode, truncate and mask.
+
+    A vocabulary table is joined (``key`` must be unique then), one that the caller holds travels along.
+    """
     answer = F.concat(F.coalesce("response", F.lit("")), F.lit(eos))
     # No token reaches over the end of the rendered prompt: it ends in a newline, which only
     # a control token could contain, and that would have to contain the one before it.
@@ -144,8 +146,23 @@ def tokenised_examples(
         F.slice(F.concat("_prompt", "_answer"), 1, max_length).alias("_tokens"),
         F.size("_prompt").alias("prompt_len"),
     )
-    coded = encode_tokens(pieces, vocab, "_tokens", "full_ids", unknown_id)
-    return build_example(coded.drop("_tokens"), max_length)
+    if isinstance(vocab, DataFrame):
+        short = encode_tokens(pieces.select(key, "_tokens"), vocab, "_tokens", key, "full_ids", unknown_id)
+        coded = pieces.drop("_tokens").join(short.drop("_tokens"), key)
+    else:
+        coded = encode_tokens_in_memory(pieces, vocab, "_tokens", "full_ids", unknown_id).drop("_tokens")
+    return build_example(coded, max_length)
+
+
+def plugged_examples(
+    df: DataFrame, encode: Callable[[Column], Column], system: str, eos: str, max_length: int
+) -> DataFrame:
+    """`tokenised_examples` with any tokenizer, as a column function ``text -> array<int>``
+    (`with_tokenizer` makes one). Whole text and prompt are encoded separately, since a
+    trained tokenizer may merge across their boundary; only the prompt's length is used."""
+    texts = example_text(df, system, eos)
+    coded = texts.select(*df.columns, encode(F.col("full_text")).alias("full_ids"), encode(F.col("rendered")).alias("_prompt"))
+    return build_example(coded.withColumn("prompt_len", F.size("_prompt")).drop("_prompt"), max_length)
 
 
 def ends_with(eos_id: int, ids: str = "input_ids") -> Column:

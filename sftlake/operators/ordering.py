@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+#: Buckets of an order by an integer column.
+POSITION_BUCKETS = 1 << 10
 #: Upper bound on the buckets of a global order: 16**4 prefixes of a digest.
 MAX_BUCKETS = 1 << 16
 DIGEST_DIGITS = 4
@@ -39,6 +41,22 @@ def digest_bucket(key: Column) -> Column:
     return F.substring(key, 1, DIGEST_DIGITS)
 
 
+def required(column: str) -> Column:
+    """The column, or an error where it is null: a row without a place cannot be ordered."""
+    return F.when(F.col(column).isNotNull(), F.col(column)).otherwise(
+        F.raise_error(F.lit(f"{column} is null: it has no place in the order"))
+    )
+
+
+def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on equal keys, null being equal to null; the keys are kept once."""
+    named = right.select(*(F.col(k).alias(f"_right_{i}") for i, k in enumerate(keys)), *(c for c in right.columns if c not in keys))
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_right_{i}"))
+    return left.join(named, same, how).drop(*(f"_right_{i}" for i in range(len(keys))))
+
+
 def _part(kind: str, column: str, order: str) -> Column:
     """One block's share of a running value; within a block only ``last`` depends on order."""
     if kind == "last":
@@ -61,10 +79,10 @@ def running(
     of ``block`` consecutive values: blocks are reduced first (with map-side combine),
     their prefix is taken over one row per block, and only the last step sorts rows,
     within one block of one key. So a key of any size is spread over many tasks.
-    ``by`` and ``order`` must not be null, and ``order`` unique within ``by``.
+    ``order`` must be unique within ``by``; a null one is an error. A null in ``by`` is a key like any other.
     """
     by = list(by)
-    rows = df.withColumn("_block", int_div(F.col(order), block))
+    rows = df.withColumn("_block", int_div(required(order), block))
     for name, (_, column) in values.items():
         rows = rows.withColumn(f"_in_{name}", column)
     per_block = rows.groupBy(*by, "_block").agg(
@@ -77,7 +95,7 @@ def running(
           for name, (kind, _) in values.items()),
     )
     inside = W.partitionBy(*by, "_block").orderBy(order)
-    out = rows.join(before, [*by, "_block"])
+    out = null_safe(rows, before, [*by, "_block"])
     for name, (kind, _) in values.items():
         frame = inside.rowsBetween(W.unboundedPreceding, -1 if name in exclusive else W.currentRow)
         local, prior = _REDUCE[kind](f"_in_{name}").over(frame), F.col(f"_before_{name}")
@@ -105,35 +123,25 @@ def number_by_digest(df: DataFrame, key: Column, tie: str) -> DataFrame:
 def number_by_position(df: DataFrame, order: str) -> DataFrame:
     """Number all rows from 0 in the order of an integer column: adds ``_rn`` and ``_total``.
 
-    Buckets are equal ranges of the column, and each of them is cut again in proportion
-    to its rows, so gaps and clusters in the column do not pile up in one bucket. There
-    are at most ``2 * MAX_BUCKETS`` of them. The column must not be null.
+    Buckets lie between quantiles of the column, so gaps and clusters in it do not pile up in
+    one bucket. There are at most ``POSITION_BUCKETS`` of them, each with about as many rows. Equal values share a
+    bucket, so the column should be nearly unique; a null is an error.
     """
-    span = df.agg(
-        F.struct(
-            F.min(order).alias("lo"),
-            (int_div(F.max(order) - F.min(order), MAX_BUCKETS) + F.lit(1)).alias("width"),
-            F.count(F.lit(1)).alias("n"),
-        ).alias("span")
-    ).scalar()
-    coarse = df.withColumn("_span", span).withColumn(
-        "_coarse", int_div(F.col(order) - F.col("_span.lo"), F.col("_span.width"))
+    rows = df.withColumn("_at", required(order))
+    shares = [i / POSITION_BUCKETS for i in range(1, POSITION_BUCKETS)]
+    bounds = rows.agg(
+        F.array_sort(F.array_distinct(F.coalesce(
+            F.percentile_approx("_at", shares, 20 * POSITION_BUCKETS), F.array().cast("array<bigint>")
+        )))
+    ).first()[0]
+    # How many bounds lie below a position: looked up among every 32nd of them, then among the 32 that follow.
+    every = F.lit(bounds[31::32]).cast("array<bigint>")
+    coarse = F.size(F.filter(every, lambda b: b < F.col("_at")))
+    fine = F.slice(F.lit(bounds).cast("array<bigint>"), F.col("_coarse") * 32 + 1, 32)
+    placed = rows.withColumn("_coarse", coarse).withColumn(
+        "_bucket", F.col("_coarse") * 32 + F.size(F.filter(fine, lambda b: b < F.col("_at")))
     )
-    ranges = coarse.groupBy("_coarse").agg(
-        F.min(order).alias("_lo"),
-        (
-            int_div(
-                F.max(order) - F.min(order),
-                F.ceil(F.count(F.lit(1)) * F.lit(float(MAX_BUCKETS)) / F.first("_span.n")),
-            ) + F.lit(1)
-        ).alias("_width"),
-    )
-    rows = (
-        coarse.join(F.broadcast(ranges), "_coarse")
-        .withColumn("_fine", int_div(F.col(order) - F.col("_lo"), F.col("_width")))
-        .drop("_span", "_lo", "_width")
-    )
-    return _number(rows, ["_coarse", "_fine"], [order])
+    return _number(placed, ["_bucket"], ["_at"]).drop("_at", "_coarse", "_bucket")
 
 
 def _number(rows: DataFrame, bucket: list[str], order: list[str]) -> DataFrame:
@@ -159,7 +167,12 @@ def quota_cutoff(df: DataFrame, order: str, wanted: Column, n: int, parts: int =
     windows that grow eightfold, so the expensive predicate is evaluated on about the
     part of the data that fills the quota, not on all of it. Each probe brings back at
     most ``parts`` counts; the window that holds the answer is cut finer until it is one
-    position wide. ``order`` must be unique.
+    position wide. Rows without a position come after all others. Equal positions at the cut-off are an error,
+    as "the first n rows" then says nothing.
+
+    The probes run when this is called. Where the input is not stored in the order of the column, no
+    row group can be skipped and each probe reads all of it; for a small ``n``, ``df.where(wanted).orderBy(order).limit(n)``
+    is then the cheaper plan.
     """
     if n <= 0:
         raise ValueError("the quota must be positive")
@@ -184,6 +197,8 @@ def quota_cutoff(df: DataFrame, order: str, wanted: Column, n: int, parts: int =
             continue
         start = start + row["part"] * width
         if width == 1:
+            if row["count"] > n:
+                raise ValueError(f"{order} is not unique at the cut-off {start}: give an order without ties")
             return start
         last = min(start + width - 1, end)
         reach = width

@@ -12,13 +12,16 @@ PERCENTILES = (25, 50, 75, 90, 95, 99)
 
 
 def dataset_preview(df: DataFrame, order: str = "ord", width: int = 100) -> DataFrame:
-    """Row count, field names and the start of the first prompt and response."""
-    keys = [c for c in df.columns if c != order]
+    """Row count, the first record's fields and the start of its prompt and response.
+
+    A field that the record lacks reads as null, so fields without a value are not listed.
+    """
+    held = F.concat_ws(",", *(F.when(F.col(c).isNotNull(), F.lit(c)) for c in df.columns if c != order))
     return df.select(
-        order, F.left("prompt", F.lit(width)).alias("prompt"), F.left("response", F.lit(width)).alias("response")
+        order, held.alias("keys"), F.left("prompt", F.lit(width)).alias("prompt"), F.left("response", F.lit(width)).alias("response")
     ).agg(
         F.count(F.lit(1)).alias("examples"),
-        F.lit(",".join(keys)).alias("keys"),
+        F.min_by("keys", order).alias("keys"),
         F.min_by("prompt", order).alias("prompt"),
         F.min_by("response", order).alias("response"),
     )

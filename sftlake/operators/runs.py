@@ -53,7 +53,7 @@ def optimizer_steps(batches: DataFrame, accum: int) -> DataFrame:
     Loss is that of the first worker, tokens those of all; entropy, accuracy and gradient
     norm come from the step's last micro-batch on the first worker. Batches are read and
     shuffled once, reduced by ``accum`` times the number of workers; steps of earlier
-    epochs and the start of an epoch are taken from the reduced rows.
+    epochs and the start of an epoch are window values over the reduced rows of a run.
     """
     first = F.col("rank") == 0
     last = F.when(first, F.col("idx"))
@@ -68,14 +68,15 @@ def optimizer_steps(batches: DataFrame, accum: int) -> DataFrame:
         *(F.max_by(F.when(first, F.col(c)), last).alias(c) for c in _LAST if c in batches.columns),
         *(F.max(c).alias(c) for c in _PEAK if c in batches.columns),
     )
-    earlier = W.partitionBy("run_id").orderBy("epoch").rowsBetween(W.unboundedPreceding, -1)
-    epochs = steps.groupBy("run_id", "epoch").agg(
-        F.max("_step").alias("_steps"), F.min("start_us").alias("epoch_start_us")
-    ).select(
-        "run_id", "epoch", "epoch_start_us", F.coalesce(F.sum("_steps").over(earlier), F.lit(0)).alias("_before")
-    )
-    return steps.join(epochs, ["run_id", "epoch"]).withColumn("step", F.col("_before") + F.col("_step")).drop(
-        "_step", "_before", "start_us"
+    inside = W.partitionBy("run_id", "epoch")
+    # The steps of an epoch count once, at its last step.
+    added = F.when(F.col("_step") == F.col("_last"), F.col("_step"))
+    earlier = W.partitionBy("run_id").orderBy("epoch").rangeBetween(W.unboundedPreceding, -1)
+    return (
+        steps.withColumn("_last", F.max("_step").over(inside))
+        .withColumn("epoch_start_us", F.min("start_us").over(inside))
+        .withColumn("step", F.coalesce(F.sum(added).over(earlier), F.lit(0)) + F.col("_step"))
+        .drop("_step", "_last", "start_us")
     )
 
 
@@ -93,7 +94,7 @@ def _windows(batches: DataFrame, accum: int, every: int) -> DataFrame:
     """One row per log step: totals since the previous log of the epoch, and its rates.
 
     Steps after the last log step of an epoch belong to no window. The previous log and
-    the loss since the start of the epoch are running values over these few rows.
+    the loss since the start of the epoch are window values over these few rows of an epoch.
     """
     steps = optimizer_steps(batches, accum)
     at = F.col("step")
@@ -107,13 +108,11 @@ def _windows(batches: DataFrame, accum: int, every: int) -> DataFrame:
         *(F.max_by(c, F.when(F.col(c).isNotNull(), at)).alias(c) for c in _LAST if c in steps.columns),
         *(F.max(c).alias(c) for c in _PEAK if c in steps.columns),
     ).where(F.pmod(F.col("step"), F.lit(every)) == 0)
-    timed = running(
-        windows, ["run_id", "epoch"], "window",
-        {
-            "_prev_us": ("last", F.col("end_us")),
-            "_loss": ("sum", F.col("loss_sum")), "_n": ("sum", F.col("batches")),
-        },
-        exclusive=["_prev_us"],
+    order = W.partitionBy("run_id", "epoch").orderBy("window")
+    timed = (
+        windows.withColumn("_prev_us", F.lag("end_us").over(order))
+        .withColumn("_loss", F.sum("loss_sum").over(order.rowsBetween(W.unboundedPreceding, W.currentRow)))
+        .withColumn("_n", F.sum("batches").over(order.rowsBetween(W.unboundedPreceding, W.currentRow)))
     )
     seconds = (F.col("end_us") - F.coalesce("_prev_us", "epoch_start_us")) / F.lit(1e6)
     return (
@@ -162,22 +161,24 @@ def _mean(column: str) -> Column:
 
 
 def validation_summary(batches: DataFrame, max_batches: int = 0) -> DataFrame:
-    """Validation metrics: mean over a worker's batches, then plain mean over workers.
+    """Metrics of each validation pass: mean over a worker's batches, then plain mean over workers.
 
-    ``max_batches`` > 0 uses each worker's first batches only. This stays two
-    aggregations: a worker with few batches weighs as much as one with many.
+    A pass is named by its optimizer ``step``; an epoch may hold several. ``max_batches`` > 0 uses each
+    worker's first batches of a pass in mid-epoch (``mid`` true), the pass that ends an epoch is never
+    cut. This stays two aggregations: a worker with few batches weighs as much as one with many.
     """
-    rows = batches if not max_batches else batches.where(F.col("idx") < F.lit(max_batches))
-    per_rank = rows.groupBy("run_id", "epoch", "rank").agg(
+    whole = ~F.coalesce(F.col("mid"), F.lit(False))
+    rows = batches if not max_batches else batches.where(whole | (F.col("idx") < F.lit(max_batches)))
+    per_rank = rows.groupBy("run_id", "epoch", "step", "rank").agg(
         _mean("loss").alias("loss"), _mean("entropy").alias("entropy"),
         _mean("token_acc").alias("token_acc"), F.count(F.lit(1)).alias("n"),
     )
-    return per_rank.groupBy("run_id", "epoch").agg(
+    return per_rank.groupBy("run_id", "epoch", "step").agg(
         F.avg("loss").alias("loss"), F.avg("entropy").alias("entropy"),
         F.avg("token_acc").alias("token_acc"),
         F.max("n").alias("n_batches"),
     ).select(
-        "run_id", "epoch", "loss", F.col("loss").alias("nll"),
+        "run_id", "epoch", "step", "loss", F.col("loss").alias("nll"),
         perplexity(F.col("loss")).alias("perplexity"), "entropy", "token_acc", "n_batches",
     )
 

@@ -95,28 +95,30 @@ def _(spark, sf):
 
 
 @query("read_run_history", with_inputs(
-    "SELECT run_id, _step, _runtime, (_step % 3 + 1)::INTEGER AS epoch, train_loss, train_lr * 1e5 AS train_lr_e5, val_loss FROM history"
-    .replace("train_lr * 1e5", "round(train_lr * 1e5, 6)"), "history"))
+    """SELECT run_id, _step, _runtime, _step * 0.5::DOUBLE AS _timestamp, (_step % 3 + 1)::INTEGER AS epoch, train_loss, round(train_lr * 1e5, 6) AS train_lr_e5,
+    train_loss / 2 AS train_entropy, CASE WHEN _step % 5 <> 0 THEN train_loss / 4 END AS train_grad_norm, val_loss, val_loss / 8 AS val_entropy FROM history""", "history"))
 def _(spark, sf):
     # One JSON array per file, as a tracker exports it; a file holds at most 10,000 steps.
     path = shared_dir(spark, "history")
     row = F.struct(
         "_step", "_runtime", (F.col("_step") % 3 + 1).alias("epoch"), F.col("train_loss").alias("train/loss"),
         F.col("train_lr").alias("train/lr"), F.col("val_loss").alias("val/loss"),
+        (F.col("_step") * F.lit(0.5)).alias("_timestamp"), (F.col("train_loss") / 2).alias("train/entropy"),
+        F.when(F.col("_step") % 5 != 0, F.col("train_loss") / 4).alias("train/grad_norm"), (F.col("val_loss") / 8).alias("val/entropy"),
     )
     part = F.floor(F.col("_step") / 10000).alias("part")
     files = inp.history(spark, sf).groupBy("run_id", part).agg(F.to_json(F.collect_list(row)).alias("value"))
     (files.drop("part").write.option("maxRecordsPerFile", 1).partitionBy("run_id").text(path))
     history = io.read_run_history(spark, f"{path}/run_id=*/", run_pattern=r"run_id=([^/]+)/")
     return history.select(
-        "run_id", "_step", "_runtime", "epoch", "train_loss", F.round(sd.lr_e5(F.col("train_lr")), 6).alias("train_lr_e5"),
-        "val_loss",
+        "run_id", "_step", "_runtime", "_timestamp", "epoch", "train_loss", F.round(sd.lr_e5(F.col("train_lr")), 6).alias("train_lr_e5"),
+        "train_entropy", "train_grad_norm", "val_loss", "val_entropy",
     )
 
 
 @query("write_sft_jsonl", with_inputs("SELECT prompt, response, solution, difficulty, source FROM curated", "curated"))
 def _(spark, sf):
-    path = io.quota_path(shared_dir(spark, "curated"), MAX_LEN, 10_000)
+    path = shared_dir(spark, "curated")
     io.write_sft_jsonl(cu.project_sft_fields(_curated(spark, sf)), path)
     return io.read_sft_jsonl(spark, path)
 
@@ -125,7 +127,7 @@ def _(spark, sf):
     """SELECT count(*) AS checked, count(*) FILTER (outcome = 'kept') AS kept,
     count(*) FILTER (outcome = 'no_solution') AS skipped_no_solution, count(*) FILTER (outcome = 'length') AS skipped_length FROM judged""", "judged"))
 def _(spark, sf):
-    raw = computed(inp.raw_corpus(spark, sf), outcome=cu.outcome(MIN_LEN, MAX_LEN))
+    raw = cu.judged(inp.raw_corpus(spark, sf), MIN_LEN, MAX_LEN)
     counters = {
         "checked": F.count(F.lit(1)),
         "kept": F.count_if(F.col("outcome") == "kept"),
@@ -134,7 +136,7 @@ def _(spark, sf):
     }
     seen = io.write_observed(
         raw, shared_dir(spark, "observed"), counters,
-        lambda df: cu.build_sft_record(cu.with_response(df.where("outcome = 'kept'"))),
+        lambda df: cu.build_sft_record(df.where("outcome = 'kept'")),
     )
     return spark.createDataFrame([tuple(seen.values())], ", ".join(f"{name} bigint" for name in seen))
 
@@ -236,10 +238,9 @@ def _(spark, sf):
 # -- text functions --------------------------------------------------------------------
 
 
-@query("extract_think", with_inputs("SELECT ord, think FROM think WHERE output IS NOT NULL", "think"))
+@query("extract_think", with_inputs("SELECT ord, think FROM think", "think"))
 def _(spark, sf):
-    raw = inp.raw_corpus(spark, sf).where("output is not null")
-    return raw.select("ord", tx.extract_think(F.col("output")).alias("think"))
+    return inp.raw_corpus(spark, sf).select("ord", tx.extract_think(F.col("output")).alias("think"))
 
 
 @query("format_response", with_inputs(f"SELECT ord, response FROM resp WHERE {_HAS_SOLUTION}", "resp"))
@@ -261,8 +262,8 @@ def _(spark, sf):
     return ex.render_turns(inp.table(spark, sf, "conversations"))
 
 
-@query("render_conversation", f"""SELECT conv_id, turn // 4096 AS part, string_agg(block, '' ORDER BY turn) AS text
-    FROM ({_BLOCKS}) GROUP BY ALL""")
+@query("render_conversation", f"""SELECT conv_id, string_agg(block, '' ORDER BY turn) AS text
+    FROM ({_BLOCKS}) GROUP BY conv_id""")
 def _(spark, sf):
     return ex.render_conversation(inp.table(spark, sf, "conversations"))
 
@@ -312,7 +313,7 @@ def _(spark, sf):
     return inp.checkpoints(spark, sf).select("name", sd.checkpoint_step(F.col("name")).alias("step"))
 
 
-@query("version_notes", """SELECT run, concat_ws(' | ', 'Fix-it SFT', strftime(day, '%Y-%m-%d'), 'run: ' || run,
+@query("version_notes", """SELECT run, concat_ws(' | ', 'Tuning run', strftime(day, '%Y-%m-%d'), 'run: ' || run,
     'final loss: ' || coalesce(printf('%.4f', loss), 'n/a')) AS note
     FROM (SELECT event_type || '-' || event_id AS run, ts AS day, CASE WHEN event_id % 5 <> 0 THEN value / 100 END AS loss FROM events)""")
 def _(spark, sf):
@@ -320,7 +321,7 @@ def _(spark, sf):
         F.concat_ws("-", "event_type", "event_id").alias("run"), F.col("ts").alias("day"),
         F.when(F.col("event_id") % 5 != 0, F.col("value") / F.lit(100.0)).alias("loss"),
     )
-    return ru.version_notes(runs, "Fix-it SFT")
+    return ru.version_notes(runs, "Tuning run")
 
 
 # -- numeric functions -----------------------------------------------------------------
@@ -424,7 +425,31 @@ def _(spark, sf):
     rows = ex.example_text(inp.sft_records(spark, sf), inp.SYSTEM).select(
         "ord", tx.tokens(F.col("full_text"), ex.SPECIAL_TOKENS).alias("tokens")
     )
-    return ex.encode_tokens(rows, inp.vocabulary(spark, sf), "tokens").select("ord", _joined("input_ids"))
+    return ex.encode_tokens(rows, inp.vocabulary(spark, sf), "tokens", "ord").select("ord", _joined("input_ids"))
+
+
+@query("encode_tokens_in_memory", with_inputs("SELECT ord, array_to_string(full_ids, ' ') AS input_ids FROM coded", "coded"))
+def _(spark, sf):
+    rows = ex.example_text(inp.sft_records(spark, sf), inp.SYSTEM).select(
+        "ord", tx.tokens(F.col("full_text"), ex.SPECIAL_TOKENS).alias("tokens")
+    )
+    vocab = dict(map(tuple, inp.vocabulary(spark, sf).collect()))
+    return ex.encode_tokens_in_memory(rows, vocab, "tokens").select("ord", _joined("input_ids"))
+
+
+@query("plugged_examples", with_inputs("""SELECT ord, array_to_string(ids[1:400], ' ') AS input_ids,
+    array_to_string(list_transform(ids[1:400], lambda x, i: CASE WHEN i <= prompt_len THEN -100 ELSE x END), ' ') AS labels
+    FROM (SELECT ord, octet_length(encode(rendered)) AS prompt_len, list_transform(
+      string_split(regexp_replace(hex(encode(rendered || response || '<|im_end|>')), '(..)', '\\1 ', 'g'), ' ')[:-2],
+      lambda h: ('0x' || h)::INTEGER) AS ids FROM pieces)""", "pieces"))
+def _(spark, sf):
+    def byte_tokenizer():
+        return lambda texts: [text.encode() for text in texts]
+
+    rows = inp.sft_records(spark, sf).select("ord", "prompt", "response")
+    return ex.plugged_examples(rows, with_tokenizer(byte_tokenizer), inp.SYSTEM, ex.EOS, 400).select(
+        "ord", _joined("input_ids"), _joined("labels")
+    )
 
 
 _SHOWN = ("input_ids", "labels", "attention_mask")
@@ -489,14 +514,15 @@ def _(spark, sf):
     return ex.drop_report(_examples(spark, sf), inp.EOS_ID)
 
 
-@query("with_tokenizer", "SELECT doc_id, octet_length(encode(text))::INTEGER AS tokens, ord(text[1]) < 128 AS ascii_start FROM documents")
+@query("with_tokenizer", "SELECT doc_id, octet_length(encode(text))::INTEGER AS tokens, md5(lower(hex(encode(text)))) AS ids_md5 FROM documents")
 def _(spark, sf):
     def byte_tokenizer():
         return lambda texts: [text.encode() for text in texts]
 
     ids = with_tokenizer(byte_tokenizer)(F.col("text"))
+    digits = F.transform("ids", lambda i: F.lpad(F.lower(F.hex(i)), 2, "0"))
     return inp.table(spark, sf, "documents").select("doc_id", ids.alias("ids")).select(
-        "doc_id", F.size("ids").alias("tokens"), (F.col("ids")[0] < 128).alias("ascii_start")
+        "doc_id", F.size("ids").alias("tokens"), F.md5(F.array_join(digits, "")).alias("ids_md5")
     )
 
 
@@ -676,21 +702,21 @@ def _(spark, sf):
     ))
 
 
-_VAL_SQL = """SELECT run_id, epoch, loss, loss AS nll, round(exp(least(loss, 20)), 6) AS perplexity, entropy, token_acc, n_batches FROM (
-    SELECT run_id, epoch, sum(loss) / count(*) AS loss, sum(entropy) / count(*) AS entropy, sum(token_acc) / count(*) AS token_acc, max(n) AS n_batches FROM (
-      SELECT run_id, epoch, rank, sum(loss)::DOUBLE / count(*) AS loss, sum((user_id * 0.01)::DECIMAL(14,2))::DOUBLE / count(*) AS entropy,
+_VAL_SQL = """SELECT run_id, epoch, step, loss, loss AS nll, round(exp(least(loss, 20)), 6) AS perplexity, entropy, token_acc, n_batches FROM (
+    SELECT run_id, epoch, step, sum(loss) / count(*) AS loss, sum(entropy) / count(*) AS entropy, sum(token_acc) / count(*) AS token_acc, max(n) AS n_batches FROM (
+      SELECT run_id, epoch, step, rank, sum(loss)::DOUBLE / count(*) AS loss, sum((user_id * 0.01)::DECIMAL(14,2))::DOUBLE / count(*) AS entropy,
         sum(((event_id % 100) * 0.01)::DECIMAL(14,2))::DOUBLE / count(*) AS token_acc, count(*) AS n
-      FROM (SELECT *, row_number() OVER (PARTITION BY run_id, epoch, rank ORDER BY idx) AS rn FROM batches) {where} GROUP BY ALL) GROUP BY ALL)"""
+      FROM passes {where} GROUP BY ALL) GROUP BY ALL)"""
 
 
-@query("validation_summary", with_inputs(_VAL_SQL.format(where=""), "batches"))
+@query("validation_summary", with_inputs(_VAL_SQL.format(where=""), "passes"))
 def _(spark, sf):
-    return _rounded(ru.validation_summary(inp.batches(spark, sf)), "perplexity")
+    return _rounded(ru.validation_summary(inp.validation_batches(spark, sf)), "perplexity")
 
 
-@query("validation_summary_capped", with_inputs(_VAL_SQL.format(where="WHERE rn <= 30"), "batches"))
+@query("validation_summary_capped", with_inputs(_VAL_SQL.format(where="WHERE NOT mid OR idx < 30"), "passes"))
 def _(spark, sf):
-    return _rounded(ru.validation_summary(inp.batches(spark, sf), 30), "perplexity")
+    return _rounded(ru.validation_summary(inp.validation_batches(spark, sf), 30), "perplexity")
 
 
 @query("epoch_summary", with_inputs("""SELECT run_id, epoch, sum(loss) / count(*) AS train_loss FROM (
@@ -742,15 +768,15 @@ def _(spark, sf):
 # -- checkpoints -----------------------------------------------------------------------
 
 
-@query("best_checkpoint", with_inputs("""SELECT run_id, step, name, val_loss, before IS NULL OR val_loss < before AS new_best,
-    row_number() OVER (PARTITION BY run_id ORDER BY val_loss, step) = 1 AS is_best FROM (
+@query("best_checkpoint", with_inputs("""SELECT run_id, step, name, val_loss, val_loss IS NOT NULL AND (before IS NULL OR val_loss < before) AS new_best,
+    val_loss IS NOT NULL AND row_number() OVER (PARTITION BY run_id ORDER BY val_loss NULLS LAST, step) = 1 AS is_best FROM (
     SELECT *, min(val_loss) OVER (PARTITION BY run_id ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before
     FROM ckpts WHERE kind = 'epoch')""", "ckpts"))
 def _(spark, sf):
     return ck.best_checkpoint(inp.checkpoints(spark, sf))
 
 
-_BEST_K = "row_number() OVER (PARTITION BY run_id, kind ORDER BY val_loss, epoch, step) <= 2"
+_BEST_K = "(val_loss IS NOT NULL AND row_number() OVER (PARTITION BY run_id, kind ORDER BY val_loss NULLS LAST, epoch, step) <= 2)"
 _NEWEST = "row_number() OVER (PARTITION BY run_id, kind ORDER BY step DESC) = 1"
 
 
@@ -765,9 +791,10 @@ def _(spark, sf):
 
 
 @query("retention_plan", with_inputs(f"""SELECT run_id, step, name, reason, reason <> 'superseded' AS keep FROM (SELECT *, CASE
-    WHEN kind = 'epoch' AND {_BEST_K} THEN 'best-k' WHEN kind = 'mid' AND {_NEWEST} THEN 'latest-mid' ELSE 'superseded' END AS reason FROM ckpts)""", "ckpts"))
+    WHEN kind = 'epoch' AND {_BEST_K} THEN 'best-k' WHEN kind = 'mid' AND {_NEWEST} THEN 'latest-mid'
+    WHEN elsewhere THEN 'outside-output-dir' ELSE 'superseded' END AS reason FROM ckpts)""", "ckpts"))
 def _(spark, sf):
-    return ck.retention_plan(inp.checkpoints(spark, sf), 2)
+    return ck.retention_plan(inp.checkpoints(spark, sf), 2, "/out")
 
 
 @query("latest_checkpoint", with_inputs("""SELECT run_id, name, epoch + 1 AS resume_epoch, step AS resume_step FROM ckpts
@@ -812,10 +839,10 @@ def _(spark, sf):
 
 
 @query("state_check", with_inputs("""SELECT name, step % 9 <> 0 AS present, true AS epoch_ok, step % 9 <> 0 AND step % 7 <> 0 AS step_ok,
-    step % 9 <> 0 AND step % 7 <> 0 AS name_ok FROM ckpts WHERE step > 0""", "ckpts"))
+    step % 9 <> 0 AND step % 7 <> 0 AS name_ok, optimizer AS optimizer_ok FROM ckpts""", "ckpts"))
 def _(spark, sf):
     step = F.when(F.col("step") % 9 != 0, F.when(F.col("step") % 7 == 0, -F.col("step")).otherwise(F.col("step")))
-    return ck.state_check(inp.checkpoints(spark, sf).where("step > 0").withColumn("step", step))
+    return ck.state_check(inp.checkpoints(spark, sf).withColumn("step", step))
 
 
 # -- evaluation ------------------------------------------------------------------------
@@ -839,17 +866,19 @@ _SUMMARY = """count(*) AS n, count(*) FILTER (format_ok) AS format_ok, count(*)
     count(*) FILTER (exec_pass) AS passed, 100.0::DOUBLE * count(*) FILTER (format_ok) / count(*) AS format_pct,
     100.0::DOUBLE * count(*) FILTER (has_think) / count(*) AS think_pct, 100.0::DOUBLE * count(*) FILTER (has_answer) / count(*) AS answer_pct,
     100.0::DOUBLE * count(*) FILTER (exec_pass) / nullif(count(exec_pass), 0) AS pass_pct,
-    (sum(elapsed_ms) * 0.001)::DOUBLE / count(*) AS avg_elapsed, sum(tokens)::DOUBLE / count(*) AS avg_tokens"""
+    (sum(elapsed_ms) * 0.001)::DOUBLE / count(*) AS avg_elapsed, sum(tokens)::DOUBLE / count(*) AS avg_tokens,
+    count(*) FILTER (tokens < 512) AS stopped, 100.0::DOUBLE * count(*) FILTER (tokens < 512) / count(*) AS stop_pct"""
+CAP = 512
 
 
 @query("eval_summary", with_inputs(f"SELECT {_SUMMARY} FROM graded", "graded"))
 def _(spark, sf):
-    return ev.eval_summary(_graded(spark, sf))
+    return ev.eval_summary(_graded(spark, sf), max_new_tokens=CAP)
 
 
 @query("eval_summary_by_task", with_inputs(f"SELECT name, {_SUMMARY} FROM graded GROUP BY name", "graded"))
 def _(spark, sf):
-    return ev.eval_summary(_graded(spark, sf), ["name"])
+    return ev.eval_summary(_graded(spark, sf), ["name"], CAP)
 
 
 @query("compare_evals", with_inputs(f""", sums AS (SELECT CASE WHEN doc_id % 2 = 0 THEN 'base' ELSE 'tuned' END AS model, {_SUMMARY} FROM graded GROUP BY ALL),
@@ -858,7 +887,7 @@ def _(spark, sf):
     any_value(value) FILTER (model = 'tuned') - any_value(value) FILTER (model = 'base') AS delta FROM long GROUP BY metric""", "graded").replace("\n,", ","))
 def _(spark, sf):
     graded = _graded(spark, sf).withColumn("model", F.when(F.col("doc_id") % 2 == 0, "base").otherwise("tuned"))
-    return ev.compare_evals(ev.eval_summary(graded, ["model"]), "base", "tuned")
+    return ev.compare_evals(ev.eval_summary(graded, ["model"], CAP), "base", "tuned")
 
 
 _LABELS = """CASE WHEN format_ok THEN 'OK' ELSE 'FAIL' END AS format, CASE WHEN has_think THEN 'Y' ELSE 'N' END AS think,

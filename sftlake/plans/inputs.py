@@ -16,16 +16,18 @@ from sftlake.functions.schedule import checkpoint_name, lr_cosine, wall_micros
 from sftlake.operators.checkpoints import REQUIRED_FILES
 from sftlake.operators.examples import SPECIAL_TOKENS
 from sftlake.operators.ordering import int_div
-from sftlake.sources.io import spread
 
 SYSTEM = "You fix code. Think first, then answer."
-WARMUP, TOTAL, PEAK = 50, 189, 2e-5
+WARMUP, TOTAL, PEAK = 50, 189, 2e-5  # fixed values: the published run's schedule, which the learning-rate audit looks for
 FILES = (*REQUIRED_FILES, "training_state.pt")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread(df, "doc_id") if name == "documents" else df
+    if name == "documents":
+        # The small fixtures are one row group, which one task would read and work on alone.
+        df = df.repartition(spark.sparkContext.defaultParallelism, "doc_id")
+    return df
 
 
 def cases(selector: Column, *values: Column | str | None) -> Column:
@@ -84,8 +86,9 @@ def model_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(think, F.lit("<answer>print(3)</answer></answer><|endoftext|>")),
     )
     shown = tasks.select(F.col("item_id").alias("_item"), F.col("text").alias("_task_text"))
+    items = tasks.agg(F.count(F.lit(1))).scalar()
     return (
-        computed(docs.withColumn("_item", doc % 40).join(shown, "_item"), output=output)
+        computed(docs.withColumn("_item", doc % items).join(shown, "_item"), output=output)
         .select(
             "doc_id", F.concat(F.lit("task"), "_item").alias("name"), "output",
             F.when(doc % 3 == 0, F.col("_task_text")).otherwise(text).alias("stdout"),
@@ -100,7 +103,7 @@ def model_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def eval_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "benchmark").select(
         F.concat(F.lit("task"), "item_id").alias("name"), F.col("text").alias("prompt"),
-        F.left("text", F.lit(12)).alias("expected_output"),
+        F.col("text").alias("expected_output"),
     )
 
 
@@ -113,7 +116,7 @@ def sft_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("response")
     )
     return asked.join(answered, ["conv_id", "turn"]).select(
-        (F.col("conv_id") * 100000 + F.col("turn")).alias("ord"), "prompt", "response",
+        (F.shiftleft("conv_id", 32) + F.col("turn")).alias("ord"), "prompt", "response",
         F.concat(F.lit("print("), "turn", F.lit(")")).alias("solution"),
         F.concat(F.lit("L"), F.col("turn") % 3).alias("difficulty"),
         F.concat(F.lit("c"), F.col("conv_id") % 5).alias("source"),
@@ -121,8 +124,10 @@ def sft_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Special tokens and the tokens of the benchmark, with ids from a digest."""
-    words = table(spark, sf_dir, "benchmark").select(F.explode(tx.tokens(F.col("text"))).alias("token")).distinct()
+    """Special tokens and the tokens of the benchmark and of every other conversation, with ids from a digest."""
+    said = table(spark, sf_dir, "conversations").where("conv_id % 2 = 0").select("text")
+    texts = table(spark, sf_dir, "benchmark").select("text").unionByName(said)
+    words = texts.select(F.explode(tx.tokens(F.col("text"))).alias("token")).distinct()
     code = F.conv(F.substring(F.md5("token"), 1, 5), 16, 10).cast("int") + F.lit(1000)
     fixed = spark.createDataFrame([(t, i + 1) for i, t in enumerate(SPECIAL_TOKENS)], "token string, id int")
     return words.select("token", code.alias("id")).unionByName(fixed)
@@ -136,7 +141,7 @@ def logits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "embeddings").select(
         int_div(vec, 10).alias("seq_id"), (vec % 10).cast("int").alias("pos"),
         F.when(vec % 10 < 3, F.lit(-100)).otherwise(F.col("label")).cast("int").alias("label"),
-        F.col("embedding").cast("array<double>").alias("logits"),
+        F.col("embedding").alias("logits"),
     )
 
 
@@ -178,14 +183,23 @@ def history(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def validation_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three validation passes an epoch, of 70, 70 and 60 batches per worker; the last one ends the epoch."""
+    rows = batches(spark, sf_dir)
+    at = int_div(F.col("idx"), 70)
+    return rows.withColumn("step", F.col("epoch") * 3 + at).withColumn("mid", at < 2).withColumn("idx", F.col("idx") % 70)
+
+
 def checkpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("o_orderkey")
     epoch = (key % 5).cast("int")
     return table(spark, sf_dir, "orders").select(
         (F.col("o_custkey") % 50).alias("run_id"), epoch.alias("epoch"), key.alias("step"),
         F.when(F.col("o_orderstatus") == "F", "mid").otherwise("epoch").alias("kind"),
-        (F.floor(F.col("o_totalprice") / F.lit(1000.0)) / F.lit(100.0)).alias("val_loss"),
+        F.when(key % 11 != 0, F.floor(F.col("o_totalprice") / F.lit(1000.0)) / F.lit(100.0)).alias("val_loss"),
         checkpoint_name(epoch, key).alias("name"),
+        F.concat(F.when(key % 13 == 0, "/elsewhere/").otherwise("/out/"), checkpoint_name(epoch, key)).alias("path"),
+        (key % 4 != 0).alias("optimizer"),
         F.col("o_orderdate").cast("date").alias("mtime"),
     )
 
@@ -252,7 +266,7 @@ SQL = {
     "curated": """curated AS (
   SELECT ord, coalesce(input, '') AS prompt, response, solution, difficulty, source FROM judged WHERE outcome = 'kept')""",
     "sft": """sft AS (
-  SELECT conv_id * 100000 + turn AS ord, text AS prompt, answer AS response, 'print(' || turn || ')' AS solution,
+  SELECT conv_id * 4294967296 + turn AS ord, text AS prompt, answer AS response, 'print(' || turn || ')' AS solution,
     'L' || (turn % 3) AS difficulty, 'c' || (conv_id % 5) AS source
   FROM (SELECT *, lead(text) OVER w AS answer, lead(role) OVER w AS next_role FROM conversations
         WINDOW w AS (PARTITION BY conv_id ORDER BY turn))
@@ -270,7 +284,7 @@ SQL = {
       ELSE '<think>' || d.text || '</think><answer>print(3)</answer></answer><|endoftext|>' END AS output,
     CASE WHEN d.doc_id % 3 = 0 THEN b.text ELSE d.text END AS stdout, d.doc_id % 17 = 0 AS timed_out,
     CASE WHEN d.doc_id % 50 = 0 THEN 0 ELSE d.n_chars END AS elapsed_ms
-  FROM documents d JOIN benchmark b ON b.item_id = d.doc_id % 40)""",
+  FROM documents d JOIN benchmark b ON b.item_id = d.doc_id % (SELECT count(*) FROM benchmark))""",
     "checked": f"""checked AS (
   SELECT *, contains(output, '<think>') AND contains(output, '</think>') AS has_think,
     contains(output, '<answer>') AND contains(output, '</answer>') AS has_answer,
@@ -289,12 +303,13 @@ SQL = {
   SELECT c.doc_id, c.name, has_think AND has_answer AND clean_end AND order_ok AS format_ok, has_think, has_answer, code_src,
     CASE WHEN coalesce(code, '') = '' THEN NULL
       WHEN contains(code, 'input(') OR contains(code, 'sys.stdin') THEN false WHEN timed_out THEN false
-      ELSE contains(stdout, left(b.text, 12)) END AS exec_pass,
+      ELSE contains(stdout, b.text) END AS exec_pass,
     elapsed_ms, {sql_count("output", TAG_TOKENS)} AS tokens
   FROM checked c JOIN benchmark b ON c.name = 'task' || b.item_id)""",
     "vocab": f"""vocab AS (
   SELECT token, (('0x' || left(md5(token), 5))::INTEGER + 1000)::INTEGER AS id
-  FROM (SELECT DISTINCT unnest(regexp_extract_all(text, '{TOKENS}')) AS token FROM benchmark)
+  FROM (SELECT DISTINCT unnest(regexp_extract_all(text, '{TOKENS}')) AS token
+        FROM (SELECT text FROM benchmark UNION ALL SELECT text FROM conversations WHERE conv_id % 2 = 0))
   UNION ALL SELECT * FROM (VALUES {", ".join(f"('{t}', {i + 1})" for i, t in enumerate(SPECIAL_TOKENS))}) s(token, id))""",
     "pieces": f"""pieces AS (
   SELECT *, {sql_count("rendered", ALL_TOKENS)} AS prompt_len,
@@ -321,6 +336,8 @@ SQL = {
   SELECT 'run' || (event_id // 4000) AS run_id, event_id % 4000 // 400 + 1 AS epoch, event_id % 2 AS rank, event_id % 400 // 2 AS idx,
     (value::DECIMAL(12,2) * 0.01)::DECIMAL(14,4) AS loss, user_id + 1 AS tokens, epoch_us(ts) AS ts_us, user_id, event_id
   FROM events)""",
+    "passes": """passes AS (
+  SELECT * EXCLUDE (idx), epoch * 3 + idx // 70 AS step, idx // 70 < 2 AS mid, idx % 70 AS idx FROM batches)""",
     "before": """before AS (
   SELECT run_id, epoch, coalesce(sum(n) OVER (PARTITION BY run_id ORDER BY epoch
       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS steps_before
@@ -348,7 +365,8 @@ SQL = {
   FROM (SELECT *, ((event_id % 190) * CASE WHEN event_type IN ('click', 'view') THEN 2 ELSE 1 END)::DOUBLE AS s FROM events))""",
     "ckpts": """ckpts AS (
   SELECT o_custkey % 50 AS run_id, (o_orderkey % 5)::INTEGER AS epoch, o_orderkey AS step,
-    CASE WHEN o_orderstatus = 'F' THEN 'mid' ELSE 'epoch' END AS kind, floor(o_totalprice / 1000) / 100 AS val_loss,
+    CASE WHEN o_orderstatus = 'F' THEN 'mid' ELSE 'epoch' END AS kind,
+    CASE WHEN o_orderkey % 11 <> 0 THEN floor(o_totalprice / 1000) / 100 END AS val_loss, o_orderkey % 13 = 0 AS elsewhere, o_orderkey % 4 <> 0 AS optimizer,
     'checkpoint-epoch' || (o_orderkey % 5 + 1) || '-step' || o_orderkey AS name, o_orderdate::DATE AS mtime
   FROM orders)""",
     "manifest": f"""manifest AS (
@@ -360,7 +378,7 @@ SQL = {
 _NEEDS = {
     "think": ["raw"], "resp": ["think"], "judged": ["resp"], "curated": ["judged"], "checked": ["outputs"],
     "graded": ["checked"], "pieces": ["sft"], "coded": ["pieces", "vocab"], "examples": ["coded"],
-    "scored": ["logits"], "before": ["batches"], "steps": ["before"], "windows": ["steps"],
+    "scored": ["logits"], "passes": ["batches"], "before": ["batches"], "steps": ["before"], "windows": ["steps"],
 }
 
 

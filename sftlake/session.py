@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -11,12 +10,8 @@ from pyspark.sql import SparkSession
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder path for ``name`` that every executor can reach.
 
-    It lies under ``spark.checkpoint.dir``. Only a local session without that setting
-    gets a temporary folder of the machine; a cluster without it is refused.
+    It lies under ``spark.checkpoint.dir``, or, where that is unset, under the warehouse,
+    which all executors share too.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="sftlake-")
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/sftlake/{name}-{uuid.uuid4().hex}"

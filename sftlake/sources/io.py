@@ -6,6 +6,7 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 SFT_SCHEMA = "prompt string, response string, solution string, difficulty string, source string"
 RAW_SCHEMA = "ord bigint, input string, output string, solution string, difficulty string, source string"
@@ -22,26 +23,46 @@ _HISTORY_TYPES = {"_step": "bigint", "epoch": "int"}
 HISTORY_SCHEMA = ", ".join(f"`{k}` {_HISTORY_TYPES.get(k, 'double')}" for k in HISTORY_FIELDS)
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash a scan that has fewer partitions than there are cores over all cores.
-
-    A file of one row group is read by one task, and so are the text functions behind it.
-    A scan with enough partitions is returned as it is, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
-
-
 def read_sft_jsonl(
-    spark: SparkSession, path: str | Sequence[str], strict: bool = True, schema: str = SFT_SCHEMA
+    spark: SparkSession, path: str | Sequence[str], strict: bool = True, schema: str = SFT_SCHEMA,
+    order: str | None = None,
 ) -> DataFrame:
     """One JSON object per line. A malformed line fails the read; with ``strict=False`` it
-    becomes a row whose ``_corrupt_record`` holds the line."""
+    becomes a row whose ``_corrupt_record`` holds the line.
+
+    ``order="stored"`` also reads the ``ord`` field, as curation writes it; ``order="derived"``
+    numbers the lines by file and place in it, for files that have none.
+    """
+    if order not in (None, "stored", "derived"):
+        raise ValueError("order is None, 'stored' or 'derived'")
+    if order == "stored":
+        schema = f"ord bigint, {schema}"
     if strict:
-        return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
-    return (
-        spark.read.schema(f"{schema}, _corrupt_record string")
-        .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record").json(path)
+        df = spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+    else:
+        df = (
+            spark.read.schema(f"{schema}, _corrupt_record string")
+            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record").json(path)
+        )
+    return with_source_order(df) if order == "derived" else df
+
+
+def with_source_order(scan: DataFrame) -> DataFrame:
+    """Add ``ord``: the number of each row of a file scan, by file name, then place in the file.
+
+    A block of a file is read by one task from its start to its end, so the ids that grow
+    within a task give the place in the block. Blocks are counted first (one row each, bounded by
+    the splits of the scan), which reads the files once more.
+    """
+    place = F.struct(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")
+    )
+    rows = scan.select(*scan.columns, place.alias("_block"), F.monotonically_increasing_id().alias("_id"))
+    blocks = rows.groupBy("_block").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(W.orderBy("_block").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    starts = blocks.select(F.col("_block").alias("_at"), (before - F.col("_first")).alias("_shift"))
+    return rows.join(F.broadcast(starts), F.col("_block") == F.col("_at")).select(
+        (F.col("_id") + F.col("_shift")).cast("bigint").alias("ord"), *scan.columns
     )
 
 
@@ -98,6 +119,9 @@ def append_metrics(df: DataFrame, path: str) -> None:
 
 
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:
-    """The metrics table; of repeated writes of a (run, step, key) the latest counts."""
+    """The metrics table; of repeated writes of a (run, step, key) the latest counts, and of those
+    written at the same time the largest value."""
     rows = spark.read.schema(METRIC_SCHEMA).parquet(path)
-    return rows.groupBy("run_id", "step", "key").agg(F.max_by("value", "written_us").alias("value"))
+    return rows.groupBy("run_id", "step", "key").agg(
+        F.max_by("value", F.struct("written_us", "value")).alias("value")
+    )

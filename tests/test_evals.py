@@ -36,6 +36,9 @@ def test_grading(outputs, tasks):
     one = ev.eval_summary(graded).first()
     assert (one.n, one.executed, one.passed, one.via_tag, one.via_markdown) == (7, 5, 2, 5, 1)
     assert one.pass_pct == 40.0 and one.avg_elapsed == 17 / 7
+    capped = ev.eval_summary(graded, max_new_tokens=8).first()
+    tokens = [r.tokens for r in graded.collect()]
+    assert capped.stopped == sum(t < 8 for t in tokens) and 0 < capped.stopped < 7 and capped.stop_pct == 100.0 * capped.stopped / 7
     labels = {r.i: (r.format, r.code_source, r.exec) for r in ev.eval_labels(graded).collect()}
     assert labels[1] == ("OK", "tag", "PASS") and labels[6] == ("FAIL", "-", "skip") and labels[7][1:] == ("md", "PASS")
 

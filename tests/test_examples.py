@@ -44,19 +44,24 @@ def test_collate(spark):
     ]
 
 
-@pytest.mark.parametrize("max_vocab", [10, 1])
-def test_encode_small_and_large_vocabulary(spark, max_vocab):
+def test_encode_by_join_and_in_memory(spark):
     df = spark.createDataFrame([(1, ["a", "b", "a"]), (2, []), (3, None), (4, ["zz", "b"])], "k int, t array<string>")
-    vocab = spark.createDataFrame([("a", 5), ("b", 6)], "token string, id int")
-    got = ex.encode_tokens(df, vocab, "t", "ids", unknown_id=0, key="k", max_vocab=max_vocab)
-    assert sorted(rows(got.select("k", "ids"))) == [(1, [5, 6, 5]), (2, []), (3, None), (4, [0, 6])]
+    vocab = spark.createDataFrame([("a", 7), ("a", 5), ("b", 6)], "token string, id int")  # a token given twice
+    want = [(1, [5, 6, 5]), (2, []), (3, None), (4, [0, 6])]
+    assert sorted(rows(ex.encode_tokens(df, vocab, "t", "k", "ids").select("k", "ids"))) == want
+    assert sorted(rows(ex.encode_tokens_in_memory(df, {"a": 5, "b": 6}, "t", "ids").select("k", "ids"))) == want
 
 
-def test_encode_large_vocabulary_needs_key(spark):
-    df = spark.createDataFrame([(["a"],)], "t array<string>")
-    vocab = spark.createDataFrame([("a", 5), ("b", 6)], "token string, id int")
-    with pytest.raises(ValueError):
-        ex.encode_tokens(df, vocab, "t", max_vocab=1)
+def test_examples_with_a_plugged_tokenizer(spark):
+    from sftlake.functions.tokenizer import with_tokenizer
+
+    df = spark.createDataFrame([(1, "p q", "r"), (2, "", None)], "ord int, prompt string, response string")
+    encode = with_tokenizer(lambda: lambda texts: [list(t.encode()) for t in texts])
+    got = {r.ord: r for r in ex.plugged_examples(df, encode, "S", "<end>", 1000).collect()}
+    texts = {r.ord: (r.rendered, r.full_text) for r in ex.example_text(df, "S", "<end>").collect()}
+    for i, (prompt, full) in texts.items():
+        assert got[i].input_ids == list(full.encode())
+        assert got[i].labels == [-100] * len(prompt.encode()) + list(full.encode())[len(prompt.encode()) :]
 
 
 def test_conversation_in_all_forms(spark):
@@ -66,16 +71,21 @@ def test_conversation_in_all_forms(spark):
     )
     whole = {r.conv_id: r.text for r in ex.render_conversation(turns).collect()}
     assert whole[1] == "<|im_start|>user\na<|im_end|>\n<|im_start|>assistant\nb <|x<|im_end|>\n<|im_start|>assistant\n"
-    blocks, parts = {}, {}
+    blocks = {}
     for r in sorted(ex.render_turns(turns).collect()):
         blocks[r.conv_id] = blocks.get(r.conv_id, "") + r.block
-    for r in sorted(ex.render_conversation(turns, part_turns=4).collect()):
-        parts[r.conv_id] = parts.get(r.conv_id, "") + r.text
-    assert whole == blocks == parts
+    assert whole == blocks
     count = token_count(F.col("text"), ex.SPECIAL_TOKENS)
     assert dict(rows(ex.conversation_tokens(turns))) == dict(rows(ex.render_conversation(turns).select("conv_id", count)))
 
 
+@pytest.mark.parametrize("first, n", [(0, 4096), (4090, 10)])
+def test_a_conversation_is_one_row(spark, first, n):
+    turns = spark.range(first, first + n).selectExpr("7 conv_id", "id turn", "'user' role", "cast(id as string) text")
+    (r,) = ex.render_conversation(turns).collect()
+    assert r.text == "".join(f"<|im_start|>user\n{i}<|im_end|>\n" for i in range(first, first + n)) + "<|im_start|>assistant\n"
+
+
 def test_step_plan(spark):
     df = spark.createDataFrame([("train",)] * 37 + [("val",)] * 5, "split string")
     one = {r.split: tuple(r)[1:] for r in ex.step_plan(df, 4, 1, 3, 2).collect()}

@@ -70,7 +70,52 @@ def test_quota_path():
 
 
 def test_shared_dir_follows_the_session(spark):
-    assert shared_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+    own = spark.conf.get("spark.checkpoint.dir")
+    assert shared_dir(spark, "x").startswith(own)
+
+
+def test_writes_at_the_same_time_have_one_winner(spark, tmp_path):
+    path = str(tmp_path / "metrics")
+    for value in (0.5, 0.7, 0.6):
+        io.append_metrics(spark.createDataFrame([("r", 1, "loss", value, 4)], io.METRIC_SCHEMA), path)
+    assert rows(io.read_metrics(spark, path)) == [("r", 1, "loss", 0.7)]
+
+
+def test_order_of_json_lines(spark, tmp_path):
+    lines = [json.dumps({"prompt": f"p{i}", "response": "r" * (i % 7)}) for i in range(500)]
+    (tmp_path / "b.jsonl").write_text("\n".join(lines[200:]))
+    (tmp_path / "a.jsonl").write_text("\n".join(lines[:200]) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        got = rows(io.read_sft_jsonl(spark, str(tmp_path), order="derived").select("ord", "prompt"))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sorted(got) == [(i, f"p{i}") for i in range(500)]
+
+
+def test_curated_lines_keep_their_order_to_the_batches(spark, tmp_path):
+    from sftlake.operators import examples as ex
+    from sftlake.operators.split import group_split
+
+    raw = inp.raw_corpus(spark, "/root/testdata/sf0.001")
+    kept = cu.curate_quota(raw, 60, 32, 512)
+    out = str(tmp_path / "sft")
+    io.write_sft_jsonl(cu.project_sft_fields(kept, order="ord"), out)
+    back = io.read_sft_jsonl(spark, out, order="stored")
+    assert sorted(rows(back)) == sorted(rows(cu.project_sft_fields(kept, order="ord")))
+    train = group_split(back).where("split = 'train'").select("ord", "prompt", "response")
+    vocab = inp.vocabulary(spark, "/root/testdata/sf0.001")
+    padded = ex.collate_pad(ex.assign_batches(ex.tokenised_examples(train, vocab, "S", ex.EOS, 200), 8, shuffle=False))
+    got = sorted((r.batch_id, r.pos_in_batch, r.ord, len(r.input_ids) == r.batch_width) for r in padded.collect())
+    assert [o for _, _, o, _ in got] == sorted(r.ord for r in train.collect()) and all(w for *_, w in got)
+
+
+def test_stream_of_json_lines(spark, tmp_path):
+    raw, out, log = (str(tmp_path / n) for n in ("raw", "out", "log"))
+    docs = inp.raw_corpus(spark, "/root/testdata/sf0.001")
+    docs.write.json(raw)
+    curate_stream(spark, raw, out, log, 32, 512, source_format="json").awaitTermination()
+    assert sorted(rows(spark.read.parquet(out))) == sorted(rows(cu.curate(docs, 32, 512)))
 
 
 def test_tokenizer_is_built_in_the_worker(spark):

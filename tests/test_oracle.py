@@ -17,7 +17,9 @@ def con():
 
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_query_equals_sql(spark, con, name):
-    sql = entry.oracle_sql()[name]
+    sql = entry.oracle_sql().get(name)
+    if sql is None:
+        pytest.skip("no SQL: tested against brute force")
     assert compare(spark, con, SF_DIR, entry.queries()[name], sql) is None
 
 

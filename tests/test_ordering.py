@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from sftlake.operators import examples as ex
+from sftlake.operators import ordering
 from sftlake.operators.ordering import number_by_position, quota_cutoff, running
 
 
@@ -62,6 +63,33 @@ def test_quota_cutoff(spark, orders, n):
     assert quota_cutoff(df, "o", F.col("o") % 3 != 1, n, parts=16) == want
 
 
+def test_position_buckets_survive_clusters(spark):
+    df = spark.range(200_000).union(spark.createDataFrame([(10**17,), (2 * 10**17,)], "id bigint"))
+    shares = [i / ordering.POSITION_BUCKETS for i in range(1, ordering.POSITION_BUCKETS)]
+    bounds = df.agg(F.percentile_approx("id", shares, 20 * ordering.POSITION_BUCKETS)).first()[0]
+    sizes = [b - a for a, b in zip(bounds, bounds[1:])]
+    assert max(sizes) < 4 * 200_000 / ordering.POSITION_BUCKETS
+    assert df.count() == number_by_position(df, "id").agg(F.countDistinct("_rn")).first()[0]
+
+
+def test_null_keys_are_kept_and_null_positions_refused(spark):
+    df = spark.createDataFrame([(None, 1, 2), (None, 2, 3), ("a", 1, 5)], "k string, o bigint, v bigint")
+    got = running(df, ["k"], "o", {"s": ("sum", F.col("v"))})
+    assert sorted(rows(got), key=str) == sorted([(None, 1, 2, 2), (None, 2, 3, 5), ("a", 1, 5, 5)], key=str)
+    bad = spark.createDataFrame([("a", None, 1), ("a", 1, 1)], "k string, o bigint, v bigint")
+    with pytest.raises(Exception, match="no place in the order"):
+        running(bad, ["k"], "o", {"s": ("sum", F.col("v"))}).collect()
+    with pytest.raises(Exception, match="no place in the order"):
+        number_by_position(bad, "o").collect()
+
+
+def test_quota_refuses_ties_at_the_cut(spark):
+    df = spark.createDataFrame([(o, i) for o in (1, 2) for i in range(10)], "o bigint, i int")
+    with pytest.raises(ValueError, match="not unique"):
+        quota_cutoff(df, "o", F.lit(True), 5)
+    assert quota_cutoff(df, "o", F.lit(True), 10) == 1
+
+
 def test_quota_edges(spark):
     df = spark.range(10).withColumnRenamed("id", "o")
     assert quota_cutoff(df, "o", F.lit(True), 10) == 9

@@ -4,7 +4,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from conftest import plan, rows
 from sftlake.functions import schedule as sd
 from sftlake.operators import checkpoints as ck
 from sftlake.operators import runs as ru
@@ -94,12 +94,43 @@ def test_running_loss_ends_in_the_epoch_mean(spark):
 
 def test_validation_is_a_mean_of_means(spark):
     df = spark.createDataFrame(
-        [("r", 1, 0, 0, 1.0, 0.0, 1.0), ("r", 1, 0, 1, 3.0, 0.0, 1.0), ("r", 1, 1, 0, 10.0, 0.0, 1.0)],
-        "run_id string, epoch int, rank int, idx int, loss double, entropy double, token_acc double",
+        [(*p, mid, step) for step, mid in ((5, True), (9, False))
+         for p in (("r", 1, 0, 0, 1.0, 0.0, 1.0), ("r", 1, 0, 1, 3.0, 0.0, 1.0), ("r", 1, 1, 0, 10.0, 0.0, 1.0))],
+        "run_id string, epoch int, rank int, idx int, loss double, entropy double, token_acc double, mid boolean, step int",
     )
-    full, capped = ru.validation_summary(df).first(), ru.validation_summary(df, 1).first()
-    assert full.loss == 6.0 and full.nll == 6.0 and full.n_batches == 2
-    assert capped.loss == 5.5 and capped.n_batches == 1
+    full = {r.step: r for r in ru.validation_summary(df).collect()}
+    capped = {r.step: r for r in ru.validation_summary(df, 1).collect()}
+    assert all(full[s].loss == full[s].nll == 6.0 and full[s].n_batches == 2 for s in (5, 9))
+    # Only the pass in mid-epoch is cut.
+    assert (capped[5].loss, capped[5].n_batches, capped[9].loss, capped[9].n_batches) == (5.5, 1, 6.0, 2)
+
+
+def test_train_log_reads_and_shuffles_the_rows_once(spark, tmp_path):
+    _, batches = make_batches(spark, {"a": [50, 37]})
+    batches.write.parquet(str(tmp_path / "b"))
+    log = ru.train_log(spark.read.parquet(str(tmp_path / "b")), 4, 3)
+    log.collect()
+    final = plan(log).split("== Initial Plan ==")[0]
+    assert final.count("FileScan") == 1
+
+
+def test_losses_that_are_null_or_nan(spark):
+    df = spark.createDataFrame([
+        ("r", 0, 10, "epoch", 0.5, "a", 1), ("r", 1, 20, "epoch", None, "b", 2), ("r", 2, 30, "epoch", 0.4, "c", 3),
+        ("r", 3, 40, "epoch", float("nan"), "d", 4), (None, 0, 50, "epoch", 0.7, "e", 5), ("none", 0, 60, "epoch", None, "f", 6),
+    ], CKPTS)
+    best = {r.step: (r.new_best, r.is_best) for r in ck.best_checkpoint(df).collect()}
+    assert best == {10: (True, False), 20: (False, False), 30: (True, True), 40: (False, False), 50: (True, True), 60: (False, False)}
+    assert {r.step for r in ck.retain_best_k(df, 1).collect() if r.keep} == {30, 50}
+    assert ck.retain_best_k(df, 1).count() == 6 and ck.retention_plan(df, 1).count() == 6
+
+
+def test_checkpoints_outside_the_output_folder_are_left_alone(spark):
+    df = spark.createDataFrame(
+        [("r", i, i, "epoch", 0.5 + i, "checkpoint-epoch1-step1", 1, p) for i, p in enumerate(("/out/a", "/out/b", "/outer/c", "/out/../d", None))],
+        CKPTS + ", path string",
+    )
+    assert [r.reason for r in ck.retention_plan(df, 1, "/out/").orderBy("step").collect()] == ["best-k", "superseded", *["outside-output-dir"] * 3]
 
 
 def test_published_best_checkpoint(spark):
@@ -141,11 +172,12 @@ def test_latest_checkpoint_is_not_lexicographic(spark):
 
 def test_state_check(spark):
     df = spark.createDataFrame(
-        [("checkpoint-epoch1-step5", 0, 5), ("checkpoint-epoch1-step5", 0, 6), ("x", 0, 1), ("checkpoint-epoch1-step5", None, 5), ("checkpoint-epoch1-step5", -1, -5)],
-        "name string, epoch int, step bigint",
+        [("checkpoint-epoch1-step5", 0, 5, True), ("checkpoint-epoch1-step5", 0, 6, False), ("x", 0, 1, None), ("checkpoint-epoch1-step5", None, 5, True), ("checkpoint-epoch1-step5", -1, -5, True)],
+        "name string, epoch int, step bigint, optimizer boolean",
     )
     assert [tuple(r)[1:] for r in ck.state_check(df).collect()] == [
-        (True, True, True, True), (True, True, True, False), (True, True, True, False), (False, False, True, True), (True, False, False, False),
+        (True, True, True, True, True), (True, True, True, False, False), (True, True, True, False, False), (False, False, True, True, True),
+        (True, False, False, False, True),
     ]
 
 
