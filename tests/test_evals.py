@@ -118,3 +118,13 @@ def test_tags(spark):
     assert tuple(probe) == (2, 1, "<think>", "answer>")
     found = {r.token: (r.occurrences, r.missing) for r in ev.special_token_coverage(df, "response", ("<think>", "<x>")).collect()}
     assert found == {"<think>": (1, False), "<x>": (0, True)}
+
+
+def test_every_task_is_graded(spark):
+    from sftlake.plans import inputs as inp
+
+    sf = "/root/testdata/sf0.1"
+    graded = ev.grade_results(inp.model_outputs(spark, sf), inp.eval_tasks(spark, sf)).select("name", "exec_pass")
+    items = inp.table(spark, sf, "benchmark").count()
+    assert graded.select("name").distinct().count() == items == 200
+    assert graded.count() == inp.table(spark, sf, "documents").count()
