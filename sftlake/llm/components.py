@@ -33,15 +33,11 @@ def components(pairs: DataFrame, a: str, b: str) -> DataFrame:
     """(node, component): the smallest node that each node with an edge can reach. Nodes are integers."""
     edges = pairs.where(f"{a} <> {b}").select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo")).distinct()
     edges = stored(edges, "edges")
-    before = None
     while True:
         edges = stored(_small(_large(edges)), "edges")
-        state = edges.agg(
-            F.count(F.lit(1)), F.countDistinct("hi"), F.sum(F.xxhash64("hi", "lo").cast("decimal(20,0)")), F.sum("lo")
-        ).first()
-        # Stars: every vertex has one centre; an unchanged list means that no round can change it any more.
-        if state == before or state[0] == 0:
+        # Stars: every vertex has one centre, and no centre has one.
+        rows, vertices = edges.agg(F.count(F.lit(1)), F.countDistinct("hi")).first()
+        if rows == vertices and edges.join(edges.select(F.col("hi").alias("_hi")), F.col("lo") == F.col("_hi"), "left_semi").isEmpty():
             break
-        before = state
     centres = edges.select(F.col("lo").alias("node"), F.col("lo").alias("component")).distinct()
     return edges.select(F.col("hi").alias("node"), F.col("lo").alias("component")).union(centres)

@@ -7,12 +7,13 @@
    differences. All ways to leave ``ERRORS`` symbols out of each chunk are enumerated as keys, so all those pairs share a key;
    nothing is left to chance but the signature itself. (Two texts at similarity 0.8 differ in 16 of 80 symbols on
    average, and in more than 31 once in 30,000 pairs; more alike ones far more rarely.)
-3. Rows of a key are seen in order by a stream that holds three rows of it: each row is paired with the first, the second
-   and the row before. That is linear in the rows of a key and unites most of a group of any size.
-4. Pairs that pass the bounds on set size and on 128 one-bit minima are confirmed on full sets, and components are formed.
-5. Keys whose rows lie in different components are looked at again: all pairs across components, never those within one.
-   Confirmed ones unite components. So a large group of copies costs no pairs, and no link is lost
-   to step 3's choice.
+3. Rows of a key are seen in order by a stream that holds three rows of it: each row is compared with the first, the second
+   and the row before, by the bounds on set size and on 256 one-bit minima. Of those each row keeps two, the most alike and the
+   first, which are confirmed on full sets, and components are formed. That is linear, and unites most of a group of any size.
+4. Keys whose rows lie in different components are looked at again, all pairs across components, never those within one. Between
+   small components plausible pairs are confirmed one by one. A row that is plausible for a member of a large component is
+   compared with all its members at once, through an inverted index over blocks of them, and needs one row however many members
+   it resembles. So no link is lost to step 3's choice, and neither step makes pairs by the square of a group.
 
 Membership is returned by row, with the class's component; pairs within classes are not expanded.
 
@@ -40,9 +41,13 @@ PERCENT = 80
 WIDTH, CHUNKS, ERRORS = 5, 16, 1
 SYMBOLS = WIDTH * CHUNKS
 MAX_DISTANCE = CHUNKS * (ERRORS + 1) - 1
-BITS = 128
-#: Of 128 one-bit minima a pair at similarity 0.8 differs in 12.8 on average; in more than this once in millions.
-MAX_BITS = 30
+BITS = 256
+#: Of 256 one-bit minima a pair at similarity 0.8 differs in 25.6 on average; in more than this once in 60,000.
+MAX_BITS = 47
+#: Components up to this size are compared pair by pair, larger ones through an index of their members.
+SMALL = 16
+#: Shingles in a block of members, and in a block of the rows that are compared with it.
+BLOCK_SHINGLES = 1 << 20
 #: Ids sent to all tasks, at most; beyond that the texts are joined.
 SEND_IDS = 2_000_000
 WORD_CACHE = 300_000
@@ -50,7 +55,8 @@ WORD_CACHE = 300_000
 _RNG = np.random.default_rng(20)
 _A = (_RNG.integers(0, 1 << 32, BITS, dtype=np.uint64).astype(np.uint32) | np.uint32(1))[:, None]
 _B = _RNG.integers(0, 1 << 32, BITS, dtype=np.uint64).astype(np.uint32)[:, None]
-SKETCH = "doc bigint, n bigint, s0 bigint, s1 bigint, symbols binary, b0 bigint, b1 bigint"
+WORDS = ("b0", "b1", "b2", "b3")
+SKETCH = f"doc bigint, n bigint, s0 bigint, s1 bigint, symbols binary, {', '.join(f'{b} bigint' for b in WORDS)}"
 
 
 class _Words(dict):
@@ -78,11 +84,11 @@ def shingles(text: bytes | None, words: int) -> np.ndarray:
 
 
 def minima(s: np.ndarray) -> np.ndarray:
-    """The smallest value of each of 128 hash functions over a set, finalised to 32 well-mixed bits."""
+    """The smallest value of each of 256 hash functions over a set, finalised to 32 well-mixed bits."""
     x = (s >> np.uint64(32)).astype(np.uint32)
     best = np.full(BITS, 0xFFFFFFFF, np.uint32)
-    for at in range(0, len(x), 1024):
-        best = np.minimum(best, (_A * x[None, at : at + 1024] + _B).min(axis=1))
+    for at in range(0, len(x), 512):
+        best = np.minimum(best, (_A * x[None, at : at + 512] + _B).min(axis=1))
     best ^= best >> np.uint32(15)
     best *= np.uint32(0x2C1B3C6D)
     best ^= best >> np.uint32(13)
@@ -91,7 +97,7 @@ def minima(s: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, doc_id: str, text: str, words: int) -> DataFrame:
-    """(doc, n, s0, s1, symbols, b0, b1) of every row; s0, s1 are a 128-bit hash of the set."""
+    """(doc, n, s0, s1, symbols, b0 to b3) of every row; s0, s1 are a 128-bit hash of the set."""
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc"), F.col(text).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,12 +106,12 @@ def sketches(docs: DataFrame, doc_id: str, text: str, words: int) -> DataFrame:
             found = np.stack([minima(s) for s in sets]) if sets else np.empty((0, BITS), np.uint32)
             digests = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
             halves = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
-            bits = np.packbits((found >> np.uint32(31)).astype(np.uint8), axis=1).reshape(-1).view("<i8").reshape(-1, 2)
+            bits = np.packbits((found >> np.uint32(31)).astype(np.uint8), axis=1).reshape(-1).view("<i8").reshape(-1, len(WORDS))
             symbols = (found[:, :SYMBOLS] & np.uint32(0xFFFF)).astype("<u2")
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc"), pa.array([len(s) for s in sets], pa.int64()), pa.array(halves[:, 0]), pa.array(halves[:, 1]),
-                 pa.array([r.tobytes() for r in symbols], pa.binary()), pa.array(bits[:, 0]), pa.array(bits[:, 1])],
-                names=["doc", "n", "s0", "s1", "symbols", "b0", "b1"],
+                 pa.array([r.tobytes() for r in symbols], pa.binary()), *map(pa.array, bits.T.copy())],
+                names=["doc", "n", "s0", "s1", "symbols", *WORDS],
             )
 
     return rows.mapInArrow(run, SKETCH)
@@ -125,20 +131,22 @@ def chunk_keys(symbols: np.ndarray) -> np.ndarray:
     return np.concatenate(keys, axis=1)
 
 
-KEYED = "key bigint, rep bigint, comp bigint, n bigint, b0 bigint, b1 bigint"
+KEYED = ", ".join(f"{c} bigint" for c in ("key", "rep", "comp", "members", "n", *WORDS))
 
 
 def _keyed(reps: DataFrame) -> DataFrame:
-    """A row per key of each representative (rep, comp, n, symbols, b0, b1)."""
+    """A row per key of each representative (rep, comp, members, n, symbols, b0 to b3)."""
+    own = ("rep", "comp", "members", "n", *WORDS)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in sliced(batches, 4096):
             symbols = np.frombuffer(b"".join(b.column("symbols").to_pylist()), "<u2").reshape(-1, SYMBOLS)
             keys = chunk_keys(symbols).view(np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1, dtype=np.int32) * keys.shape[1]), pa.array(keys.reshape(-1)))
-            yield pa.RecordBatch.from_arrays([lists, *(b.column(c) for c in ("rep", "comp", "n", "b0", "b1"))], names=["keys", "rep", "comp", "n", "b0", "b1"])
+            yield pa.RecordBatch.from_arrays([lists, *(b.column(c) for c in own)], names=["keys", *own])
 
-    lists = reps.select("rep", "comp", "n", "symbols", "b0", "b1").mapInArrow(run, KEYED.replace("key bigint", "keys array<bigint>"))
-    return lists.select(F.explode("keys").alias("key"), "rep", "comp", "n", "b0", "b1")
+    lists = reps.select(*own, "symbols").mapInArrow(run, KEYED.replace("key bigint", "keys array<bigint>"))
+    return lists.select(F.explode("keys").alias("key"), *own)
 
 
 ROW = np.dtype([(c.split()[0], "i8") for c in KEYED.split(", ")])
@@ -151,26 +159,24 @@ def _rows(batch: pa.RecordBatch) -> np.ndarray:
     return rows
 
 
-def _plausible(x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
-    """Pairs whose set sizes and one-bit minima allow the similarity."""
-    small, large = np.minimum(x["n"], y["n"]), np.maximum(x["n"], y["n"])
+def _bits(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     # Unsigned: bitwise_count takes the absolute value of signed integers.
-    ones = lambda c: np.bitwise_count((x[c] ^ y[c]).view(np.uint64)).astype(np.int16)
-    bits = ones("b0") + ones("b1")
-    return (100 * small >= percent * large) & (bits <= MAX_BITS) & (x["rep"] != y["rep"])
+    ones = lambda c: np.bitwise_count((x[c] ^ y[c]).view(np.uint64)).astype(np.int64)
+    return sum(map(ones, WORDS))
 
 
-def _pairs(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    out = np.stack([np.minimum(x["rep"], y["rep"]), np.maximum(x["rep"], y["rep"])], axis=1)
-    return np.unique(out, axis=0)
+def _plausible(x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
+    """Pairs whose set sizes and one-bit minima allow the similarity."""
+    small, large = np.minimum(x["n"], y["n"]), np.maximum(x["n"], y["n"])
+    return (100 * small >= percent * large) & (_bits(x, y) <= MAX_BITS) & (x["rep"] != y["rep"])
 
 
-def _batch(pairs: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+def _batch(names: str, *columns: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names.split())
 
 
 def _star(percent: int):
-    """Pair each row of a key with the key's first and second row and the row before it."""
+    """(a, b, bits): each row b of a key with the key's first and second row and the row before it, where plausible."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.empty(0, ROW)  # first, second and latest row of the open key
         for b in sliced(batches, 1 << 18):
@@ -184,10 +190,10 @@ def _star(percent: int):
             for other in (first[at], np.minimum(first[at] + 1, at), at - 1):
                 x, y = rows[at], rows[other]
                 ok = _plausible(x, y, percent)
-                found.append(_pairs(x[ok], y[ok]))
+                found.append(np.stack([y["rep"][ok], x["rep"][ok], _bits(x[ok], y[ok])], axis=1))
             out = np.unique(np.concatenate(found), axis=0)
             if len(out):
-                yield _batch(out)
+                yield _batch("a b bits", *out.T.copy())
             start = first[-1]
             held = rows[np.unique([start, min(start + 1, len(rows) - 1), len(rows) - 1])]
 
@@ -195,7 +201,8 @@ def _star(percent: int):
 
 
 def _across(percent: int, block: int = 1 << 21):
-    """All plausible pairs of a key's rows that lie in different components; rows come by (key, comp)."""
+    """Plausible pairs of a key's rows in different components; rows come by (key, comp). A row of the smaller component
+    is ``a``; ``b`` is its partner, or null where that lies in a large component, which ``comp`` then names."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.empty(0, ROW)
 
@@ -217,7 +224,16 @@ def _across(percent: int, block: int = 1 << 21):
                     right = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + comp_end[left]
                     ok = _plausible(rows[left], rows[right], percent)
                     if ok.any():
-                        yield _batch(_pairs(rows[left[ok]], rows[right[ok]]))
+                        x, y = rows[left[ok]], rows[right[ok]]
+                        swap = (x["members"] > y["members"]) | ((x["members"] == y["members"]) & (x["comp"] < y["comp"]))
+                        x, y = np.where(swap, y, x), np.where(swap, x, y)  # y lies in the larger component
+                        large = y["members"] > SMALL
+                        out = np.stack([x["rep"], np.where(large, -1, y["rep"]), np.where(large, y["comp"], -1), large], axis=1)
+                        out = np.unique(out, axis=0)
+                        large = out[:, 3].astype(bool)
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(out[:, 0]), pa.array(out[:, 1], mask=large), pa.array(out[:, 2], mask=~large)], names=["a", "b", "comp"]
+                        )
                 lo = hi
 
         for b in sliced(batches, 1 << 18):
@@ -245,22 +261,74 @@ def similar(x: pa.Array, y: pa.Array, percent: pa.Array) -> pa.Array:
     return pa.array(out, pa.bool_())
 
 
-def _confirmed(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough. Sets are made anew from the texts of the ids in question."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+def _sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
+    """(id, n, set) of the documents in ``ids`` (id), made anew from their texts."""
+    ids = stored(ids.distinct(), "ids")
     if ids.count() <= SEND_IDS:
         ids = F.broadcast(ids)  # 8 bytes each
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in sliced(batches, 512):
-            sets = [shingles(t, words).astype("<u8").tobytes() for t in utf8(b.column("text"))]
-            yield pa.RecordBatch.from_arrays([b.column("doc"), pa.array(sets, pa.binary())], names=["id", "set"])
+            sets = [shingles(t, words) for t in utf8(b.column("text"))]
+            yield pa.RecordBatch.from_arrays(
+                [b.column("doc"), pa.array([len(x) for x in sets], pa.int64()), pa.array([x.astype("<u8").tobytes() for x in sets], pa.binary())],
+                names=["id", "n", "set"],
+            )
+
+    return docs.select("doc", "text").join(ids, F.col("doc") == F.col("id"), "left_semi").mapInArrow(run, "id bigint, n bigint, set binary")
+
+
+def _confirmed(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets are similar enough."""
+    sets = _sets(docs, pairs.select(F.col("a").alias("id")).union(pairs.select("b")), words).drop("n")
+    x, y = sets.toDF("a", "x"), sets.toDF("b", "y")
+    return pairs.join(x, "a").join(y, "b").where(similar("x", "y", F.lit(percent))).select("a", "b").distinct()
+
+
+def _search(percent: int):
+    """(a, b): for each asked row one member of the block that is similar enough, if any is; by overlap counts."""
+    def run(members: pa.Table, asked: pa.Table) -> pa.Table:
+        found: list[tuple[int, int]] = []
+        if members.num_rows and asked.num_rows:
+            sets = [np.frombuffer(x, "<u8") for x in members.column("set").to_pylist()]
+            sizes = np.array(list(map(len, sets)))
+            flat = np.concatenate(sets)
+            order = np.argsort(flat, kind="stable")
+            flat, owner = flat[order], np.repeat(np.arange(len(sets)), sizes)[order]
+            ids = members.column("id").to_numpy()
+            for a, own in zip(asked.column("q").to_pylist(), asked.column("qset").to_pylist()):
+                x = np.frombuffer(own, "<u8")
+                lo, hi = np.searchsorted(flat, x, "left"), np.searchsorted(flat, x, "right")
+                n = hi - lo
+                at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)
+                common = np.bincount(owner[at], minlength=len(sets))
+                ok = np.flatnonzero(100 * common >= percent * (len(x) + sizes - common))
+                if len(ok):
+                    found.append((a, int(ids[ok[0]])))
+        return pa.table([pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64())], names=["a", "b"])
 
-    rows = docs.select("doc", "text").join(ids, F.col("doc") == F.col("id"), "left_semi").mapInArrow(run, "id bigint, set binary")
-    x, y = rows.toDF("a", "x"), rows.toDF("b", "y")
-    return (
-        pairs.join(x, "a").join(y, "b").where(similar("x", "y", F.lit(percent))).select("a", "b").distinct()
+    return run
+
+
+def _confirmed_members(docs: DataFrame, asked: DataFrame, member: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links (a, b) of rows ``a`` with members of the large components ``comp`` named for them; ``member`` has (rep, comp)."""
+    targets = asked.select("comp").distinct()
+    members = member.join(targets, "comp", "left_semi")
+    sets = stored(_sets(docs, members.select(F.col("rep").alias("id")).union(asked.select("a")), words), "sets")
+    inside = sets.join(members, F.col("id") == F.col("rep")).select("id", "n", "set", "comp")
+    outside = sets.join(asked, F.col("id") == F.col("a")).select(
+        F.col("a").alias("q"), F.col("n").alias("qn"), F.col("set").alias("qset"), F.col("comp").alias("large")
     )
+    blocks = lambda n: F.ceil(F.sum(n) / F.lit(BLOCK_SHINGLES)).cast("int")
+    counts = inside.groupBy(F.col("comp").alias("_c")).agg(blocks("n").alias("mb")).join(
+        outside.groupBy(F.col("large").alias("_l")).agg(blocks("qn").alias("ab")), F.col("_c") == F.col("_l")
+    ).select("_c", "mb", "ab")
+    counts = stored(counts, "blocks")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    mine = lambda i, n: F.pmod(F.xxhash64(i), F.col(n)).cast("int")
+    left = inside.join(counts, F.col("comp") == F.col("_c")).select("id", "set", "comp", mine("id", "mb").alias("mk"), every("ab").alias("ak"))
+    right = outside.join(counts, F.col("large") == F.col("_c")).select("q", "qset", "large", every("mb").alias("qm"), mine("q", "ab").alias("qa"))
+    return left.groupBy("comp", "mk", "ak").cogroup(right.groupBy("large", "qm", "qa")).applyInArrow(_search(percent), "a bigint, b bigint")
 
 
 def near_duplicates(
@@ -271,10 +339,10 @@ def near_duplicates(
     sketch = stored(sketches(own, "doc", "text", words), "sketches")
     reps = stored(
         sketch.where("n > 0 and doc is not null").groupBy("s0", "s1").agg(
-            F.min("doc").alias("rep"), *(F.first(c).alias(c) for c in ("n", "symbols", "b0", "b1"))
+            F.min("doc").alias("rep"), *(F.first(c).alias(c) for c in ("n", "symbols", *WORDS))
         ), "classes",
     )
-    single = reps.withColumn("comp", F.col("rep"))
+    single = reps.withColumn("comp", F.col("rep")).withColumn("members", F.lit(1).cast("bigint"))
     # Rows of one id are one document: its classes are tied by the id.
     twice = sketch.where("n > 0 and doc is not null").groupBy("doc").agg(
         F.min(F.struct("s0", "s1")).alias("x"), F.max(F.struct("s0", "s1")).alias("y")
@@ -284,21 +352,28 @@ def near_duplicates(
         .join(reps.select("s0", "s1", "rep"), ["s0", "s1"]).select(F.col("doc").alias("a"), F.col("rep").alias("b")).where("a <> b")
     )
     keyed = _keyed(single).repartition("key").sortWithinPartitions("key", "rep")
-    first = stored(keyed.mapInArrow(_star(percent), "a bigint, b bigint").distinct(), "pairs")
+    close = keyed.mapInArrow(_star(percent), "a bigint, b bigint, bits bigint").groupBy("b").agg(
+        F.min(F.struct("bits", "a"))["a"].alias("alike"), F.min("a").alias("first")
+    )
+    first = stored(close.select(F.col("alike").alias("a"), "b").union(close.where("first <> alike").select("first", "b")), "pairs")
     links = stored(_confirmed(own, first, words, percent).unionByName(tied), "links")
     found = stored(components(links, "a", "b"), "components")
+    sizes = found.groupBy(F.col("component").alias("_c")).agg(F.count(F.lit(1)).alias("_members"))
     joined = reps.join(found, reps["rep"] == found["node"], "left").withColumn("comp", F.coalesce("component", "rep"))
-    rest = _keyed(joined).repartition("key").sortWithinPartitions("key", "comp")
-    second = rest.mapInArrow(_across(percent), "a bigint, b bigint").distinct().join(first, ["a", "b"], "left_anti")
-    more = _confirmed(own, stored(second, "pairs"), words, percent)
-    links = links.unionByName(more)
+    joined = joined.join(sizes, joined["comp"] == sizes["_c"], "left").withColumn("members", F.coalesce("_members", F.lit(1)).cast("bigint"))
+    placed = stored(joined.select("rep", "comp", "members", "n", "symbols", *WORDS), "placed")
+    rest = _keyed(placed).repartition("key").sortWithinPartitions("key", "comp")
+    across = stored(rest.mapInArrow(_across(percent), "a bigint, b bigint, comp bigint").distinct(), "across")
+    more = _confirmed(own, across.where("b is not null").select("a", "b"), words, percent)
+    large = _confirmed_members(own, across.where("b is null").select("a", "comp"), placed.select("rep", "comp"), words, percent)
+    links = links.unionByName(more).unionByName(large)
     final = stored(components(links, "a", "b"), "components")
     member = sketch.where("n > 0").select("doc", "n", "s0", "s1").join(reps.select("s0", "s1", "rep"), ["s0", "s1"], "left")
-    placed = member.join(final, member["rep"] == final["node"], "left").select(
+    result = member.join(final, member["rep"] == final["node"], "left").select(
         "doc", "n", F.when(F.col("doc").isNotNull(), F.coalesce("component", "rep")).alias("component_id")
     )
     alone = sketch.where("n = 0").select("doc", "n", F.col("doc").alias("component_id"))
-    return placed.unionByName(alone).select(
+    return result.unionByName(alone).select(
         F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id",
         F.coalesce(F.col("doc") == F.col("component_id"), F.lit(True)).alias("kept"),
     )
