@@ -8,12 +8,13 @@
    nothing is left to chance but the signature itself. (Two texts at similarity 0.8 differ in 16 of 80 symbols on
    average, and in more than 31 once in 30,000 pairs; more alike ones far more rarely.)
 3. Rows of a key are seen in order by a stream that holds three rows of it: each row is compared with the first, the second
-   and the row before, by the bounds on set size and on 256 one-bit minima. Of those each row keeps two, the most alike and the
+   and the row before, by the bounds on set size and on 256 two-bit minima. Of those each row keeps two, the most alike and the
    first, which are confirmed on full sets, and components are formed. That is linear, and unites most of a group of any size.
 4. Keys whose rows lie in different components are looked at again, all pairs across components, never those within one. Between
    small components plausible pairs are confirmed one by one. A row that is plausible for a member of a large component is
    compared with all its members at once, through an inverted index over blocks of them, and needs one row however many members
-   it resembles. So no link is lost to step 3's choice, and neither step makes pairs by the square of a group.
+   it resembles. So no link is lost to step 3's choice, and a large group, linked or not linked with a text, makes no pairs by
+   its square; what remains pair by pair are plausible texts (similarity 0.65 and more) that are linked with few others.
 
 Membership is returned by row, with the class's component; pairs within classes are not expanded.
 
@@ -41,9 +42,9 @@ PERCENT = 80
 WIDTH, CHUNKS, ERRORS = 5, 16, 1
 SYMBOLS = WIDTH * CHUNKS
 MAX_DISTANCE = CHUNKS * (ERRORS + 1) - 1
-BITS = 256
-#: Of 256 one-bit minima a pair at similarity 0.8 differs in 25.6 on average; in more than this once in 60,000.
-MAX_BITS = 47
+MINIMA = 256
+#: Of 256 two-bit minima a pair at similarity 0.8 differs in 38.4 on average; in more than this once in 50,000.
+MAX_DIFFERENT = 63
 #: Components up to this size are compared pair by pair, larger ones through an index of their members.
 SMALL = 16
 #: Shingles in a block of members, and in a block of the rows that are compared with it.
@@ -53,9 +54,9 @@ SEND_IDS = 2_000_000
 WORD_CACHE = 300_000
 
 _RNG = np.random.default_rng(20)
-_A = (_RNG.integers(0, 1 << 32, BITS, dtype=np.uint64).astype(np.uint32) | np.uint32(1))[:, None]
-_B = _RNG.integers(0, 1 << 32, BITS, dtype=np.uint64).astype(np.uint32)[:, None]
-WORDS = ("b0", "b1", "b2", "b3")
+_A = (_RNG.integers(0, 1 << 32, MINIMA, dtype=np.uint64).astype(np.uint32) | np.uint32(1))[:, None]
+_B = _RNG.integers(0, 1 << 32, MINIMA, dtype=np.uint64).astype(np.uint32)[:, None]
+WORDS = tuple(f"b{i}" for i in range(8))
 SKETCH = f"doc bigint, n bigint, s0 bigint, s1 bigint, symbols binary, {', '.join(f'{b} bigint' for b in WORDS)}"
 
 
@@ -86,7 +87,7 @@ def shingles(text: bytes | None, words: int) -> np.ndarray:
 def minima(s: np.ndarray) -> np.ndarray:
     """The smallest value of each of 256 hash functions over a set, finalised to 32 well-mixed bits."""
     x = (s >> np.uint64(32)).astype(np.uint32)
-    best = np.full(BITS, 0xFFFFFFFF, np.uint32)
+    best = np.full(MINIMA, 0xFFFFFFFF, np.uint32)
     for at in range(0, len(x), 512):
         best = np.minimum(best, (_A * x[None, at : at + 512] + _B).min(axis=1))
     best ^= best >> np.uint32(15)
@@ -97,16 +98,18 @@ def minima(s: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, doc_id: str, text: str, words: int) -> DataFrame:
-    """(doc, n, s0, s1, symbols, b0 to b3) of every row; s0, s1 are a 128-bit hash of the set."""
+    """(doc, n, s0, s1, symbols, b0 to b7) of every row; s0, s1 are a 128-bit hash of the set."""
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc"), F.col(text).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in sliced(batches, 512):
             sets = [shingles(t, words) for t in utf8(b.column("text"))]
-            found = np.stack([minima(s) for s in sets]) if sets else np.empty((0, BITS), np.uint32)
+            found = np.stack([minima(s) for s in sets]) if sets else np.empty((0, MINIMA), np.uint32)
             digests = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
             halves = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
-            bits = np.packbits((found >> np.uint32(31)).astype(np.uint8), axis=1).reshape(-1).view("<i8").reshape(-1, len(WORDS))
+            # Two bits of each minimum side by side.
+            top = np.stack([found >> np.uint32(31), (found >> np.uint32(30)) & np.uint32(1)], axis=2).astype(np.uint8)
+            bits = np.packbits(top.reshape(len(sets), -1), axis=1).reshape(-1).view("<i8").reshape(-1, len(WORDS))
             symbols = (found[:, :SYMBOLS] & np.uint32(0xFFFF)).astype("<u2")
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc"), pa.array([len(s) for s in sets], pa.int64()), pa.array(halves[:, 0]), pa.array(halves[:, 1]),
@@ -134,19 +137,40 @@ def chunk_keys(symbols: np.ndarray) -> np.ndarray:
 KEYED = ", ".join(f"{c} bigint" for c in ("key", "rep", "comp", "members", "n", *WORDS))
 
 
-def _keyed(reps: DataFrame) -> DataFrame:
-    """A row per key of each representative (rep, comp, members, n, symbols, b0 to b3)."""
-    own = ("rep", "comp", "members", "n", *WORDS)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _shared_keys(reps: DataFrame) -> DataFrame:
+    """(key, rep) of the keys that more than one representative (rep, symbols) has. Most keys are one text's own and
+    go here, before anything wider moves."""
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in sliced(batches, 4096):
             symbols = np.frombuffer(b"".join(b.column("symbols").to_pylist()), "<u2").reshape(-1, SYMBOLS)
-            keys = chunk_keys(symbols).view(np.int64)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1, dtype=np.int32) * keys.shape[1]), pa.array(keys.reshape(-1)))
-            yield pa.RecordBatch.from_arrays([lists, *(b.column(c) for c in own)], names=["keys", *own])
+            found = chunk_keys(symbols).view(np.int64)
+            rep = np.repeat(b.column("rep").to_numpy(zero_copy_only=False), found.shape[1])
+            yield pa.RecordBatch.from_arrays([pa.array(found.reshape(-1)), pa.array(rep)], names=["key", "rep"])
+
+    def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before, held = None, None  # the last row, and its key if it has not been passed on yet
+        for b in sliced(batches, 1 << 18):
+            if not b.num_rows:
+                continue
+            key, rep = (b.column(c).to_numpy(zero_copy_only=False) for c in ("key", "rep"))
+            if before is not None:
+                key, rep = np.append(before[0], key), np.append(before[1], rep)
+            same = key[1:] == key[:-1]
+            take = np.append(same, False) | np.append(False, same)
+            if before is not None and held:
+                take[0] = False  # passed on with the batch before
+            before, held = (key[-1:], rep[-1:]), bool(len(same) and same[-1]) or bool(held and len(key) == 1)
+            if take.any():
+                yield pa.RecordBatch.from_arrays([pa.array(key[take]), pa.array(rep[take])], names=["key", "rep"])
+
+    narrow = reps.select("rep", "symbols").mapInArrow(keys, "key bigint, rep bigint")
+    return narrow.repartition("key").sortWithinPartitions("key").mapInArrow(shared, "key bigint, rep bigint")
+
 
-    lists = reps.select(*own, "symbols").mapInArrow(run, KEYED.replace("key bigint", "keys array<bigint>"))
-    return lists.select(F.explode("keys").alias("key"), *own)
+def _keyed(shared: DataFrame, reps: DataFrame) -> DataFrame:
+    """The shared keys with (comp, members, n, b0 to b7) of their representatives."""
+    own = reps.select(F.col("rep").alias("_rep"), "comp", "members", "n", *WORDS)
+    return shared.join(own, F.col("rep") == F.col("_rep")).select("key", "rep", "comp", "members", "n", *WORDS)
 
 
 ROW = np.dtype([(c.split()[0], "i8") for c in KEYED.split(", ")])
@@ -159,16 +183,19 @@ def _rows(batch: pa.RecordBatch) -> np.ndarray:
     return rows
 
 
-def _bits(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    # Unsigned: bitwise_count takes the absolute value of signed integers.
-    ones = lambda c: np.bitwise_count((x[c] ^ y[c]).view(np.uint64)).astype(np.int64)
-    return sum(map(ones, WORDS))
+def _different(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """How many of the two-bit minima differ."""
+    total = np.zeros(len(x), np.int64)
+    for c in WORDS:
+        d = (x[c] ^ y[c]).view(np.uint64)  # unsigned: bitwise_count takes the absolute value of signed integers
+        total += np.bitwise_count((d | (d >> np.uint64(1))) & np.uint64(0x5555555555555555))
+    return total
 
 
 def _plausible(x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
     """Pairs whose set sizes and one-bit minima allow the similarity."""
     small, large = np.minimum(x["n"], y["n"]), np.maximum(x["n"], y["n"])
-    return (100 * small >= percent * large) & (_bits(x, y) <= MAX_BITS) & (x["rep"] != y["rep"])
+    return (100 * small >= percent * large) & (_different(x, y) <= MAX_DIFFERENT) & (x["rep"] != y["rep"])
 
 
 def _batch(names: str, *columns: np.ndarray) -> pa.RecordBatch:
@@ -190,7 +217,7 @@ def _star(percent: int):
             for other in (first[at], np.minimum(first[at] + 1, at), at - 1):
                 x, y = rows[at], rows[other]
                 ok = _plausible(x, y, percent)
-                found.append(np.stack([y["rep"][ok], x["rep"][ok], _bits(x[ok], y[ok])], axis=1))
+                found.append(np.stack([y["rep"][ok], x["rep"][ok], _different(x[ok], y[ok])], axis=1))
             out = np.unique(np.concatenate(found), axis=0)
             if len(out):
                 yield _batch("a b bits", *out.T.copy())
@@ -351,7 +378,8 @@ def near_duplicates(
         sketch.join(twice.select("doc"), "doc").where("n > 0").select("doc", "s0", "s1").distinct()
         .join(reps.select("s0", "s1", "rep"), ["s0", "s1"]).select(F.col("doc").alias("a"), F.col("rep").alias("b")).where("a <> b")
     )
-    keyed = _keyed(single).repartition("key").sortWithinPartitions("key", "rep")
+    shared = stored(_shared_keys(reps), "keys")
+    keyed = _keyed(shared, single).repartition("key").sortWithinPartitions("key", "rep")
     close = keyed.mapInArrow(_star(percent), "a bigint, b bigint, bits bigint").groupBy("b").agg(
         F.min(F.struct("bits", "a"))["a"].alias("alike"), F.min("a").alias("first")
     )
@@ -361,8 +389,8 @@ def near_duplicates(
     sizes = found.groupBy(F.col("component").alias("_c")).agg(F.count(F.lit(1)).alias("_members"))
     joined = reps.join(found, reps["rep"] == found["node"], "left").withColumn("comp", F.coalesce("component", "rep"))
     joined = joined.join(sizes, joined["comp"] == sizes["_c"], "left").withColumn("members", F.coalesce("_members", F.lit(1)).cast("bigint"))
-    placed = stored(joined.select("rep", "comp", "members", "n", "symbols", *WORDS), "placed")
-    rest = _keyed(placed).repartition("key").sortWithinPartitions("key", "comp")
+    placed = stored(joined.select("rep", "comp", "members", "n", *WORDS), "placed")
+    rest = _keyed(shared, placed).repartition("key").sortWithinPartitions("key", "comp")
     across = stored(rest.mapInArrow(_across(percent), "a bigint, b bigint, comp bigint").distinct(), "across")
     more = _confirmed(own, across.where("b is not null").select("a", "b"), words, percent)
     large = _confirmed_members(own, across.where("b is null").select("a", "comp"), placed.select("rep", "comp"), words, percent)
