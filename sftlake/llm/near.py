@@ -10,7 +10,8 @@
 3. Rows of a key are seen in order by a stream that holds three rows of it: each row is compared with the first, the second
    and the row before, by the bounds on set size and on 256 two-bit minima. Of those each row keeps two, the most alike and the
    first, which are confirmed on full sets, and components are formed. That is linear, and unites most of a group of any size.
-4. Keys whose rows lie in different components are looked at again, all pairs across components, never those within one. Between
+4. Keys whose rows lie in different components are looked at again, all pairs across components, never those within one. The rows
+   of a key that has many are cut into blocks, and each pair of blocks is a group of its own, so one key's pairs are spread over tasks. Between
    small components plausible pairs are confirmed one by one. A row that is plausible for a member of a large component is
    compared with all its members at once, through an inverted index over blocks of them, and needs one row however many members
    it resembles. So no link is lost to step 3's choice, and a large group, linked or not linked with a text, makes no pairs by
@@ -33,6 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql import Window as W
 
 from sftlake.llm.common import mix64, sliced, stored, utf8
 from sftlake.llm.components import components
@@ -49,6 +51,8 @@ MAX_DIFFERENT = 63
 SMALL = 16
 #: Shingles in a block of members, and in a block of the rows that are compared with it.
 BLOCK_SHINGLES = 1 << 20
+#: Rows of one key in a block; a task compares two blocks at a time.
+BLOCK_ROWS = 1 << 14
 #: Ids sent to all tasks, at most; beyond that the texts are joined.
 SEND_IDS = 2_000_000
 WORD_CACHE = 300_000
@@ -176,9 +180,9 @@ def _keyed(shared: DataFrame, reps: DataFrame) -> DataFrame:
 ROW = np.dtype([(c.split()[0], "i8") for c in KEYED.split(", ")])
 
 
-def _rows(batch: pa.RecordBatch) -> np.ndarray:
-    rows = np.empty(batch.num_rows, ROW)
-    for name in ROW.names:
+def _rows(batch: pa.RecordBatch, dtype: np.dtype = ROW) -> np.ndarray:
+    rows = np.empty(batch.num_rows, dtype)
+    for name in dtype.names:
         rows[name] = batch.column(name).to_numpy(zero_copy_only=False)
     return rows
 
@@ -227,28 +231,78 @@ def _star(percent: int):
     return run
 
 
-def _across(percent: int, block: int = 1 << 21):
-    """Plausible pairs of a key's rows in different components; rows come by (key, comp). A row of the smaller component
-    is ``a``; ``b`` is its partner, or null where that lies in a large component, which ``comp`` then names."""
+CELL = np.dtype([("a", "i8"), ("b", "i8"), ("side", "i8"), *ROW.descr])
+
+
+def _cells(shared: DataFrame, placed: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """(a, b, side) and the columns of ROW: the rows of keys that span components, dealt into cells of two blocks (a <= b).
+
+    A key of at most ``block_rows`` rows is one block. In a larger one each component of more rows than that has blocks of its
+    own, and the other rows share blocks. A row goes with its block to the cell of every block of the key, save those
+    of its own large component, so any two rows in different components meet in exactly one cell.
+    ``side`` is 0 for the rows of block a and 1 for those of block b.
+    """
+    where = placed.select(F.col("rep").alias("_rep"), "comp")
+    spans = shared.join(where, F.col("rep") == F.col("_rep")).groupBy(F.col("key").alias("_key")).agg(
+        F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("rows")
+    )
+    several = stored(spans.where("lo <> hi").select("_key", "rows"), "spanning")
+    blocks = lambda n: F.ceil(n / F.lit(block_rows)).cast("bigint")
+    # At most one key, and one component of a key, per block_rows shared rows.
+    long = F.broadcast(several.where(F.col("rows") > block_rows))
+    large = stored(
+        shared.join(long, F.col("key") == F.col("_key")).join(where, F.col("rep") == F.col("_rep"))
+        .groupBy(F.col("key").alias("_k"), F.col("comp").alias("_c")).agg(F.count(F.lit(1)).alias("held"))
+        .where(F.col("held") > block_rows).withColumn("own", blocks(F.col("held"))), "large",
+    )
+    taken = large.groupBy("_k").agg(F.sum("held").alias("held"), F.sum("own").alias("large"))
+    counts = long.join(taken, F.col("_key") == F.col("_k"), "left").select(
+        F.col("_key").alias("_long"), blocks(F.col("rows") - F.coalesce("held", F.lit(0))).alias("rest"), F.coalesce("large", F.lit(0)).alias("large")
+    )
+    counts = stored(counts, "blocks")
+    before = F.sum("own").over(W.partitionBy("_k").orderBy("_c")) - F.col("own")
+    ranges = large.join(counts, F.col("_k") == F.col("_long")).select("_k", "_c", "own", (F.col("rest") + before).alias("start"))
+
+    rows = _keyed(shared.join(several, F.col("key") == F.col("_key"), "left_semi"), placed)
+    rows = rows.join(F.broadcast(counts), F.col("key") == F.col("_long"), "left")
+    rows = rows.join(F.broadcast(stored(ranges, "ranges")), (F.col("key") == F.col("_k")) & (F.col("comp") == F.col("_c")), "left")
+    total = F.coalesce(F.col("rest") + F.col("large"), F.lit(1))
+    mine = F.coalesce("start", F.lit(0)) + F.pmod(F.xxhash64("rep"), F.coalesce("own", "rest", F.lit(1)))
+    rows = rows.withColumn("_mine", mine).withColumn("_other", F.explode(F.sequence(F.lit(0).cast("bigint"), total - 1)))
+    apart = F.col("start").isNull() | (F.col("_other") < F.col("start")) | (F.col("_other") >= F.col("start") + F.col("own"))
+    return rows.where(apart).select(
+        F.least("_mine", "_other").alias("a"), F.greatest("_mine", "_other").alias("b"),
+        (F.col("_mine") > F.col("_other")).cast("bigint").alias("side"), *ROW.names,
+    )
+
+
+def _across(percent: int, step: int = 1 << 18):
+    """Plausible pairs of a cell's rows in different components; rows come by (key, a, b, side, comp). A row of the smaller
+    component is ``a``; ``b`` is its partner, or null where that lies in a large component, which ``comp`` then names."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.empty(0, ROW)
+        held = np.empty(0, CELL)  # the open cell: two blocks at most
 
         def pairs(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
             if len(rows) < 2:
                 return
-            new_key = np.flatnonzero(rows["key"][1:] != rows["key"][:-1]) + 1
-            new_comp = np.flatnonzero((rows["key"][1:] != rows["key"][:-1]) | (rows["comp"][1:] != rows["comp"][:-1])) + 1
+            changes = lambda *names: np.any([rows[c][1:] != rows[c][:-1] for c in names], axis=0)
             ends = lambda cuts: np.repeat(np.append(cuts, len(rows)), np.diff(np.concatenate(([0], cuts, [len(rows)]))))
-            key_end, comp_end = ends(new_key), ends(new_comp)
-            partners = key_end - comp_end  # rows of later components of the same key
+            new_cell = changes("key", "a", "b")
+            new_side = new_cell | changes("side")
+            cell_end, side_end, comp_end = (ends(np.flatnonzero(c) + 1) for c in (new_cell, new_side, new_side | changes("comp")))
+            # Partners: in a block with itself the rows of later components, else the other block's rows.
+            begin = np.where(rows["a"] == rows["b"], comp_end, side_end)
+            partners = cell_end - begin
             total = np.cumsum(partners)
             lo = 0
             while lo < len(rows):
-                hi = max(lo + 1, int(np.searchsorted(total, (total[lo - 1] if lo else 0) + block, "right")))
+                hi = max(lo + 1, int(np.searchsorted(total, (total[lo - 1] if lo else 0) + step, "right")))
                 n = partners[lo:hi]
                 if n.sum():
                     left = np.repeat(np.arange(lo, hi), n)
-                    right = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + comp_end[left]
+                    right = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + begin[left]
+                    other = rows["comp"][left] != rows["comp"][right]
+                    left, right = left[other], right[other]
                     ok = _plausible(rows[left], rows[right], percent)
                     if ok.any():
                         x, y = rows[left[ok]], rows[right[ok]]
@@ -264,12 +318,13 @@ def _across(percent: int, block: int = 1 << 21):
                 lo = hi
 
         for b in sliced(batches, 1 << 18):
-            rows = np.concatenate([held, _rows(b)])
+            rows = np.concatenate([held, _rows(b, CELL)])
             if not len(rows):
                 continue
-            whole = int(np.searchsorted(rows["key"], rows["key"][-1], "left"))
+            last = rows[-1]
+            whole = int(np.argmax((rows["key"] == last["key"]) & (rows["a"] == last["a"]) & (rows["b"] == last["b"])))
             yield from pairs(rows[:whole])
-            held = rows[whole:]
+            held = rows[whole:].copy()
         yield from pairs(held)
 
     return run
@@ -390,7 +445,7 @@ def near_duplicates(
     joined = reps.join(found, reps["rep"] == found["node"], "left").withColumn("comp", F.coalesce("component", "rep"))
     joined = joined.join(sizes, joined["comp"] == sizes["_c"], "left").withColumn("members", F.coalesce("_members", F.lit(1)).cast("bigint"))
     placed = stored(joined.select("rep", "comp", "members", "n", *WORDS), "placed")
-    rest = _keyed(shared, placed).repartition("key").sortWithinPartitions("key", "comp")
+    rest = _cells(shared, placed).repartition("key", "a", "b").sortWithinPartitions("key", "a", "b", "side", "comp")
     across = stored(rest.mapInArrow(_across(percent), "a bigint, b bigint, comp bigint").distinct(), "across")
     more = _confirmed(own, across.where("b is not null").select("a", "b"), words, percent)
     large = _confirmed_members(own, across.where("b is null").select("a", "comp"), placed.select("rep", "comp"), words, percent)

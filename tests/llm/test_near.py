@@ -103,3 +103,32 @@ def test_components_of_a_long_path_and_a_star(spark):
     got = dict(map(tuple, components(spark.createDataFrame(edges, "a bigint, b bigint"), "a", "b").collect()))
     assert {v for k, v in got.items() if 100 <= k <= 160} == {100} and {v for k, v in got.items() if k >= 200} == {5}
     assert got[8] == got[9] == 8 and 7 not in got
+
+
+@pytest.mark.parametrize("block_rows", [7, 1000])
+def test_cells_hold_each_pair_across_components_once(spark, block_rows):
+    # Key 1: a component of 40 rows, one of 9, and 25 rows of small ones. Key 2 lies in one component, key 3 in two.
+    comps = [1] * 40 + [2] * 9 + [100 + i // 2 for i in range(25)]
+    placed = [(r, c, 1, 5, *[0] * 8) for r, c in enumerate(comps)]
+    keys = [(1, r) for r in range(len(comps))] + [(2, r) for r in range(30)] + [(3, 0), (3, 45)]
+    names = ", ".join(f"{c} bigint" for c in ("rep", "comp", "members", "n", *near.WORDS))
+    cells = near._cells(spark.createDataFrame(keys, "key bigint, rep bigint"), spark.createDataFrame(placed, names), block_rows).collect()
+    groups = {}
+    for r in cells:
+        groups.setdefault((r.key, r.a, r.b), ([], []))[r.side].append(r.rep)
+    assert {k for k, _, _ in groups} == {1, 3}
+    met = []
+    for (key, a, b), (x, y) in groups.items():
+        assert len(x) <= 5 * block_rows and len(y) <= 5 * block_rows
+        met += [(key, *sorted((i, j))) for i in x for j in (y if a != b else x) if comps[i] != comps[j] and (a != b or i < j)]
+    want = {(k, i, j) for k in (1, 3) for _, i in filter(lambda t: t[0] == k, keys) for _, j in filter(lambda t: t[0] == k, keys) if i < j and comps[i] != comps[j]}
+    assert len(met) == len(set(met)) and set(met) == want
+    if block_rows == 7:  # the large component's rows are met by others, never by one another
+        assert max(len(x) + len(y) for x, y in groups.values()) < 40
+
+
+def test_equals_brute_force_in_small_blocks(spark, monkeypatch):
+    monkeypatch.setattr(near._cells, "__defaults__", (4,))
+    rows = corpus(7)
+    df = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], SCHEMA)
+    assert sorted(map(tuple, near.near_duplicates(df, words=2).collect())) == brute(rows, 2)
