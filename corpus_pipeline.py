@@ -51,7 +51,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def write_token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document in the files."""
     path = shared_dir(spark, "pipeline-tokens")
-    token_files.write_tokens(docs, path, vocabulary())
+    token_files.write_tokens(docs, path, vocabulary(), special_tokens=True)
     return token_files.read_token_digests(spark, path)
 
 

@@ -4,6 +4,9 @@ The vocabulary's pre-tokenizer never joins what stands before and after a single
 two characters that are no white space: such a space opens the next piece. A text can therefore be cut there, and
 equal chunks have equal ids wherever they stand. A worker keeps the ids of chunks it has met in two bounded tables (a full one
 becomes the older one, and the older one goes) and lets the library encode new chunks in one batch.
+
+The string of a special token in a text is ordinary text, or, with ``special_tokens``, becomes that token's id, as the library
+does unless told otherwise. It holds no white space, so no cut goes through it.
 """
 
 from __future__ import annotations
@@ -44,12 +47,15 @@ def chunks(text: str) -> list[str]:
 class ByteBpe:
     """Encodes texts to little-endian unsigned 32-bit ids."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special_tokens: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = not special_tokens
+        for t in self.tokenizer.get_added_tokens_decoder().values():
+            if t.lstrip or t.rstrip or any(map(str.isspace, t.content)):
+                raise ValueError(f"a cut at white space could go through {t.content!r}")
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.lengths = self.byte_lengths()
@@ -91,20 +97,22 @@ class ByteBpe:
             self.known.update((c, np.array(e.ids, "<u4").tobytes()) for c, e in zip(first, encoded))
 
     def byte_lengths(self) -> np.ndarray:
-        """Bytes of text behind each id. Every character of a byte-level token stands for one byte."""
+        """Bytes of text behind each id. Every character of a byte-level token stands for one byte; added tokens stand as they are."""
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
         lengths = np.zeros(max(vocab.values()) + 1, np.int64)
         for token, i in vocab.items():
             lengths[i] = len(token)
+        for i, token in self.tokenizer.get_added_tokens_decoder().items():
+            lengths[i] = len(token.content.encode())
         return lengths
 
 
-_LOADED: dict[str, ByteBpe] = {}
+_LOADED: dict[tuple[str, bool], ByteBpe] = {}
 
 
-def encoder(path: str) -> ByteBpe:
+def encoder(path: str, special_tokens: bool = False) -> ByteBpe:
     """The worker's encoder for a vocabulary file; the path must exist on every executor."""
-    if path not in _LOADED:
+    if (path, special_tokens) not in _LOADED:
         _LOADED.clear()
-        _LOADED[path] = ByteBpe(path)
-    return _LOADED[path]
+        _LOADED[path, special_tokens] = ByteBpe(path, special_tokens)
+    return _LOADED[path, special_tokens]

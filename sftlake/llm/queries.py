@@ -16,13 +16,13 @@ _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwx
 
 def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "tokens")
-    token_files.write_tokens(table(spark, sf_dir, "documents"), path, vocabulary())
+    token_files.write_tokens(table(spark, sf_dir, "documents"), path, vocabulary(), special_tokens=True)
     return token_files.read_token_digests(spark, path)
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    counts = token_counts.token_counts(docs, vocabulary(), fields=("source", "text"), rule="start")
+    counts = token_counts.token_counts(docs, vocabulary(), fields=("source", "text"), rule="start", special_tokens=True)
     return counts.withColumn("n_tokens", F.col("n_tokens").cast("bigint"))
 
 

@@ -63,9 +63,11 @@ def allocate(tokens: np.ndarray, sections: np.ndarray, rule: str) -> tuple[np.nd
 
 
 def token_counts(
-    docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", fields: Sequence[str] = ("text",), rule: str = "start"
+    docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", fields: Sequence[str] = ("text",), rule: str = "start",
+    special_tokens: bool = False,
 ) -> DataFrame:
-    """(doc_id, field, section, n_chars, n_tokens, n_crossing), sections numbered from 0 in each field."""
+    """(doc_id, field, section, n_chars, n_tokens, n_crossing), sections numbered from 0 in each field. With ``special_tokens``
+    their strings in a text count as one token each."""
     names = list(fields)
     rows = docs.select(
         F.col(doc_id).cast("bigint").alias("_doc"),
@@ -73,7 +75,7 @@ def token_counts(
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = encoder(tokenizer)
+        bpe = encoder(tokenizer, special_tokens)
         for batch in sliced(batches, 256):
             parts = [batch.column(1 + i).to_pylist() for i in range(len(names))]
             texts = ["\n".join(p) for p in zip(*parts)]

@@ -140,12 +140,13 @@ _SCHEMA = pa.schema([
 
 def token_shards(
     docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text", end_id: int = END_ID,
-    shard_ids: int = SHARD_IDS, vocab: int = 50257, rounds: int = 4, min_count: int = 24,
+    shard_ids: int = SHARD_IDS, vocab: int = 50257, rounds: int = 4, min_count: int = 24, special_tokens: bool = False,
 ) -> DataFrame:
     """Shards of the documents in ascending id order; (part, shard) is their order.
 
     Texts move once, into ranges of (id, text hash). ``tokenizer`` is a path on every executor. With symbols
     of at most 65,536 kinds a shard's symbols take two bytes each, so rules are limited to what is left of those.
+    With ``special_tokens`` their strings in a text become their ids.
     """
     most = max((1 << 16) - vocab, 0) or (1 << 20)
     options = {"rounds": rounds, "min_count": min_count, "most": most}
@@ -158,7 +159,7 @@ def token_shards(
         from pyspark import TaskContext
 
         part, no, held, size = TaskContext.get().partitionId(), 0, [], 0
-        encode = encoder(tokenizer).encode
+        encode = encoder(tokenizer, special_tokens).encode
         for batch in sliced(batches, 256):
             ids = encode(batch.column("text").to_pylist())
             for doc, own in zip(batch.column("doc").to_pylist(), ids):

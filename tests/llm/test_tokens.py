@@ -132,3 +132,41 @@ def test_allocation_rules(tokens, data):
         counts, crossed = tc.allocate(np.array(tokens), sections, rule)
         assert np.allclose(counts, want[rule]) and crossed.tolist() == crossing.tolist()
         assert abs(counts.sum() - len(tokens)) < 1e-9
+
+
+@pytest.fixture(scope="module")
+def default_library():
+    return Tokenizer.from_file(vocabulary())
+
+
+def test_encoder_equals_library_with_special_tokens(default_library):
+    rng = random.Random(5)
+    parts = ["a", "Bc", " ", "\n", "\t", "12", "'s", ".", "é", " ", " x", "\x1c", "\r\n", "\x00", "　", "<|endoftext|>", "<|endoftext|>", "  "]
+    texts = ["end of page <|endoftext|> next"] + ["".join(rng.choice(parts) for _ in range(rng.randint(0, 12))) for _ in range(6000)]
+    got = [np.frombuffer(b, "<u4").tolist() for b in ByteBpe(vocabulary(), special_tokens=True).encode(texts)]
+    assert got[0] == [437, 286, 2443, 220, 50256, 1306]
+    for ids, text in zip(got, texts):
+        assert ids == default_library.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_queries_equal_the_default_library(spark, default_library, tmp_path):
+    import corpus_pipeline
+    from sftlake.llm import queries
+
+    docs = spark.createDataFrame(
+        [(1, "end of page <|endoftext|> next", "en", "a", 30), (2, "x<|endoftext|>\n<|endoftext|>y z", "en", "b<|endoftext|>", 31)],
+        "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    )
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    texts = {r.doc_id: r for r in docs.collect()}
+    want = [default_library.encode(texts[i].text, add_special_tokens=False).ids + [2] for i in (1, 2)]
+    files = [queries.op1_token_files(spark, str(tmp_path)), corpus_pipeline.write_token_files(spark, docs, str(tmp_path))]
+    for found in files:
+        rows = sorted(found.select("doc_id", "start", "n_tokens", "ids_crc32").collect())
+        assert [r[1:] for r in map(tuple, rows)] == [
+            (at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())) for at, ids in zip((0, len(want[0])), want)
+        ]
+    counted = Counter()
+    for r in queries.op10_token_counts(spark, str(tmp_path)).collect():
+        counted[r.doc_id] += r.n_tokens
+    assert counted == {i: len(default_library.encode(f"{r.source}\n{r.text}", add_special_tokens=False).ids) for i, r in texts.items()}
