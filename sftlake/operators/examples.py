@@ -12,7 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql.window import WindowSpec
 
 from sftlake.functions import text as tx
-from sftlake.operators.ordering import digest, int_div, number_by_digest, number_by_position
+from sftlake.operators.ordering import digest, int_div, null_safe, number_by_digest, number_by_position
 
 #: Label of a position that takes no part in the loss.
 MASKED = -100
@@ -62,17 +62,20 @@ def encode_tokens(
 ) -> DataFrame:
     """Replace a token array by ids of a vocabulary ``(token, id)``; rows keep their place.
 
-    The vocabulary is joined, whatever its size; of a token's several ids the smallest counts.
-    ``key`` must be unique. Tokens that most rows hold are split by the adaptive skew join.
+    The vocabulary is joined, whatever its size; of a token's several ids the smallest counts. Rows are told apart by ``key``
+    and their tokens, so a null or repeated key is no different from others. Tokens that most rows hold are split by the
+    adaptive skew join.
     """
     table = vocab.groupBy("token").agg(F.min("id").cast("int").alias("id"))
-    words = df.select(key, F.posexplode(tokens).alias("_pos", "token"))
+    marked = df.withColumn("_same", F.md5(F.to_json(tokens)))
+    words = marked.select(key, "_same", F.posexplode(tokens).alias("_pos", "token"))
     code = F.coalesce(F.col("id"), F.lit(unknown_id)).cast("int")
-    coded = words.join(table, "token", "left").groupBy(key).agg(
-        F.array_sort(F.collect_list(F.struct("_pos", code.alias("id")))).getField("id").alias(ids)
+    # A set: rows of equal key and equal tokens give each place the same id more than once.
+    coded = words.join(table, "token", "left").groupBy(key, "_same").agg(
+        F.array_sort(F.collect_set(F.struct("_pos", code.alias("id")))).getField("id").alias(ids)
     )
     empty = F.when(F.col(tokens).isNotNull(), F.array().cast("array<int>"))
-    return df.join(coded, key, "left").withColumn(ids, F.coalesce(F.col(ids), empty))
+    return null_safe(marked, coded, [key, "_same"], "left").withColumn(ids, F.coalesce(F.col(ids), empty)).drop("_same")
 
 
 def encode_tokens_in_memory(
@@ -132,7 +135,7 @@ def tokenised_examples(
 ) -> DataFrame:
     """SFT records to examples: render, tokenise natively, encode, truncate and mask.
 
-    A vocabulary table is joined (``key`` must be unique then), one that the caller holds travels along.
+    A vocabulary table is joined, one that the caller holds travels along; both keep every record, also of a null or repeated ``key``.
     """
     answer = F.concat(F.coalesce("response", F.lit("")), F.lit(eos))
     # No token reaches over the end of the rendered prompt: it ends in a newline, which only
@@ -147,8 +150,7 @@ def tokenised_examples(
         F.size("_prompt").alias("prompt_len"),
     )
     if isinstance(vocab, DataFrame):
-        short = encode_tokens(pieces.select(key, "_tokens"), vocab, "_tokens", key, "full_ids", unknown_id)
-        coded = pieces.drop("_tokens").join(short.drop("_tokens"), key)
+        coded = encode_tokens(pieces, vocab, "_tokens", key, "full_ids", unknown_id).drop("_tokens")
     else:
         coded = encode_tokens_in_memory(pieces, vocab, "_tokens", "full_ids", unknown_id).drop("_tokens")
     return build_example(coded, max_length)

@@ -52,6 +52,26 @@ def test_encode_by_join_and_in_memory(spark):
     assert sorted(rows(ex.encode_tokens_in_memory(df, {"a": 5, "b": 6}, "t", "ids").select("k", "ids"))) == want
 
 
+def test_null_and_repeated_keys_lose_and_mix_nothing(spark):
+    df = spark.createDataFrame(
+        [(None, "p q", "r"), (None, "q", "r r"), (7, "p", "q"), (7, "r", None), (7, "r", None), (8, None, "p"), (9, "q", "p")],
+        "ord bigint, prompt string, response string",
+    )
+    table = spark.createDataFrame([("p", 1), ("q", 2), ("r", 3), ("user", 4)], "token string, id int")
+    held = {r.token: r.id for r in table.collect()}
+    joined, in_memory = (
+        sorted(rows(ex.tokenised_examples(df, v, "S", ex.EOS, 100).select("ord", "prompt", "response", "input_ids", "labels")), key=str)
+        for v in (table, held)
+    )
+    assert len(joined) == 7 and joined == in_memory
+    words = spark.createDataFrame([(None, ["p", "q"]), (None, ["r"]), (1, ["q"]), (1, ["p", "p"]), (1, ["q"]), (None, [])], "k int, t array<string>")
+    by_join, by_map = (
+        sorted(rows(f.select("k", "t", "ids")), key=str)
+        for f in (ex.encode_tokens(words, table, "t", "k", "ids"), ex.encode_tokens_in_memory(words, held, "t", "ids"))
+    )
+    assert by_join == by_map
+
+
 def test_examples_with_a_plugged_tokenizer(spark):
     from sftlake.functions.tokenizer import with_tokenizer
 
