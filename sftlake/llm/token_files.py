@@ -7,7 +7,7 @@ rules (two symbols each), the rules' expansion lengths, and the remaining symbol
 where each token lies without decoding, so a document, or a range of its tokens, is decoded from its own symbols.
 
 One round replaces pairs that occur at least ``min_count`` times, from left to right; new symbols take part in the next rounds. Rounds end when no such
-pair is left, the symbol space is used up or ``rounds`` is reached. Any outcome decodes to the input exactly.
+pair is left, the symbol space is used up or ``rounds``, where given, is reached. Any outcome decodes to the input exactly.
 
 Defined cases: a null or empty text is a document of only the end id; documents of equal id are put in the
 order of a hash of their text; null ids come first; a document larger than a shard is a shard of its own; an
@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -37,41 +38,52 @@ SHARD = (
 )
 
 
-def _frequent(a: np.ndarray, b: np.ndarray, ok: np.ndarray, min_count: int, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Keys (first symbol << 32 | second) of frequent pairs, the positions where they start, and each position's pair.
+def _frequent(a: np.ndarray, b: np.ndarray, at: np.ndarray, min_count: int, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys (first symbol << 32 | second) of the frequent pairs at positions ``at``, the positions where they start, and each position's pair.
 
-    Pairs are counted in hash bins, in linear time. Of pairs that share a bin one is taken, the others wait for a later round.
+    Pairs are counted in hash bins, in linear time. Of pairs that share a bin one is taken, the others wait; where no pair can be
+    taken that way, those of the bins that are full enough are counted exactly, by sorting.
     """
-    bins = (((a * np.uint32(0x9E3779B1)) ^ (b * np.uint32(0x85EBCA6B))) >> np.uint32(32 - BINS.bit_length() + 1)).astype(np.intp)
-    bins[~ok] = BINS  # a pair that would cross the end of a document
+    bins = (((a[at] * np.uint32(0x9E3779B1)) ^ (b[at] * np.uint32(0x85EBCA6B))) >> np.uint32(32 - BINS.bit_length() + 1)).astype(np.intp)
     heavy = np.bincount(bins, minlength=BINS + 1) >= min_count
-    heavy[BINS] = False
-    at = np.flatnonzero(heavy[bins])
-    bins = bins[at]
+    stay = heavy[bins]
+    at, bins = at[stay], bins[stay]
     keys = (a[at].astype(np.uint64) << np.uint64(32)) | b[at]
+    all_at, all_keys = at, keys
     taken = np.zeros(BINS + 1, np.uint64)
     taken[bins] = keys
     same = taken[bins] == keys
     at, bins = at[same], bins[same]
     counts = np.bincount(bins, minlength=BINS + 1)
     good = np.flatnonzero(counts >= min_count)
+    if not len(good) and len(all_at):
+        found, bins, counts = np.unique(all_keys, return_inverse=True, return_counts=True)
+        at, taken, good = all_at, found, np.flatnonzero(counts >= min_count)
     if len(good) > most:
         good = np.sort(good[np.argsort(-counts[good], kind="stable")[:most]])
-    rank = np.full(BINS + 1, -1, np.int64)
+    rank = np.full(len(counts), -1, np.int64)
     rank[good] = np.arange(len(good))
     rank = rank[bins]
     return taken[good], at[rank >= 0], rank[rank >= 0]
 
 
-def repair(ids: np.ndarray, ends: np.ndarray, first_rule: int, rounds: int = 4, min_count: int = 24, most: int = 1 << 14) -> tuple:
-    """Symbols, their document ends, and rules (left, right) of a shard. ``ends`` marks each document's last id."""
+def repair(ids: np.ndarray, ends: np.ndarray, first_rule: int, rounds: int | None = None, min_count: int = 24, most: int = 1 << 14) -> tuple:
+    """Symbols, their document ends, and rules (left, right) of a shard. ``ends`` marks each document's last id.
+
+    A round looks at pairs with a symbol of the round before; where none is frequent, at all pairs, since some may have waited.
+    """
     symbols, rules = ids.astype(np.uint32), [np.empty((0, 2), np.uint32)]
-    next_rule = first_rule
-    for _ in range(rounds):
+    next_rule = newest = first_rule
+    for _ in count() if rounds is None else range(rounds):
         room = most - (next_rule - first_rule)
         if room <= 0 or len(symbols) < 2:
             break
-        keys, at, rank = _frequent(symbols[:-1], symbols[1:], ~ends[:-1], min_count, room)
+        new = symbols >= newest
+        inside = ~ends[:-1]  # no pair crosses the end of a document
+        near = np.flatnonzero((new[:-1] | new[1:]) & inside) if next_rule > first_rule else np.flatnonzero(inside)
+        keys, at, rank = _frequent(symbols[:-1], symbols[1:], near, min_count, room)
+        if not len(keys) and next_rule > first_rule:
+            keys, at, rank = _frequent(symbols[:-1], symbols[1:], np.flatnonzero(inside), min_count, room)
         if not len(keys):
             break
         # Pairs that overlap form runs of neighbouring positions: every second one is replaced.
@@ -88,7 +100,7 @@ def repair(ids: np.ndarray, ends: np.ndarray, first_rule: int, rounds: int = 4,
         stay = np.ones(len(symbols), bool)
         stay[at + 1] = False
         symbols, ends = symbols[stay], ends[stay]
-        next_rule += len(used)
+        newest, next_rule = next_rule, next_rule + len(used)
     return symbols, ends, np.concatenate(rules)
 
 
@@ -140,7 +152,7 @@ _SCHEMA = pa.schema([
 
 def token_shards(
     docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text", end_id: int = END_ID,
-    shard_ids: int = SHARD_IDS, vocab: int = 50257, rounds: int = 4, min_count: int = 24, special_tokens: bool = False,
+    shard_ids: int = SHARD_IDS, vocab: int = 50257, rounds: int | None = None, min_count: int = 24, special_tokens: bool = False,
 ) -> DataFrame:
     """Shards of the documents in ascending id order; (part, shard) is their order.
 

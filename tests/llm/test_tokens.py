@@ -70,6 +70,19 @@ def test_repair_replaces_frequent_pairs():
     assert len(symbols) < len(ids) / 2 and last.sum() == 2 and len(rules)
 
 
+def test_repair_leaves_no_frequent_pair():
+    rng = np.random.default_rng(2)
+    passage = rng.integers(0, 50257, 500).astype(np.uint32)
+    docs = [np.concatenate([rng.integers(0, 50257, 40).astype(np.uint32), passage]) for _ in range(60)]
+    ids, ends = np.concatenate(docs), np.zeros(540 * 60, bool)
+    ends[539::540] = True
+    symbols, last, rules = tf.repair(ids, ends, 50257)
+    pairs = Counter(zip(symbols[:-1][~last[:-1]].tolist(), symbols[1:][~last[:-1]].tolist()))
+    assert max(pairs.values()) < 24
+    assert len(symbols) < 60 * (40 + 2)  # the passage is one symbol, up to what joins its start
+    assert (tf.expand(symbols, rules, 50257) == ids).all() and last.sum() == 60
+
+
 @pytest.mark.parametrize("shard_ids", [50, 1 << 20])
 def test_files_round_trip(spark, library, tmp_path, shard_ids):
     path = str(tmp_path / "tokens")
