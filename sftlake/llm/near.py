@@ -416,7 +416,12 @@ def _confirmed_members(docs: DataFrame, asked: DataFrame, member: DataFrame, wor
 def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = SHINGLE_WORDS, percent: int = PERCENT
 ) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row."""
+    """(doc_id, n_shingles, component_id, kept) of every row.
+
+    Keys and bounds are laid out for a ``percent`` of 80 and more; a lower one, whose pairs they would lose, is refused.
+    """
+    if percent < PERCENT:
+        raise ValueError(f"percent is {PERCENT} or more")
     own = docs.select(F.col(doc_id).cast("bigint").alias("doc"), F.col(text).cast("string").alias("text"))
     sketch = stored(sketches(own, "doc", "text", words), "sketches")
     reps = stored(

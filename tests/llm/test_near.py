@@ -132,3 +132,8 @@ def test_equals_brute_force_in_small_blocks(spark, monkeypatch):
     rows = corpus(7)
     df = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], SCHEMA)
     assert sorted(map(tuple, near.near_duplicates(df, words=2).collect())) == brute(rows, 2)
+
+
+def test_refuses_a_similarity_below_its_layout(spark):
+    with pytest.raises(ValueError, match="80 or more"):
+        near.near_duplicates(spark.createDataFrame([], SCHEMA), percent=60)
