@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sftlake.llm import decontaminate, forest, language, lines, mixing, near, quality, token_counts, token_files, warc
+from sftlake.llm import decontaminate, forest, language, lines, merkle, mixing, near, quality, token_counts, token_files, warc
 from sftlake.llm.common import crc_remainder, stored, table, vocabulary
 from sftlake.session import shared_dir
 
@@ -209,6 +209,69 @@ SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
 FROM m
 """
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    changed = [F.col(c).cast("bigint") + F.lit(1) if c == "n_chars" else F.col(c) for c in columns]
+    chosen = F.col("doc_id").isNotNull() & (crc_remainder(F.col("doc_id"), 7) == 0)
+    also = {"tampered": F.when(chosen, merkle.leaf_digest(changed))}
+    found = merkle.manifest(table(spark, sf_dir, "documents"), columns, "lang", "doc_id", also=also)
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"),
+        merkle.folded(F.coalesce("tampered", "leaf"), F.col("path")).alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def _field_sql(value: str) -> str:
+    return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+def _tree_sql(name: str, leaves: str) -> str:
+    """Nodes (g, level, pos, h) of the trees over leaves (g, pos, h)."""
+    return f"""{name} AS (
+  SELECT g, 0 AS level, pos, h FROM {leaves}
+  UNION ALL SELECT g, level + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos))
+  FROM (SELECT *, count(*) OVER (PARTITION BY g) AS n FROM {name}) WHERE n > 1 GROUP BY g, level, pos // 2)"""
+
+
+_LEAF_FIELDS = [_field_sql(c) for c in ("doc_id", "source", "lang", "n_chars", "text")]
+_TAMPERED_FIELDS = [_field_sql("n_chars + 1") if i == 3 else f for i, f in enumerate(_LEAF_FIELDS)]
+#: crc32 of a decimal number, bit by bit: each byte is followed by seven steps that add nothing.
+_CRC32 = """xor(list_reduce(list_prepend(4294967295::UBIGINT,
+    flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: [ascii(c)::UBIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+    lambda c, x: xor(xor(c, x) >> 1, 3988292384::UBIGINT * (xor(c, x) & 1))), 4294967295::UBIGINT)"""
+OP13_SQL = f"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, coalesce('=' || lang, '') AS g, sha256({" || ".join(_LEAF_FIELDS)}) AS h,
+         CASE WHEN {_CRC32} % 7 = 0 THEN sha256({" || ".join(_TAMPERED_FIELDS)}) END AS tampered
+  FROM documents),
+rows AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, h) - 1 AS pos FROM leaves),
+{_tree_sql("tree", "rows")},
+tops AS (SELECT g, arg_max(h, level) AS h, max(level) AS levels FROM tree GROUP BY g),
+langs AS (SELECT '' AS g, g AS name, h, row_number() OVER (ORDER BY g) - 1 AS pos FROM tops),
+{_tree_sql("upper", "langs")},
+top AS (SELECT arg_max(h, level) AS root, max(level) AS levels FROM upper),
+steps AS (
+  SELECT r.g, r.pos AS leaf_pos, t.level AS ord, (r.pos >> l.level) % 2 AS odd, coalesce(t.h, '') AS h, l.level
+  FROM rows r JOIN tops ON tops.g = r.g, LATERAL (SELECT unnest(range(tops.levels)) AS level) l
+  LEFT JOIN tree t ON t.g = r.g AND t.level = l.level AND t.pos = xor(r.pos >> l.level, 1)),
+upper_steps AS (
+  SELECT n.name, (n.pos >> l.level) % 2 AS odd, coalesce(t.h, '') AS h, l.level
+  FROM langs n, top, LATERAL (SELECT unnest(range(top.levels)) AS level) l
+  LEFT JOIN upper t ON t.level = l.level AND t.pos = xor(n.pos >> l.level, 1)),
+proofs AS (
+  SELECT g, pos, list(odd || h ORDER BY part, level) FILTER (level IS NOT NULL) AS sides, string_agg(h, '' ORDER BY part, level) AS proof
+  FROM (
+    SELECT r.g, r.pos, 0 AS part, s.level, s.odd, s.h FROM rows r LEFT JOIN steps s ON s.g = r.g AND s.leaf_pos = r.pos
+    UNION ALL SELECT r.g, r.pos, 1, u.level, u.odd, u.h FROM rows r LEFT JOIN upper_steps u ON u.name = r.g)
+  GROUP BY g, pos),
+folded AS (
+  SELECT r.doc_id, r.h AS leaf, tops.h AS subroot, top.root, sha256(coalesce(p.proof, '')) AS proof_sha256,
+         list_reduce(list_prepend(coalesce(r.tampered, r.h), coalesce(p.sides, [])),
+                     lambda h, s: sha256(CASE WHEN s[1] = '1' THEN s[2:] || h ELSE h || s[2:] END)) AS folded_root
+  FROM rows r JOIN proofs p USING (g, pos) JOIN tops ON tops.g = r.g, top)
+SELECT *, folded_root = root AS verified FROM folded
+"""
+
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_forest": op2_forest,
@@ -220,6 +283,7 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_warc": op9_warc,
     "op10_token_counts": op10_token_counts,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 ORACLE = {
     "op4_mixing": OP4_SQL,
@@ -227,4 +291,5 @@ ORACLE = {
     "op7_near_duplicates": OP7_SQL,
     "op8_decontaminate": OP8_SQL,
     "op9_warc": OP9_SQL,
+    "op13_merkle_manifest": OP13_SQL,
 }
