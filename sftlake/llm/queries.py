@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sftlake.llm import decontaminate, forest, language, lines, merkle, mixing, near, quality, token_counts, token_files, warc
+from sftlake.llm import decontaminate, forest, language, lines, merkle, mixing, near, negatives, quality, repeats, token_counts, token_files, warc
 from sftlake.llm.common import crc_remainder, stored, table, vocabulary
 from sftlake.session import shared_dir
 
@@ -209,6 +209,61 @@ SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
 FROM m
 """
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents")).drop("spans")
+
+
+OP11_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+w AS (
+  SELECT doc_id, i, md5_number(substr(x, 2 * i + 1, 200)) AS k
+  FROM (SELECT doc_id, x, unnest(range(0, length(x) // 2 - 99)) AS i FROM d)),
+gone AS (SELECT doc_id, i FROM w QUALIFY row_number() OVER (PARTITION BY k ORDER BY doc_id, i) > 1),
+marked AS (
+  SELECT doc_id, i, coalesce(i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100, true) AS opens FROM gone),
+numbered AS (SELECT doc_id, i, count_if(opens) OVER (PARTITION BY doc_id ORDER BY i) AS nth FROM marked),
+spans AS (SELECT doc_id, nth, min(i) AS a, max(i) + 100 AS b FROM numbered GROUP BY doc_id, nth),
+parts AS (
+  SELECT d.doc_id, x, nth, a, b, substr(x, 2 * b + 1, 2 * (coalesce(lead(a) OVER (PARTITION BY d.doc_id ORDER BY nth), length(x) // 2) - b)) AS after
+  FROM d JOIN spans USING (doc_id)),
+cut AS (
+  SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans,
+         substr(any_value(x), 1, 2 * min(a)) || string_agg(after, '' ORDER BY nth) AS kept
+  FROM parts GROUP BY doc_id)
+SELECT d.doc_id, CAST(length(x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(kept, x))) AS kept_sha256
+FROM d LEFT JOIN cut USING (doc_id)
+"""
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + F.lit(1)) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, label=label)
+
+
+OP12_SQL = """
+WITH rows AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, a.label AS anchor_label, b.vec_id, b.label,
+         CAST(list_sum(list_transform(list_zip(a.v, b.v), lambda p: coalesce(p[1] * p[2], 0))) AS BIGINT) AS score
+  FROM rows a JOIN rows b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+pos AS (
+  SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS nth
+  FROM scored WHERE label = anchor_label QUALIFY nth <= 5)
+SELECT p.anchor_id, p.vec_id AS positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id) AS INT) AS rank,
+       s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM pos p JOIN scored s ON s.anchor_id = p.anchor_id AND s.label <> p.label
+ AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score
+QUALIFY rank <= 3
+"""
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["doc_id", "source", "lang", "n_chars", "text"]
     changed = [F.col(c).cast("bigint") + F.lit(1) if c == "n_chars" else F.col(c) for c in columns]
@@ -283,6 +338,8 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_warc": op9_warc,
     "op10_token_counts": op10_token_counts,
+    "op11_suffix_dedup": op11_suffix_dedup,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 ORACLE = {
@@ -291,5 +348,7 @@ ORACLE = {
     "op7_near_duplicates": OP7_SQL,
     "op8_decontaminate": OP8_SQL,
     "op9_warc": OP9_SQL,
+    "op11_suffix_dedup": OP11_SQL,
+    "op12_hard_negatives": OP12_SQL,
     "op13_merkle_manifest": OP13_SQL,
 }
