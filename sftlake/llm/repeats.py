@@ -155,20 +155,18 @@ class SuffixRanks:
     def __init__(self, raw: np.ndarray, rest: np.ndarray, need: int):
         """``rest``: bytes from each position to the end of its string."""
         self.rest, self.need = rest, need
-        n = len(raw)
         word, self.levels = raw.astype(np.uint64), []
         for k in (1, 2, 4):
             self.levels.append((k, word))
             word = (word << _u(8 * k)) | self._ahead(word, k)
-        # A string that ends within the word comes before one that goes on with zero bytes.
-        rank, k = self._ranked(word, np.minimum(rest, 8).astype(np.uint8)), 8
+        # A string that ends within the word comes before one that goes on with zero bytes; without such bytes the word tells.
+        rank, k = self._ranked(word, None if raw.all() else np.minimum(rest, 8).astype(np.uint8)), 8
         self.levels.append((k, rank))
         while 2 * k <= need:
             rank = self._ranked((rank << _u(32)) | self._ahead(rank, k))
             k *= 2
             self.levels.append((k, rank))
         self.key = (rank << _u(32)) | self._ahead(rank, need - k) if need > k else rank
-        self.order = np.argsort(self.key, kind="stable").astype(np.int64) if n else np.empty(0, np.int64)
 
     def _ahead(self, x: np.ndarray, k: int) -> np.ndarray:
         out = np.zeros_like(x)
@@ -184,7 +182,7 @@ class SuffixRanks:
         if not len(key):
             return new
         if size is None:
-            order = np.argsort(key, kind="stable")
+            order = np.argsort(key)
             step = np.diff(key[order]) != 0
         else:
             order = np.argsort(size, kind="stable")
@@ -204,16 +202,31 @@ class SuffixRanks:
         return np.minimum(got, most)
 
 
+def _previous(sa: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (suffix, earlier suffix): for the places of a suffix order, the nearest smaller position before, then the nearest behind."""
+    for near in (smaller_before(sa), len(sa) - 1 - smaller_before(sa[::-1])[::-1]):
+        has = np.flatnonzero((near >= 0) & (near < len(sa)))
+        yield sa[has], sa[near[has]]
+
+
 def longest_previous_factors(raw: np.ndarray, rest: np.ndarray, need: int) -> np.ndarray:
     """Of each position, the length of the longest string there that also starts at a smaller one, ``need`` at most."""
     found = np.zeros(len(raw), np.int64)
-    if not len(raw):
-        return found
-    ranks = SuffixRanks(raw, rest, need)
-    sa = ranks.order
-    for near in (smaller_before(sa), len(sa) - 1 - smaller_before(sa[::-1])[::-1]):
-        has = np.flatnonzero((near >= 0) & (near < len(sa)))
-        found[sa[has]] = np.maximum(found[sa[has]], ranks.common(sa[has], sa[near[has]]))
+    if len(raw):
+        ranks = SuffixRanks(raw, rest, need)
+        for here, earlier in _previous(np.argsort(ranks.key, kind="stable")):
+            found[here] = np.maximum(found[here], ranks.common(here, earlier))
+    return found
+
+
+def previous_factor_reaches(raw: np.ndarray, rest: np.ndarray, need: int) -> np.ndarray:
+    """Is a position's longest previous factor ``need`` long? Only positions with that much left can be, or be the earlier start."""
+    found = np.zeros(len(raw), bool)
+    at = np.flatnonzero(rest >= need)
+    if len(at):
+        key = SuffixRanks(raw, rest, need).key[at]  # equal for equal strings of ``need`` bytes
+        for here, earlier in _previous(np.argsort(key, kind="stable")):
+            found[at[here]] |= key[here] == key[earlier]
     return found
 
 
@@ -309,7 +322,7 @@ def _compare(need: int):
         own = np.repeat(np.arange(len(raw)), sizes)
         offset = np.cumsum(sizes) - sizes
         rest = np.repeat(offset + sizes, sizes) - np.arange(len(text))
-        again = longest_previous_factors(text, rest, need) >= need
+        again = previous_factor_reaches(text, rest, need)
         start, windows = _runs(again)  # a string's last windows end `need` before it, so no run goes over to the next
         yield [own[start], start - offset[own[start]], windows, np.zeros(len(start), np.int64), np.zeros(len(start), np.int64), np.ones(len(start), bool)]
         hot = np.array(rows.column("hot").to_pylist(), bool)

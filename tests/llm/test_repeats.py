@@ -32,7 +32,9 @@ def test_longest_previous_factors(need):
     sizes = np.array([len(s) for s in strings])
     raw = np.frombuffer(b"".join(strings), np.uint8)
     rest = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(raw))
-    assert repeats.longest_previous_factors(raw, rest, need).tolist() == brute_factors(strings, need)
+    want = brute_factors(strings, need)
+    assert repeats.longest_previous_factors(raw, rest, need).tolist() == want
+    assert repeats.previous_factor_reaches(raw, rest, need).tolist() == [x == need for x in want]
 
 
 def test_previous_smaller_places():
