@@ -2,8 +2,9 @@
 
 The vocabulary's pre-tokenizer never joins what stands before and after a single space (or newline) between
 two characters that are no white space: such a space opens the next piece. A text can therefore be cut there, and
-equal chunks have equal ids wherever they stand. A worker keeps the ids of chunks it has met in two bounded tables (a full one
-becomes the older one, and the older one goes) and lets the library encode new chunks in one batch.
+equal chunks have equal ids wherever they stand. A batch's texts are cut and its distinct chunks numbered by Arrow; each is looked up
+once in a worker's tables of chunks that it has met, new ones are encoded by the library in one go, and the ids are gathered from one
+array. The tables are bounded by bytes: a full one becomes the older one, and the older one goes.
 
 The string of a special token in a text is ordinary text, or, with ``special_tokens``, becomes that token's id, as the library
 does unless told otherwise. It holds no white space, so no cut goes through it.
@@ -14,12 +15,16 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Sequence
-from itertools import accumulate, chain
+from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-#: Distinct chunks in each of a worker's two tables: about 100 MB each.
-CACHE_CHUNKS = 500_000
+#: Bytes of each of a worker's two tables of chunks, and what an entry takes beside its chunk and ids.
+CACHE_BYTES, ENTRY_BYTES = 96 << 20, 180
+#: Longer chunks, as in scripts without spaces, are encoded each time and kept in no table.
+MOST_CHUNK = 64
 
 #: White space other than space and newline, as Python's str.isspace has it.
 _ODD_ASCII = tuple("\t\r\v\f\x1c\x1d\x1e\x1f") + ("\x00",)
@@ -30,18 +35,49 @@ _FIRST = "\x00"
 _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
 
 
-def chunks(text: str) -> list[str]:
-    """Pieces of a text that encode on their own. The space before a piece is left out of it: a piece that starts with neither a
-    newline nor `_FIRST` follows a space. `_FIRST` marks a text's beginning and pieces that are to be taken as they are."""
+def _is_plain(text: str) -> bool:
+    """Only single spaces and newlines between other characters: a plain split is exact."""
     has = text.__contains__
-    if not (
+    return not (
         any(map(has, _RUNS)) or any(map(has, _ODD_ASCII)) or (not text.isascii() and any(map(has, _ODD_SPACE)))
         or text[0] in " \n" or text[-1] in " \n"
-    ):  # only single spaces and newlines between other characters: a plain split is exact
-        parts = text.replace("\n", " \n").split(" ")
-        parts[0] = _FIRST + parts[0]
-        return parts
-    return [_FIRST + p for p in _CUT.split(text)]
+    )
+
+
+class _Table:
+    """Chunks with their ids, which lie one after another in one array."""
+
+    def __init__(self):
+        self.place: dict[str, int] = {}
+        self.ids, self.start, self.size = np.empty(1 << 16, np.uint32), np.empty(1 << 14, np.int64), np.empty(1 << 14, np.int64)
+        self.top, self.entries, self.text = 0, 0, 0
+
+    def bytes(self) -> int:
+        return 4 * self.top + self.text + ENTRY_BYTES * len(self.place)
+
+    def add(self, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Append the ids of chunks; their entries' numbers. Chunks can be looked up after `keep`."""
+        n, m = self.entries + len(sizes), self.top + len(ids)
+        if n > len(self.start):
+            self.start, self.size = (np.resize(x, max(n, 2 * len(x))) for x in (self.start, self.size))
+        if m > len(self.ids):
+            self.ids = np.resize(self.ids, max(m, 2 * len(self.ids)))
+        self.ids[self.top : m] = ids
+        self.size[self.entries : n] = sizes
+        self.start[self.entries : n] = self.top + np.cumsum(sizes) - sizes
+        added = np.arange(self.entries, n)
+        self.top, self.entries = m, n
+        return added
+
+    def keep(self, chunks: list[str], entries: np.ndarray) -> None:
+        self.place.update(zip(chunks, entries.tolist()))
+        self.text += sum(map(len, chunks))
+
+    def taken(self, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the entries one after another, and how many each has."""
+        size = self.size[entries]
+        first = np.repeat(self.start[entries] - (np.cumsum(size) - size), size)
+        return self.ids[first + np.arange(len(first))], size
 
 
 class ByteBpe:
@@ -56,45 +92,84 @@ class ByteBpe:
         for t in self.tokenizer.get_added_tokens_decoder().values():
             if t.lstrip or t.rstrip or any(map(str.isspace, t.content)):
                 raise ValueError(f"a cut at white space could go through {t.content!r}")
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.known, self.older = _Table(), _Table()
         self.lengths = self.byte_lengths()
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
-        cut = [chunks(t) if t else [] for t in texts]
-        flat = list(chain.from_iterable(cut))
-        found = list(map(self.known.get, flat))
-        missing = [i for i, ids in enumerate(found) if ids is None]
+        out = [b""] * len(texts)
+        plain, odd = [], []
+        for i, t in enumerate(texts):
+            if t:
+                (plain if _is_plain(t) else odd).append(i)
+        if plain:
+            marked = pa.array([_FIRST + texts[i].replace("\n", " \n") for i in plain], pa.large_string())
+            cut = pc.split_pattern(marked, " ")
+            self._encode(plain, cut.flatten(), cut.value_lengths().to_numpy(), out)
+        if odd:
+            parts = [[_FIRST + p for p in _CUT.split(texts[i])] for i in odd]
+            self._encode(odd, pa.array(list(chain.from_iterable(parts)), pa.large_string()), np.fromiter(map(len, parts), np.int64, len(parts)), out)
+        return out
+
+    def _encode(self, which: list[int], chunks: pa.Array, counts: np.ndarray, out: list[bytes]) -> None:
+        """Fill in the ids of texts whose chunks stand one after another."""
+        numbered = chunks.dictionary_encode()
+        places, keep = self._places(numbered.dictionary.to_numpy(zero_copy_only=False).tolist())
+        ids, size = self.known.taken(places[numbered.indices.to_numpy()])
+        self.known.top, self.known.entries = keep  # long chunks, which come last, go again
+        ends = np.cumsum(size)[np.cumsum(counts) - 1] * 4
+        data = ids.astype("<u4", copy=False).tobytes()
+        for i, a, b in zip(which, [0, *ends[:-1].tolist()], ends.tolist()):
+            out[i] = data[a:b]
+
+    def _places(self, values: list[str]) -> tuple[np.ndarray, tuple[int, int]]:
+        """Entries of distinct chunks, new ones being learned; and where the table ends without those that are not to stay."""
+        if self.known.bytes() > CACHE_BYTES:  # what is still in use comes over from the older table
+            self.older, self.known = self.known, _Table()
+        found = list(map(self.known.place.get, values))
+        missing = [i for i, p in enumerate(found) if p is None]
         if missing:
-            new = {flat[i] for i in missing}
-            if len(self.known) + len(new) > CACHE_CHUNKS:  # what is still in use comes over from the older table
-                self.older, self.known = self.known, {}
-                new.update(flat)
-            again = {c for c in new if c in self.older}
-            self.known.update((c, self.older[c]) for c in again)
-            self._learn(list(new - again))
-            for i in missing:
-                found[i] = self.known[flat[i]]
-        stops = list(accumulate(map(len, cut)))
-        return [b"".join(found[a:b]) for a, b in zip([0, *stops], stops)]
-
-    def _learn(self, new: list[str]) -> None:
-        """Ids of new chunks. Those that follow a space or newline have no other one inside: they are encoded as one text
-        and told apart by the bytes behind each id. The others are encoded one by one."""
-        follow = [c for c in new if c[0] != _FIRST]
+            before = [(i, p) for i in missing if (p := self.older.place.get(values[i])) is not None]
+            if before:
+                at, old = zip(*before)
+                self._add(found, values, at, *self.older.taken(np.array(old)))
+                missing = [i for i in missing if found[i] is None]
+            short = [i for i in missing if len(values[i]) <= MOST_CHUNK]
+            if short:
+                self._add(found, values, *self._learn(values, short))
+        keep = self.known.top, self.known.entries
+        long = [i for i in missing if len(values[i]) > MOST_CHUNK]
+        if long:
+            at, ids, sizes = self._learn(values, long)
+            for i, e in zip(at, self.known.add(ids, sizes).tolist()):
+                found[i] = e
+        return np.array(found, np.int64), keep
+
+    def _add(self, found: list, values: list[str], at: Sequence[int], ids: np.ndarray, sizes: np.ndarray) -> None:
+        entries = self.known.add(ids, sizes)
+        self.known.keep([values[i] for i in at], entries)
+        for i, e in zip(at, entries.tolist()):
+            found[i] = e
+
+    def _learn(self, values: list[str], which: list[int]) -> tuple[list[int], np.ndarray, np.ndarray]:
+        """Some chunks in an order of their own, their ids one after another, and how many each has. Those that follow a space or newline have
+        no other one inside: they are encoded as one text and told apart by the bytes behind each id. The others are encoded one by one."""
+        follow = [i for i in which if values[i][0] != _FIRST]
+        first = [i for i in which if values[i][0] == _FIRST]
+        ids, sizes = [np.empty(0, np.uint32)], [np.empty(0, np.int64)]
         if follow:
-            whole = "".join([c if c[0] == "\n" else " " + c for c in follow])
-            ids = np.array(self.tokenizer.encode_batch_fast([whole], add_special_tokens=False)[0].ids, "<u4")
+            whole = "".join([c if c[0] == "\n" else " " + c for c in map(values.__getitem__, follow)])
+            own = np.array(self.tokenizer.encode_batch_fast([whole], add_special_tokens=False)[0].ids, np.uint32)
             raw = np.frombuffer(whole.encode(), np.uint8)
             starts = np.flatnonzero((raw == 32) | (raw == 10))
-            at = np.searchsorted(np.cumsum(self.lengths[ids]) - self.lengths[ids], starts) * 4
-            cuts = [*at.tolist(), 4 * len(ids)]
-            data = ids.tobytes()
-            self.known.update(zip(follow, map(data.__getitem__, map(slice, cuts, cuts[1:]))))
-        first = [c for c in new if c[0] == _FIRST]
+            at = np.searchsorted(np.cumsum(self.lengths[own]) - self.lengths[own], starts)
+            ids.append(own)
+            sizes.append(np.diff(np.append(at, len(own))))
         if first:
-            encoded = self.tokenizer.encode_batch_fast([c[1:] for c in first], add_special_tokens=False)
-            self.known.update((c, np.array(e.ids, "<u4").tobytes()) for c, e in zip(first, encoded))
+            encoded = self.tokenizer.encode_batch_fast([values[i][1:] for i in first], add_special_tokens=False)
+            lists = [e.ids for e in encoded]
+            ids.append(np.fromiter(chain.from_iterable(lists), np.uint32))
+            sizes.append(np.fromiter(map(len, lists), np.int64, len(lists)))
+        return follow + first, np.concatenate(ids), np.concatenate(sizes)
 
     def byte_lengths(self) -> np.ndarray:
         """Bytes of text behind each id. Every character of a byte-level token stands for one byte; added tokens stand as they are."""

@@ -6,6 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,6 +40,14 @@ def narrow(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select(*(c.alias(name) for name, c in columns.items()))
 
 
+def free_name(columns: Iterable[str], name: str) -> str:
+    """``name``, with underscores before it until no column (in any case) has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def crc_remainder(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus``; a null id counts as the empty text (crc32 0)."""
     return F.pmod(F.crc32(F.encode(F.coalesce(doc_id.cast("string"), F.lit("")), "UTF-8")), F.lit(modulus))
@@ -65,3 +74,20 @@ def sliced(batches: Iterable[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBa
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+
+
+#: Bytes of text that a task works on at once.
+WORK_BYTES = 4 << 20
+
+
+def sliced_texts(batches: Iterable[pa.RecordBatch], column: str, rows: int, most: int = WORK_BYTES) -> Iterator[pa.RecordBatch]:
+    """Batches of at most ``rows`` rows and ``most`` bytes of a text column, one row at least: what a task holds beside its
+    input is bounded by these, or by its longest text."""
+    for batch in batches:
+        ends = np.cumsum(pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+        at = 0
+        while at < batch.num_rows:
+            before = int(ends[at - 1]) if at else 0
+            stop = min(max(at + 1, int(np.searchsorted(ends, before + most, "right"))), at + rows)
+            yield batch.slice(at, stop - at)
+            at = stop

@@ -6,8 +6,8 @@ keeps its byte offsets; the words are joined by single spaces, scanned once, and
 to words and, for reports, to character offsets of the original text.
 
 The test items are the query set: they go to the tasks in blocks of at most ``block_bytes`` of windows.
-Usually that is one block and one scan; a larger benchmark takes one scan per block, in one pass over the
-documents, with one block's automaton in memory at a time per batch of documents.
+Usually that is one block and one scan; a larger benchmark takes one scan per block, each with one automaton per task that is
+built once. Between scans the documents are written with what was found in them.
 
 Defined cases: a null or wordless text has 0 words and is clean; a null or wordless item has no window; an
 item repeated (same id) counts once, items of equal text each count; an item with a null id cannot be
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sftlake.llm.common import sliced, utf8
+from sftlake.llm.common import free_name, sliced_texts, stored, utf8
 
 WINDOW = 10
 BLOCK_BYTES = 64 << 20
@@ -126,45 +126,65 @@ def contamination(
     are, and where in the original text (``spans``, characters). Columns of the result's names are replaced."""
     spark = docs.sparkSession
     named = items.select(F.col(item_id).cast("bigint").alias("i"), F.col(item_text).alias("t")).where("i is not null")
-    cut = blocks(((r.i, None if r.t is None else r.t.encode()) for r in named.toLocalIterator()), window, block_bytes)
-    sent = spark.sparkContext.broadcast(cut)
+    cut = blocks(((r.i, None if r.t is None else r.t.encode()) for r in named.toLocalIterator()), window, block_bytes) or [{}]
     added = list(RESULT)
     kept = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c not in added))
     where = kept.columns.index(text)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        patterns, built = sent.value, {}
-        for batch in sliced(batches, 512):
-            texts = utf8(batch.column(where))
-            normal = [words(t) for t in texts]
-            ranges: list[list] = [[] for _ in texts]
-            hit: list[set] = [set() for _ in texts]
-            for no, block in enumerate(patterns):
-                if no not in built:  # one block's automaton at a time
-                    built = {no: _automaton(block)}
-                automaton = built[no]
-                for k, w in enumerate(normal):
-                    if w:
-                        r, ids = scan(automaton, w)
-                        ranges[k] += r
-                        hit[k] |= ids
-            joined = [merged(r) for r in ranges]
-            ids = [sorted(h) for h in hit]
-            n_hit = [sum(b - a for a, b in r) for r in joined]
-            spans = [original_spans(t, r) if r else [] for t, r in zip(texts, joined)]
-            columns = [
-                pa.array([len(w) for w in normal], pa.int64()), pa.array(n_hit, pa.int64()),
-                pa.array([len(i) for i in ids], pa.int64()), pa.array([_digest(i) for i in ids], pa.string()),
-                pa.array([n > 0 for n in n_hit], pa.bool_()), pa.array(ids, pa.list_(pa.int64())),
-                pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))),
-            ]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*batch.schema.names, *added])
-
-    result = kept.select("*", *(F.lit(None).cast(kind).alias(name) for name, kind in RESULT.items()))
-    return kept.mapInArrow(run, result.schema)
+    # Between passes a document carries what the blocks before have found, in two columns of names that are free.
+    state = ["_hits", "_hit_items"]
+    while set(state) & set(kept.columns):
+        state = [f"_{c}" for c in state]
+    between = kept.select("*", F.lit(None).cast("array<bigint>").alias(state[0]), F.lit(None).cast("array<bigint>").alias(state[1])).schema
+    result = kept.select("*", *(F.lit(None).cast(kind).alias(name) for name, kind in RESULT.items())).schema
+
+    def scanner(block, first: bool, last: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            automaton = _automaton(block.value) if block.value else None
+            for batch in sliced_texts(batches, where, 512):
+                texts = utf8(batch.column(where))
+                normal = [words(t) for t in texts]
+                found = [scan(automaton, w) if w and automaton else ([], set()) for w in normal]
+                own, held = batch.columns, batch.schema.names
+                if not first:
+                    *own, hits, ids = own
+                    held = held[:-2]
+                    for (ranges, items_), r, i in zip(found, hits.to_pylist(), ids.to_pylist()):
+                        ranges += zip(r[::2], r[1::2])
+                        items_.update(i)
+                joined = [merged(r) for r, _ in found]
+                ids = [sorted(i) for _, i in found]
+                if last:
+                    columns, names = _report(texts, normal, joined, ids), added
+                else:
+                    columns = [pa.array([[x for p in r for x in p] for r in joined], pa.list_(pa.int64())), pa.array(ids, pa.list_(pa.int64()))]
+                    names = state
+                yield pa.RecordBatch.from_arrays([*own, *columns], names=[*held, *names])
+
+        return run
+
+    found = kept
+    for i, block in enumerate(cut):
+        last = i == len(cut) - 1
+        found = found.mapInArrow(scanner(spark.sparkContext.broadcast(block), i == 0, last), result if last else between)
+        if not last:
+            found = stored(found, "hits")
+    return found
+
+
+def _report(texts: list, normal: list, joined: list, ids: list) -> list[pa.Array]:
+    """The result's columns."""
+    n_hit = [sum(b - a for a, b in r) for r in joined]
+    spans = [original_spans(t, r) if r else [] for t, r in zip(texts, joined)]
+    return [
+        pa.array([len(w) for w in normal], pa.int64()), pa.array(n_hit, pa.int64()),
+        pa.array([len(i) for i in ids], pa.int64()), pa.array([_digest(i) for i in ids], pa.string()),
+        pa.array([n > 0 for n in n_hit], pa.bool_()), pa.array(ids, pa.list_(pa.int64())),
+        pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))),
+    ]
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """The documents without a test item's window, in their own columns."""
-    found = contamination(docs, items, **options)
-    return found.where("not contaminated").select(*(F.col(f"`{c}`") for c in docs.columns))
+    """The documents without a test item's window, in their own columns, also those that `contamination` would replace."""
+    others = {c: free_name(docs.columns, f"_own_{c}") for c in docs.columns if c in RESULT}
+    found = contamination(docs.withColumnsRenamed(others), items, **options)
+    return found.where("not contaminated").select(*(F.col(f"`{others.get(c, c)}`").alias(c) for c in docs.columns))

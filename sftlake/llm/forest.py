@@ -4,7 +4,7 @@ Vectors are dealt by hash into shards of about ``SHARD_ROWS`` rows. Each shard h
 of its vectors' hash strings (``BITS`` signs of projections, centred at medians). A query descends every tree of every shard by binary search to
 the longest prefix that it shares with stored strings, and then ascends in all trees at once, one bit a step; at each
 step the stored strings that share the prefix form one range per tree. It stops when the union of the ranges holds ``share`` of
-the shard, and its part of ``LEAST_CANDIDATES`` rows in all, and scores all of the union exactly. The best of all shards are the answer.
+the shard and scores all of the union exactly. The best of all shards are the answer. The share is the same at every size.
 
 Inner products are turned into angles by one more coordinate, sqrt(M^2 - |x|^2) with the greatest norm M, which is 0 for
 queries; for vectors of one length nothing changes. Projections' medians come from a bounded sample (``FIT_ROWS`` rows, the first by hash);
@@ -13,7 +13,7 @@ shards in blocks of ``QUERY_ROWS``: a task holds one shard and one block, whatev
 looks at ``share`` of the rows: in data without neighbours that stand out, as random vectors, recall costs that much.
 
 Defined cases: vectors that are null, zero, or hold null or non-finite components, or whose id is null, take no part; nor do vectors
-of another length than the most frequent one; equal rows count once; a query's own id is no candidate of it; equal scores go to the smaller id; with
+of another length than the most frequent one; an id is one vector, of several the first by hash; a query's own id is no candidate of it; equal scores go to the smaller id; with
 fewer candidates than asked for, all found are returned; an empty table gives no rows.
 """
 
@@ -28,22 +28,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from sftlake.llm.common import stored
+
 TREES, BITS = 64, 24
 SHARD_ROWS = 4096
 QUERY_ROWS = 4096
 FIT_ROWS = 4096
 SHARE = 0.45
-LEAST_CANDIDATES = 2048
 RESULT = "query_id bigint, vec_id bigint, score double"
 
 
 def valid_vectors(df: DataFrame, vec_id: str, vector: str) -> DataFrame:
-    """(id, v): distinct rows that take part."""
+    """(id, v): the rows that take part, one per id."""
     rows = df.select(F.col(vec_id).cast("bigint").alias("id"), F.col(vector).cast("array<double>").alias("v"))
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     rows = rows.where(F.col("id").isNotNull() & F.coalesce(finite & F.exists("v", lambda x: x != 0), F.lit(False)))
     sizes = rows.groupBy(F.size("v").alias("size")).count().orderBy(F.desc("count"), "size").limit(1).collect()
-    return rows.where(F.size("v") == (sizes[0]["size"] if sizes else 0)).distinct()
+    rows = rows.where(F.size("v") == (sizes[0]["size"] if sizes else 0))
+    return rows.groupBy("id").agg(F.min_by("v", F.struct(F.xxhash64("v"), "v")).alias("v"))
 
 
 class Projections:
@@ -121,12 +123,12 @@ def _matrix(column: pa.ChunkedArray, rows: int) -> np.ndarray:
 
 def nearest(
     df: DataFrame, is_query: Column, vec_id: str = "vec_id", vector: str = "embedding", k: int = 20, share: float = SHARE,
-    least_candidates: int = LEAST_CANDIDATES, shard_rows: int = SHARD_ROWS, trees: int = TREES, bits: int = BITS,
+    shard_rows: int = SHARD_ROWS, trees: int = TREES, bits: int = BITS,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest found of every row that meets ``is_query`` (a condition on ``id``), among
     all other rows, by inner product in double precision."""
     spark = df.sparkSession
-    rows = valid_vectors(df, vec_id, vector)
+    rows = stored(valid_vectors(df, vec_id, vector), "vectors")
     n, queries, norm = rows.agg(
         F.count(F.lit(1)), F.count_if(is_query), F.max(F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)))
     ).first()
@@ -138,7 +140,7 @@ def nearest(
         out = []
         if index.num_rows and asked.num_rows:
             forest = Forest(index.column("id").to_numpy(), _matrix(index.column("v"), index.num_rows), sent.value)
-            wanted = math.ceil(max(share * index.num_rows, least_candidates / shards))
+            wanted = math.ceil(share * index.num_rows)
             for lo in range(0, asked.num_rows, 256):
                 part = asked.slice(lo, 256)
                 out += forest.search(part.column("id").to_numpy(), _matrix(part.column("v"), part.num_rows), k, wanted)

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from sftlake.llm.common import sliced
+from sftlake.llm.common import sliced_texts
 
 BUCKETS = 1 << 13
 CENTROIDS = 4
@@ -108,6 +108,20 @@ def fit(counts_by_language: dict[str, np.ndarray], k: int = CENTROIDS, reject_sh
     return model
 
 
+def _picked(rows: DataFrame, most: int, seed: int) -> DataFrame:
+    """(_id, _lang) of at most ``most`` ids of each language, the first by hash.
+
+    Only ids whose hash lies in the share of all hashes that holds ``most`` of a language, and six deviations more, are put in order: so few that a language
+    with all the rows is no hot key. Where many rows repeat an id that share can hold fewer.
+    """
+    share = F.lit(most + 6 * most**0.5 + 20) / F.col("_rows")
+    shares = rows.groupBy("_lang").agg(F.count(F.lit(1)).alias("_rows")).select(F.col("_lang").alias("_of"), share.alias("_share"))
+    place = F.xxhash64(F.lit(seed), "_id")
+    near = rows.join(shares, F.col("_lang") == F.col("_of")).where(place.cast("double") / F.lit(2.0**64) + F.lit(0.5) <= F.col("_share"))
+    order = F.row_number().over(W.partitionBy("_lang").orderBy(place, "_id"))
+    return near.select("_id", "_lang").distinct().withColumn("_k", order).where(F.col("_k") <= most).drop("_k")
+
+
 def train(
     docs: DataFrame, usable: Column | None = None, per_language: int = PER_LANGUAGE, doc_id: str = "doc_id", text: str = "text",
     lang: str = "lang", seed: int = 1, **options,
@@ -116,12 +130,10 @@ def train(
     ``usable`` are looked at."""
     rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).cast("string").alias("_text"), F.col(lang).cast("string").alias("_lang"), *([] if usable is None else [usable.alias("_use")]))
     rows = rows.where("_lang is not null and _text is not null" + ("" if usable is None else " and _use"))
-    order = F.row_number().over(W.partitionBy("_lang").orderBy(F.xxhash64(F.lit(seed), "_id"), "_id"))
-    # The row limit per language is applied in every task before rows move.
-    picked = F.broadcast(rows.select("_id", "_lang").distinct().withColumn("_k", order).where(F.col("_k") <= per_language).drop("_k"))
+    picked = F.broadcast(_picked(rows.select("_id", "_lang"), per_language, seed))  # a bounded number per language
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in sliced(batches, 256):
+        for b in sliced_texts(batches, "_text", 256):
             counts = trigram_counts(b.column("_text").to_pylist())
             row, slot = np.nonzero(counts)
             cut = np.searchsorted(row, np.arange(b.num_rows + 1)).astype(np.int32)
@@ -155,7 +167,7 @@ def identify(docs: DataFrame, model: Centroids, text: str = "text", reject: bool
     where = kept.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in sliced(batches, 128):
+        for b in sliced_texts(batches, where, 128):
             names, score, rejected = sent.value.classify(b.column(where).to_pylist())
             if reject:
                 names = [UNKNOWN if r else n for n, r in zip(names, rejected)]

@@ -17,7 +17,6 @@ digest of id and text (equal rows share their fate); an empty table gives no row
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -28,8 +27,6 @@ from sftlake.llm.common import SPACES, stored
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEAT = 3
-#: Patterns and sources go through the driver; there are as many as kinds of membership, not of documents.
-MAX_PATTERNS = 100_000
 PREFIX = 4
 
 
@@ -67,71 +64,83 @@ def water_fill(sizes: dict, weights: dict, max_repeat: int = MAX_REPEAT) -> dict
 
 
 class Flow:
-    """Min-cost flow by successive shortest paths with potentials (non-negative costs)."""
+    """Maximum flow along shortest paths, a whole layer of them at a time. ``widen`` and another run continue from the flow that is there."""
 
     def __init__(self, nodes: int):
         self.arcs: list[list[int]] = [[] for _ in range(nodes)]
         self.to: list[int] = []
         self.room: list[int] = []
-        self.cost: list[int] = []
 
-    def add(self, a: int, b: int, room: int, cost: int) -> int:
-        for u, v, r, c in ((a, b, room, cost), (b, a, 0, -cost)):
+    def add(self, a: int, b: int, room: int) -> int:
+        for u, v, r in ((a, b, room), (b, a, 0)):
             self.arcs[u].append(len(self.to))
             self.to.append(v)
             self.room.append(r)
-            self.cost.append(c)
         return len(self.to) - 2
 
+    def widen(self, arc: int, room: int) -> None:
+        self.room[arc] += room
+
+    def _layers(self, source: int) -> list[int]:
+        layer = [-1] * len(self.arcs)
+        layer[source], edge = 0, [source]
+        while edge:
+            further = []
+            for u in edge:
+                for e in self.arcs[u]:
+                    if self.room[e] > 0 and layer[self.to[e]] < 0:
+                        layer[self.to[e]] = layer[u] + 1
+                        further.append(self.to[e])
+            edge = further
+        return layer
+
     def run(self, source: int, sink: int) -> int:
-        n, total = len(self.arcs), 0
-        potential = [0] * n
-        while True:
-            far, via = [float("inf")] * n, [-1] * n
-            far[source] = 0
-            heap = [(0, source)]
-            while heap:
-                d, u = heapq.heappop(heap)
-                if d > far[u]:
+        total = 0
+        while (layer := self._layers(source))[sink] >= 0:
+            at, path = [0] * len(self.arcs), []
+            while True:
+                u = self.to[path[-1]] if path else source
+                if u == sink:
+                    step = min(self.room[e] for e in path)
+                    for e in path:
+                        self.room[e] -= step
+                        self.room[e ^ 1] += step
+                    total += step
+                    path = path[: next(i for i, e in enumerate(path) if not self.room[e])]
                     continue
-                for e in self.arcs[u]:
-                    v = self.to[e]
-                    if self.room[e] > 0 and (nd := d + self.cost[e] + potential[u] - potential[v]) < far[v]:
-                        far[v], via[v] = nd, e
-                        heapq.heappush(heap, (nd, v))
-            if far[sink] == float("inf"):
-                return total
-            potential = [p + f if f < float("inf") else p for p, f in zip(potential, far)]
-            step, v = None, sink
-            while v != source:
-                step = self.room[via[v]] if step is None else min(step, self.room[via[v]])
-                v = self.to[via[v] ^ 1]
-            v = sink
-            while v != source:
-                self.room[via[v]] -= step
-                self.room[via[v] ^ 1] += step
-                v = self.to[via[v] ^ 1]
-            total += step
+                own = self.arcs[u]
+                while at[u] < len(own) and not (self.room[own[at[u]]] > 0 and layer[self.to[own[at[u]]]] == layer[u] + 1):
+                    at[u] += 1
+                if at[u] < len(own):
+                    path.append(own[at[u]])
+                elif path:  # a dead end: the arc that led here is done with
+                    at[self.to[path.pop() ^ 1]] += 1
+                else:
+                    break
+        return total
 
 
 def route(patterns: dict[tuple, int], quotas: dict, max_repeat: int = MAX_REPEAT) -> dict[tuple, int]:
     """Words to take of each pattern (a tuple of sources) so that quotas are met as cheaply as possible.
 
     The k-th use of a pattern's words costs k * (k - 1) / 2, so flow repeats nothing while fresh words
-    are left that can go to the same sources.
+    are left that can go to the same sources. Only the first arcs have a cost, so the cheapest flow is found level by level: all that first uses can
+    carry, then, rerouting what is there, what second uses add, and so on.
     """
     names, keys = list(quotas), list(patterns)
     node = {s: 2 + len(keys) + i for i, s in enumerate(names)}
     flow = Flow(2 + len(keys) + len(names))
-    uses = []
+    offered = [flow.add(0, 2 + i, 0) for i in range(len(keys))]
     for i, p in enumerate(keys):
-        uses.append([flow.add(0, 2 + i, patterns[p], k * (k + 1) // 2) for k in range(max_repeat)])
         for s in dict.fromkeys(p):
-            flow.add(2 + i, node[s], max_repeat * patterns[p], 0)
+            flow.add(2 + i, node[s], max_repeat * patterns[p])
     for s in names:
-        flow.add(node[s], 1, quotas[s], 0)
-    flow.run(0, 1)
-    return {p: sum(flow.room[e ^ 1] for e in own) for p, own in zip(keys, uses)}
+        flow.add(node[s], 1, quotas[s])
+    for _ in range(max_repeat):
+        for arc, p in zip(offered, keys):
+            flow.widen(arc, patterns[p])
+        flow.run(0, 1)
+    return {p: flow.room[arc ^ 1] for p, arc in zip(keys, offered)}
 
 
 def _integer_quotas(targets: dict, total: int) -> dict:
@@ -158,9 +167,8 @@ def _rows(docs: DataFrame, doc_id: str, text: str, sources: Column | None, seed:
 
 def mix_plan(rows: DataFrame, weights: Sequence[float] = WEIGHTS, max_repeat: int = MAX_REPEAT) -> dict:
     """Sizes, targets and quotas by source, and words by pattern, of rows (_sources, _size)."""
-    sums = rows.groupBy("_sources").agg(F.sum("_size").alias("size")).limit(MAX_PATTERNS + 1).collect()
-    if len(sums) > MAX_PATTERNS:
-        raise ValueError(f"more than {MAX_PATTERNS} membership patterns")
+    # There are as many of these as kinds of membership, not of documents.
+    sums = rows.groupBy("_sources").agg(F.sum("_size").alias("size")).collect()
     sizes: dict = {}
     for r in sums:
         for s in r._sources:
@@ -211,14 +219,39 @@ def mix(
     weights: Sequence[float] = WEIGHTS, max_repeat: int = MAX_REPEAT,
 ) -> tuple[DataFrame, dict]:
     """Add ``_doc``, ``_size``, ``_sources`` and ``_taken`` (words the mix takes, repeats counted) to the documents, and
-    return the plan too. ``sources`` is an array of the sources a document belongs to, by default its ``source``.
+    return the plan too. Columns of these names are replaced; `mix_rows` keeps them."""
+    mixed, plan = mix_rows(docs, doc_id, text, sources, seed, weights, max_repeat)
+    kept = [c for c in docs.columns if c not in ("_doc", "_size", "_sources", "_taken")]
+    return mixed.select(*(F.col("_row").getField(c).alias(c) for c in kept), "_doc", "_size", "_sources", "_taken"), plan
+
+
+def mix_rows(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sources: Column | None = None, seed: int = 7,
+    weights: Sequence[float] = WEIGHTS, max_repeat: int = MAX_REPEAT,
+) -> tuple[DataFrame, dict]:
+    """(_row, _doc, _size, _sources, _taken), ``_row`` being the document with all its columns, and the plan. ``sources`` is an
+    array of the sources a document belongs to, by default its ``source``.
 
-    Sizes and digests are computed once into a narrow table, from which the plan is made.
+    Sizes and digests are computed once, beside the documents, into a table; the plan reads its narrow columns.
     """
-    columns = _rows(docs, doc_id, text, sources, seed)
-    plan = mix_plan(narrow := stored(docs.select(*columns), "mix-rows"), weights, max_repeat)
-    bounds = _bounds(narrow, plan)
-    return _taken(docs.select("*", *columns), bounds), plan | {"rows": narrow, "bounds": bounds}
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row")
+    wide = stored(docs.select(row, *_rows(docs, doc_id, text, sources, seed)), "mix-documents")
+    plan = _planned(wide.drop("_row"), weights, max_repeat)
+    return _taken(wide, plan["bounds"]), plan
+
+
+def mix_counts(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sources: Column | None = None, seed: int = 7,
+    weights: Sequence[float] = WEIGHTS, max_repeat: int = MAX_REPEAT,
+) -> tuple[DataFrame, dict]:
+    """(_doc, _size, _sources, _taken) of every document, and the plan: only narrow rows are written."""
+    plan = _planned(stored(docs.select(*_rows(docs, doc_id, text, sources, seed)), "mix-rows"), weights, max_repeat)
+    return mix_report(plan), plan
+
+
+def _planned(narrow: DataFrame, weights: Sequence[float], max_repeat: int) -> dict:
+    plan = mix_plan(narrow, weights, max_repeat)
+    return plan | {"rows": narrow, "bounds": _bounds(narrow, plan)}
 
 
 def _taken(rows: DataFrame, bounds: DataFrame) -> DataFrame:

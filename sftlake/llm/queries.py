@@ -40,12 +40,12 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, plan = mixing.mix(table(spark, sf_dir, "documents"))
+    rows, plan = mixing.mix_counts(table(spark, sf_dir, "documents"))
     sized = spark.createDataFrame(
         [(s, plan["sizes"][s], float(plan["targets"][s])) for s in plan["sizes"]],
         "source string, source_size bigint, target double",
     )
-    rows = mixing.mix_report(plan).withColumn("source", F.col("_sources")[0])
+    rows = rows.withColumn("source", F.col("_sources")[0])
     return rows.join(F.broadcast(sized), rows["source"].eqNullSafe(sized["source"]), "left").select(
         F.col("_doc").alias("doc_id"), F.col("_size").alias("size"), "source_size", "target", F.col("_taken").alias("taken"),
     )
@@ -102,11 +102,11 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP5_SQL = rf"""
 WITH parts AS (
-  SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
+  SELECT row_number() OVER () AS r, doc_id, md5(text) AS t, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
 lines AS (
-  SELECT r, doc_id, i, line, {_LOWER.format("regexp_replace(regexp_replace(line, '^" + _SPACE + "+', ''), '" + _SPACE + "+$', '')")} AS k
-  FROM (SELECT r, doc_id, unnest(range(1, len(parts) + 1)) AS i, unnest(parts) AS line FROM parts)),
-gone AS (SELECT k FROM lines WHERE length(k) >= 1 GROUP BY k HAVING count(DISTINCT r) >= 10)
+  SELECT r, doc_id, t, i, line, {_LOWER.format("regexp_replace(regexp_replace(line, '^" + _SPACE + "+', ''), '" + _SPACE + "+$', '')")} AS k
+  FROM (SELECT r, doc_id, t, unnest(range(1, len(parts) + 1)) AS i, unnest(parts) AS line FROM parts)),
+gone AS (SELECT k FROM lines WHERE length(k) >= 1 GROUP BY k HAVING count(DISTINCT (doc_id, t)) >= 10)
 SELECT any_value(doc_id) AS doc_id, CAST(count(*) AS BIGINT) AS n_lines, CAST(count(g.k) AS BIGINT) AS n_dropped,
        sha256(coalesce(string_agg(CASE WHEN g.k IS NULL THEN line END, chr(10) ORDER BY i), '')) AS kept_sha256
 FROM lines LEFT JOIN gone g ON lines.k = g.k GROUP BY r

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sftlake.llm.bpe import encoder
-from sftlake.llm.common import sliced
+from sftlake.llm.common import sliced_texts
 
 RULES = ("start", "end", "majority", "split")
 RESULT = "doc_id bigint, field string, section bigint, n_chars bigint, n_tokens double, n_crossing bigint"
@@ -62,6 +62,13 @@ def allocate(tokens: np.ndarray, sections: np.ndarray, rule: str) -> tuple[np.nd
     return np.bincount(section[chosen], minlength=len(sections)).astype(float), crossing
 
 
+def _sized(batches: Iterator[pa.RecordBatch], fields: int) -> Iterator[pa.RecordBatch]:
+    """Batches in which no field has more than a task's bytes of work."""
+    for i in range(fields):
+        batches = sliced_texts(batches, 1 + i, 256)
+    return batches
+
+
 def token_counts(
     docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", fields: Sequence[str] = ("text",), rule: str = "start",
     special_tokens: bool = False,
@@ -76,7 +83,7 @@ def token_counts(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(tokenizer, special_tokens)
-        for batch in sliced(batches, 256):
+        for batch in _sized(batches, len(names)):
             parts = [batch.column(1 + i).to_pylist() for i in range(len(names))]
             texts = ["\n".join(p) for p in zip(*parts)]
             ids = np.frombuffer(b"".join(bpe.encode(texts)), "<u4")

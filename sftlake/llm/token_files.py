@@ -27,80 +27,99 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from sftlake.llm.bpe import encoder
-from sftlake.llm.common import sliced
+from sftlake.llm.common import sliced, sliced_texts
 
 END_ID = 2
 SHARD_IDS = 1 << 20
 BINS = 1 << 19
+#: Up to so many pairs are counted by sorting them.
+EXACT = 1 << 16
+#: Rules of up to so many ids are written out in full when a shard is decoded.
+FLAT = 64
 SHARD = (
-    "part int, shard int, n_docs bigint, n_tokens bigint, doc_ids array<bigint>, doc_tokens array<bigint>, doc_symbols array<bigint>, "
+    "part int, shard int, before bigint, n_docs bigint, n_tokens bigint, doc_ids array<bigint>, doc_tokens array<bigint>, doc_symbols array<bigint>, "
     "first_rule bigint, width int, rules binary, rule_lengths binary, symbols binary"
 )
 
 
-def _frequent(a: np.ndarray, b: np.ndarray, at: np.ndarray, min_count: int, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Keys (first symbol << 32 | second) of the frequent pairs at positions ``at``, the positions where they start, and each position's pair.
+def _counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys, each position's key by number, and the keys' counts."""
+    return np.unique(keys, return_inverse=True, return_counts=True)
 
-    Pairs are counted in hash bins, in linear time. Of pairs that share a bin one is taken, the others wait; where no pair can be
-    taken that way, those of the bins that are full enough are counted exactly, by sorting.
+
+def _frequent(a: np.ndarray, b: np.ndarray, min_count: int, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of pairs (a, b) of symbols: the keys (first symbol << 32 | second) of the frequent ones, the places where they stand, and each of those places' key by number.
+
+    Few pairs are counted exactly, by sorting. Many are counted in hash bins, in linear time: of pairs that share a bin one is taken, the others
+    wait; where no pair can be taken that way, those of the bins that are full enough are counted exactly.
     """
-    bins = (((a[at] * np.uint32(0x9E3779B1)) ^ (b[at] * np.uint32(0x85EBCA6B))) >> np.uint32(32 - BINS.bit_length() + 1)).astype(np.intp)
-    heavy = np.bincount(bins, minlength=BINS + 1) >= min_count
-    stay = heavy[bins]
-    at, bins = at[stay], bins[stay]
+    if len(a) < min_count:
+        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+    at = np.arange(len(a))
+    if len(a) > EXACT:
+        bins = (((a * np.uint32(0x9E3779B1)) ^ (b * np.uint32(0x85EBCA6B))) >> np.uint32(32 - BINS.bit_length() + 1)).astype(np.intp)
+        stay = (np.bincount(bins, minlength=BINS) >= min_count)[bins]
+        at, bins = at[stay], bins[stay]
     keys = (a[at].astype(np.uint64) << np.uint64(32)) | b[at]
-    all_at, all_keys = at, keys
-    taken = np.zeros(BINS + 1, np.uint64)
-    taken[bins] = keys
-    same = taken[bins] == keys
-    at, bins = at[same], bins[same]
-    counts = np.bincount(bins, minlength=BINS + 1)
+    if len(a) > EXACT:
+        taken = np.zeros(BINS, np.uint64)
+        taken[bins] = keys
+        same = taken[bins] == keys
+        number, counts = bins[same], np.bincount(bins[same], minlength=BINS)
+        if (counts >= min_count).any():
+            at, found = at[same], taken
+        else:
+            found, number, counts = _counted(keys)
+    else:
+        found, number, counts = _counted(keys)
     good = np.flatnonzero(counts >= min_count)
-    if not len(good) and len(all_at):
-        found, bins, counts = np.unique(all_keys, return_inverse=True, return_counts=True)
-        at, taken, good = all_at, found, np.flatnonzero(counts >= min_count)
     if len(good) > most:
         good = np.sort(good[np.argsort(-counts[good], kind="stable")[:most]])
     rank = np.full(len(counts), -1, np.int64)
     rank[good] = np.arange(len(good))
-    rank = rank[bins]
-    return taken[good], at[rank >= 0], rank[rank >= 0]
+    rank = rank[number]
+    return found[good], at[rank >= 0], rank[rank >= 0]
 
 
 def repair(ids: np.ndarray, ends: np.ndarray, first_rule: int, rounds: int | None = None, min_count: int = 24, most: int = 1 << 14) -> tuple:
     """Symbols, their document ends, and rules (left, right) of a shard. ``ends`` marks each document's last id.
 
-    A round looks at pairs with a symbol of the round before; where none is frequent, at all pairs, since some may have waited.
+    A round looks at pairs with a symbol of the round before; where none is frequent, at all pairs, since some may have waited. The arrays are
+    worked on in place and closed up after each round.
     """
-    symbols, rules = ids.astype(np.uint32), [np.empty((0, 2), np.uint32)]
+    symbols, ends, rules = ids.astype(np.uint32), ends.copy(), [np.empty((0, 2), np.uint32)]
     next_rule = newest = first_rule
+    complete = True
     for _ in count() if rounds is None else range(rounds):
         room = most - (next_rule - first_rule)
         if room <= 0 or len(symbols) < 2:
             break
-        new = symbols >= newest
-        inside = ~ends[:-1]  # no pair crosses the end of a document
-        near = np.flatnonzero((new[:-1] | new[1:]) & inside) if next_rule > first_rule else np.flatnonzero(inside)
-        keys, at, rank = _frequent(symbols[:-1], symbols[1:], near, min_count, room)
-        if not len(keys) and next_rule > first_rule:
-            keys, at, rank = _frequent(symbols[:-1], symbols[1:], np.flatnonzero(inside), min_count, room)
+        look = ~ends[:-1]  # no pair crosses the end of a document
+        if not complete:
+            new = symbols >= newest
+            look &= new[:-1] | new[1:]
+        look = np.flatnonzero(look)
+        keys, at, rank = _frequent(symbols[look], symbols[look + 1], min_count, room)
         if not len(keys):
-            break
+            if complete:
+                break
+            complete = True
+            continue
+        at = look[at]
         # Pairs that overlap form runs of neighbouring positions: every second one is replaced.
         starts = np.concatenate(([True], np.diff(at) != 1))
         first = np.maximum.accumulate(np.where(starts, np.arange(len(at)), 0))
         take = ((np.arange(len(at)) - first) & 1) == 0
         at, rank = at[take], rank[take]
-        used, rank = np.unique(rank, return_inverse=True)
+        seen = np.bincount(rank, minlength=len(keys)) > 0
+        used, rank = np.flatnonzero(seen), (np.cumsum(seen) - 1)[rank]
         rules.append(np.stack([keys[used] >> np.uint64(32), keys[used] & np.uint64(0xFFFFFFFF)], axis=1).astype(np.uint32))
-        symbols = symbols.copy()
         symbols[at] = (next_rule + rank).astype(np.uint32)
-        ends = ends.copy()
         ends[at] |= ends[at + 1]
         stay = np.ones(len(symbols), bool)
         stay[at + 1] = False
         symbols, ends = symbols[stay], ends[stay]
-        newest, next_rule = next_rule, next_rule + len(used)
+        newest, next_rule, complete = next_rule, next_rule + len(used), False
     return symbols, ends, np.concatenate(rules)
 
 
@@ -117,18 +136,39 @@ def rule_lengths(rules: np.ndarray, first_rule: int) -> np.ndarray:
     return lengths
 
 
-def expand(symbols: np.ndarray, rules: np.ndarray, first_rule: int) -> np.ndarray:
-    """Symbols to ids, one level of rules at a time."""
-    while len(rules) and (nested := symbols >= first_rule).any():
-        out = np.repeat(symbols, 1 + nested)
-        at = np.flatnonzero(nested) + np.arange(nested.sum())
-        pair = rules[symbols[nested] - first_rule]
-        out[at], out[at + 1] = pair[:, 0], pair[:, 1]
-        symbols = out
-    return symbols
-
-
-def _shard(part: int, no: int, docs: list[tuple[int | None, bytes]], vocab: int, options: dict) -> dict:
+def expand(symbols: np.ndarray, rules: np.ndarray, first_rule: int, lengths: np.ndarray | None = None) -> np.ndarray:
+    """Symbols to ids. Rules of up to ``FLAT`` ids are written out once, side by side, and copied from there; symbols of longer
+    rules are first replaced by their two sides, one level at a time. So what is written out is bounded by the rules."""
+    if not len(rules):
+        return symbols
+    lengths = rule_lengths(rules, first_rule) if lengths is None else lengths
+    while (long := (symbols >= first_rule) & (lengths[np.maximum(symbols.astype(np.int64) - first_rule, 0)] > FLAT)).any():
+        symbols = _split(symbols, long, rules, first_rule)
+    flat = np.where(lengths <= FLAT, np.arange(len(rules)) + first_rule, 0).astype(np.uint32)
+    while (nested := flat >= first_rule).any():
+        flat = _split(flat, nested, rules, first_rule)
+    sizes = np.where(lengths <= FLAT, lengths, 1)
+    start = np.cumsum(sizes) - sizes
+    ruled = symbols >= first_rule
+    own = np.where(ruled, symbols.astype(np.int64) - first_rule, 0)
+    size = np.where(ruled, sizes[own], 1)
+    out = np.repeat(symbols, size)
+    inside = np.repeat(ruled, size)
+    offset = np.arange(len(out)) - np.repeat(np.cumsum(size) - size, size)
+    out[inside] = flat[(np.repeat(start[own], size) + offset)[inside]]
+    return out
+
+
+def _split(symbols: np.ndarray, which: np.ndarray, rules: np.ndarray, first_rule: int) -> np.ndarray:
+    """Some symbols replaced by the two sides of their rules."""
+    out = np.repeat(symbols, 1 + which)
+    at = np.flatnonzero(which) + np.arange(which.sum())
+    pair = rules[symbols[which] - first_rule]
+    out[at], out[at + 1] = pair[:, 0], pair[:, 1]
+    return out
+
+
+def _shard(part: int, no: int, docs: list[tuple[int | None, bytes]], vocab: int, options: dict, before: int = 0) -> dict:
     counts = np.array([len(b) // 4 for _, b in docs], np.int64)
     ids = np.frombuffer(b"".join(b for _, b in docs), "<u4")
     ends = np.zeros(len(ids), bool)
@@ -136,7 +176,7 @@ def _shard(part: int, no: int, docs: list[tuple[int | None, bytes]], vocab: int,
     symbols, last, rules = repair(ids, ends, vocab, **options)
     width = 2 if vocab + len(rules) <= 1 << 16 else 4
     return {
-        "part": part, "shard": no, "n_docs": len(docs), "n_tokens": int(counts.sum()), "doc_ids": [d for d, _ in docs],
+        "part": part, "shard": no, "before": before, "n_docs": len(docs), "n_tokens": int(counts.sum()), "doc_ids": [d for d, _ in docs],
         "doc_tokens": counts, "doc_symbols": np.diff(np.concatenate(([0], np.flatnonzero(last) + 1))), "first_rule": vocab,
         "width": width, "rules": rules.astype("<u4").tobytes(),
         "rule_lengths": rule_lengths(rules, vocab).astype("<u4").tobytes(), "symbols": symbols.astype(f"<u{width}").tobytes(),
@@ -144,7 +184,7 @@ def _shard(part: int, no: int, docs: list[tuple[int | None, bytes]], vocab: int,
 
 
 _SCHEMA = pa.schema([
-    ("part", pa.int32()), ("shard", pa.int32()), ("n_docs", pa.int64()), ("n_tokens", pa.int64()), ("doc_ids", pa.list_(pa.int64())),
+    ("part", pa.int32()), ("shard", pa.int32()), ("before", pa.int64()), ("n_docs", pa.int64()), ("n_tokens", pa.int64()), ("doc_ids", pa.list_(pa.int64())),
     ("doc_tokens", pa.list_(pa.int64())), ("doc_symbols", pa.list_(pa.int64())), ("first_rule", pa.int64()), ("width", pa.int32()),
     ("rules", pa.binary()), ("rule_lengths", pa.binary()), ("symbols", pa.binary()),
 ])
@@ -170,19 +210,19 @@ def token_shards(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, no, held, size = TaskContext.get().partitionId(), 0, [], 0
+        part, no, before, held, size = TaskContext.get().partitionId(), 0, 0, [], 0
         encode = encoder(tokenizer, special_tokens).encode
-        for batch in sliced(batches, 256):
+        for batch in sliced_texts(batches, "text", 1024):
             ids = encode(batch.column("text").to_pylist())
             for doc, own in zip(batch.column("doc").to_pylist(), ids):
                 own += end
                 if held and size + len(own) // 4 > shard_ids:
-                    yield pa.RecordBatch.from_pylist([_shard(part, no, held, vocab, options)], _SCHEMA)
-                    no, held, size = no + 1, [], 0
+                    yield pa.RecordBatch.from_pylist([_shard(part, no, held, vocab, options, before)], _SCHEMA)
+                    no, before, held, size = no + 1, before + size, [], 0
                 held.append((doc, own))
                 size += len(own) // 4
         if held:
-            yield pa.RecordBatch.from_pylist([_shard(part, no, held, vocab, options)], _SCHEMA)
+            yield pa.RecordBatch.from_pylist([_shard(part, no, held, vocab, options, before)], _SCHEMA)
 
     return ranged.mapInArrow(run, SHARD)
 
@@ -196,16 +236,20 @@ def read_shards(spark: SparkSession, path: str) -> DataFrame:
 
 
 def shard_starts(shards: DataFrame) -> DataFrame:
-    """Add ``start``: ids in all shards before. Partitions are added up first (a row per writing task), then shards inside."""
+    """Add ``start``: ids in all shards before. A shard knows the ids before it in its own writing task, so all that is added up and
+    joined is one number per writing task; shards do not move."""
     own = shards.groupBy("part").agg(F.sum("n_tokens").alias("_n"))
     ahead = F.sum("_n").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1))
     parts = own.select(F.col("part").alias("_part"), F.coalesce(ahead, F.lit(0)).alias("_ahead"))
-    inside = F.sum("n_tokens").over(W.partitionBy("part").orderBy("shard").rowsBetween(W.unboundedPreceding, -1))
-    placed = shards.select("part", "shard", (F.coalesce(inside, F.lit(0))).alias("_inside"), "n_tokens")
-    starts = placed.join(parts, placed["part"] == parts["_part"]).select(
-        F.col("part").alias("_part"), F.col("shard").alias("_shard"), (F.col("_ahead") + F.col("_inside")).cast("bigint").alias("start")
-    )
-    return shards.join(starts, (shards["part"] == starts["_part"]) & (shards["shard"] == starts["_shard"])).drop("_part", "_shard")
+    return shards.join(F.broadcast(parts), F.col("part") == F.col("_part")).withColumn(
+        "start", (F.col("_ahead") + F.col("before")).cast("bigint")
+    ).drop("_part", "_ahead")
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Shards one at a time."""
+    for batch in sliced(batches, 1):
+        yield from batch.to_pylist()
 
 
 def _arrays(row: dict) -> tuple[np.ndarray, np.ndarray]:
@@ -217,7 +261,7 @@ def _arrays(row: dict) -> tuple[np.ndarray, np.ndarray]:
 def decode_shard(row: dict) -> list[np.ndarray]:
     """The ids of each document of a shard."""
     symbols, rules = _arrays(row)
-    ids = expand(symbols, rules, row["first_rule"])
+    ids = expand(symbols, rules, row["first_rule"], np.frombuffer(row["rule_lengths"], "<u4").astype(np.int64))
     return np.split(ids, np.cumsum(row["doc_tokens"])[:-1])
 
 
@@ -232,7 +276,7 @@ def decode_range(row: dict, doc: int, start: int, stop: int) -> np.ndarray:
     sizes[nested] = lengths[own[nested] - row["first_rule"]]
     stops = np.cumsum(sizes)
     lo, hi = np.searchsorted(stops, start, "right"), np.searchsorted(stops, stop, "left") + 1
-    ids = expand(own[lo:hi], rules, row["first_rule"])
+    ids = expand(own[lo:hi], rules, row["first_rule"], lengths)
     before = int(stops[lo - 1]) if lo else 0
     return ids[start - before : stop - before]
 
@@ -240,15 +284,14 @@ def decode_range(row: dict, doc: int, start: int, stop: int) -> np.ndarray:
 def read_token_digests(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document, from the files."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                docs = decode_shard(row)
-                counts = np.array(row["doc_tokens"], np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(row["doc_ids"], pa.int64()), pa.array(row["start"] + np.cumsum(counts) - counts), pa.array(counts),
-                     pa.array([zlib.crc32(d.astype("<u4").tobytes()) for d in docs], pa.int64())],
-                    names=["doc_id", "start", "n_tokens", "ids_crc32"],
-                )
+        for row in _rows(batches):
+            docs = decode_shard(row)
+            counts = np.array(row["doc_tokens"], np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(row["doc_ids"], pa.int64()), pa.array(row["start"] + np.cumsum(counts) - counts), pa.array(counts),
+                 pa.array([zlib.crc32(d.astype("<u4").tobytes()) for d in docs], pa.int64())],
+                names=["doc_id", "start", "n_tokens", "ids_crc32"],
+            )
 
     return shard_starts(read_shards(spark, path)).mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
@@ -256,15 +299,14 @@ def read_token_digests(spark: SparkSession, path: str) -> DataFrame:
 def read_documents(spark: SparkSession, path: str, doc_ids: DataFrame | None = None) -> DataFrame:
     """(doc_id, ids) of all documents, or of those in ``doc_ids`` (doc_id): only shards that hold one are decoded."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                wanted = None if row["wanted"] is None else set(row["wanted"])
-                picks = [i for i, d in enumerate(row["doc_ids"]) if wanted is None or d in wanted]
-                ids = [decode_range(row, i, 0, row["doc_tokens"][i]) for i in picks]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([row["doc_ids"][i] for i in picks], pa.int64()), pa.array([i.astype(np.int64) for i in ids], pa.list_(pa.int64()))],
-                    names=["doc_id", "ids"],
-                )
+        for row in _rows(batches):
+            wanted = None if row["wanted"] is None else set(row["wanted"])
+            picks = [i for i, d in enumerate(row["doc_ids"]) if wanted is None or d in wanted]
+            ids = [decode_range(row, i, 0, row["doc_tokens"][i]) for i in picks]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([row["doc_ids"][i] for i in picks], pa.int64()), pa.array([i.astype(np.int64) for i in ids], pa.list_(pa.int64()))],
+                names=["doc_id", "ids"],
+            )
 
     shards = read_shards(spark, path)
     if doc_ids is None:

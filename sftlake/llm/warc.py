@@ -167,7 +167,9 @@ def read_warc(spark: SparkSession, path: str, keep_blocks: bool = True) -> DataF
 
 
 def assemble(recs: DataFrame) -> DataFrame:
-    """One nested row per capture: (capture_id, response, request, metadata).
+    """One nested row per capture: (capture_id, response, request, metadata, others).
+
+    ``request`` and ``metadata`` are the capture's first by record id; ``others`` holds all further ones, requests first, by record id.
 
     A request names its response, or a response its request; metadata names either of them. Every link
     is an equi-join on record ids, so a capture's records meet wherever they were stored. Each response
@@ -191,14 +193,25 @@ def assemble(recs: DataFrame) -> DataFrame:
     noted = notes.join(by_request, notes["other"] == by_request["req_id"], "left").select(
         F.coalesce("via", "other", "record_id").alias("capture_id"), "rec"
     )
-    null = F.lit(None).cast(heads.schema["rec"].dataType)
+    kind = heads.schema["rec"].dataType
+    null = F.lit(None).cast(kind)
+
+    def by_id(records: Column) -> Column:
+        key = lambda r: F.coalesce(r["record_id"], F.lit(""))
+        return F.array_sort(records, lambda x, y: F.when(key(x) < key(y), -1).when(key(x) > key(y), 1).otherwise(0))
+
     sides = (
         requests.select("capture_id", F.col("rec").alias("request"), null.alias("metadata"))
         .unionByName(noted.select("capture_id", null.alias("request"), F.col("rec").alias("metadata")))
         .groupBy("capture_id")
-        .agg(*(F.first(part, ignorenulls=True).alias(part) for part in ("request", "metadata")))
+        .agg(*(by_id(F.collect_list(part)).alias(f"_{part}") for part in ("request", "metadata")))
+        .select(
+            "capture_id", *(F.get(f"_{part}", F.lit(0)).alias(part) for part in ("request", "metadata")),
+            F.concat(*(F.slice(f"_{part}", 2, F.greatest(F.size(f"_{part}"), F.lit(1))) for part in ("request", "metadata"))).alias("others"),
+        )
     )
-    return heads.withColumnRenamed("rec", "response").join(sides, "capture_id", "full_outer")
+    joined = heads.withColumnRenamed("rec", "response").join(sides, "capture_id", "full_outer")
+    return joined.withColumn("others", F.coalesce("others", F.array().cast(joined.schema["others"].dataType)))
 
 
 def resolved(found: DataFrame) -> DataFrame:

@@ -58,3 +58,24 @@ def test_empty_tables(spark):
     items = spark.createDataFrame(ITEMS, "item_id bigint, text string")
     assert dc.contamination(docs.where("false"), items).count() == 0
     assert dc.contamination(docs, items.where("false")).where("contaminated").count() == 0
+
+
+def test_two_blocks_are_two_scans(spark, monkeypatch):
+    docs = spark.createDataFrame([(d, t, [1]) for d, t in DOCS], "doc_id bigint, text string, _hits array<int>")
+    items = spark.createDataFrame(ITEMS, "item_id bigint, text string")
+    written, stored = [], dc.stored
+    monkeypatch.setattr(dc, "stored", lambda df, name: (written.append(name), stored(df, name))[1])
+    whole = dc.contamination(docs, items)
+    assert not written
+    size = sum(len(w) + 64 for _, t in ITEMS if t for w in dict.fromkeys(dc.windows(t.encode())))
+    halves = dc.contamination(docs, items, block_bytes=size // 2)
+    assert len(written) == 1  # one scan before this one
+    assert sorted(map(str, whole.collect())) == sorted(map(str, halves.collect())) and "_hits" in halves.columns
+
+
+def test_a_very_long_text(spark):
+    long = "filler words " * 200_000 + LONG + " filler" * 50_000
+    docs = spark.createDataFrame([(1, long), (2, "short one")], "doc_id bigint, text string")
+    got = {r.doc_id: r for r in dc.contamination(docs, spark.createDataFrame([(20, LONG)], "item_id bigint, text string")).collect()}
+    assert (got[1].n_words, got[1].n_hit, got[2].contaminated) == (450_025, 25, False)
+    assert long[got[1].spans[0].start : got[1].spans[0].stop] == LONG

@@ -26,7 +26,7 @@ def test_recall_over_several_shards_and_blocks(spark, monkeypatch):
     x = rng.normal(size=(6000, 32)) * rng.uniform(0.5, 2, (6000, 1))  # lengths differ: inner product is no cosine
     ids = np.arange(6000)
     df = spark.createDataFrame([(int(i), [float(c) for c in v]) for i, v in zip(ids, x)], "vec_id bigint, embedding array<double>")
-    got = answers(forest.nearest(df, F.col("id") % 20 == 0, least_candidates=0, shard_rows=1500))
+    got = answers(forest.nearest(df, F.col("id") % 20 == 0, shard_rows=1500))
     assert len(got) == 300
     hits = [len({i for i, _ in own} & {i for i, _ in exact(ids, x, q)}) / 20 for q, own in got.items()]
     assert np.mean(hits) > 0.9
@@ -58,3 +58,25 @@ def test_a_large_group_of_equal_vectors(spark):
     df = spark.range(3000).selectExpr("id vec_id", "if(id % 3 = 0, array(1f, 1f), array(cast(sin(id) as float), cast(cos(id) as float))) embedding")
     got = answers(forest.nearest(df, F.col("id") == 0, shard_rows=500))
     assert got[0] == [(i, 2.0) for i in range(3, 63, 3)]
+
+
+def test_recall_of_the_query_at_the_production_share(spark):
+    """The given vectors, 64 dimensions: all parameters as the query has them."""
+    import pandas as pd
+
+    from sftlake.llm import queries
+
+    sf = "/root/testdata/sf0.1"
+    table = pd.read_parquet(f"{sf}/embeddings.parquet")
+    ids, x = table["vec_id"].to_numpy(), np.stack(table["embedding"]).astype(float)
+    got = answers(queries.op2_forest(spark, sf))
+    assert sorted(got) == sorted(int(i) for i in ids if i % 20 == 0)
+    hits = [len({i for i, _ in own} & {i for i, _ in exact(ids, x, q)}) / 20 for q, own in got.items()]
+    assert 0.9 <= np.mean(hits) < 1  # below 1: it is no full scan
+
+
+def test_an_id_is_one_vector(spark):
+    rows = [(4, [1.0, 0.0]), (4, [0.0, 1.0]), (4, [1.0, 1.0]), (0, [1.0, 2.0]), (0, [2.0, 1.0]), (7, [1.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = answers(forest.nearest(df, F.col("id") % 20 == 0, share=1.0))
+    assert {q: sorted(i for i, _ in own) for q, own in got.items()} == {0: [4, 7]}

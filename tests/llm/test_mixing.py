@@ -80,3 +80,29 @@ def test_overlapping_sources(spark):
     taken = {tuple(r.s): r.t for r in mixing.mix_report(plan).groupBy(F.col("_sources").alias("s")).agg(F.sum("_taken").alias("t")).collect()}
     assert taken[()] == 0 and abs(sum(taken.values()) - 900) <= 6
     assert mixing.mix_report(mixing.mix(df.where("false"), sources=F.col("tags"))[1]).count() == 0
+
+
+def test_columns_of_the_operators_own_names(spark):
+    rows = [(i, "a b c d", "ab"[i % 2], f"own {i}", i, [i], "x", "y", "z", "p", "q", "r") for i in range(30)]
+    names = "_size, _rest, _sources, _doc, _order, _p, _base, _cut, _last".split(", ")
+    df = spark.createDataFrame(rows, ["doc_id", "text", "source", *names])
+    mixed, _ = mixing.mix_rows(df)
+    assert sorted(map(tuple, mixed.select("_row.*").collect())) == sorted(map(tuple, df.collect()))
+    added, plan = mixing.mix(df)
+    assert added.columns == [c for c in df.columns if c not in ("_doc", "_size", "_sources", "_taken")] + ["_doc", "_size", "_sources", "_taken"]
+    assert {(r.doc_id, r._size) for r in added.collect()} == {(i, 4) for i in range(30)}
+    counts, _ = mixing.mix_counts(df)
+    assert sorted(map(str, counts.collect())) == sorted(map(str, mixing.mix_report(plan).collect()))
+
+
+def test_many_patterns_are_routed_in_time():
+    import time
+
+    rng = random.Random(3)
+    names = [f"s{i}" for i in range(16)]
+    patterns = {tuple(sorted(rng.sample(names, rng.randint(1, 8)))): rng.randint(1, 10_000) for _ in range(20_000)}
+    total = sum(patterns.values())
+    began = time.process_time()
+    words = mixing.route(patterns, {s: total // 16 for s in names})
+    assert time.process_time() - began < 60
+    assert sum(words.values()) == total // 16 * 16 and all(0 <= words[p] <= 3 * n for p, n in patterns.items())

@@ -98,3 +98,26 @@ def test_nulls_and_empty_tables(spark):
         if name == "near_dedup":
             # Rows without an id stay; of the two equal rows of id 2 one does.
             assert sorted(str(r.doc_id) for r in got.collect()) == ["1", "2", "3", "None", "None"]
+
+
+CLASHING = ["_size", "_rest", "_k", "_score", "_copy", "_id", "_row", "_hits", "item_ids", "component_id"]
+
+
+def test_stages_keep_columns_of_their_own_names(spark):
+    docs = table(spark, "/root/testdata/sf0.001", "documents")
+    wide = docs.select("*", *(F.concat(F.lit(f"{c} "), "doc_id").alias(c) for c in CLASHING))
+    for name, stage in cp.STAGES[:-1]:
+        plain = stage(spark, docs, "/root/testdata/sf0.001").select("doc_id")
+        got = stage(spark, wide, "/root/testdata/sf0.001")
+        assert got.columns == wide.columns, name
+        rows = got.collect()
+        assert sorted(r.doc_id for r in rows) == sorted(r.doc_id for r in plain.collect()), name
+        assert all(r[c] == f"{c} {r.doc_id}" for r in rows for c in CLASHING), name
+
+
+def test_an_id_is_one_document(spark):
+    text = " ".join(f"word{i}" for i in range(40))
+    rows = [(1, text), (1, "something else entirely in these words " * 3), (2, text), (3, "own words of the third document " * 4), (None, text), (None, text)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = cp.keep_distinct(spark, docs, SF).collect()
+    assert sorted((r.doc_id for r in kept), key=str) == [1, 3, None, None]

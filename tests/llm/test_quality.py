@@ -45,3 +45,16 @@ def test_defined_cases(spark):
     assert all(0 <= s <= 1 for s in score) and score[0] == score[4] > 0.5 > score[2]
     assert q.score(df.where("false"), q.train(df, some)).count() == 0
     assert q.train(df, some, sample=1).constant
+
+
+def test_query_contract(spark):
+    import zlib
+
+    from sftlake.llm import queries
+
+    sf = "/root/testdata/sf0.001"
+    df = queries.op3_quality(spark, sf)
+    assert df.dtypes == [("doc_id", "bigint"), ("held_out", "boolean"), ("score", "double"), ("predicted", "int")]
+    rows = df.collect()
+    assert sorted(r.doc_id for r in rows) == sorted(r.doc_id for r in table(spark, sf, "documents").collect())
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) and r.predicted == (r.score >= 0.5) for r in rows)

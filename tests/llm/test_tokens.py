@@ -183,3 +183,49 @@ def test_queries_equal_the_default_library(spark, default_library, tmp_path):
     for r in queries.op10_token_counts(spark, str(tmp_path)).collect():
         counted[r.doc_id] += r.n_tokens
     assert counted == {i: len(default_library.encode(f"{r.source}\n{r.text}", add_special_tokens=False).ids) for i, r in texts.items()}
+
+
+def test_chunks_without_spaces_are_kept_in_no_table(library):
+    rng = random.Random(1)
+    bpe = ByteBpe(vocabulary())
+    texts = ["".join(chr(rng.randint(0x4E00, 0x9FFF)) for _ in range(1000)) for _ in range(300)] + ["short words here"] * 3
+    ids = bpe.encode(texts)
+    assert [np.frombuffer(b, "<u4").tolist() for b in ids[:20]] == [library.encode(t, add_special_tokens=False).ids for t in texts[:20]]
+    assert sorted(bpe.known.place) == sorted(["\x00short", "words", "here"]) and bpe.known.bytes() < 1000 and bpe.known.entries == 3
+
+
+def test_tables_are_bounded_by_bytes(monkeypatch, library):
+    from sftlake.llm import bpe as module
+
+    monkeypatch.setattr(module, "CACHE_BYTES", 20_000)
+    bpe = ByteBpe(vocabulary())
+    rng = random.Random(2)
+    for _ in range(30):
+        texts = [" ".join(f"w{rng.randint(0, 5000)}" for _ in range(60)) for _ in range(5)]
+        got = bpe.encode(texts)
+        assert [np.frombuffer(b, "<u4").tolist() for b in got] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+        most = 20_000 + 300 * 250  # a table is left when it is full, after a batch
+        assert bpe.known.bytes() <= most and bpe.older.bytes() <= most and bpe.known.entries == len(bpe.known.place)
+    assert bpe.older.place
+
+
+def test_shards_do_not_move_for_their_starts(spark, tmp_path):
+    from conftest import plan
+
+    rows = [(i, "word " * (i % 50), "s") for i in range(400)]
+    tf.write_tokens(frame(spark, rows), str(tmp_path / "t"), vocabulary(), shard_ids=500)
+    placed = tf.shard_starts(tf.read_shards(spark, str(tmp_path / "t")))
+    text = plan(placed)
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+    got = placed.orderBy("part", "shard").collect()
+    assert len(got) > 10 and [r.start for r in got] == [sum(x.n_tokens for x in got[:i]) for i in range(len(got))]
+
+
+def test_deep_rules_decode():
+    """One token over and over: rules of ever more ids, written out level by level beyond the flat ones."""
+    ids = np.full(100_000, 7, np.uint32)
+    ends = np.zeros(len(ids), bool)
+    ends[[49_999, 99_999]] = True
+    symbols, last, rules = tf.repair(ids, ends, 50257, min_count=2)
+    assert len(symbols) < 60 and last.sum() == 2 and (tf.rule_lengths(rules, 50257) > tf.FLAT).any()
+    assert (tf.expand(symbols, rules, 50257) == ids).all()

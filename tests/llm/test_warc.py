@@ -60,3 +60,17 @@ def test_smallest_payload_size_and_empty_table(spark, tmp_path):
     assert warc.assemble(warc.read_warc(spark, path)).count() == 0
     sha = df.select(F.coalesce("html", F.lit("")).alias("h"), warc.base32_sha1(F.coalesce("html", F.lit(""))).alias("d"))
     assert all(r.d == digest(r.h) for r in sha.collect())
+
+
+def test_no_record_of_a_capture_is_lost(spark):
+    rows = [
+        ("response", "r1", []), ("metadata", "m2", ["r1"]), ("metadata", "m1", ["r1"]), ("metadata", "m3", ["q1"]), ("request", "q2", ["r1"]),
+        ("request", "q1", ["r1"]), ("response", "r2", []), ("metadata", "m9", ["lost"]), ("metadata", "m8", ["lost"]),
+    ]
+    schema = "record_type string, record_id string, concurrent_to array<string>, headers map<string,string>"
+    df = spark.createDataFrame([(*r, {"n": r[1]}) for r in rows], schema)
+    got = {r.capture_id: r for r in warc.assemble(df.repartition(5)).collect()}
+    first = got["r1"]
+    assert (first.request.record_id, first.metadata.record_id, [o.record_id for o in first.others]) == ("q1", "m1", ["q2", "m2", "m3"])
+    assert got["r2"].others == [] and got["r2"].request is None
+    assert (got["lost"].response, got["lost"].metadata.record_id, [o.headers["n"] for o in got["lost"].others]) == (None, "m8", ["m9"])
