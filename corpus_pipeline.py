@@ -1,10 +1,11 @@
 """Corpus pipeline: from raw documents to token files, in five stages.
 
 Each stage works on all rows that the stage before has kept, written as Parquet and read again. All but the last return the
-columns of ``documents``.
+columns of ``documents``, whatever else those are called.
 
 1. quality: documents that the factorisation machine rejects go.
-2. near_dedup: of each group of near-duplicates (five-word shingles, similarity 0.8 or more) the document of the smallest id stays.
+2. near_dedup: of each group of near-duplicates (five-word shingles, similarity 0.8 or more) the document of the smallest id stays; rows of
+   one id are one document.
 3. decontaminate: documents with a window of a benchmark item go.
 4. mix: documents are taken, left out or repeated so that each source comes near its target.
 5. tokens: token-id files are written; one row per document tells its place, size and checksum, read back from the files.
@@ -17,22 +18,25 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from sftlake.llm import decontaminate, mixing, near, quality, token_files
-from sftlake.llm.common import crc_remainder, stored, table, vocabulary
+from sftlake.llm.common import crc_remainder, free_name, stored, table, vocabulary
 from sftlake.session import shared_dir
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of score 0.5 and more. A third of the labels, by hash of the id, is left for measuring."""
     machine = quality.train(docs, table(spark, sf_dir, "labels"), usable=crc_remainder(F.col("doc_id"), 3) != 1)
-    return quality.score(docs, machine, name="_score").where("_score >= 0.5").drop("_score")
+    name = free_name(docs.columns, "_score")
+    return quality.score(docs, machine, name=name).where(F.col(name) >= 0.5).drop(name)
 
 
 def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near-duplicates. Rows without an id cannot be told apart and stay."""
+    """One row of each group of near-duplicates. An id is one document: of several rows of it one stays, the first by a hash of the text, also
+    where their texts differ. Rows without an id cannot be told apart and stay."""
     found = near.near_duplicates(docs)
     kept = found.where("kept and doc_id is not null").select(F.col("doc_id").alias("_id")).distinct()
     first = F.row_number().over(W.partitionBy("doc_id").orderBy(F.xxhash64("text")))
-    single = docs.join(kept, docs["doc_id"] == kept["_id"], "left_semi").withColumn("_k", first).where("_k = 1").drop("_k")
+    place = free_name(docs.columns, "_k")
+    single = docs.join(kept, docs["doc_id"] == kept["_id"], "left_semi").withColumn(place, first).where(F.col(place) == 1).drop(place)
     return single.unionByName(docs.where("doc_id is null"))
 
 
@@ -43,9 +47,9 @@ def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
-    mixed, _ = mixing.mix(docs)
+    mixed, _ = mixing.mix_rows(docs)
     times = F.when(F.col("_size") > 0, (F.col("_taken") / F.col("_size")).cast("int")).otherwise(F.lit(0))
-    return mixed.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), times))).select(*(F.col(f"`{c}`") for c in docs.columns))
+    return mixed.select("_row", F.explode(F.array_repeat(F.lit(1), times))).select("_row.*")
 
 
 def write_token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
