@@ -122,6 +122,11 @@ def tokens(text: Column, special_tokens: Sequence[str] = ()) -> Column:
     return F.regexp_extract_all(text, F.lit(token_pattern(special_tokens)), F.lit(0))
 
 
+def pieces(text: Column, special_tokens: Sequence[str] = ()) -> Column:
+    """`tokens` with the runs of white space between them, so that the pieces of a text joined are the text."""
+    return F.regexp_extract_all(text, F.lit(token_pattern(special_tokens) + r"|\s++"), F.lit(0))
+
+
 def token_count(text: Column, special_tokens: Sequence[str] = ()) -> Column:
     """Length of `tokens`, without making them."""
     return _count(text, token_pattern(special_tokens), r"\s*+")

@@ -6,7 +6,7 @@ name, mtime``. Nothing here deletes files; retention is a plan.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +17,11 @@ from sftlake.operators.ordering import null_safe, running
 
 # Files every checkpoint must contain.
 REQUIRED_FILES = ("config.json", "tokenizer.json", "tokenizer_config.json", "model.safetensors")
+# Keys of which a document must have all (first) and one at least (second).
+DOCUMENT_KEYS = {
+    "config.json": (("model_type", "vocab_size"), ()),
+    "tokenizer_config.json": ((), ("tokenizer_class", "model_max_length")),
+}
 
 
 def _measured() -> Column:
@@ -124,6 +129,14 @@ def required_files_check(manifest: DataFrame, required: Sequence[str] = REQUIRED
     )
 
 
+def _key_check(document: Column, all_of: Sequence[str], any_of: Sequence[str]) -> tuple[Column, Column]:
+    """The keys of ``all_of`` that a JSON document lacks, and whether it is an object that has them and one of ``any_of``."""
+    keys = F.json_object_keys(document)
+    missing = F.array_except(F.array(*map(F.lit, all_of)).cast("array<string>"), keys)
+    has_any = F.arrays_overlap(keys, F.array(*map(F.lit, any_of))) if any_of else F.lit(True)
+    return missing, F.coalesce(keys.isNotNull() & (F.size(missing) == 0) & has_any, F.lit(False))
+
+
 def json_required_keys(
     df: DataFrame, column: str, all_of: Sequence[str] = (), any_of: Sequence[str] = ()
 ) -> DataFrame:
@@ -131,11 +144,8 @@ def json_required_keys(
 
     A document that is not a JSON object is not valid.
     """
-    keys = F.json_object_keys(F.col(column))
-    missing = F.array_except(F.array(*map(F.lit, all_of)).cast("array<string>"), keys)
-    has_any = F.arrays_overlap(keys, F.array(*map(F.lit, any_of))) if any_of else F.lit(True)
-    ok = keys.isNotNull() & (F.size(missing) == 0) & has_any
-    return df.withColumn("missing", missing).withColumn("valid", F.coalesce(ok, F.lit(False)))
+    missing, valid = _key_check(F.col(column), all_of, any_of)
+    return df.withColumns({"missing": missing, "valid": valid})
 
 
 def state_check(states: DataFrame) -> DataFrame:
@@ -150,3 +160,45 @@ def state_check(states: DataFrame) -> DataFrame:
         F.coalesce(F.col("step") == checkpoint_step(F.col("name")), F.lit(False)).alias("name_ok"),
         F.coalesce(F.col("optimizer"), F.lit(False)).alias("optimizer_ok"),
     )
+
+
+def folder_audit(
+    files: DataFrame, documents: DataFrame, required: Sequence[str] = REQUIRED_FILES,
+    keys: Mapping[str, tuple[Sequence[str], Sequence[str]]] = DOCUMENT_KEYS, state: str = "training_state.json",
+) -> DataFrame:
+    """One row per checkpoint folder: inventory, missing files, malformed documents, the state's checks, and the run's newest.
+
+    ``files`` is a listing ``(run_id, checkpoint, file, bytes, mtime)``, ``documents`` the JSON texts ``(run_id, checkpoint, file, document)`` beside it.
+    A document that is listed but malformed is named in ``malformed``; one that is not there is only missing. A folder
+    without the state file predates resuming: its ``state_ok`` is null. ``resume_epoch`` and ``resume_step`` are where a sound state goes on.
+    ``newest`` marks the checkpoint of a run that was written last, by time of its last file, then step in its name.
+    """
+    by = ["run_id", "checkpoint"]
+    held = files.groupBy(*by).agg(
+        F.array_sort(F.collect_set("file")).alias("files"), F.sum("bytes").alias("bytes"), F.max("mtime").alias("_written"),
+        F.array_compact(F.array(*(F.when(F.count_if(F.col("file") == F.lit(f)) == 0, F.lit(f)) for f in required))).alias("missing"),
+    )
+    malformed = F.lit(None).cast("string")
+    for name, (all_of, any_of) in keys.items():
+        _, valid = _key_check(F.col("document"), all_of, any_of)
+        malformed = F.when((F.col("file") == name) & ~valid, F.lit(name)).otherwise(malformed)
+    number = lambda field: F.get_json_object("document", f"$.{field}").try_cast("bigint")
+    step, epoch = number("global_step"), number("epoch")
+    sound = (step >= 0) & (epoch >= 0) & (step == checkpoint_step(F.col("checkpoint"))) & F.array_contains(
+        F.json_object_keys("document"), "optimizer_state_dict"
+    )
+    checked = documents.select(
+        *by, malformed.alias("malformed"), F.when(F.col("file") == state, F.coalesce(sound, F.lit(False))).alias("ok"), epoch.alias("epoch"), step.alias("step")
+    ).groupBy(*by).agg(
+        F.array_sort(F.collect_set("malformed")).alias("malformed"), F.min("ok").alias("state_ok"),
+        F.max_by("epoch", "ok").alias("_epoch"), F.max_by("step", "ok").alias("_step"),
+    )
+    audited = null_safe(held, checked, by, "left")
+    rank = F.struct("_written", checkpoint_step(F.col("checkpoint")).alias("step"), "checkpoint")
+    last = audited.groupBy("run_id").agg(F.max(rank).alias("_last"))
+    return null_safe(audited, last, ["run_id"]).select(
+        *by, "files", F.size("files").cast("bigint").alias("n_files"), "bytes", megabytes(F.col("bytes")).alias("mb"), "missing",
+        F.coalesce("malformed", F.array().cast("array<string>")).alias("malformed"), "state_ok",
+        F.when(F.col("state_ok"), F.col("_epoch") + F.lit(1)).alias("resume_epoch"), F.when(F.col("state_ok"), F.col("_step")).alias("resume_step"),
+        (F.col("_last.checkpoint") == F.col("checkpoint")).alias("newest"),
+    )

@@ -12,7 +12,9 @@ from pyspark.sql import Window as W
 from pyspark.sql.window import WindowSpec
 
 from sftlake.functions import text as tx
-from sftlake.operators.ordering import digest, int_div, null_safe, number_by_digest, number_by_position
+from sftlake.functions.layouts import ChatLayout
+from sftlake.operators.ordering import digest, int_div, number_by_digest, number_by_position
+from sftlake.session import stored
 
 #: Label of a position that takes no part in the loss.
 MASKED = -100
@@ -58,24 +60,23 @@ def conversation_tokens(turns: DataFrame) -> DataFrame:
 
 
 def encode_tokens(
-    df: DataFrame, vocab: DataFrame, tokens: str, key: str, ids: str = "input_ids", unknown_id: int = 0
+    df: DataFrame, vocab: DataFrame, tokens: str, key: str | None = None, ids: str = "input_ids", unknown_id: int = 0
 ) -> DataFrame:
     """Replace a token array by ids of a vocabulary ``(token, id)``; rows keep their place.
 
-    The vocabulary is joined, whatever its size; of a token's several ids the smallest counts. Rows are told apart by ``key``
-    and their tokens, so a null or repeated key is no different from others. Tokens that most rows hold are split by the
-    adaptive skew join.
+    The vocabulary is joined, whatever its size; of a token's several ids the smallest counts. Rows are written once with a number of
+    their own, so the tokens are made once, and a null or repeated ``key`` (which is not looked at) is no different from others;
+    what moves is (row, place, token), then an array of ids per row. Tokens that most rows hold are split by the adaptive skew join.
     """
     table = vocab.groupBy("token").agg(F.min("id").cast("int").alias("id"))
-    marked = df.withColumn("_same", F.md5(F.to_json(tokens)))
-    words = marked.select(key, "_same", F.posexplode(tokens).alias("_pos", "token"))
+    rows = stored(df.withColumn("_row", F.monotonically_increasing_id()), "encode-rows")
+    words = rows.select(F.col("_row").alias("_at"), F.posexplode(tokens).alias("_pos", "token"))
     code = F.coalesce(F.col("id"), F.lit(unknown_id)).cast("int")
-    # A set: rows of equal key and equal tokens give each place the same id more than once.
-    coded = words.join(table, "token", "left").groupBy(key, "_same").agg(
-        F.array_sort(F.collect_set(F.struct("_pos", code.alias("id")))).getField("id").alias(ids)
+    coded = words.join(table, "token", "left").groupBy("_at").agg(
+        F.array_sort(F.collect_list(F.struct("_pos", code.alias("id")))).getField("id").alias(ids)
     )
     empty = F.when(F.col(tokens).isNotNull(), F.array().cast("array<int>"))
-    return null_safe(marked, coded, [key, "_same"], "left").withColumn(ids, F.coalesce(F.col(ids), empty)).drop("_same")
+    return rows.join(coded, F.col("_row") == F.col("_at"), "left").withColumn(ids, F.coalesce(F.col(ids), empty)).drop("_row", "_at")
 
 
 def encode_tokens_in_memory(
@@ -97,9 +98,14 @@ def encode_tokens_in_memory(
     return df.withColumn(ids, lookup(F.col(tokens)))
 
 
-def example_text(df: DataFrame, system: str, eos: str = EOS) -> DataFrame:
+def rendered_prompt(system: str, layout: ChatLayout | None = None) -> Column:
+    """The ``prompt`` column in a chat layout, ChatML unless another is given."""
+    return tx.render_chat(F.col("prompt"), system) if layout is None else layout.render_prompt(F.col("prompt"), system)
+
+
+def example_text(df: DataFrame, system: str, eos: str = EOS, layout: ChatLayout | None = None) -> DataFrame:
     """Add ``rendered`` (the prompt in chat layout) and ``full_text`` (with answer and EOS)."""
-    return df.withColumn("rendered", tx.render_chat(F.col("prompt"), system)).withColumn(
+    return df.withColumn("rendered", rendered_prompt(system, layout)).withColumn(
         "full_text", F.concat("rendered", F.coalesce("response", F.lit("")), F.lit(eos))
     )
 
@@ -157,12 +163,12 @@ def tokenised_examples(
 
 
 def plugged_examples(
-    df: DataFrame, encode: Callable[[Column], Column], system: str, eos: str, max_length: int
+    df: DataFrame, encode: Callable[[Column], Column], system: str, eos: str, max_length: int, layout: ChatLayout | None = None
 ) -> DataFrame:
     """`tokenised_examples` with any tokenizer, as a column function ``text -> array<int>``
     (`with_tokenizer` makes one). Whole text and prompt are encoded separately, since a
     trained tokenizer may merge across their boundary; only the prompt's length is used."""
-    texts = example_text(df, system, eos)
+    texts = example_text(df, system, eos, layout)
     coded = texts.select(*df.columns, encode(F.col("full_text")).alias("full_ids"), encode(F.col("rendered")).alias("_prompt"))
     return build_example(coded.withColumn("prompt_len", F.size("_prompt")).drop("_prompt"), max_length)
 

@@ -16,7 +16,8 @@ from pyspark.sql import Window as W
 
 from sftlake.functions import schedule as sd
 from sftlake.functions.scoring import perplexity
-from sftlake.operators.ordering import running
+from sftlake.operators.ordering import null_safe, running
+from sftlake.session import stored
 
 
 def metric_series(history: DataFrame, key: str, x: str = "_step") -> DataFrame:
@@ -52,32 +53,27 @@ def optimizer_steps(batches: DataFrame, accum: int) -> DataFrame:
 
     Loss is that of the first worker, tokens those of all; entropy, accuracy and gradient
     norm come from the step's last micro-batch on the first worker. Batches are read and
-    shuffled once, reduced by ``accum`` times the number of workers; steps of earlier
-    epochs and the start of an epoch are window values over the reduced rows of a run.
+    shuffled once, reduced by ``accum`` times the number of workers, and the reduced rows are stored: the steps of earlier epochs
+    are a running sum over one row per epoch, so a run of any length is no hot key.
     """
     first = F.col("rank") == 0
     last = F.when(first, F.col("idx"))
-    steps = batches.groupBy(
-        "run_id", "epoch", (F.floor(F.col("idx") / F.lit(accum)) + F.lit(1)).cast("bigint").alias("_step")
-    ).agg(
+    at = (F.floor(F.col("idx") / F.lit(accum)) + F.lit(1)).cast("bigint")
+    steps = batches.groupBy("run_id", "epoch", at.alias("_step")).agg(
         F.sum(F.when(first, F.col("loss"))).alias("loss_sum"),
         F.count_if(first).alias("batches"),
         F.sum("tokens").alias("tokens"),
-        F.min("ts_us").alias("start_us"),
+        F.min("ts_us").alias("_start_us"),
         F.max("ts_us").alias("end_us"),
         *(F.max_by(F.when(first, F.col(c)), last).alias(c) for c in _LAST if c in batches.columns),
         *(F.max(c).alias(c) for c in _PEAK if c in batches.columns),
     )
-    inside = W.partitionBy("run_id", "epoch")
-    # The steps of an epoch count once, at its last step.
-    added = F.when(F.col("_step") == F.col("_last"), F.col("_step"))
-    earlier = W.partitionBy("run_id").orderBy("epoch").rangeBetween(W.unboundedPreceding, -1)
-    return (
-        steps.withColumn("_last", F.max("_step").over(inside))
-        .withColumn("epoch_start_us", F.min("start_us").over(inside))
-        .withColumn("step", F.coalesce(F.sum(added).over(earlier), F.lit(0)) + F.col("_step"))
-        .drop("_step", "_last", "start_us")
-    )
+    steps = stored(steps, "optimizer-steps")
+    epochs = steps.groupBy("run_id", "epoch").agg(F.max("_step").alias("_steps"), F.min("_start_us").alias("epoch_start_us"))
+    earlier = W.partitionBy("run_id").orderBy("epoch").rowsBetween(W.unboundedPreceding, -1)
+    starts = epochs.select("run_id", "epoch", "epoch_start_us", F.coalesce(F.sum("_steps").over(earlier), F.lit(0)).alias("_before"))
+    placed = null_safe(steps, starts, ["run_id", "epoch"])
+    return placed.withColumn("step", F.col("_before") + F.col("_step")).drop("_step", "_start_us", "_before")
 
 
 def running_loss(batches: DataFrame) -> DataFrame:
@@ -94,7 +90,7 @@ def _windows(batches: DataFrame, accum: int, every: int) -> DataFrame:
     """One row per log step: totals since the previous log of the epoch, and its rates.
 
     Steps after the last log step of an epoch belong to no window. The previous log and
-    the loss since the start of the epoch are window values over these few rows of an epoch.
+    the loss since the start of the epoch are running values over these reduced rows, which are stored for it.
     """
     steps = optimizer_steps(batches, accum)
     at = F.col("step")
@@ -108,11 +104,9 @@ def _windows(batches: DataFrame, accum: int, every: int) -> DataFrame:
         *(F.max_by(c, F.when(F.col(c).isNotNull(), at)).alias(c) for c in _LAST if c in steps.columns),
         *(F.max(c).alias(c) for c in _PEAK if c in steps.columns),
     ).where(F.pmod(F.col("step"), F.lit(every)) == 0)
-    order = W.partitionBy("run_id", "epoch").orderBy("window")
-    timed = (
-        windows.withColumn("_prev_us", F.lag("end_us").over(order))
-        .withColumn("_loss", F.sum("loss_sum").over(order.rowsBetween(W.unboundedPreceding, W.currentRow)))
-        .withColumn("_n", F.sum("batches").over(order.rowsBetween(W.unboundedPreceding, W.currentRow)))
+    timed = running(
+        stored(windows, "log-windows"), ["run_id", "epoch"], "window",
+        {"_prev_us": ("last", F.col("end_us")), "_loss": ("sum", F.col("loss_sum")), "_n": ("sum", F.col("batches"))}, exclusive=["_prev_us"],
     )
     seconds = (F.col("end_us") - F.coalesce("_prev_us", "epoch_start_us")) / F.lit(1e6)
     return (

@@ -2,50 +2,57 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from sftlake.operators.ordering import digest, digest_bucket
+from sftlake.operators.ordering import DIGEST_DIGITS, digest, digest_bucket
+from sftlake.session import stored
 
 
 def _prompt(key: str) -> Column:
     return F.coalesce(F.col(key), F.lit(""))
 
 
-def split_cutoff(df: DataFrame, key: str, val_frac: float, seed: int) -> DataFrame:
-    """One row: the largest prompt digest that still goes to validation, null if none does.
+#: Prompts that one task puts in order.
+MOST_IN_ORDER = 1 << 16
+
+
+def _edge(counts: DataFrame, missing: int) -> tuple[str, int, int] | None:
+    """Of counts ``(bucket, n)`` in bucket order, the bucket in which the sum reaches ``missing``, what it still lacks there, and its count."""
+    order = W.orderBy("bucket")
+    upto = F.sum("n").over(order.rowsBetween(W.unboundedPreceding, W.currentRow))
+    found = counts.withColumn("upto", upto).where((F.col("upto") - F.col("n") < missing) & (F.col("upto") >= missing)).first()
+    return None if found is None else (found["bucket"], missing - (found["upto"] - found["n"]), found["n"])
+
+
+def split_cutoff(df: DataFrame, key: str, val_frac: float, seed: int, most: int | None = None) -> str | None:
+    """The largest prompt digest that still goes to validation, or None if none does.
 
-    Validation takes prompts in digest order while its rows are fewer than
-    ``floor(val_frac * rows)``. Rows are counted per digest prefix (at most 65,536
-    counts); only the prefix in which the target is reached is looked at prompt by
-    prompt, which is 1/65,536 of the prompts.
+    Validation takes prompts in digest order while its rows are fewer than ``floor(val_frac * rows)``. This is a radix selection:
+    rows are counted per digest prefix (four digits, at most 65,536 counts), and the prefix in which the target is reached is
+    looked at one level deeper, until it has at most ``most`` prompts, which are put in order. So no window is larger, however
+    many prompts there are and however their digests lie. The first level reads the rows, later ones a table of that prefix's prompts.
     """
+    most = MOST_IN_ORDER if most is None else most
     keys = df.select(digest(F.col(key), seed).alias("h"))
-    order = W.orderBy("bucket")
-    buckets = keys.groupBy(digest_bucket(F.col("h")).alias("bucket")).agg(
-        F.count(F.lit(1)).alias("n")
-    ).select(
-        "bucket",
-        F.coalesce(F.sum("n").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("before"),
-        F.sum("n").over(order.rowsBetween(W.unboundedPreceding, W.currentRow)).alias("upto"),
-        F.floor(
-            F.lit(float(val_frac))
-            * F.sum("n").over(order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
-        ).alias("target"),
-    )
-    edge = buckets.where("before < target and target <= upto").select(
-        "bucket", (F.col("target") - F.col("before")).alias("missing")
-    )
-    groups = (
-        keys.withColumn("bucket", digest_bucket(F.col("h")))
-        .join(F.broadcast(edge), "bucket")  # one row
-        .groupBy("h", "missing").agg(F.count(F.lit(1)).alias("n"))
-    )
-    before = F.coalesce(
-        F.sum("n").over(W.orderBy("h").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)
-    )
-    return groups.withColumn("before", before).where("before < missing").agg(F.max("h").alias("cutoff"))
+    counts = keys.groupBy(digest_bucket(F.col("h")).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    rows = counts.agg(F.sum("n")).first()[0] or 0
+    edge = _edge(counts, math.floor(float(val_frac) * rows))
+    if edge is None:
+        return None
+    prefix, missing, _ = edge
+    prompts = stored(keys.where(F.col("h").startswith(prefix)).groupBy("h").agg(F.count(F.lit(1)).alias("n")), "split-prompts")
+    while len(prefix) < 32 and prompts.where(F.col("h").startswith(prefix)).count() > most:
+        deeper = F.substring("h", len(prefix) + 1, DIGEST_DIGITS)
+        inside = prompts.where(F.col("h").startswith(prefix)).groupBy(deeper.alias("bucket")).agg(F.sum("n").alias("n"))
+        more, missing, _ = _edge(inside, missing)
+        prefix += more
+    upto = F.sum("n").over(W.orderBy("h").rowsBetween(W.unboundedPreceding, -1))
+    last = prompts.where(F.col("h").startswith(prefix)).withColumn("before", F.coalesce(upto, F.lit(0)))
+    return last.where(F.col("before") < missing).agg(F.max("h")).first()[0]
 
 
 def group_split(
@@ -57,7 +64,7 @@ def group_split(
     digest with one cut-off value: the rows themselves are neither shuffled nor joined,
     and a prompt that holds a third of the rows needs no special care.
     """
-    cutoff = split_cutoff(df, key, val_frac, seed).scalar()
+    cutoff = F.lit(split_cutoff(df, key, val_frac, seed)).cast("string")
     return df.withColumn(
         "split", F.when(digest(F.col(key), seed) <= cutoff, "val").otherwise("train")
     )

@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sftlake.functions import layouts as la
 from sftlake.functions import schedule as sd
 from sftlake.functions import scoring as sc
 from sftlake.functions import text as tx
@@ -18,17 +19,23 @@ from sftlake.functions.once import computed
 from sftlake.functions.tokenizer import with_tokenizer
 from sftlake.operators import checkpoints as ck
 from sftlake.operators import curate as cu
+from sftlake.operators import decode as de
+from sftlake.operators import epochs as ep
 from sftlake.operators import evals as ev
 from sftlake.operators import examples as ex
 from sftlake.operators import losses as lo
 from sftlake.operators import profile as pr
 from sftlake.operators import runs as ru
+from sftlake.operators import sharded as sh
+from sftlake.operators import sketches as sk
 from sftlake.operators import split as sp
 from sftlake.plans import inputs as inp
 from sftlake.plans.inputs import NL, with_inputs
-from sftlake.session import shared_dir
+from sftlake.session import shared_dir, stored
+from sftlake.sources import folders as fo
 from sftlake.sources import io
 from sftlake.streaming.curate import curate_stream
+from sftlake.streaming.quota import curate_stream_quota, read_kept
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -428,12 +435,14 @@ def _(spark, sf):
     return ex.encode_tokens(rows, inp.vocabulary(spark, sf), "tokens", "ord").select("ord", _joined("input_ids"))
 
 
-@query("encode_tokens_in_memory", with_inputs("SELECT ord, array_to_string(full_ids, ' ') AS input_ids FROM coded", "coded"))
+@query("encode_tokens_in_memory", with_inputs("""SELECT ord, array_to_string(list(coalesce(id, 0) ORDER BY pos), ' ') AS input_ids
+    FROM (SELECT ord, unnest(toks) AS token, generate_subscripts(toks, 1) AS pos FROM pieces) LEFT JOIN benchmark_vocab USING (token)
+    GROUP BY ord""", "pieces", "benchmark_vocab"))
 def _(spark, sf):
     rows = ex.example_text(inp.sft_records(spark, sf), inp.SYSTEM).select(
         "ord", tx.tokens(F.col("full_text"), ex.SPECIAL_TOKENS).alias("tokens")
     )
-    vocab = dict(map(tuple, inp.vocabulary(spark, sf).collect()))
+    vocab = dict(map(tuple, inp.benchmark_vocabulary(spark, sf).collect()))
     return ex.encode_tokens_in_memory(rows, vocab, "tokens").select("ord", _joined("input_ids"))
 
 
@@ -452,6 +461,31 @@ def _(spark, sf):
     )
 
 
+def _place_sql(x: str) -> str:
+    """The Feistel network of `epochs.permuted` as an expression over x, a, b and epoch."""
+    left, right = f"({x} // b)", f"({x} % b)"
+    for i in range(1, ep.ROUNDS + 1):
+        mixed = "('0x' || left(md5('42|' || epoch || '|{i}|{half}|' || {v}), 8))::BIGINT"
+        left = f"(({left} + {mixed.format(i=i, half='l', v=right)}) % a)"
+        right = f"(({right} + {mixed.format(i=i, half='r', v=left)}) % b)"
+    return f"({left} * b + {right})"
+
+
+EPOCHS, WORKERS, BATCH = 3, 3, 8
+
+
+@query("epoch_batches", with_inputs("", "sft").replace("WITH", "WITH RECURSIVE", 1).rstrip() + f""",
+    numbered AS (SELECT ord, row_number() OVER (ORDER BY ord) - 1 AS rn, count(*) OVER () AS n, ceil(sqrt(count(*) OVER ()))::BIGINT AS a FROM sft),
+    sized AS (SELECT *, (n + a - 1) // a AS b, e.epoch FROM numbered, (SELECT unnest(range({EPOCHS})) AS epoch) e),
+    walk AS (SELECT ord, epoch, n, a, b, {_place_sql("rn")} AS x FROM sized
+      UNION ALL SELECT ord, epoch, n, a, b, {_place_sql("x")} FROM walk WHERE x >= n)
+    SELECT ord, epoch::INTEGER AS epoch, (x // {BATCH} % {WORKERS})::INTEGER AS rank, x // {BATCH} // {WORKERS} AS step, (x % {BATCH})::INTEGER AS pos_in_batch
+    FROM walk WHERE x < n AND x // {BATCH} < n // {BATCH} // {WORKERS} * {WORKERS}""")
+def _(spark, sf):
+    numbered = stored(ep.numbered_rows(inp.sft_records(spark, sf).select("ord"), "ord"), "numbered")
+    return ep.epoch_batches(numbered, EPOCHS, BATCH, WORKERS)
+
+
 _SHOWN = ("input_ids", "labels", "attention_mask")
 _SHOWN_SQL = ", ".join(f"array_to_string({c}, ' ') AS {c}" for c in _SHOWN)
 
@@ -554,7 +588,7 @@ _GROUP = "seq_id % 7"
 
 
 def _grouped_logits(spark: SparkSession, sf: str) -> DataFrame:
-    return inp.logits(spark, sf).withColumn("batch_id", F.expr(_GROUP))
+    return inp.targeted_logits(spark, sf).withColumn("batch_id", F.expr(_GROUP))
 
 
 def _rounded(df: DataFrame, column: str) -> DataFrame:
@@ -590,6 +624,26 @@ def _(spark, sf):
     return _rounded(lo.masked_entropy(_grouped_logits(spark, sf), ["batch_id"]), "entropy")
 
 
+_POSITION_SQL = """SELECT seq_id, pos, target, lse, lse - list_sum(list_transform(logits, lambda x: exp(x - lse) * x)) AS entropy,
+    (list_position(logits, list_max(logits)) - 1)::INTEGER AS top1, CASE WHEN target <> -100 THEN logits[target + 1] - lse END AS lp FROM scored"""
+
+
+@query("sharded_scores", with_inputs(f"""SELECT seq_id, pos, target, round(lse, 6) AS lse, round(entropy, 6) AS entropy, top1, round(lp, 6) AS lp
+    FROM ({_POSITION_SQL})""", "scored"))
+def _(spark, sf):
+    scores = sh.position_scores(inp.logit_shards(spark, sf))
+    return scores.select("seq_id", "pos", "target", *(F.round(c, 6).alias(c) for c in ("lse", "entropy", "lp")), "top1")
+
+
+@query("sharded_losses", with_inputs(f"""SELECT {_GROUP} AS batch_id, count(lp) AS tokens, round(sum(-lp) / count(lp), 6) AS ce_loss,
+    round(sum(-exp(lp) * lp) / count(lp), 6) AS dft_loss, count(*) FILTER (top1 = target)::DOUBLE / count(lp) AS token_accuracy,
+    round(avg(entropy) FILTER (target <> -100), 6) AS entropy FROM ({_POSITION_SQL}) GROUP BY ALL""", "scored"))
+def _(spark, sf):
+    scores = sh.position_scores(inp.logit_shards(spark, sf)).withColumn("batch_id", F.expr(_GROUP))
+    losses = sh.score_losses(scores, ["batch_id"])
+    return losses.select("batch_id", "tokens", "token_accuracy", *(F.round(c, 6).alias(c) for c in ("ce_loss", "dft_loss", "entropy")))
+
+
 # -- profiling -------------------------------------------------------------------------
 
 
@@ -660,6 +714,36 @@ def curation_by_source(spark, sf):
     return cu.curation_counters(inp.raw_corpus(spark, sf), None, MIN_LEN, MAX_LEN, by=("source",))
 
 
+SKETCH_POINTS = 20
+_SLICES = """, bars AS (SELECT source, ord % 7 AS day, len(input) + ord % 251 AS x, count(*) AS weight FROM raw GROUP BY ALL),
+    counted AS (SELECT *, sum(weight) OVER w AS upto, sum(weight) OVER (PARTITION BY source, day) AS total FROM bars WINDOW w AS (PARTITION BY source, day ORDER BY x)),
+    kept AS (SELECT * FROM counted WHERE upto * 20 // total > (upto - weight) * 20 // total),
+    sketch AS (SELECT source, day, x, (upto - coalesce(lag(upto) OVER (PARTITION BY source, day ORDER BY x), 0))::BIGINT AS weight FROM kept) """
+
+
+def _sketches(spark: SparkSession, sf: str) -> DataFrame:
+    rows = inp.raw_prompts(spark, sf).select("source", (F.col("ord") % 7).alias("day"), (F.length("input") + F.col("ord") % 251).alias("x"))
+    return sk.sketch_lengths(rows, "x", ["source", "day"], SKETCH_POINTS)
+
+
+@query("length_sketch", with_inputs("", "raw").rstrip() + _SLICES + "SELECT * FROM sketch")
+def _(spark, sf):
+    return _sketches(spark, sf)
+
+
+@query("length_quantiles_sketched", with_inputs("", "raw").rstrip() + _SLICES + """,
+    merged AS (SELECT source, x, sum(weight) AS weight FROM sketch GROUP BY ALL),
+    upto AS (SELECT *, sum(weight) OVER (PARTITION BY source ORDER BY x) AS upto, sum(weight) OVER (PARTITION BY source) AS total FROM merged)
+    SELECT source, sum(weight)::BIGINT AS rows, min(x) FILTER (upto >= 0.5::DOUBLE * total) AS q50, min(x) FILTER (upto >= 0.9::DOUBLE * total) AS q90,
+      min(x) FILTER (upto >= 0.99::DOUBLE * total) AS q99 FROM upto GROUP BY source""")
+def _(spark, sf):
+    # Two loads: the sketches of the later days are added to the table, what is there is not touched.
+    path, sketches = shared_dir(spark, "sketches"), _sketches(spark, sf)
+    sk.append_sketches(sketches.where("day < 4"), path, "day")
+    sk.append_sketches(sketches.where("day >= 4"), path, "day")
+    return sk.sketch_quantiles(sk.read_sketches(spark, path), (0.5, 0.9, 0.99), ["source"])
+
+
 # -- training runs ---------------------------------------------------------------------
 
 
@@ -845,6 +929,31 @@ def _(spark, sf):
     return ck.state_check(inp.checkpoints(spark, sf).withColumn("step", step))
 
 
+_FOLDERS_SQL = f"""WITH k AS (SELECT s_suppkey AS k, 'run' || s_nationkey AS run_id, 'checkpoint-epoch' || (s_suppkey % 3 + 1) || '-step' || s_suppkey AS checkpoint FROM supplier),
+    f AS (SELECT *, ['config.json', 'tokenizer.json', 'tokenizer_config.json', 'model.safetensors', 'training_state.json'][i + 1] AS file,
+      CASE i WHEN 0 THEN CASE k % 5 WHEN 0 THEN 20 WHEN 1 THEN 9 ELSE 36 + length(k::VARCHAR) END WHEN 1 THEN 3 WHEN 2 THEN CASE WHEN k % 4 = 0 THEN 13 ELSE 25 END
+        WHEN 3 THEN k + 1 ELSE 28 + length((CASE WHEN k % 6 = 0 THEN k + 1 ELSE k END)::VARCHAR) + CASE WHEN k % 6 = 1 THEN 2 ELSE 30 END END AS bytes
+      FROM k, (SELECT unnest(range(5)) AS i) WHERE (k * 7 + i) % 11 <> 0),
+    g AS (SELECT k, run_id, checkpoint, list(file ORDER BY file) AS files, sum(bytes)::BIGINT AS bytes FROM f GROUP BY ALL)
+    SELECT run_id, checkpoint, array_to_string(files, ' ') AS files, len(files) AS n_files, bytes, bytes / 1e6::DOUBLE AS mb,
+      array_to_string(list_filter({list(inp.REQUIRED_FILES)}, lambda x: NOT list_contains(files, x)), ' ') AS missing,
+      array_to_string(list_filter(['config.json', 'tokenizer_config.json'], lambda x: list_contains(files, x) AND CASE x WHEN 'config.json' THEN k % 5 < 2 ELSE k % 4 = 0 END), ' ') AS malformed,
+      CASE WHEN list_contains(files, 'training_state.json') THEN k % 6 > 1 END AS state_ok,
+      CASE WHEN list_contains(files, 'training_state.json') AND k % 6 > 1 THEN k % 3 + 1 END AS resume_epoch,
+      CASE WHEN list_contains(files, 'training_state.json') AND k % 6 > 1 THEN k END AS resume_step FROM g"""
+
+
+@query("folder_audit", _FOLDERS_SQL)
+def _(spark, sf):
+    root = inp.checkpoint_folders(spark, sf)
+    names = [*ck.DOCUMENT_KEYS, inp.STATE_FILE]
+    files = fo.read_checkpoint_files(spark, root, inp.FOLDER_LAYOUT)
+    # Here each file is a folder of its own, so the folders are named instead of the files.
+    documents = fo.read_checkpoint_documents(spark, f"{root}/*/*/file={{{','.join(names)}}}", names, inp.FOLDER_LAYOUT, inside="*")
+    joined = {c: F.array_join(c, " ") for c in ("files", "missing", "malformed")}
+    return ck.folder_audit(files, documents, state=inp.STATE_FILE).drop("newest").withColumns(joined)  # written all at once: none is newest
+
+
 # -- evaluation ------------------------------------------------------------------------
 
 _RESULT = "doc_id, name, format_ok, has_think, has_answer, code_src, exec_pass, elapsed_ms / 1000::DOUBLE AS elapsed, tokens"
@@ -921,9 +1030,68 @@ def _(spark, sf):
     return ev.tag_round_trip(inp.model_outputs(spark, sf), "output")
 
 
+_PIECES_SQL = r"</?think>|</?answer>|<\|im_start\|>|<\|im_end\|>|<\|[^|]*\|>|<|\p{L}+|\p{N}|[^\s\x0b\p{L}\p{N}<]+|[\s\x0b]+"
+
+
+@query("decode_round_trip", f"""WITH known AS (SELECT DISTINCT unnest(regexp_extract_all(text, '{_PIECES_SQL}')) AS piece FROM conversations),
+    vocab AS (SELECT piece FROM known WHERE right(md5(piece), 1) NOT IN ('0', '1') UNION SELECT unnest({list(ex.SPECIAL_TOKENS)})),
+    cut AS (SELECT doc_id, unnest(regexp_extract_all(text, '{_PIECES_SQL}')) AS piece FROM documents),
+    sized AS (SELECT doc_id, sum(CASE WHEN v.piece IS NULL THEN strlen(c.piece) ELSE 1 END)::INTEGER AS n_ids FROM cut c LEFT JOIN vocab v ON v.piece = c.piece GROUP BY doc_id)
+    SELECT doc_id, coalesce(n_ids, 0) AS n_ids, length(text)::INTEGER AS length, md5(text) AS digest FROM documents LEFT JOIN sized USING (doc_id)""")
+def _(spark, sf):
+    vocab = stored(inp.piece_vocabulary(spark, sf), "pieces")
+    ids = stored(de.encode_exact(inp.table(spark, sf, "documents"), vocab, "doc_id", "text", ex.SPECIAL_TOKENS), "exact-ids")
+    back = de.decode_ids(ids, vocab, "doc_id")
+    return ids.select("doc_id", F.size("ids").alias("n_ids")).join(back, "doc_id").select(
+        "doc_id", "n_ids", F.length("text").alias("length"), F.md5("text").alias("digest")
+    )
+
+
+_LAYOUT_SQL = {
+    "chatml": "'<|im_start|>system' || chr(10) || s || '<|im_end|>' || chr(10) || '<|im_start|>user' || chr(10) || text || '<|im_end|>' || chr(10) || '<|im_start|>assistant' || chr(10)",
+    "headers": "'<|begin_of_text|><|start_header_id|>system<|end_header_id|>' || chr(10) || chr(10) || s || '<|eot_id|><|start_header_id|>user<|end_header_id|>' || chr(10) || chr(10) || t || '<|eot_id|><|start_header_id|>assistant<|end_header_id|>' || chr(10) || chr(10)",
+    "inst": "'<s>[INST] <<SYS>>' || chr(10) || s || chr(10) || '<</SYS>>' || chr(10) || chr(10) || t || ' [/INST]'",
+    "model_turns": "'<bos><start_of_turn>user' || chr(10) || s || chr(10) || chr(10) || t || '<end_of_turn>' || chr(10) || '<start_of_turn>model' || chr(10)",
+}
+
+
+@query("render_layouts", " UNION ALL ".join(
+    f"SELECT doc_id, '{name}' AS layout, length({sql})::INTEGER AS length, md5({sql}) AS digest FROM (SELECT doc_id, text, '{inp.SYSTEM}' AS s, {inp.sql_strip('text')} AS t FROM documents)"
+    for name, sql in _LAYOUT_SQL.items()))
+def _(spark, sf):
+    docs = inp.table(spark, sf, "documents").select("doc_id", "text")
+    shown = F.array(*(F.struct(F.lit(n).alias("layout"), l.render_prompt(F.col("text"), inp.SYSTEM).alias("t")) for n, l in la.LAYOUTS.items()))
+    return docs.select("doc_id", F.inline(shown)).select("doc_id", "layout", F.length("t").alias("length"), F.md5("t").alias("digest"))
+
+
+@query("render_layout_messages", f"""SELECT doc_id, '<s>[INST] <<SYS>>' || chr(10) || source || chr(10) || '<</SYS>>' || chr(10) || chr(10) || lang || ' [/INST] ' || source || ' </s>[INST] '
+    || n_chars || ' [/INST]' AS inst, '<bos><start_of_turn>user' || chr(10) || lang || '<end_of_turn>' || chr(10) || '<start_of_turn>model' || chr(10) || source || '<end_of_turn>' || chr(10) AS model_turns FROM documents""")
+def _(spark, sf):
+    said = lambda role, c: F.struct(F.lit(role).alias("role"), F.col(c).cast("string").alias("content"))
+    four = F.array(said("system", "source"), said("user", "lang"), said("assistant", "source"), said("user", "n_chars"))
+    two = F.array(said("user", "lang"), said("assistant", "source"))
+    docs = inp.table(spark, sf, "documents")
+    return docs.select("doc_id", la.INST.render(four).alias("inst"), la.MODEL_TURNS.render(two, generate=False).alias("model_turns"))
+
+
 # -- stream ----------------------------------------------------------------------------
 
 
+QUOTA = 60
+
+
+@query("curate_stream_quota", with_inputs(f"SELECT * FROM curated ORDER BY ord LIMIT {QUOTA}", "curated"))
+def _(spark, sf):
+    out, checkpoint = shared_dir(spark, "quota-out"), shared_dir(spark, "quota-checkpoint")
+    stream = curate_stream_quota(
+        spark, f"{sf}/documents.parquet*", out, checkpoint, QUOTA, MIN_LEN, MAX_LEN,
+        schema=io.DOCUMENT_SCHEMA, prepare=inp.raw_from_documents,
+    )
+    stream.awaitTermination()
+    return read_kept(spark, out).drop("batch")
+
+
+
 @query("curate_stream", with_inputs("SELECT * FROM curated", "curated"))
 def _(spark, sf):
     out, checkpoint = shared_dir(spark, "stream-out"), shared_dir(spark, "stream-checkpoint")

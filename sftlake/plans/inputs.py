@@ -14,8 +14,12 @@ from sftlake.functions import text as tx
 from sftlake.functions.once import computed
 from sftlake.functions.schedule import checkpoint_name, lr_cosine, wall_micros
 from sftlake.operators.checkpoints import REQUIRED_FILES
+from sftlake.operators.decode import byte_vocabulary
 from sftlake.operators.examples import SPECIAL_TOKENS
+from sftlake.operators.losses import with_target
 from sftlake.operators.ordering import int_div
+from sftlake.operators.sharded import shard_logits
+from sftlake.session import shared_dir, stored
 
 SYSTEM = "You fix code. Think first, then answer."
 WARMUP, TOTAL, PEAK = 50, 189, 2e-5  # fixed values: the published run's schedule, which the learning-rate audit looks for
@@ -124,15 +128,30 @@ def sft_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Special tokens and the tokens of the benchmark and of every other conversation, with ids from a digest."""
-    said = table(spark, sf_dir, "conversations").where("conv_id % 2 = 0").select("text")
-    texts = table(spark, sf_dir, "benchmark").select("text").unionByName(said)
-    words = texts.select(F.explode(tx.tokens(F.col("text"))).alias("token")).distinct()
+    """Special tokens and the tokens of the benchmark and of all conversations, with ids from a digest; an eighth of the
+    tokens, by digest, is left out, so that there are unknown ones."""
+    texts = table(spark, sf_dir, "benchmark").select("text").unionByName(table(spark, sf_dir, "conversations").select("text"))
+    known = texts.select(F.explode(tx.tokens(F.col("text"))).alias("token")).distinct().where(~F.right(F.md5("token"), F.lit(1)).isin("0", "1"))
+    return _with_ids(known)
+
+
+def benchmark_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Special tokens and the tokens of the benchmark, a vocabulary that does not grow with the corpus."""
+    return _with_ids(table(spark, sf_dir, "benchmark").select(F.explode(tx.tokens(F.col("text"))).alias("token")).distinct())
+
+
+def _with_ids(words: DataFrame) -> DataFrame:
     code = F.conv(F.substring(F.md5("token"), 1, 5), 16, 10).cast("int") + F.lit(1000)
-    fixed = spark.createDataFrame([(t, i + 1) for i, t in enumerate(SPECIAL_TOKENS)], "token string, id int")
+    fixed = words.sparkSession.createDataFrame([(t, i + 1) for i, t in enumerate(SPECIAL_TOKENS)], "token string, id int")
     return words.select("token", code.alias("id")).unionByName(fixed)
 
 
+def piece_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vocabulary for exact ids: the bytes, the special tokens, and the pieces of all conversations but an eighth by digest."""
+    said = table(spark, sf_dir, "conversations").select(F.explode(tx.pieces(F.col("text"), SPECIAL_TOKENS)).alias("piece")).distinct()
+    return byte_vocabulary(said.where(~F.right(F.md5("piece"), F.lit(1)).isin("0", "1")), SPECIAL_TOKENS)
+
+
 EOS_ID = len(SPECIAL_TOKENS)
 
 
@@ -145,6 +164,16 @@ def logits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def targeted_logits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The logits as a trainer writes them that knows the next label: a stored table with ``target``."""
+    return stored(with_target(logits(spark, sf_dir)), "logits-with-target")
+
+
+def logit_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same in blocks of 16 classes, without the labels."""
+    return stored(shard_logits(with_target(logits(spark, sf_dir)).drop("label"), 16), "logit-shards")
+
+
 def batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Micro-batches of two workers: 4,000 events make a run, 400 an epoch."""
     event, user = F.col("event_id"), F.col("user_id")
@@ -204,6 +233,30 @@ def checkpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+FOLDER_LAYOUT = r"run_id=([^/]+)/checkpoint=([^/]+)/file=([^/]+)/"
+STATE_FILE = "training_state.json"
+
+
+def checkpoint_folders(spark: SparkSession, sf_dir: str) -> str:
+    """The root of a tree of checkpoint folders, written from the suppliers: a folder each, some lacking files, some with malformed documents."""
+    k = F.col("s_suppkey")
+    config = cases(k % 5, '{"model_type": "m"}', "not json").otherwise(F.concat(F.lit('{"model_type": "m", "vocab_size": '), k, F.lit("}")))
+    told = F.concat(F.lit('{"epoch": '), k % 3, F.lit(', "global_step": '), F.when(k % 6 == 0, k + F.lit(1)).otherwise(k))
+    texts = {
+        "config.json": config, "tokenizer.json": F.lit("{}"),
+        "tokenizer_config.json": F.when(k % 4 == 0, '{"other": 1}').otherwise('{"tokenizer_class": "t"}'),
+        "model.safetensors": F.repeat(F.lit("w"), k.cast("int")),
+        STATE_FILE: F.concat(told, F.when(k % 6 == 1, "}").otherwise(', "optimizer_state_dict": {}}')),
+    }
+    files = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(name).alias("file"), text.alias("value")) for i, (name, text) in enumerate(texts.items())))
+    rows = table(spark, sf_dir, "supplier").select(
+        F.concat(F.lit("run"), "s_nationkey").alias("run_id"), checkpoint_name((k % 3).cast("int"), k).alias("checkpoint"), k.alias("_k"), F.inline(files)
+    ).where((F.col("_k") * 7 + F.col("i")) % 11 != 0).drop("_k", "i")
+    root = shared_dir(spark, "checkpoint-folders")
+    rows.write.partitionBy("run_id", "checkpoint", "file").text(root)
+    return root
+
+
 def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("checkpoint"),
@@ -309,7 +362,12 @@ SQL = {
     "vocab": f"""vocab AS (
   SELECT token, (('0x' || left(md5(token), 5))::INTEGER + 1000)::INTEGER AS id
   FROM (SELECT DISTINCT unnest(regexp_extract_all(text, '{TOKENS}')) AS token
-        FROM (SELECT text FROM benchmark UNION ALL SELECT text FROM conversations WHERE conv_id % 2 = 0))
+        FROM (SELECT text FROM benchmark UNION ALL SELECT text FROM conversations))
+  WHERE right(md5(token), 1) NOT IN ('0', '1')
+  UNION ALL SELECT * FROM (VALUES {", ".join(f"('{t}', {i + 1})" for i, t in enumerate(SPECIAL_TOKENS))}) s(token, id))""",
+    "benchmark_vocab": f"""benchmark_vocab AS (
+  SELECT token, (('0x' || left(md5(token), 5))::INTEGER + 1000)::INTEGER AS id
+  FROM (SELECT DISTINCT unnest(regexp_extract_all(text, '{TOKENS}')) AS token FROM benchmark)
   UNION ALL SELECT * FROM (VALUES {", ".join(f"('{t}', {i + 1})" for i, t in enumerate(SPECIAL_TOKENS))}) s(token, id))""",
     "pieces": f"""pieces AS (
   SELECT *, {sql_count("rendered", ALL_TOKENS)} AS prompt_len,

@@ -105,13 +105,32 @@ def test_validation_is_a_mean_of_means(spark):
     assert (capped[5].loss, capped[5].n_batches, capped[9].loss, capped[9].n_batches) == (5.5, 1, 6.0, 2)
 
 
-def test_train_log_reads_and_shuffles_the_rows_once(spark, tmp_path):
+def test_train_log_reads_the_rows_once(spark, tmp_path, monkeypatch):
     _, batches = make_batches(spark, {"a": [50, 37]})
-    batches.write.parquet(str(tmp_path / "b"))
-    log = ru.train_log(spark.read.parquet(str(tmp_path / "b")), 4, 3)
+    batches.write.parquet(str(tmp_path / "batches"))
+    plans, stored = [], ru.stored
+    monkeypatch.setattr(ru, "stored", lambda df, name: (plans.append(plan(df)), stored(df, name))[1])
+    log = ru.train_log(spark.read.parquet(str(tmp_path / "batches")), 4, 3)
     log.collect()
-    final = plan(log).split("== Initial Plan ==")[0]
-    assert final.count("FileScan") == 1
+    plans.append(plan(log))
+    # Only the rows themselves have an idx.
+    assert sum("FileScan" in line and "idx#" in line for p in plans for line in p.splitlines()) == 1
+
+
+def test_a_huge_run_is_no_hot_key(spark, monkeypatch):
+    """Windows over one row per epoch, and blocks of bounded size for the log: no window holds a run's steps."""
+    _, batches = make_batches(spark, {"a": [400, 400], "b": [3]})
+    steps = ru.optimizer_steps(batches, 4)
+    text = plan(steps)
+    windows = [line for line in text.splitlines() if "windowspecdefinition" in line]
+    assert len(windows) == 1 and "_steps" in windows[0]
+    assert steps.where("run_id = 'a'").agg(F.max("step"), F.count("*")).first()[:] == (200, 200)
+    from sftlake.operators import ordering
+
+    whole = sorted(map(tuple, ru.throughput_windows(batches, 4, 3).collect()))
+    running = ordering.running
+    monkeypatch.setattr(ru, "running", lambda *a, **k: running(*a, **k, block=5))
+    assert sorted(map(tuple, ru.throughput_windows(batches, 4, 3).collect())) == whole
 
 
 def test_losses_that_are_null_or_nan(spark):
