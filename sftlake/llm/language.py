@@ -6,8 +6,8 @@ slots. The vector is the square root of each count times the slot's IDF, scaled
 one average of them. The language of the nearest centroid by cosine is the answer and that cosine its score.
 A text farther from its centroid than nearly all training texts of that centroid (``reject_share``) is marked as rejected.
 
-The model is fitted on the driver on at most ``per_language`` texts of each language, chosen by a hash of their id, and is of
-fixed size per language. Every text is classified whole, in one pass without a shuffle.
+The model is fitted on the driver on at most ``per_language`` texts of each language, chosen by a hash of their id; counts are held sparse
+there, and one language is clustered at a time. It is of fixed size per language. Every text is classified whole, in one pass without a shuffle.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0; a null language teaches nothing; without any
 training text every answer is ``und``; equal cosines go to the language first in code-point order.
@@ -86,16 +86,41 @@ class Centroids:
         return names, np.where(known, score, 0.0), ~known | (score < self.limits[best])
 
 
-def fit(counts_by_language: dict[str, np.ndarray], k: int = CENTROIDS, reject_share: float = 0.002, seed: int = 9) -> Centroids:
+class Counts:
+    """Trigram counts of texts, of which only the slots that occur are held."""
+
+    def __init__(self, slots: list[np.ndarray], counts: list[np.ndarray]):
+        self.slots, self.counts = slots, counts
+
+    def __len__(self) -> int:
+        return len(self.slots)
+
+    def seen(self) -> np.ndarray:
+        """Texts that have each slot."""
+        return np.bincount(np.concatenate([np.empty(0, np.int64), *self.slots]), minlength=BUCKETS)
+
+    def dense(self) -> np.ndarray:
+        out = np.zeros((len(self), BUCKETS), np.float32)
+        for row, slots, counts in zip(out, self.slots, self.counts):
+            row[slots] = counts
+        return out
+
+    @classmethod
+    def of(cls, dense: np.ndarray) -> Counts:
+        slots = [np.flatnonzero(row) for row in dense]
+        return cls(slots, [row[s] for row, s in zip(dense, slots)])
+
+
+def fit(counts_by_language: dict[str, np.ndarray | Counts], k: int = CENTROIDS, reject_share: float = 0.002, seed: int = 9) -> Centroids:
     names = sorted(counts_by_language)
     if not names:
         return Centroids([], np.zeros(BUCKETS, np.float32), np.zeros((0, BUCKETS), np.float32), np.zeros(0, int), np.zeros(0))
-    total = sum(len(c) for c in counts_by_language.values())
-    seen = sum((c > 0).sum(axis=0) for c in counts_by_language.values())
+    sparse = {name: c if isinstance(c, Counts) else Counts.of(c) for name, c in counts_by_language.items()}
+    total, seen = sum(map(len, sparse.values())), sum(c.seen() for c in sparse.values())
     model = Centroids(names, (np.log((1 + total) / (1 + seen)) + 1).astype(np.float32), None, None, None)
     centres, owner, limits = [], [], []
     for i, name in enumerate(names):
-        x = model.vectors(counts_by_language[name])
+        x = model.vectors(sparse[name].dense())  # one language at a time
         own = _cluster(x, k, seed + i)
         cosine = x @ own.T
         nearest = cosine.argmax(axis=1)
@@ -147,14 +172,12 @@ def train(
     table = rows.join(picked, same, "left_semi").select("_id", "_lang", "_text").mapInArrow(
         features, "id bigint, lang string, slots array<int>, counts array<int>"
     ).toArrow().sort_by([("lang", "ascending"), ("id", "ascending")])
-    groups: dict[str, np.ndarray] = {}
+    groups: dict[str, Counts] = {}
     langs = np.array(table.column("lang").to_pylist(), object)
     for name in sorted(set(langs)):
         part = table.filter(pa.array(langs == name)).slice(0, per_language)
-        counts = np.zeros((part.num_rows, BUCKETS), np.float32)
-        for i, (s, c) in enumerate(zip(part.column("slots"), part.column("counts"))):
-            counts[i, np.asarray(s.values)] = np.asarray(c.values)
-        groups[name] = counts
+        held = lambda column: [np.asarray(x.values) for x in part.column(column)]  # noqa: B023, E731
+        groups[name] = Counts(held("slots"), held("counts"))
     return fit(groups, **options)
 
 

@@ -168,7 +168,7 @@ def repeated_lines(
     """
     if keep not in ("first", "none"):
         raise ValueError("keep is 'first' or 'none'")
-    rows = line_rows(docs, doc_id, text, min_chars)
+    rows = stored(line_rows(docs, doc_id, text, min_chars), "lines")  # range bounds look at them too: texts are split once
     ranged = rows.repartitionByRange("h1", "h2", "doc", "uid").sortWithinPartitions("h1", "h2", "doc", "uid", "pos")
     events = stored(ranged.mapInArrow(_decider(min_docs, keep == "first"), EVENT), "line-events")
     # At most two rows per partition, and the keys they name.

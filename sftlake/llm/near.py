@@ -7,8 +7,8 @@
    differences. All ways to leave ``ERRORS`` symbols out of each chunk are enumerated as keys, so all those pairs share a key;
    nothing is left to chance but the signature itself. (Two texts at similarity 0.8 differ in 16 of 80 symbols on
    average, and in more than 31 once in 30,000 pairs; more alike ones far more rarely.)
-3. Rows of a key are seen in order by a stream that holds three rows of it: each row is compared with the first, the second
-   and the row before, by the bounds on set size and on 256 two-bit minima. Of those each row keeps two, the most alike and the
+3. Rows of a key (in parts of about ``STAR_ROWS`` that all have its first row) are seen in order by a stream that holds three rows of it: each row is
+   compared with the first, the second and the row before, by the bounds on set size and on 256 two-bit minima. Of those each row keeps two, the most alike and the
    first, which are confirmed on full sets, and components are formed. That is linear, and unites most of a group of any size.
 4. Keys whose rows lie in different components are looked at again, all pairs across components, never those within one. The rows
    of a key that has many are cut into blocks, and each pair of blocks is a group of its own, so one key's pairs are spread over tasks. Between
@@ -53,6 +53,8 @@ SMALL = 16
 BLOCK_SHINGLES = 1 << 20
 #: Rows of one key in a block; a task compares two blocks at a time.
 BLOCK_ROWS = 1 << 14
+#: Rows of one key in a stream of step 3.
+STAR_ROWS = 1 << 16
 #: Ids sent to all tasks, at most; beyond that the texts are joined.
 SEND_IDS = 2_000_000
 WORD_CACHE = 300_000
@@ -142,8 +144,8 @@ KEYED = ", ".join(f"{c} bigint" for c in ("key", "rep", "comp", "members", "n",
 
 
 def _shared_keys(reps: DataFrame) -> DataFrame:
-    """(key, rep) of the keys that more than one representative (rep, symbols) has. Most keys are one text's own and
-    go here, before anything wider moves."""
+    """(key, rep, rows, least) of the keys that more than one representative (rep, symbols) has, with how many have it and the smallest. Most
+    keys are one text's own and go here, before anything wider moves. Counts are combined before they move, and the join splits a frequent key."""
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in sliced(batches, 4096):
             symbols = np.frombuffer(b"".join(b.column("symbols").to_pylist()), "<u2").reshape(-1, SYMBOLS)
@@ -151,24 +153,18 @@ def _shared_keys(reps: DataFrame) -> DataFrame:
             rep = np.repeat(b.column("rep").to_numpy(zero_copy_only=False), found.shape[1])
             yield pa.RecordBatch.from_arrays([pa.array(found.reshape(-1)), pa.array(rep)], names=["key", "rep"])
 
-    def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before, held = None, None  # the last row, and its key if it has not been passed on yet
-        for b in sliced(batches, 1 << 18):
-            if not b.num_rows:
-                continue
-            key, rep = (b.column(c).to_numpy(zero_copy_only=False) for c in ("key", "rep"))
-            if before is not None:
-                key, rep = np.append(before[0], key), np.append(before[1], rep)
-            same = key[1:] == key[:-1]
-            take = np.append(same, False) | np.append(False, same)
-            if before is not None and held:
-                take[0] = False  # passed on with the batch before
-            before, held = (key[-1:], rep[-1:]), bool(len(same) and same[-1]) or bool(held and len(key) == 1)
-            if take.any():
-                yield pa.RecordBatch.from_arrays([pa.array(key[take]), pa.array(rep[take])], names=["key", "rep"])
-
     narrow = reps.select("rep", "symbols").mapInArrow(keys, "key bigint, rep bigint")
-    return narrow.repartition("key").sortWithinPartitions("key").mapInArrow(shared, "key bigint, rep bigint")
+    counts = narrow.groupBy("key").agg(F.count(F.lit(1)).alias("rows"), F.min("rep").alias("least")).where("rows > 1")
+    return narrow.join(counts.withColumnRenamed("key", "_key"), F.col("key") == F.col("_key")).drop("_key")
+
+
+def _parts(shared: DataFrame) -> DataFrame:
+    """(key, rep) with keys of more than ``STAR_ROWS`` rows cut into parts, each a key of its own that has the key's smallest row too."""
+    parts = F.ceil(F.col("rows") / F.lit(STAR_ROWS)).cast("int")
+    own = F.array(F.pmod(F.xxhash64("rep"), parts).cast("int"))
+    part = F.explode(F.when(F.col("rep") == F.col("least"), F.sequence(F.lit(0), parts - F.lit(1))).otherwise(own))
+    cut = shared.select("key", "rep", (parts > 1).alias("cut"), part.alias("part"))
+    return cut.select(F.when(F.col("cut"), F.xxhash64("key", "part")).otherwise(F.col("key")).alias("key"), "rep")
 
 
 def _keyed(shared: DataFrame, reps: DataFrame) -> DataFrame:
@@ -439,7 +435,7 @@ def near_duplicates(
         .join(reps.select("s0", "s1", "rep"), ["s0", "s1"]).select(F.col("doc").alias("a"), F.col("rep").alias("b")).where("a <> b")
     )
     shared = stored(_shared_keys(reps), "keys")
-    keyed = _keyed(shared, single).repartition("key").sortWithinPartitions("key", "rep")
+    keyed = _keyed(_parts(shared), single).repartition("key").sortWithinPartitions("key", "rep")
     close = keyed.mapInArrow(_star(percent), "a bigint, b bigint, bits bigint").groupBy("b").agg(
         F.min(F.struct("bits", "a"))["a"].alias("alike"), F.min("a").alias("first")
     )

@@ -1,8 +1,8 @@
 """Hard-negative mining on exact integer scores, multiplied tile by tile with Strassen's recursion.
 
 A vector's components become floor(``scale`` * x), and a score is the integer inner product of two of them. Candidates are dealt by hash into tiles of
-about ``TILE_ROWS`` rows and anchors into blocks of about ``BLOCK_ROWS``; a task multiplies one block with one tile, both int64, padded with
-zeros to sides that halve evenly, by seven products of quarters a level instead of eight. Additions are integer additions, exact also where an intermediate
+about ``TILE_ROWS`` rows and anchors into blocks of about ``BLOCK_ROWS``; a task multiplies one block, ``STEP_ROWS`` anchors at a time, with one tile, both
+int64, padded with zeros to sides that halve evenly, by seven products of quarters a level instead of eight. Additions are integer additions, exact also where an intermediate
 wraps around; a product at the end of the recursion is taken in double precision only where its operands prove that every
 partial sum stays below 2**53, else in int64. So all scores are exact.
 
@@ -32,8 +32,10 @@ from pyspark.sql import Window as W
 
 from sftlake.llm.common import stored
 
-TILE_ROWS = 2048
-BLOCK_ROWS = 512
+TILE_ROWS = 4096
+BLOCK_ROWS = 4096
+#: Anchors of a block that are multiplied with a tile at once.
+STEP_ROWS = 256
 #: The recursion ends where a side would fall below this.
 LEAF_SIDE = 16
 #: Scores stay below this, so that a hundred times a score is an int64.
@@ -120,20 +122,27 @@ def _ints(table: pa.Table, name: str) -> np.ndarray:
 
 
 class _Tile:
-    """Candidates of one tile in tie order, and their scores with a block of anchors."""
+    """Candidates of one tile in tie order."""
 
     def __init__(self, rows: pa.Table, anchors: pa.Table):
         order = np.lexsort((_ints(rows, "tie"), _ints(rows, "label"), _ints(rows, "id")))
         rows = rows.take(pa.array(order))
-        width = max([1, *(int(t.column("v").combine_chunks().value_lengths().to_numpy().max()) for t in (rows, anchors) if t.num_rows)])
+        self.width = max([1, *(int(t.column("v").combine_chunks().value_lengths().to_numpy().max()) for t in (rows, anchors) if t.num_rows)])
         self.uid, self.id, self.label, self.tie = (_ints(rows, c) for c in ("uid", "id", "label", "tie"))
-        self.scores = strassen(_matrix(anchors, width), np.ascontiguousarray(_matrix(rows, width).T))
+        self.matrix = np.ascontiguousarray(_matrix(rows, self.width).T)
 
-    def descending(self, anchor: int, allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Allowed candidates by score, best first, ties in tie order; and their scores."""
-        at = np.flatnonzero(allowed)
-        at = at[np.argsort(-self.scores[anchor, at], kind="stable")]
-        return at, self.scores[anchor, at]
+    def scored(self, anchors: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
+        """Each anchor with its scores, a step of anchors being multiplied at once."""
+        for lo in range(0, anchors.num_rows, STEP_ROWS):
+            for i, scores in enumerate(strassen(_matrix(anchors.slice(lo, STEP_ROWS), self.width), self.matrix), lo):
+                yield i, scores
+
+
+def _descending(scores: np.ndarray, allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Allowed candidates by score, best first, ties in tie order; and their scores."""
+    at = np.flatnonzero(allowed)
+    at = at[np.argsort(-scores[at], kind="stable")]
+    return at, scores[at]
 
 
 POSITIVE = "anchor bigint, uid bigint, id bigint, label bigint, tie bigint, score bigint"
@@ -152,10 +161,11 @@ def _best_positives(k: int):
         out = []
         if rows.num_rows and anchors.num_rows:
             tile = _Tile(rows, anchors)
-            for i, uid in enumerate(_ints(anchors, "uid").tolist()):
-                at, score = tile.descending(i, tile.uid != uid)
+            uids = _ints(anchors, "uid")
+            for i, scores in tile.scored(anchors):
+                at, score = _descending(scores, tile.uid != uids[i])
                 at, score = at[:k], score[:k]
-                out.append((np.full(len(at), uid), tile.uid[at], tile.id[at], tile.label[at], tile.tie[at], score))
+                out.append((np.full(len(at), uids[i]), tile.uid[at], tile.id[at], tile.label[at], tile.tie[at], score))
         return _table(out, POSITIVE)
 
     return run
@@ -167,9 +177,10 @@ def _best_negatives(k: int, low: int, high: int):
         if rows.num_rows and anchors.num_rows:
             tile = _Tile(rows, anchors)
             ids, labels, uids = (_ints(anchors, c) for c in ("id", "label", "uid"))
-            for i, positives in enumerate(anchors.column("positives").to_pylist()):
-                at, score = tile.descending(i, tile.label != labels[i])
-                for nth, p in enumerate(positives):
+            heaps = anchors.column("positives").to_pylist()
+            for i, scores in tile.scored(anchors):
+                at, score = _descending(scores, tile.label != labels[i])
+                for nth, p in enumerate(heaps[i]):
                     # low * p <= 100 * s <= high * p, as whole numbers
                     most, least = high * p["score"] // 100, -(-low * p["score"] // 100)
                     lo = np.searchsorted(-score, -most, "left")

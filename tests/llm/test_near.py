@@ -137,3 +137,46 @@ def test_equals_brute_force_in_small_blocks(spark, monkeypatch):
 def test_refuses_a_similarity_below_its_layout(spark):
     with pytest.raises(ValueError, match="80 or more"):
         near.near_duplicates(spark.createDataFrame([], SCHEMA), percent=60)
+
+
+def test_parts_of_frequent_keys(spark, monkeypatch):
+    """A key with many rows is cut into parts that all have its smallest row, and the result stays the same."""
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(near, "STAR_ROWS", 7)
+    rows = corpus(2)
+    df = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], SCHEMA)
+    assert sorted(map(tuple, near.near_duplicates(df, words=2).collect())) == brute(rows, 2)
+    monkeypatch.setattr(near, "STAR_ROWS", 100)
+    shared = spark.range(3000).selectExpr("if(id < 2000, 1, id div 2) key", "id rep").withColumn("rows", F.expr("if(key = 1, 2000L, 2L)")).withColumn(
+        "least", F.expr("if(key = 1, 0L, key * 2)"))
+    parts = near._parts(shared)
+    sizes = parts.groupBy("key").agg(F.count("*").alias("n"), F.min("rep").alias("least")).collect()
+    hot = [r for r in sizes if r.least == 0]
+    assert len(hot) == 20 and max(r.n for r in hot) < 160 and sum(r.n for r in hot) == 2000 + 19
+    assert {r.n for r in sizes if r.least != 0} == {2}
+
+
+def test_shared_keys_equal_counting(spark):
+    rng = np.random.default_rng(1)
+    symbols = rng.integers(0, 1 << 16, (200, near.SYMBOLS)).astype("<u2")
+    symbols[50:120, :40] = symbols[3, :40]  # a frequent part
+    reps = spark.createDataFrame([(i, bytes(s.tobytes())) for i, s in enumerate(symbols)], "rep bigint, symbols binary")
+    keys = near.chunk_keys(symbols).view(np.int64)
+    held = {}
+    for i, own in enumerate(keys):
+        for k in set(own.tolist()):
+            held.setdefault(k, []).append(i)
+    want = sorted((k, i, len(own), min(own)) for k, own in held.items() if len(own) > 1 for i in own)
+    assert sorted(map(tuple, near._shared_keys(reps).collect())) == want and len(want) > 1000
+
+
+def test_a_very_long_text(spark):
+    rng = random.Random(8)
+    long = [f"w{rng.randint(0, 50_000)}" for _ in range(120_000)]
+    other = list(long)
+    for i in range(0, len(other), 40):
+        other[i] = "changed"
+    rows = [(1, " ".join(long)), (2, " ".join(other)), (3, " ".join(long[:60_000]))]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert sorted(map(tuple, near.near_duplicates(df).collect())) == brute(rows, 5)
