@@ -82,7 +82,12 @@ def retention_plan(ckpts: DataFrame, k: int, out_dir: str | None = None) -> Data
     With ``out_dir``, a checkpoint whose ``path`` does not lie below that folder is left alone.
     """
     newest = ckpts.where(F.col("kind") == "mid").groupBy("run_id").agg(F.max("step").alias("_newest"))
-    rows = null_safe(null_safe(ckpts, _kth_best(ckpts, max(k, 1)), ["run_id"], "left"), newest, ["run_id"], "left")
+    kth = _kth_best(ckpts, max(k, 1))
+    # One row per run with both marks, so the checkpoints are joined once.
+    marks = kth.select("run_id", "_kth", F.lit(None).cast("bigint").alias("_newest")).unionByName(
+        newest.select("run_id", F.lit(None).cast(kth.schema["_kth"].dataType).alias("_kth"), "_newest")
+    ).groupBy("run_id").agg(F.max("_kth").alias("_kth"), F.max("_newest").alias("_newest"))
+    rows = null_safe(ckpts, marks, ["run_id"], "left")
     best = (F.col("kind") == "epoch") & _within_best()
     latest = (F.col("kind") == "mid") & (F.col("step") == F.col("_newest"))
     ours = F.col("name").startswith("checkpoint-")

@@ -101,3 +101,13 @@ def test_bucketed_logits_are_not_shuffled_for_the_targets(table, spark):
     assert "Exchange" not in plan(lo.with_target(spark.table("logits_bucketed")))
     same = lo.ce_loss(spark.table("logits_bucketed")).first()
     assert same[1] == lo.ce_loss(table[0]).first()[1]
+
+
+def test_losses_of_a_table_with_targets_move_no_logits(spark):
+    from sftlake.plans import inputs as inp
+
+    logits = inp.targeted_logits(spark, "/root/testdata/sf0.001")
+    for loss in (lo.ce_loss, lo.dft_loss, lo.token_accuracy):
+        text = plan(loss(logits.withColumn("batch_id", F.col("seq_id") % 7), ["batch_id"]))
+        assert "Window" not in text and text.count("Exchange hashpartitioning") == 1
+        assert "partial_" in text and all("logits" not in line for line in text.splitlines() if "Exchange" in line)
