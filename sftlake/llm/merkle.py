@@ -168,3 +168,19 @@ def manifest(
         F.col("id").alias(order), F.col("grp").alias(group), F.col("h").alias("leaf"), F.col("root.subroot").alias("subroot"),
         F.col("root.root").alias("root"), "path", *(also or {}),
     )
+
+
+def audit(rows: DataFrame, proofs: DataFrame, columns: Sequence[str], order: str) -> DataFrame:
+    """(order, leaf, n_now, n_then, proven) of every leaf that is in the table now or was in its manifest.
+
+    ``proofs`` is a `manifest` as it was stored, with ``path`` and the ``root`` that is trusted. A row that is as it was has equal counts; a
+    changed one shows as two leaves, of which one was and one is; ``proven`` tells whether the stored path leads from the leaf to the root.
+    """
+    now = rows.select(F.col(order).alias("_id"), leaf_digest([F.col(c) for c in columns]).alias("_leaf")).groupBy("_id", "_leaf").agg(F.count(F.lit(1)).alias("n_now"))
+    then = proofs.select(F.col(order).alias("_at"), "leaf", (folded(F.col("leaf"), F.col("path")) == F.col("root")).alias("ok"))
+    then = then.groupBy("_at", "leaf").agg(F.count(F.lit(1)).alias("n_then"), F.min("ok").alias("proven"))
+    # The digest holds the order value, so equal leaves have equal ids.
+    return now.join(then, F.col("_leaf") == F.col("leaf"), "full_outer").select(
+        F.when(F.col("leaf").isNull(), F.col("_id")).otherwise(F.col("_at")).alias(order), F.coalesce("leaf", "_leaf").alias("leaf"),
+        F.coalesce("n_now", F.lit(0)).cast("bigint").alias("n_now"), F.coalesce("n_then", F.lit(0)).cast("bigint").alias("n_then"), "proven",
+    )

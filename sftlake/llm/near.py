@@ -144,27 +144,60 @@ KEYED = ", ".join(f"{c} bigint" for c in ("key", "rep", "comp", "members", "n",
 
 
 def _shared_keys(reps: DataFrame) -> DataFrame:
-    """(key, rep, rows, least) of the keys that more than one representative (rep, symbols) has, with how many have it and the smallest. Most
-    keys are one text's own and go here, before anything wider moves. Counts are combined before they move, and the join splits a frequent key."""
+    """(key, rep) of the keys that more than one representative (rep, symbols) has. Most keys are one text's own and
+    go here, before anything wider moves.
+
+    A key that several rows of a batch have is known to be shared: one of them stands for the batch where keys meet, and the others, with a number of
+    their own for a key and the true one beside it (``own``), spread over all tasks. So of a frequent key a row per batch meets.
+    """
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in sliced(batches, 4096):
             symbols = np.frombuffer(b"".join(b.column("symbols").to_pylist()), "<u2").reshape(-1, SYMBOLS)
             found = chunk_keys(symbols).view(np.int64)
             rep = np.repeat(b.column("rep").to_numpy(zero_copy_only=False), found.shape[1])
-            yield pa.RecordBatch.from_arrays([pa.array(found.reshape(-1)), pa.array(rep)], names=["key", "rep"])
+            found = found.reshape(-1)
+            order = np.argsort(found, kind="stable")
+            same = found[order][1:] == found[order][:-1]
+            again, known = np.zeros(len(found), bool), np.zeros(len(found), bool)
+            again[order[1:][same]] = True
+            known[order[:-1][same]] = True
+            alone = mix64(found.view(np.uint64) ^ mix64(rep.view(np.uint64))).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.where(again, alone, found)), pa.array(rep), pa.array(found, mask=~(again | known))], names=["key", "rep", "own"]
+            )
 
-    narrow = reps.select("rep", "symbols").mapInArrow(keys, "key bigint, rep bigint")
-    counts = narrow.groupBy("key").agg(F.count(F.lit(1)).alias("rows"), F.min("rep").alias("least")).where("rows > 1")
-    return narrow.join(counts.withColumnRenamed("key", "_key"), F.col("key") == F.col("_key")).drop("_key")
+    def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # the last row, and whether it has been passed on
+        for b in sliced(batches, 1 << 18):
+            if not b.num_rows:
+                continue
+            key, rep = (b.column(c).to_numpy(zero_copy_only=False) for c in ("key", "rep"))
+            known = b.column("own").is_valid().to_numpy(zero_copy_only=False)
+            true = np.where(known, b.column("own").fill_null(0).to_numpy(zero_copy_only=False), key)
+            done = np.zeros(len(key), bool)
+            if held is not None:
+                key, rep, true, known, done = (np.append(x, y) for x, y in zip(held, (key, rep, true, known, done)))
+            same = key[1:] == key[:-1]
+            take = np.append(same, False) | np.append(False, same) | known
+            passed = take & ~done
+            held = key[-1:], rep[-1:], true[-1:], known[-1:], (take | done)[-1:]
+            if passed.any():
+                yield pa.RecordBatch.from_arrays([pa.array(true[passed]), pa.array(rep[passed])], names=["key", "rep"])
+
+    narrow = reps.select("rep", "symbols").mapInArrow(keys, "key bigint, rep bigint, own bigint")
+    return narrow.repartition("key").sortWithinPartitions("key").mapInArrow(shared, "key bigint, rep bigint")
 
 
 def _parts(shared: DataFrame) -> DataFrame:
     """(key, rep) with keys of more than ``STAR_ROWS`` rows cut into parts, each a key of its own that has the key's smallest row too."""
+    counts = shared.groupBy(F.col("key").alias("_key")).agg(F.count(F.lit(1)).alias("rows"), F.min("rep").alias("least"))
+    frequent = stored(counts.where(F.col("rows") > STAR_ROWS), "frequent")  # at most one key per STAR_ROWS rows
+    rows = shared.join(F.broadcast(frequent), F.col("key") == F.col("_key"), "left")
     parts = F.ceil(F.col("rows") / F.lit(STAR_ROWS)).cast("int")
-    own = F.array(F.pmod(F.xxhash64("rep"), parts).cast("int"))
+    own = F.array(F.coalesce(F.pmod(F.xxhash64("rep"), parts).cast("int"), F.lit(0)))
     part = F.explode(F.when(F.col("rep") == F.col("least"), F.sequence(F.lit(0), parts - F.lit(1))).otherwise(own))
-    cut = shared.select("key", "rep", (parts > 1).alias("cut"), part.alias("part"))
-    return cut.select(F.when(F.col("cut"), F.xxhash64("key", "part")).otherwise(F.col("key")).alias("key"), "rep")
+    cut = rows.select("key", "rep", "rows", part.alias("part"))
+    return cut.select(F.when(F.col("rows").isNotNull(), F.xxhash64("key", "part")).otherwise(F.col("key")).alias("key"), "rep")
 
 
 def _keyed(shared: DataFrame, reps: DataFrame) -> DataFrame:

@@ -91,3 +91,20 @@ def test_a_window_holds_a_block_not_a_group(spark):
     leaves = merkle.placed(df.select(F.col("id"), merkle.group_key(F.col("g")).alias("g"), F.sha2("text", 256).alias("h")), ["id"])
     sizes = leaves.groupBy("g", F.expr(f"pos div {1 << merkle.BLOCK_BITS}")).count().agg(F.max("count")).first()[0]
     assert sizes == 1 << merkle.BLOCK_BITS and leaves.where("g = '=hot'").agg(F.countDistinct("pos"), F.max("pos")).first()[:] == (4500, 4499)
+
+
+def test_audit_against_a_stored_manifest(spark, tmp_path):
+    rows = [(i, "ab"[i % 2], str(i)) for i in range(12)] + [(20, "a", "twin"), (20, "a", "twin"), (None, "b", None)]
+    schema = "id bigint, g string, text string"
+    columns = ["id", "g", "text"]
+    merkle.manifest(spark.createDataFrame(rows, schema), columns, "g", "id").write.parquet(str(tmp_path / "m"))
+    proofs = spark.read.parquet(str(tmp_path / "m"))
+    same = merkle.audit(spark.createDataFrame(rows, schema), proofs, columns, "id").collect()
+    assert len(same) == 14 and all(r.n_now == r.n_then and r.proven for r in same)
+    later = [r for r in rows if r[0] != 3] + [(30, "a", "new")]
+    later[0] = (0, "a", "tampered")
+    later.remove((20, "a", "twin"))
+    found = {(r.id, r.n_now, r.n_then) for r in merkle.audit(spark.createDataFrame(later, schema), proofs, columns, "id").collect() if r.n_now != r.n_then}
+    assert found == {(3, 0, 1), (0, 1, 0), (0, 0, 1), (20, 1, 2), (30, 1, 0)}
+    forged = proofs.withColumn("leaf", F.when(F.col("id") == 5, F.sha2("leaf", 256)).otherwise(F.col("leaf")))
+    assert [r.id for r in merkle.audit(spark.createDataFrame(rows, schema), forged, columns, "id").collect() if r.proven is False] == [5]
