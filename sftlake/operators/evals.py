@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sftlake.functions import text as tx
 from sftlake.functions.once import computed
+from sftlake.operators.decode import decode_ids, encode_exact
 
 
 def check_outputs(outputs: DataFrame) -> DataFrame:
@@ -149,11 +150,21 @@ def special_token_coverage(
     )
 
 
-def tag_round_trip(df: DataFrame, text: str, tags: Sequence[str] = (tx.THINK_OPEN, tx.ANSWER_OPEN)) -> DataFrame:
-    """Rows in which a tag of the text is lost when its tokens are joined again."""
-    rows = computed(
-        df.select(F.col(text).alias("_text")), _back=F.array_join(tx.tokens(F.col("_text"), tx.TAGS), "")
-    )
+def tag_round_trip(
+    df: DataFrame, text: str, tags: Sequence[str] = (tx.THINK_OPEN, tx.ANSWER_OPEN), vocab: DataFrame | None = None, key: str | None = None,
+) -> DataFrame:
+    """Rows in which a tag of the text is lost when its tokens are joined again.
+
+    With a vocabulary of exact ids (`decode.byte_vocabulary`) and a unique ``key``, texts become ids and ids texts again instead.
+    """
+    if vocab is None:
+        rows = computed(
+            df.select(F.col(text).alias("_text")), _back=F.array_join(tx.tokens(F.col("_text"), tx.TAGS), "")
+        )
+    else:
+        own = df.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
+        back = decode_ids(encode_exact(own, vocab, "_key", "_text", tx.TAGS), vocab, "_key", text="_back")
+        rows = own.join(back, "_key", "left").drop("_key")
     return rows.agg(
         F.count(F.lit(1)).alias("texts"),
         *(F.count_if(F.col("_text").contains(t)).alias(f"with_{i}") for i, t in enumerate(tags)),

@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from sftlake.operators.ordering import null_safe
+
 POINTS = 1000
 
 
@@ -56,6 +58,21 @@ def sketch_quantiles(sketches: DataFrame, quantiles: Sequence[float], by: Sequen
     )
 
 
+def approximate_stats(
+    df: DataFrame, length: Column | str, by: Sequence[str] = (), points: int = POINTS, quantiles: Sequence[float] = (0.25, 0.5, 0.75, 0.9, 0.95, 0.99),
+) -> DataFrame:
+    """(by..., rows, min, max, q25, ...): the opt-in form of `length_stats` for lengths of so many values that their exact histogram is large.
+    Percentiles are off in rank by less than rows / points; rows, least and greatest are exact."""
+    value = F.col(length) if isinstance(length, str) else length
+    if not by:
+        whole = df.select(F.lit(0).alias("slice"), value.alias("x"))
+        return approximate_stats(whole, "x", ["slice"], points, quantiles).drop("slice")
+    ends = df.select(*by, value.cast("bigint").alias("x")).where("x is not null").groupBy(*by).agg(F.min("x").alias("min"), F.max("x").alias("max"))
+    found = sketch_quantiles(sketch_lengths(df, value, by, points), quantiles, by)
+    names = [c for c in found.columns if c not in by]
+    return null_safe(found, ends, list(by)).select(*by, "rows", "min", "max", *(n for n in names if n != "rows"))
+
+
 def append_sketches(sketches: DataFrame, path: str, slice_column: str) -> None:
     """Add sketches of new slices to a table that is laid out by one of their columns."""
     sketches.write.mode("append").partitionBy(slice_column).parquet(path)

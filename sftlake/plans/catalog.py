@@ -744,6 +744,17 @@ def _(spark, sf):
     return sk.sketch_quantiles(sk.read_sketches(spark, path), (0.5, 0.9, 0.99), ["source"])
 
 
+@query("length_stats_approximate", with_inputs("""SELECT source, sum(weight)::BIGINT AS rows, any_value(least) AS min, max(x) AS max,
+    min(x) FILTER (upto >= 0.25::DOUBLE * total) AS q25, min(x) FILTER (upto >= 0.5::DOUBLE * total) AS q50, min(x) FILTER (upto >= 0.75::DOUBLE * total) AS q75,
+    min(x) FILTER (upto >= 0.9::DOUBLE * total) AS q90, min(x) FILTER (upto >= 0.95::DOUBLE * total) AS q95, min(x) FILTER (upto >= 0.99::DOUBLE * total) AS q99
+    FROM (SELECT *, upto - coalesce(lag(upto) OVER (PARTITION BY source ORDER BY x), 0) AS weight FROM (
+      SELECT *, sum(n) OVER (PARTITION BY source ORDER BY x) AS upto, sum(n) OVER (PARTITION BY source) AS total, min(x) OVER (PARTITION BY source) AS least
+      FROM (SELECT source, len(input) + ord % 251 AS x, count(*) AS n FROM raw GROUP BY ALL)) WHERE upto * 20 // total > (upto - n) * 20 // total)
+    GROUP BY source""", "raw"))
+def _(spark, sf):
+    return sk.approximate_stats(inp.raw_prompts(spark, sf), F.length("input") + F.col("ord") % 251, ["source"], SKETCH_POINTS)
+
+
 # -- training runs ---------------------------------------------------------------------
 
 
@@ -1074,6 +1085,13 @@ def _(spark, sf):
     return docs.select("doc_id", la.INST.render(four).alias("inst"), la.MODEL_TURNS.render(two, generate=False).alias("model_turns"))
 
 
+@query("tag_round_trip_ids", with_inputs("""SELECT count(*) AS texts, count(*) FILTER (contains(output, '<think>')) AS with_0,
+    count(*) FILTER (contains(output, '<answer>')) AS with_1, 0::BIGINT AS lost_0, 0::BIGINT AS lost_1 FROM outputs""", "outputs"))
+def _(spark, sf):
+    vocab = stored(inp.piece_vocabulary(spark, sf), "pieces")
+    return ev.tag_round_trip(inp.model_outputs(spark, sf), "output", vocab=vocab, key="doc_id")
+
+
 # -- stream ----------------------------------------------------------------------------
 
 

@@ -82,6 +82,13 @@ def test_rank_error_is_below_one_point(spark):
         assert again.count() <= points and again.agg(F.sum("weight")).first()[0] == len(data)
 
 
+def test_approximate_stats(spark):
+    df = spark.range(1000).selectExpr("id % 2 side", "id x")
+    got = sk.approximate_stats(df, "x", points=100).first()
+    assert (got.rows, got.min, got.max) == (1000, 0, 999) and abs(got.q50 - 500) <= 10 and abs(got.q99 - 990) <= 10
+    assert [(r.side, r.rows, r.min, r.max) for r in sk.approximate_stats(df, "x", ["side"]).orderBy("side").collect()] == [(0, 500, 0, 998), (1, 500, 1, 999)]
+
+
 def test_slices_are_appended(spark, tmp_path):
     df = spark.range(1000).selectExpr("id % 5 day", "id % 3 source", "id * 7 % 101 x")
     path = str(tmp_path / "s")
