@@ -63,10 +63,12 @@ def test_equals_brute_force(spark, arity, monkeypatch):
     assert got(spark, rows, arity) == brute(rows, arity)
 
 
-@pytest.mark.parametrize("n", [1, 2, 3, 5, 8, 9])
-def test_small_trees(spark, n):
-    rows = [(i, "en", str(i)) for i in range(n)]
+def test_groups_of_small_sizes(spark):
+    """Groups of one to nine rows; and one group alone, whose root is the root."""
+    rows = [(10 * n + i, f"of {n}", str(i)) for n in range(1, 10) for i in range(n)]
     assert got(spark, rows, 2) == brute(rows, 2)
+    alone = got(spark, rows[:1], 2)
+    assert alone == brute(rows[:1], 2) and alone[0][2] == alone[0][3] == alone[0][4] and alone[0][5] == []
 
 
 def test_empty_and_long(spark):
