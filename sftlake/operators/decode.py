@@ -20,7 +20,6 @@ from sftlake.functions import text as tx
 from sftlake.operators.ordering import digest, number_by_digest, required
 
 BYTES = 256
-UNREADABLE = "�"
 
 
 def byte_vocabulary(words: DataFrame, special_tokens: Sequence[str] = ()) -> DataFrame:

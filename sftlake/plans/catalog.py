@@ -15,7 +15,6 @@ from sftlake.functions import layouts as la
 from sftlake.functions import schedule as sd
 from sftlake.functions import scoring as sc
 from sftlake.functions import text as tx
-from sftlake.functions.once import computed
 from sftlake.functions.tokenizer import with_tokenizer
 from sftlake.operators import checkpoints as ck
 from sftlake.operators import curate as cu
