@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -77,7 +77,16 @@ def sliced(batches: Iterable[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBa
 
 
 #: Bytes of text that a task works on at once.
-WORK_BYTES = 4 << 20
+WORK_BYTES = 2 << 20
+
+
+def ending(batches: Iterator[pa.RecordBatch], forget: Callable[[], None]) -> Iterator[pa.RecordBatch]:
+    """The batches; when a task is done, ``forget`` empties its worker's caches, so that they do not stay beside what the worker does next. It
+    is a function of a module, so that it reaches the worker's own and not a copy."""
+    try:
+        yield from batches
+    finally:
+        forget()
 
 
 def sliced_texts(batches: Iterable[pa.RecordBatch], column: str, rows: int, most: int = WORK_BYTES) -> Iterator[pa.RecordBatch]:

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from sftlake.llm.common import mix64, sliced, sliced_texts, stored, utf8
+from sftlake.llm.common import ending, mix64, sliced, sliced_texts, stored, utf8
 from sftlake.llm.components import components
 
 SHINGLE_WORDS = 5
@@ -77,6 +77,10 @@ class _Words(dict):
 _WORDS = _Words()
 
 
+def forget_words() -> None:
+    _WORDS.clear()
+
+
 def shingles(text: bytes | None, words: int) -> np.ndarray:
     """Sorted 64-bit hashes of the distinct shingles. bytes.lower and bytes.split know ASCII only: A-Z and [\\x20\\x09-\\x0D]."""
     w = text.lower().split() if text else []
@@ -108,7 +112,7 @@ def sketches(docs: DataFrame, doc_id: str, text: str, words: int) -> DataFrame:
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc"), F.col(text).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in sliced_texts(batches, "text", 512):
+        for b in sliced_texts(ending(batches, forget_words), "text", 512):
             sets = [shingles(t, words) for t in utf8(b.column("text"))]
             found = np.stack([minima(s) for s in sets]) if sets else np.empty((0, MINIMA), np.uint32)
             digests = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
@@ -379,7 +383,7 @@ def _sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
         ids = F.broadcast(ids)  # 8 bytes each
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in sliced_texts(batches, "text", 512):
+        for b in sliced_texts(ending(batches, forget_words), "text", 512):
             sets = [shingles(t, words) for t in utf8(b.column("text"))]
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc"), pa.array([len(x) for x in sets], pa.int64()), pa.array([x.astype("<u8").tobytes() for x in sets], pa.binary())],

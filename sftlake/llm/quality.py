@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sftlake.llm.common import sliced_texts
+from sftlake.llm.common import ending, sliced_texts
 from sftlake.llm.decontaminate import TABLE
 
 BUCKETS = 1 << 15
@@ -60,6 +60,10 @@ class _Words(dict):
 _WORDS = _Words()
 
 
+def forget_words() -> None:
+    _WORDS.clear()
+
+
 def structure(text: bytes, words: list[bytes], n_chars: float | None) -> list[float]:
     """Statistics of a text: shares of kinds of characters, repetition, lengths."""
     raw = np.frombuffer(text, np.uint8)
@@ -198,7 +202,7 @@ def train(
     rows = docs.select(F.col(doc_id).alias("_id"), *_columns(docs, text, n_chars)).join(F.broadcast(chosen), "_id")
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in sliced_texts(batches, "_text", 256):
+        for b in sliced_texts(ending(batches, forget_words), "_text", 256):
             f = Features(b.column("_text").to_pylist(), b.column("_chars").to_pylist())
             cut = np.searchsorted(f.rows, np.arange(b.num_rows + 1))
             lists = lambda x: pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(x))
@@ -228,7 +232,7 @@ def score(docs: DataFrame, machine: Machine, text: str = "text", n_chars: str =
     where, stated = kept.columns.index(text), kept.columns.index(n_chars) if n_chars in kept.columns else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in sliced_texts(batches, where, 256):
+        for b in sliced_texts(ending(batches, forget_words), where, 256):
             chars = b.column(stated).to_pylist() if stated is not None else [None] * b.num_rows
             s = sent.value.score(Features(b.column(where).to_pylist(), chars)) if b.num_rows else np.empty(0)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s, pa.float64())], names=[*b.schema.names, name])
