@@ -21,6 +21,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from sftlake.llm.common import keeps
+
 #: Bytes of each of a worker's two tables of chunks, and what an entry takes beside its chunk and ids.
 CACHE_BYTES, ENTRY_BYTES = 96 << 20, 180
 #: Longer chunks, as in scripts without spaces, are encoded each time and kept in no table.
@@ -189,5 +191,6 @@ def encoder(path: str, special_tokens: bool = False) -> ByteBpe:
     """The worker's encoder for a vocabulary file; the path must exist on every executor."""
     if (path, special_tokens) not in _LOADED:
         _LOADED.clear()
+        keeps(_LOADED.clear)
         _LOADED[path, special_tokens] = ByteBpe(path, special_tokens)
     return _LOADED[path, special_tokens]

@@ -80,9 +80,25 @@ def sliced(batches: Iterable[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBa
 WORK_BYTES = 2 << 20
 
 
+#: What empties the caches of this worker that outlive a task.
+_KEPT: list[Callable[[], None]] = []
+
+
+def keeps(forget: Callable[[], None]) -> None:
+    """Tell that a cache outlives the task; ``forget`` empties it when the worker turns to another operator."""
+    if forget not in _KEPT:
+        _KEPT.append(forget)
+
+
+def release() -> None:
+    for forget in _KEPT:
+        forget()
+
+
 def ending(batches: Iterator[pa.RecordBatch], forget: Callable[[], None]) -> Iterator[pa.RecordBatch]:
-    """The batches; when a task is done, ``forget`` empties its worker's caches, so that they do not stay beside what the worker does next. It
-    is a function of a module, so that it reaches the worker's own and not a copy."""
+    """The batches, after the worker has emptied what other operators have kept; when the task is done, ``forget`` empties its own caches. These
+    are functions of modules, so that they reach the worker's caches and not copies."""
+    release()
     try:
         yield from batches
     finally:

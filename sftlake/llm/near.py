@@ -57,7 +57,7 @@ BLOCK_ROWS = 1 << 14
 STAR_ROWS = 1 << 16
 #: Ids sent to all tasks, at most; beyond that the texts are joined.
 SEND_IDS = 2_000_000
-WORD_CACHE = 300_000
+WORD_CACHE = 150_000
 
 _RNG = np.random.default_rng(20)
 _A = (_RNG.integers(0, 1 << 32, MINIMA, dtype=np.uint64).astype(np.uint32) | np.uint32(1))[:, None]
