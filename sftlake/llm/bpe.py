@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from sftlake.llm.common import keeps
 
 #: Bytes of each of a worker's two tables of chunks, and what an entry takes beside its chunk and ids.
-CACHE_BYTES, ENTRY_BYTES = 96 << 20, 180
+CACHE_BYTES, ENTRY_BYTES = 64 << 20, 180
 #: Longer chunks, as in scripts without spaces, are encoded each time and kept in no table.
 MOST_CHUNK = 64
 

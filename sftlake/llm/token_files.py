@@ -212,7 +212,7 @@ def token_shards(
 
         part, no, before, held, size = TaskContext.get().partitionId(), 0, 0, [], 0
         encode = encoder(tokenizer, special_tokens).encode
-        for batch in sliced_texts(batches, "text", 1024):
+        for batch in sliced_texts(batches, "text", 512):
             ids = encode(batch.column("text").to_pylist())
             for doc, own in zip(batch.column("doc").to_pylist(), ids):
                 own += end
