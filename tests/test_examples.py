@@ -52,6 +52,17 @@ def test_encode_by_join_and_in_memory(spark):
     assert sorted(rows(ex.encode_tokens_in_memory(df, {"a": 5, "b": 6}, "t", "ids").select("k", "ids"))) == want
 
 
+def test_held_vocabulary_has_the_tokens_of_all_conversations(spark, tmp_path):
+    from sftlake.plans import catalog
+
+    spark.createDataFrame([(0, "alpha")], "item_id bigint, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    said = [(c, t, ("user", "assistant")[t % 2], f"word{'abcdefgh'[c]} beta{'xy'[t % 2]} again") for c in range(8) for t in range(4)]
+    spark.createDataFrame(said, "conv_id bigint, turn bigint, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    held, joined = (sorted(rows(catalog.QUERIES[q](spark, str(tmp_path)).select("ord", "input_ids"))) for q in ("encode_tokens_in_memory", "encode_tokens"))
+    assert held == joined and len(held) == 16
+    assert len({i for _, ids in held for i in ids.split()}) > 8  # words that no benchmark item has are known
+
+
 def test_null_and_repeated_keys_lose_and_mix_nothing(spark):
     df = spark.createDataFrame(
         [(None, "p q", "r"), (None, "q", "r r"), (7, "p", "q"), (7, "r", None), (7, "r", None), (8, None, "p"), (9, "q", "p")],
