@@ -143,3 +143,24 @@ def test_stream_takes_up_new_files_only(spark, tmp_path):
     run()
     run()
     assert sorted(rows(spark.read.parquet(out))) == sorted(rows(cu.curate(docs, 32, 512)))
+
+
+def test_encoder_gets_bounded_slices(spark):
+    from sftlake.functions import tokenizer
+
+    most_rows, most_bytes = tokenizer.SLICE_ROWS, tokenizer.SLICE_BYTES
+
+    def factory():
+        def encode(texts):
+            if len(texts) > most_rows or len(texts) > 1 and sum(map(len, texts)) > most_bytes:
+                raise ValueError("too much at once")
+            return [t.encode() for t in texts]
+        return encode
+
+    sizes = [*[1] * 3000, 700_000, 0, 600_000, 1_500_000, 1_500_000, *[5000] * 600]
+    df = spark.range(len(sizes), numPartitions=1).withColumn("n", F.element_at(F.lit(sizes), (F.col("id") + 1).cast("int")))
+    df = df.withColumn("t", F.when(F.col("id") % 1000 != 7, F.repeat(F.chr(F.lit(97) + F.col("id") % 26), F.col("n"))))
+    coded = df.select("id", "n", with_tokenizer(factory)(F.col("t")).alias("ids"))
+    got = rows(coded.select("id", F.size("ids"), F.size(F.array_distinct("ids")), F.try_element_at("ids", F.lit(1))).orderBy("id"))
+    want = [0 if i % 1000 == 7 else n for i, n in enumerate(sizes)]
+    assert got == [(i, n, min(n, 1), 97 + i % 26 if n else None) for i, n in enumerate(want)]
