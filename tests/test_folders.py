@@ -70,3 +70,32 @@ def test_no_folders(spark, tmp_path):
     (tmp_path / "empty").mkdir()
     files, found = audit(spark, str(tmp_path))
     assert files.count() == 0 and found.count() == 0
+
+
+def test_folders_are_written_and_listed_by_several_tasks(spark, tmp_path):
+    from sftlake.plans import catalog
+    from sftlake.plans import inputs as inp
+
+    suppliers = spark.createDataFrame([(k, k % 3) for k in range(1, 121)], "s_suppkey bigint, s_nationkey int").coalesce(1)
+    suppliers.write.parquet(str(tmp_path / "supplier.parquet"))
+    root = inp.checkpoint_folders(spark, str(tmp_path))
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path").collect()
+    assert len({r.path.split("/part-")[1].split("-")[0] for r in found}) > 4  # files of many writing tasks
+    # A weight file that could not be held as one value is not opened for the documents, and folders do not get a task each.
+    local = root.removeprefix("file:")
+    weight = next(os.path.join(d, f) for d, _, names in os.walk(local) for f in names if "file=model.safetensors" in d and f.startswith("part-"))
+    os.unlink(os.path.join(os.path.dirname(weight), f".{os.path.basename(weight)}.crc"))
+    with open(weight, "ab") as f:
+        f.truncate(3 << 30)
+    tracker, group = spark.sparkContext.statusTracker(), "listing"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        documents = fo.read_checkpoint_documents(spark, root, [*ck.DOCUMENT_KEYS, STATE], inp.FOLDER_LAYOUT, inside="*")
+        stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds]
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    assert stages and max(s.numTasks for s in stages) <= 4 * spark.sparkContext.defaultParallelism
+    assert spark.conf.get(fo._LISTING) == "10000"
+    want = sum((k * 7 + i) % 11 != 0 for k in range(1, 121) for i in (0, 2, 4))
+    assert documents.count() == want == len(documents.collect())
+    assert catalog.QUERIES["folder_audit"](spark, str(tmp_path)).count() == 120
