@@ -4,22 +4,30 @@ A text is cut into pieces that cover it (`text.pieces`). A piece that the vocabu
 every text has ids and every list of ids has a text. Decoding joins the bytes behind the ids first and reads them as UTF-8 then: a character whose bytes
 come from several ids is whole again, and one of which bytes are missing becomes U+FFFD. Ids that the vocabulary does not have are an error.
 
-A vocabulary table is joined, whatever its size; one that the caller holds travels to the tasks. The table paths tell rows by
+A vocabulary table is joined, whatever its size; one that the caller holds travels to the tasks. Neither texts nor ids are joined piece by piece: a
+task cuts its rows into blocks, and a block's distinct pieces (or ids) are looked up. The table paths tell rows by
 ``key``, which has to be unique and not null: anything else is an error where it is found.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import zlib
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import ArrayType, BinaryType, DataType, IntegerType, LongType, StringType, StructField, StructType
 
 from sftlake.functions import text as tx
 from sftlake.operators.ordering import digest, number_by_digest, required
 
 BYTES = 256
+#: Items (pieces or ids) and rows of a block; a longer row is a block of its own.
+BLOCK, BLOCK_ROWS = 1 << 19, 4096
 
 
 def byte_vocabulary(words: DataFrame, special_tokens: Sequence[str] = ()) -> DataFrame:
@@ -35,45 +43,124 @@ def byte_vocabulary(words: DataFrame, special_tokens: Sequence[str] = ()) -> Dat
     return single.unionByName(pieces.withColumn("hex", F.hex(F.encode("piece", "UTF-8"))))
 
 
-def _byte_ids(piece: Column) -> Column:
-    """The ids of a piece's bytes."""
-    digits = F.hex(F.encode(piece, "UTF-8"))
-    places = F.sequence(F.lit(0), F.octet_length(piece) - F.lit(1))
-    return F.transform(places, lambda i: F.conv(F.substring(digits, i * 2 + F.lit(1), F.lit(2)), 16, 10).cast("bigint"))
-
-
-def _gathered(rows: DataFrame, key: str, value: Column) -> Column:
-    """Values of a row's places, in order. A place that comes twice shows that the key does: an error."""
-    listed = F.array_sort(F.collect_list(F.struct(F.col("_pos").alias("pos"), value.alias("v"))))
-    whole = (F.count("_pos") == F.coalesce(F.max("_pos") + F.lit(1), F.lit(0))) & (F.count_if(F.col("_pos").isNull()) < 2)
-    repeated = F.raise_error(F.concat(F.lit(f"{key} is not unique: "), F.first(key).cast("string")))
-    return F.when(whole, F.filter(listed, lambda x: x["pos"].isNotNull())).otherwise(repeated)
+def _unique(df: DataFrame, key: str, like: DataFrame) -> DataFrame:
+    """No rows, with the columns of ``like``; an error where a key comes twice. Only the keys are read."""
+    counted = df.select(required(key).alias("_key")).groupBy("_key").agg(F.count(F.lit(1)).alias("_n"))
+    told = F.raise_error(F.concat(F.lit(f"{key} is not unique: "), F.col("_key").cast("string"), F.lit(", rows: "), F.col("_n").cast("string")))
+    none = counted.where(F.when(F.col("_n") > 1, told).isNotNull())
+    return none.select(*(F.lit(None).cast(f.dataType).alias(f.name) for f in like.schema))
+
+
+#: Of distinct items and what the vocabulary has for them: the values of all, one after another, and how many each has.
+Emit = Callable[[list, list], tuple[np.ndarray, np.ndarray]]
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], shape: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Of rows (key, items): per block its own row (pos -1) with keys, lengths and numbers of the items, and a row for each distinct item."""
+    from pyspark import TaskContext
+
+    part, no = TaskContext.get().partitionId(), 0
+    for batch in batches:
+        ends = np.cumsum(pc.list_value_length(batch.column("items")).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+        at = 0
+        while at < batch.num_rows:
+            before = int(ends[at - 1]) if at else 0
+            stop = min(max(at + 1, int(np.searchsorted(ends, before + BLOCK, "right"))), at + BLOCK_ROWS)
+            keys, lists = batch.column("key").slice(at, stop - at), batch.column("items").slice(at, stop - at)
+            sizes = pc.list_value_length(lists).to_pylist()  # none of a null list
+            numbered = pc.list_flatten(lists).dictionary_encode(null_encoding="encode")
+            n = len(numbered.dictionary)
+            codes = numbered.indices.to_numpy(zero_copy_only=False).astype("<u2" if n <= 1 << 16 else "<u4").tobytes()
+            # By its digest a block of a task that is repeated with its rows in another order is not mistaken for this one.
+            block = f"{part} {no} {n} {zlib.crc32(repr((keys.to_pylist(), sizes)).encode(), zlib.crc32(codes)):08x}"
+            own = {"block": [block], "pos": [-1], "entry": [None], "keys": [keys.to_pylist()], "sizes": [sizes], "codes": [codes]}
+            yield pa.RecordBatch.from_pydict(own, shape)
+            for lo in range(0, n, 1 << 14):
+                entries = numbered.dictionary.slice(lo, 1 << 14)
+                m = len(entries)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([block] * m, pa.string()), pa.array(np.arange(lo, lo + m), pa.int32()), entries.cast(pa.string()), *(pa.nulls(m, f.type) for f in list(shape)[3:])],
+                    schema=shape,
+                )
+            at, no = stop, no + 1
+
+
+def _put_together(table: pa.Table, emit: Emit) -> tuple[list, list, np.ndarray, np.ndarray]:
+    """Of a block with what its items were found to be: keys, lengths in items, all values, and where each row's values end."""
+    first = pc.equal(table.column("pos"), -1)
+    own, entries = table.filter(first), table.filter(pc.invert(first)).sort_by("pos")
+    block, n = table.column("block")[0].as_py(), entries.num_rows
+    if own.num_rows != 1 or n != int(block.split(" ")[2]):
+        raise ValueError(f"block {block} is not whole: a task was repeated with its rows in another order")
+    codes = np.frombuffer(own.column("codes")[0].as_py(), "<u2" if n <= 1 << 16 else "<u4")
+    values, sizes = emit(entries.column("entry").to_pylist(), entries.column("value").to_pylist())
+    size = sizes[codes]
+    within = np.cumsum(size)
+    flat = values[np.repeat((np.cumsum(sizes) - sizes)[codes] - (within - size), size) + np.arange(size.sum())]
+    lengths = own.column("sizes")[0].as_py()
+    ends = np.cumsum([x or 0 for x in lengths], dtype=np.int64)
+    return own.column("keys")[0].as_py(), lengths, flat, np.concatenate(([0], within))[ends]
+
+
+def _looked_up(rows: DataFrame, known: DataFrame, put: Callable[[pa.Table], pa.Table], out: DataType) -> DataFrame:
+    """(key, out) of rows (key, items), made by ``put`` from blocks of which each distinct item was looked up in ``known`` (entry, value).
+
+    A row for each distinct item of a block is joined; beside them a block moves as keys, lengths and numbers of two or four bytes.
+    """
+    key = StructField("key", rows.schema["key"].dataType)
+    cut = StructType([
+        StructField("block", StringType()), StructField("pos", IntegerType()), StructField("entry", StringType()),
+        StructField("keys", ArrayType(key.dataType)), StructField("sizes", ArrayType(IntegerType())), StructField("codes", BinaryType()),
+    ])
+    shape = to_arrow_schema(cut)
+    blocks = rows.mapInArrow(lambda batches: _blocks(batches, shape), cut)
+    # A block's own row is no entry; its name spreads these rows.
+    found = blocks.withColumn("_by", F.coalesce("entry", "block")).join(known.select(F.col("entry").alias("_by"), "value"), "_by", "left")
+    return found.drop("_by").groupBy("block").applyInArrow(put, StructType([key, StructField("out", out)]))
 
 
 def encode_exact(df: DataFrame, vocab: DataFrame, key: str, text: str, special_tokens: Sequence[str] = (), ids: str = "ids") -> DataFrame:
-    """(key, ids) of every row; a null text has no ids. Texts are cut once, and only (key, place, piece) moves."""
-    rows = df.select(required(key).alias(key), F.posexplode_outer(tx.pieces(F.coalesce(F.col(text), F.lit("")), special_tokens)).alias("_pos", "piece"))
-    known = vocab.where("piece is not null").groupBy("piece").agg(F.min("id").alias("id"))
-    coded = rows.join(known, "piece", "left")
-    own = F.when(F.col("id").isNotNull(), F.array("id")).otherwise(_byte_ids(F.col("piece")))
-    return coded.groupBy(key).agg(_gathered(rows, key, own).alias("_own")).select(key, F.flatten(F.col("_own.v")).alias(ids))
+    """(key, ids) of every row; a null text has no ids. Texts are cut once, and do not move."""
+    rows = df.select(required(key).alias("key"), tx.pieces(F.coalesce(F.col(text), F.lit("")), special_tokens).alias("items"))
+    known = vocab.where("piece is not null").groupBy(F.col("piece").alias("entry")).agg(F.min("id").cast("bigint").alias("value"))
+    key_type = to_arrow_schema(rows.select("key").schema).field("key").type
 
+    def own_ids(pieces: list[str], found: list[int | None]) -> tuple[np.ndarray, np.ndarray]:
+        lists = [piece.encode() if i is None else (i,) for piece, i in zip(pieces, found)]
+        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+        return np.fromiter((i for own in lists for i in own), np.int64, int(sizes.sum())), sizes
 
-def text_of(digits: Column) -> Column:
-    """Bytes in hexadecimal digits as text; what is no UTF-8 becomes U+FFFD."""
-    return F.make_valid_utf8(F.unhex(digits).cast("string"))
+    def put(table: pa.Table) -> pa.Table:
+        keys, _, flat, ends = _put_together(table, own_ids)
+        lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)), pa.int32()), pa.array(flat))
+        return pa.table([pa.array(keys, key_type), lists], names=["key", "out"])
+
+    coded = _looked_up(rows, known, put, ArrayType(LongType())).select(F.col("key").alias(key), F.col("out").alias(ids))
+    return coded.unionByName(_unique(df, key, coded))
 
 
 def decode_ids(df: DataFrame, vocab: DataFrame, key: str, ids: str = "ids", text: str = "text") -> DataFrame:
-    """(key, text) of every row; null ids are no text, an empty list is the empty one."""
-    rows = df.select(required(key).alias(key), F.col(ids).isNull().alias("_null"), F.posexplode_outer(ids).alias("_pos", "id"))
-    known = vocab.groupBy("id").agg(F.first("hex").alias("hex"))
-    joined = rows.join(known, "id", "left")
-    digits = F.when(F.col("_pos").isNull(), F.lit("")).otherwise(
-        F.coalesce(F.col("hex"), F.raise_error(F.concat(F.lit("no such id: "), F.coalesce(F.col("id").cast("string"), F.lit("null")))))
-    )
-    whole = joined.groupBy(key).agg(_gathered(rows, key, digits).alias("_own"), F.bool_or("_null").alias("_null"))
-    return whole.select(key, F.when(~F.col("_null"), text_of(F.array_join("_own.v", ""))).alias(text))
+    """(key, text) of every row; null ids are no text, an empty list is the empty one. The rows are read twice, for their ids and for their keys: store them."""
+    rows = df.select(required(key).alias("key"), F.col(ids).alias("items"))
+    known = vocab.groupBy(F.col("id").cast("string").alias("entry")).agg(F.first("hex").alias("value"))
+    key_type = to_arrow_schema(rows.select("key").schema).field("key").type
+
+    def own_bytes(given: list[str | None], found: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        for i, digits in zip(given, found):
+            if digits is None:
+                raise ValueError(f"no such id: {'null' if i is None else i}")
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 2
+        return np.frombuffer(bytes.fromhex("".join(found)), np.uint8), sizes
+
+    def put(table: pa.Table) -> pa.Table:
+        keys, lengths, flat, ends = _put_together(table, own_bytes)
+        data = flat.tobytes()
+        texts = [None if n is None else data[a:b] for n, a, b in zip(lengths, [0, *ends[:-1].tolist()], ends.tolist())]
+        return pa.table([pa.array(keys, key_type), pa.array(texts, pa.binary())], names=["key", "out"])
+
+    raw = _looked_up(rows, known, put, BinaryType())
+    back = raw.select(F.col("key").alias(key), F.make_valid_utf8(F.col("out").cast("string")).alias(text))
+    return back.unionByName(_unique(df, key, back))
 
 
 def decode_ids_in_memory(df: DataFrame, vocab: Mapping[int, bytes], ids: str = "ids", text: str = "text") -> DataFrame:

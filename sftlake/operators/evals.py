@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sftlake.functions import text as tx
 from sftlake.functions.once import computed
 from sftlake.operators.decode import decode_ids, encode_exact
+from sftlake.session import stored
 
 
 def check_outputs(outputs: DataFrame) -> DataFrame:
@@ -163,7 +164,8 @@ def tag_round_trip(
         )
     else:
         own = df.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
-        back = decode_ids(encode_exact(own, vocab, "_key", "_text", tx.TAGS), vocab, "_key", text="_back")
+        ids = stored(encode_exact(own, vocab, "_key", "_text", tx.TAGS), "tag-ids")
+        back = decode_ids(ids, vocab, "_key", text="_back")
         rows = own.join(back, "_key", "left").drop("_key")
     return rows.agg(
         F.count(F.lit(1)).alias("texts"),

@@ -73,3 +73,17 @@ def test_texts_are_cut_once(spark, vocab, tmp_path):
     ids = de.encode_exact(spark.read.parquet(str(tmp_path / "texts")), vocab, "k", "text", SPECIAL_TOKENS)
     text = ids._jdf.queryExecution().optimizedPlan().toString()
     assert text.count("regexp_extract_all") == 1
+
+
+def test_pieces_are_joined_once_per_block(spark, vocab):
+    from itertools import islice, product
+
+    from conftest import plan
+
+    words = ["".join(w) for w in islice(product("abcdefghijklmnop", repeat=5), 70_000)]  # more than two bytes can number
+    texts = [" ".join(words), *(f"naïve print {i % 7}" for i in range(5000)), None, ""]
+    df = frame(spark, texts).coalesce(1)
+    ids = de.encode_exact(df, vocab, "k", "text", SPECIAL_TOKENS)
+    back = de.decode_ids(ids, vocab, "k")
+    assert "Generate" not in plan(ids) + plan(back)  # no row per piece
+    assert {r.k: r.text for r in back.collect()} == {i: t or "" for i, t in enumerate(texts)}
