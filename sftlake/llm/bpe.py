@@ -1,49 +1,106 @@
-"""Byte-level BPE encoding with the tokenizers library, each distinct chunk of text once.
+"""Byte-level BPE encoding with the tokenizers library, each distinct piece of text once.
 
 The vocabulary's pre-tokenizer never joins what stands before and after a single space (or newline) between
 two characters that are no white space: such a space opens the next piece. A text can therefore be cut there, and
-equal chunks have equal ids wherever they stand. A batch's texts are cut and its distinct chunks numbered by Arrow; each is looked up
-once in a worker's tables of chunks that it has met, new ones are encoded by the library in one go, and the ids are gathered from one
-array. The tables are bounded by bytes: a full one becomes the older one, and the older one goes.
+equal chunks have equal ids wherever they stand. Nor does it join ASCII letters, digits and other signs, an apostrophe before letters apart, so a
+chunk is cut further where one of these follows another. A batch's texts are cut and its distinct chunks, and their distinct pieces, numbered by
+Arrow; each piece is looked up once in a worker's tables of pieces that it has met, new ones are encoded by the library in one go, and the ids are
+gathered from one array. The tables are bounded by bytes: a full one becomes the older one, and the older one goes.
 
 The string of a special token in a text is ordinary text, or, with ``special_tokens``, becomes that token's id, as the library
-does unless told otherwise. It holds no white space, so no cut goes through it.
+does unless told otherwise. It holds no white space, so no cut goes through it; chunks that hold one are not cut further.
 """
 
 from __future__ import annotations
 
 import os
-import re
 from collections.abc import Sequence
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from sftlake.llm.common import keeps
+from sftlake.llm.common import gathered, keeps
 
 #: Bytes of each of a worker's two tables of chunks, and what an entry takes beside its chunk and ids.
 CACHE_BYTES, ENTRY_BYTES = 64 << 20, 180
 #: Longer chunks, as in scripts without spaces, are encoded each time and kept in no table.
 MOST_CHUNK = 64
 
-#: White space other than space and newline, as Python's str.isspace has it.
-_ODD_ASCII = tuple("\t\r\v\f\x1c\x1d\x1e\x1f") + ("\x00",)
-_ODD_SPACE = tuple(map(chr, (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
-#: Runs of white space, which the vocabulary's pre-tokenizer cuts by what follows.
-_RUNS = ("  ", " \n", "\n ", "\n\n")
+#: New pieces that the library gets as one text.
+LEARN = 256
+
+#: A piece opens with a mark, with a newline, or else with a space, which is left out.
 _FIRST = "\x00"
-_CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
 
 
-def _is_plain(text: str) -> bool:
-    """Only single spaces and newlines between other characters: a plain split is exact."""
-    has = text.__contains__
-    return not (
-        any(map(has, _RUNS)) or any(map(has, _ODD_ASCII)) or (not text.isascii() and any(map(has, _ODD_SPACE)))
-        or text[0] in " \n" or text[-1] in " \n"
-    )
+def _bytes(*values: int) -> np.ndarray:
+    """A table that tells these bytes from others."""
+    table = np.zeros(256, bool)
+    table[list(values)] = True
+    return table
+
+
+#: Bytes that can end and begin a white-space character beyond ASCII (U+0085, U+00A0, U+1680, U+2000 to 200A, 2028, 2029, 202F, 205F, U+3000).
+_ENDS = _bytes(*range(0x80, 0x8B), 0x9F, 0xA0, 0xA8, 0xA9, 0xAF)
+_BEGINS = _bytes(0xC2, 0xE1, 0xE2, 0xE3)
+#: ASCII letters 1, digits 2, other signs 3; any other byte 0. An apostrophe can belong to the letters behind it, not to those before it.
+_RIGHT = np.array([1 if chr(c).isalpha() else 2 if chr(c).isdigit() else 3 if 32 < c < 127 else 0 for c in range(128)] + [0] * 128, np.uint8)
+_LEFT = np.where(np.arange(256) == ord("'"), 0, _RIGHT).astype(np.uint8)
+
+
+def _strings(raw: np.ndarray, starts: np.ndarray) -> pa.Array:
+    """The strings that begin at ``starts`` of these bytes; the first at 0."""
+    offsets = np.append(starts, len(raw)).astype(np.int64)
+    return pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(raw))
+
+
+def _chunks(texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+    """Texts cut at single spaces and newlines, and the number of each one's first chunk. Between bytes that may both belong to white space beyond
+    ASCII there is no cut."""
+    marked = [(_FIRST + t).encode() for t in texts]
+    raw = np.frombuffer(b"".join(marked) + b"\x00", np.uint8)
+    sizes = np.fromiter(map(len, marked), np.int64, len(marked))
+    at = np.flatnonzero((raw == 32) | (raw == 10))
+    before, after = raw[at - 1], raw[at + 1]
+    at = at[(before > 32) & (after > 32) & ~(_ENDS[before] & _BEGINS[after])]
+    first = np.cumsum(sizes) - sizes
+    opens = np.zeros(len(raw), bool)
+    opens[first] = opens[at] = True
+    starts = np.flatnonzero(opens)
+    spaces = raw[starts] == 32
+    stay = np.ones(len(raw), bool)
+    stay[starts[spaces]] = stay[-1] = False
+    return _strings(raw[stay], starts - (np.cumsum(spaces) - spaces)), np.searchsorted(starts, first)
+
+
+def _pieces(chunks: pa.Array, whole: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """Chunks cut where letters, digits and other signs meet, and behind a newline; and the number of each one's first piece. Those marked in ``whole`` stay whole."""
+    offsets = np.frombuffer(chunks.buffers()[1], np.int64)[chunks.offset : chunks.offset + len(chunks) + 1]
+    raw = np.frombuffer(chunks.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
+    starts = offsets[:-1] - offsets[0]
+    left, right = _LEFT[raw[:-1]], _RIGHT[raw[1:]]
+    cut = (left != right) & (left > 0) & (right > 0)
+    cut[starts[1:] - 1] = False
+    lines = starts[(raw[starts] == 10) & (np.diff(offsets) > 1)]
+    cut[lines[(raw[lines + 1] > 32) & ~_BEGINS[raw[lines + 1]]]] = True
+    if whole.any():
+        cut &= ~np.repeat(whole, np.diff(offsets))[1:]
+    at = np.flatnonzero(cut) + 1
+    opens = np.zeros(len(raw), bool)
+    opens[starts] = opens[at] = True
+    opens = np.flatnonzero(opens)
+    marked = np.ones(len(opens), np.int64)
+    first = np.searchsorted(opens, starts)
+    marked[first] = 0
+    return _strings(np.insert(raw, at, 0), opens + np.cumsum(marked) - marked), first
+
+
+def _is_plain(texts: list[str]) -> bool:
+    """Nothing but a space or newline at the beginning of each is white space."""
+    whole = "".join(texts)
+    return whole.replace("\n", "").isprintable() and whole.count(" ") + whole.count("\n") == len(texts) and min(map(len, texts)) > 1
 
 
 class _Table:
@@ -77,9 +134,11 @@ class _Table:
 
     def taken(self, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the entries one after another, and how many each has."""
-        size = self.size[entries]
-        first = np.repeat(self.start[entries] - (np.cumsum(size) - size), size)
-        return self.ids[first + np.arange(len(first))], size
+        return gathered(self.ids, self.start, self.size, entries)
+
+    def entries_of(self, chunks: list[str]) -> np.ndarray:
+        """The chunks' entries, -1 for those that are not there."""
+        return np.fromiter(map(self.place.get, chunks, repeat(-1)), np.int64, len(chunks))
 
 
 class ByteBpe:
@@ -91,87 +150,94 @@ class ByteBpe:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = not special_tokens
+        self.tokenizer.model._resize_cache(0)  # no piece comes twice, but each would be looked up and copied
         for t in self.tokenizer.get_added_tokens_decoder().values():
             if t.lstrip or t.rstrip or any(map(str.isspace, t.content)):
                 raise ValueError(f"a cut at white space could go through {t.content!r}")
+        self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known, self.older = _Table(), _Table()
         self.lengths = self.byte_lengths()
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         out = [b""] * len(texts)
-        plain, odd = [], []
-        for i, t in enumerate(texts):
-            if t:
-                (plain if _is_plain(t) else odd).append(i)
-        if plain:
-            marked = pa.array([_FIRST + texts[i].replace("\n", " \n") for i in plain], pa.large_string())
-            cut = pc.split_pattern(marked, " ")
-            self._encode(plain, cut.flatten(), cut.value_lengths().to_numpy(), out)
-        if odd:
-            parts = [[_FIRST + p for p in _CUT.split(texts[i])] for i in odd]
-            self._encode(odd, pa.array(list(chain.from_iterable(parts)), pa.large_string()), np.fromiter(map(len, parts), np.int64, len(parts)), out)
+        which = [i for i, t in enumerate(texts) if t]
+        if which:
+            chunks, first = _chunks([texts[i] for i in which])
+            numbered = chunks.dictionary_encode()
+            ids, sizes = self._ids(numbered.dictionary)
+            found, own = gathered(ids, np.cumsum(sizes) - sizes, sizes, numbered.indices.to_numpy())
+            data = found.astype("<u4", copy=False).tobytes()
+            stops = np.cumsum(own)
+            ends = stops[np.append(first[1:], len(own)) - 1] * 4
+            for i, a, b in zip(which, [0, *ends[:-1].tolist()], ends.tolist()):
+                out[i] = data[a:b]
         return out
 
-    def _encode(self, which: list[int], chunks: pa.Array, counts: np.ndarray, out: list[bytes]) -> None:
-        """Fill in the ids of texts whose chunks stand one after another."""
-        numbered = chunks.dictionary_encode()
+    def _ids(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct chunks one after another, and how many each has."""
+        whole = np.zeros(len(chunks), bool)
+        for special in self.specials:
+            whole |= pc.match_substring(chunks, special).to_numpy(zero_copy_only=False)
+        pieces, first = _pieces(chunks, whole)
+        numbered = pieces.dictionary_encode()
         places, keep = self._places(numbered.dictionary.to_numpy(zero_copy_only=False).tolist())
         ids, size = self.known.taken(places[numbered.indices.to_numpy()])
-        self.known.top, self.known.entries = keep  # long chunks, which come last, go again
-        ends = np.cumsum(size)[np.cumsum(counts) - 1] * 4
-        data = ids.astype("<u4", copy=False).tobytes()
-        for i, a, b in zip(which, [0, *ends[:-1].tolist()], ends.tolist()):
-            out[i] = data[a:b]
+        self.known.top, self.known.entries = keep  # long pieces, which come last, go again
+        return ids, np.add.reduceat(size, first)
 
     def _places(self, values: list[str]) -> tuple[np.ndarray, tuple[int, int]]:
-        """Entries of distinct chunks, new ones being learned; and where the table ends without those that are not to stay."""
+        """Entries of distinct pieces, new ones being learned; and where the table ends without those that are not to stay."""
         if self.known.bytes() > CACHE_BYTES:  # what is still in use comes over from the older table
             self.older, self.known = self.known, _Table()
-        found = list(map(self.known.place.get, values))
-        missing = [i for i, p in enumerate(found) if p is None]
-        if missing:
-            before = [(i, p) for i in missing if (p := self.older.place.get(values[i])) is not None]
-            if before:
-                at, old = zip(*before)
-                self._add(found, values, at, *self.older.taken(np.array(old)))
-                missing = [i for i in missing if found[i] is None]
-            short = [i for i in missing if len(values[i]) <= MOST_CHUNK]
-            if short:
-                self._add(found, values, *self._learn(values, short))
+        found = self.known.entries_of(values)
+        missing = np.flatnonzero(found < 0)
+        if len(missing):
+            names = [values[i] for i in missing.tolist()]
+            old = self.older.entries_of(names)
+            before = np.flatnonzero(old >= 0)
+            if len(before):
+                found[missing[before]] = entries = self.known.add(*self.older.taken(old[before]))
+                self.known.keep([names[i] for i in before.tolist()], entries)
+                missing = missing[old < 0]
+                names = [values[i] for i in missing.tolist()]
+        long = np.fromiter(map(len, names), np.int64, len(names)) > MOST_CHUNK if len(missing) else np.empty(0, bool)
+        short = np.flatnonzero(~long)
+        if len(short):
+            names_kept = [names[i] for i in short.tolist()] if long.any() else names
+            found[missing[short]] = entries = self.known.add(*self._learn(names_kept))
+            self.known.keep(names_kept, entries)
         keep = self.known.top, self.known.entries
-        long = [i for i in missing if len(values[i]) > MOST_CHUNK]
-        if long:
-            at, ids, sizes = self._learn(values, long)
-            for i, e in zip(at, self.known.add(ids, sizes).tolist()):
-                found[i] = e
-        return np.array(found, np.int64), keep
-
-    def _add(self, found: list, values: list[str], at: Sequence[int], ids: np.ndarray, sizes: np.ndarray) -> None:
-        entries = self.known.add(ids, sizes)
-        self.known.keep([values[i] for i in at], entries)
-        for i, e in zip(at, entries.tolist()):
-            found[i] = e
-
-    def _learn(self, values: list[str], which: list[int]) -> tuple[list[int], np.ndarray, np.ndarray]:
-        """Some chunks in an order of their own, their ids one after another, and how many each has. Those that follow a space or newline have
-        no other one inside: they are encoded as one text and told apart by the bytes behind each id. The others are encoded one by one."""
-        follow = [i for i in which if values[i][0] != _FIRST]
-        first = [i for i in which if values[i][0] == _FIRST]
-        ids, sizes = [np.empty(0, np.uint32)], [np.empty(0, np.int64)]
-        if follow:
-            whole = "".join([c if c[0] == "\n" else " " + c for c in map(values.__getitem__, follow)])
-            own = np.array(self.tokenizer.encode_batch_fast([whole], add_special_tokens=False)[0].ids, np.uint32)
-            raw = np.frombuffer(whole.encode(), np.uint8)
-            starts = np.flatnonzero((raw == 32) | (raw == 10))
-            at = np.searchsorted(np.cumsum(self.lengths[own]) - self.lengths[own], starts)
-            ids.append(own)
-            sizes.append(np.diff(np.append(at, len(own))))
-        if first:
-            encoded = self.tokenizer.encode_batch_fast([values[i][1:] for i in first], add_special_tokens=False)
-            lists = [e.ids for e in encoded]
-            ids.append(np.fromiter(chain.from_iterable(lists), np.uint32))
-            sizes.append(np.fromiter(map(len, lists), np.int64, len(lists)))
-        return follow + first, np.concatenate(ids), np.concatenate(sizes)
+        if long.any():
+            found[missing[long]] = self.known.add(*self._learn([names[i] for i in np.flatnonzero(long).tolist()]))
+        return found, keep
+
+    def _learn(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pieces one after another, and how many each has."""
+        learned = [self._learn_some(pieces[i : i + LEARN]) for i in range(0, len(pieces), LEARN)]
+        return np.concatenate([ids for ids, _ in learned]), np.concatenate([sizes for _, sizes in learned])
+
+    def _learn_some(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Pieces without white space inside are encoded as one text, each behind its space or a newline, and told apart by the bytes behind each
+        id. The others are encoded one by one."""
+        texts = ["\n" + p[1:] if p[0] == _FIRST else p if p[0] == "\n" else " " + p for p in pieces]
+        single = [] if _is_plain(texts) else [i for i, t in enumerate(texts) if not _is_plain([t])]
+        joined = np.delete(np.arange(len(texts)), single)
+        whole = "".join([texts[i] for i in joined.tolist()] if single else texts)
+        own = np.array(self._encoded([whole])[0], np.uint32)
+        raw = np.frombuffer(whole.encode(), np.uint8)
+        starts = np.flatnonzero((raw == 32) | (raw == 10))
+        at = np.searchsorted(np.cumsum(self.lengths[own]) - self.lengths[own], starts)
+        marked = np.fromiter((p[0] == _FIRST for p in pieces), bool, len(pieces))[joined]  # their newlines are no part of them
+        ids, sizes = np.delete(own, at[marked]), np.diff(np.append(at, len(own))) - marked
+        if single:
+            lists = self._encoded([texts[i][1:] if pieces[i][0] == _FIRST else texts[i] for i in single])
+            ids = np.concatenate([ids, np.fromiter(chain.from_iterable(lists), np.uint32)])
+            sizes = np.append(sizes, np.fromiter(map(len, lists), np.int64, len(lists)))
+            ids, sizes = gathered(ids, np.cumsum(sizes) - sizes, sizes, np.argsort(np.append(joined, single)))
+        return ids, sizes
+
+    def _encoded(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def byte_lengths(self) -> np.ndarray:
         """Bytes of text behind each id. Every character of a byte-level token stands for one byte; added tokens stand as they are."""

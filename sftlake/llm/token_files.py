@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from sftlake.llm.bpe import encoder
-from sftlake.llm.common import sliced, sliced_texts
+from sftlake.llm.common import gathered, sliced, sliced_texts
 
 END_ID = 2
 SHARD_IDS = 1 << 20
@@ -47,38 +47,48 @@ def _counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.unique(keys, return_inverse=True, return_counts=True)
 
 
-def _frequent(a: np.ndarray, b: np.ndarray, min_count: int, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _frequent(a: np.ndarray, b: np.ndarray, min_count: int, most: int, skip: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of pairs (a, b) of symbols: the keys (first symbol << 32 | second) of the frequent ones, the places where they stand, and each of those places' key by number.
+    The places in ``skip`` hold no pair.
 
     Few pairs are counted exactly, by sorting. Many are counted in hash bins, in linear time: of pairs that share a bin one is taken, the others
     wait; where no pair can be taken that way, those of the bins that are full enough are counted exactly.
     """
-    if len(a) < min_count:
+    skip = np.empty(0, np.int64) if skip is None else skip
+    if len(a) - len(skip) < min_count:
         return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
-    at = np.arange(len(a))
-    if len(a) > EXACT:
-        bins = (((a * np.uint32(0x9E3779B1)) ^ (b * np.uint32(0x85EBCA6B))) >> np.uint32(32 - BINS.bit_length() + 1)).astype(np.intp)
-        stay = (np.bincount(bins, minlength=BINS) >= min_count)[bins]
-        at, bins = at[stay], bins[stay]
+    binned = len(a) - len(skip) > EXACT
+    if binned:
+        bins = ((a * np.uint32(0x9E3779B1)) ^ (b * np.uint32(0x85EBCA6B))) >> np.uint32(32 - BINS.bit_length() + 1)
+        bins = bins.astype(np.intp)
+        bins[skip] = BINS
+        full = np.flatnonzero(np.bincount(bins, minlength=BINS + 1)[:BINS] >= min_count)
+        number = np.full(BINS + 1, -1, np.int32)
+        number[full] = np.arange(len(full))
+        number = number[bins]
+        at = np.flatnonzero(number >= 0)
+        number = number[at]
+    else:
+        at = np.delete(np.arange(len(a)), skip)
     keys = (a[at].astype(np.uint64) << np.uint64(32)) | b[at]
-    if len(a) > EXACT:
-        taken = np.zeros(BINS, np.uint64)
-        taken[bins] = keys
-        same = taken[bins] == keys
-        number, counts = bins[same], np.bincount(bins[same], minlength=BINS)
-        if (counts >= min_count).any():
-            at, found = at[same], taken
-        else:
-            found, number, counts = _counted(keys)
+    if binned:
+        found = np.zeros(len(full), np.uint64)
+        found[number] = keys
+        same = found[number] == keys
+        counts = np.bincount(number[same], minlength=len(full))
+        binned = (counts >= min_count).any()
+    if binned:
+        at, number = at[same], number[same]
     else:
         found, number, counts = _counted(keys)
     good = np.flatnonzero(counts >= min_count)
     if len(good) > most:
         good = np.sort(good[np.argsort(-counts[good], kind="stable")[:most]])
-    rank = np.full(len(counts), -1, np.int64)
+    rank = np.full(len(counts), -1, np.int32)
     rank[good] = np.arange(len(good))
     rank = rank[number]
-    return found[good], at[rank >= 0], rank[rank >= 0]
+    stay = rank >= 0
+    return found[good], at[stay], rank[stay]
 
 
 def repair(ids: np.ndarray, ends: np.ndarray, first_rule: int, rounds: int | None = None, min_count: int = 24, most: int = 1 << 14) -> tuple:
@@ -87,39 +97,43 @@ def repair(ids: np.ndarray, ends: np.ndarray, first_rule: int, rounds: int | Non
     A round looks at pairs with a symbol of the round before; where none is frequent, at all pairs, since some may have waited. The arrays are
     worked on in place and closed up after each round.
     """
-    symbols, ends, rules = ids.astype(np.uint32), ends.copy(), [np.empty((0, 2), np.uint32)]
+    symbols, last, rules = ids.astype(np.uint32), np.flatnonzero(ends), [np.empty((0, 2), np.uint32)]
     next_rule = newest = first_rule
     complete = True
     for _ in count() if rounds is None else range(rounds):
         room = most - (next_rule - first_rule)
         if room <= 0 or len(symbols) < 2:
             break
-        look = ~ends[:-1]  # no pair crosses the end of a document
-        if not complete:
+        if complete:  # no pair crosses the end of a document
+            keys, at, rank = _frequent(symbols[:-1], symbols[1:], min_count, room, last[last < len(symbols) - 1])
+        else:
             new = symbols >= newest
-            look &= new[:-1] | new[1:]
-        look = np.flatnonzero(look)
-        keys, at, rank = _frequent(symbols[look], symbols[look + 1], min_count, room)
+            look = new[:-1] | new[1:]
+            look[last[last < len(look)]] = False
+            look = np.flatnonzero(look)
+            keys, at, rank = _frequent(symbols[look], symbols[look + 1], min_count, room)
+            at = look[at]
         if not len(keys):
             if complete:
                 break
             complete = True
             continue
-        at = look[at]
         # Pairs that overlap form runs of neighbouring positions: every second one is replaced.
-        starts = np.concatenate(([True], np.diff(at) != 1))
-        first = np.maximum.accumulate(np.where(starts, np.arange(len(at)), 0))
-        take = ((np.arange(len(at)) - first) & 1) == 0
+        starts = np.concatenate(([0], np.flatnonzero(np.diff(at) != 1) + 1))
+        odd = (at & 1).astype(bool)
+        take = odd == np.repeat(odd[starts], np.diff(starts, append=len(at)))
         at, rank = at[take], rank[take]
-        seen = np.bincount(rank, minlength=len(keys)) > 0
-        used, rank = np.flatnonzero(seen), (np.cumsum(seen) - 1)[rank]
+        used = np.flatnonzero(np.bincount(rank, minlength=len(keys)))
         rules.append(np.stack([keys[used] >> np.uint64(32), keys[used] & np.uint64(0xFFFFFFFF)], axis=1).astype(np.uint32))
-        symbols[at] = (next_rule + rank).astype(np.uint32)
-        ends[at] |= ends[at + 1]
+        symbol = np.zeros(len(keys), np.uint32)
+        symbol[used] = np.arange(next_rule, next_rule + len(used))
+        symbols[at] = symbol[rank]
         stay = np.ones(len(symbols), bool)
         stay[at + 1] = False
-        symbols, ends = symbols[stay], ends[stay]
+        symbols, last = symbols[stay], last - np.searchsorted(at + 1, last, "right")
         newest, next_rule, complete = next_rule, next_rule + len(used), False
+    ends = np.zeros(len(symbols), bool)
+    ends[last] = True
     return symbols, ends, np.concatenate(rules)
 
 
@@ -142,21 +156,16 @@ def expand(symbols: np.ndarray, rules: np.ndarray, first_rule: int, lengths: np.
     if not len(rules):
         return symbols
     lengths = rule_lengths(rules, first_rule) if lengths is None else lengths
-    while (long := (symbols >= first_rule) & (lengths[np.maximum(symbols.astype(np.int64) - first_rule, 0)] > FLAT)).any():
+    lasting = np.concatenate((np.zeros(first_rule, bool), lengths > FLAT))
+    while lasting.any() and (long := lasting[symbols]).any():
         symbols = _split(symbols, long, rules, first_rule)
     flat = np.where(lengths <= FLAT, np.arange(len(rules)) + first_rule, 0).astype(np.uint32)
     while (nested := flat >= first_rule).any():
         flat = _split(flat, nested, rules, first_rule)
-    sizes = np.where(lengths <= FLAT, lengths, 1)
-    start = np.cumsum(sizes) - sizes
-    ruled = symbols >= first_rule
-    own = np.where(ruled, symbols.astype(np.int64) - first_rule, 0)
-    size = np.where(ruled, sizes[own], 1)
-    out = np.repeat(symbols, size)
-    inside = np.repeat(ruled, size)
-    offset = np.arange(len(out)) - np.repeat(np.cumsum(size) - size, size)
-    out[inside] = flat[(np.repeat(start[own], size) + offset)[inside]]
-    return out
+    # Ids stand for themselves: a symbol of either kind is a slice of one array.
+    sizes = np.concatenate((np.ones(first_rule, np.int64), np.where(lengths <= FLAT, lengths, 1)))
+    flat = np.concatenate((np.arange(first_rule, dtype=np.uint32), flat))
+    return gathered(flat, np.cumsum(sizes) - sizes, sizes, symbols)[0]
 
 
 def _split(symbols: np.ndarray, which: np.ndarray, rules: np.ndarray, first_rule: int) -> np.ndarray:

@@ -229,3 +229,37 @@ def test_deep_rules_decode():
     symbols, last, rules = tf.repair(ids, ends, 50257, min_count=2)
     assert len(symbols) < 60 and last.sum() == 2 and (tf.rule_lengths(rules, 50257) > tf.FLAT).any()
     assert (tf.expand(symbols, rules, 50257) == ids).all()
+
+
+def test_signs_around_words_make_no_new_pieces(library):
+    """A word is learned once, whatever signs or digits stand around it."""
+    words = ["".join(chr(97 + (i * k) % 26) for k in range(3, 9)) + "x" * (i % 3) for i in range(100)]
+    ends = [",", ".", "!", "$$$", "***", ")", "%%%", "-7", "'s"]
+    texts = [" ".join(f"{w}{e}" for w in words) + "\n" + "\n".join(f"{w}{e}" for w in words) for e in ends]
+    bpe = ByteBpe(vocabulary())
+    assert [np.frombuffer(b, "<u4").tolist() for b in bpe.encode(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(bpe.known.place) <= 2 * len(set(words)) + 2 * len(ends)  # behind a space, and behind a newline
+
+
+@pytest.mark.parametrize("special_tokens", [False, True])
+def test_cuts_equal_library(special_tokens, library, default_library):
+    """Letters, digits, signs, apostrophes and white space beyond ASCII in any order."""
+    rng = random.Random(6)
+    parts = ["a", "Bc", " ", "  ", "\n", "\t", "12", "'", "'s", "'re", "r", "e", ".", "$", "é", "à", "ñ", "ſ", "中", "Ж", "😀", "²", "̀", "\u0085", " ",
+             " ", " ", " ", "　", "\x1c", "\x7f", "\x00", "\r\n", "<|", "|>", "-", "<|endoftext|>", " l'é"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 14))) for _ in range(4000)]
+    want = (default_library if special_tokens else library).encode_batch(texts, add_special_tokens=False)
+    bpe = ByteBpe(vocabulary(), special_tokens)
+    got = [b for at in range(0, len(texts), 500) for b in bpe.encode(texts[at : at + 500])]
+    for ids, e, text in zip(got, want, texts):
+        assert np.frombuffer(ids, "<u4").tolist() == e.ids, repr(text)
+
+
+def test_slices_are_gathered_in_blocks(monkeypatch):
+    from sftlake.llm import common
+
+    monkeypatch.setattr(common, "GATHERED", 3)
+    values, start, size = np.arange(20, dtype=np.uint32), np.array([5, 0, 17]), np.array([4, 0, 3])
+    which = np.array([2, 1, 0, 0, 2, 1, 0])
+    out, sizes = common.gathered(values, start, size, which)
+    assert out.tolist() == [x for w in which for x in range(start[w], start[w] + size[w])] and sizes.tolist() == size[which].tolist()
