@@ -32,6 +32,8 @@ from sftlake.llm.common import gathered, sliced, sliced_texts
 END_ID = 2
 SHARD_IDS = 1 << 20
 BINS = 1 << 19
+#: Texts that are encoded at once: the more, the fewer pieces are looked up again.
+SLICE_ROWS, SLICE_BYTES = 1024, 4 << 20
 #: Up to so many pairs are counted by sorting them.
 EXACT = 1 << 16
 #: Rules of up to so many ids are written out in full when a shard is decoded.
@@ -221,7 +223,7 @@ def token_shards(
 
         part, no, before, held, size = TaskContext.get().partitionId(), 0, 0, [], 0
         encode = encoder(tokenizer, special_tokens).encode
-        for batch in sliced_texts(batches, "text", 512):
+        for batch in sliced_texts(batches, "text", SLICE_ROWS, SLICE_BYTES):
             ids = encode(batch.column("text").to_pylist())
             for doc, own in zip(batch.column("doc").to_pylist(), ids):
                 own += end
