@@ -53,9 +53,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def write_token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32) of every document in the files."""
+    """(doc_id, start, n_tokens, ids_crc32) of every document in the files. Executors' heaps have grown in the stages before, so workers keep no
+    pieces."""
     path = shared_dir(spark, "pipeline-tokens")
-    token_files.write_tokens(docs, path, vocabulary(), special_tokens=True)
+    token_files.write_tokens(docs, path, vocabulary(), special_tokens=True, keep_pieces=False)
     return token_files.read_token_digests(spark, path)
 
 

@@ -155,9 +155,13 @@ class ByteBpe:
             if t.lstrip or t.rstrip or any(map(str.isspace, t.content)):
                 raise ValueError(f"a cut at white space could go through {t.content!r}")
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known, self.older = _Table(), _Table()
+        self.forget()
         self.lengths = self.byte_lengths()
 
+    def forget(self) -> None:
+        """Empty the tables of pieces."""
+        self.known, self.older = _Table(), _Table()
+
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         out = [b""] * len(texts)
         which = [i for i, t in enumerate(texts) if t]

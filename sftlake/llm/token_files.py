@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from sftlake.llm.bpe import encoder
-from sftlake.llm.common import gathered, sliced, sliced_texts
+from sftlake.llm.common import gathered, give_back, sliced, sliced_texts
 
 END_ID = 2
 SHARD_IDS = 1 << 20
@@ -61,18 +61,23 @@ def _frequent(a: np.ndarray, b: np.ndarray, min_count: int, most: int, skip: np.
         return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
     binned = len(a) - len(skip) > EXACT
     if binned:
-        bins = ((a * np.uint32(0x9E3779B1)) ^ (b * np.uint32(0x85EBCA6B))) >> np.uint32(32 - BINS.bit_length() + 1)
+        bins = a * np.uint32(0x9E3779B1)
+        bins ^= b * np.uint32(0x85EBCA6B)
+        bins >>= np.uint32(32 - BINS.bit_length() + 1)
         bins = bins.astype(np.intp)
         bins[skip] = BINS
         full = np.flatnonzero(np.bincount(bins, minlength=BINS + 1)[:BINS] >= min_count)
         number = np.full(BINS + 1, -1, np.int32)
         number[full] = np.arange(len(full))
         number = number[bins]
+        del bins
         at = np.flatnonzero(number >= 0)
         number = number[at]
     else:
         at = np.delete(np.arange(len(a)), skip)
-    keys = (a[at].astype(np.uint64) << np.uint64(32)) | b[at]
+    keys = a[at].astype(np.uint64)
+    keys <<= np.uint64(32)
+    keys |= b[at]
     if binned:
         found = np.zeros(len(full), np.uint64)
         found[number] = keys
@@ -204,12 +209,14 @@ _SCHEMA = pa.schema([
 def token_shards(
     docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text", end_id: int = END_ID,
     shard_ids: int = SHARD_IDS, vocab: int = 50257, rounds: int | None = None, min_count: int = 24, special_tokens: bool = False,
+    keep_pieces: bool = True,
 ) -> DataFrame:
     """Shards of the documents in ascending id order; (part, shard) is their order.
 
     Texts move once, into ranges of (id, text hash). ``tokenizer`` is a path on every executor. With symbols
     of at most 65,536 kinds a shard's symbols take two bytes each, so rules are limited to what is left of those.
-    With ``special_tokens`` their strings in a text become their ids.
+    With ``special_tokens`` their strings in a text become their ids. Without ``keep_pieces`` a worker's tables of pieces are emptied
+    when a task has encoded its texts, and free memory goes back slice by slice: each task learns its pieces anew, and the worker holds less.
     """
     most = max((1 << 16) - vocab, 0) or (1 << 20)
     options = {"rounds": rounds, "min_count": min_count, "most": most}
@@ -222,9 +229,11 @@ def token_shards(
         from pyspark import TaskContext
 
         part, no, before, held, size = TaskContext.get().partitionId(), 0, 0, [], 0
-        encode = encoder(tokenizer, special_tokens).encode
+        pieces = encoder(tokenizer, special_tokens)
         for batch in sliced_texts(batches, "text", SLICE_ROWS, SLICE_BYTES):
-            ids = encode(batch.column("text").to_pylist())
+            ids = pieces.encode(batch.column("text").to_pylist())
+            if not keep_pieces:
+                give_back()
             for doc, own in zip(batch.column("doc").to_pylist(), ids):
                 own += end
                 if held and size + len(own) // 4 > shard_ids:
@@ -232,8 +241,14 @@ def token_shards(
                     no, before, held, size = no + 1, before + size, [], 0
                 held.append((doc, own))
                 size += len(own) // 4
+        if not keep_pieces:
+            pieces.forget()
+            give_back()
         if held:
             yield pa.RecordBatch.from_pylist([_shard(part, no, held, vocab, options, before)], _SCHEMA)
+        if not keep_pieces:
+            held = None
+            give_back()
 
     return ranged.mapInArrow(run, SHARD)
 

@@ -82,6 +82,20 @@ def test_mix_and_tokens(stages):
     assert [r[0] for r in rows] == np.concatenate(([0], np.cumsum([r[1] for r in rows])[:-1])).tolist()
 
 
+def test_workers_keep_no_pieces_of_the_token_files(spark):
+    def held(batches):
+        import pyarrow as pa
+        from sftlake.llm import bpe
+
+        for _ in batches:
+            sizes = [len(e.known.place) + len(e.older.place) for e in bpe._LOADED.values()]
+            yield pa.RecordBatch.from_arrays([pa.array([len(sizes)]), pa.array([sum(sizes)])], names=["encoders", "pieces"])
+
+    cp.write_token_files(spark, table(spark, "/root/testdata/sf0.001", "documents"), SF)
+    workers = spark.range(0, 64, 1, 16).mapInArrow(held, "encoders bigint, pieces bigint").collect()
+    assert any(r.encoders for r in workers) and not any(r.pieces for r in workers)
+
+
 def test_run_gives_the_last_stage(spark, stages):
     assert sorted(map(tuple, cp.run(spark, SF).collect())) == sorted(map(tuple, stages["tokens"].collect()))
 

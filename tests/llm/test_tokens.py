@@ -263,3 +263,12 @@ def test_slices_are_gathered_in_blocks(monkeypatch):
     which = np.array([2, 1, 0, 0, 2, 1, 0])
     out, sizes = common.gathered(values, start, size, which)
     assert out.tolist() == [x for w in which for x in range(start[w], start[w] + size[w])] and sizes.tolist() == size[which].tolist()
+
+
+@pytest.mark.parametrize("shard_ids", [40, 1 << 20])
+def test_files_are_equal_whether_pieces_are_kept_or_not(spark, library, shard_ids):
+    rows = frame(spark, [(i, f"{'lorem ipsum ' * (i % 7)}no{i}", "s") for i in range(300)] + [(None, None, None), (7, "", "s")])
+    kept, anew = (
+        sorted(map(str, tf.token_shards(rows, vocabulary(), shard_ids=shard_ids, min_count=4, keep_pieces=k).collect())) for k in (True, False)
+    )
+    assert kept and kept == anew
