@@ -99,3 +99,58 @@ def test_folders_are_written_and_listed_by_several_tasks(spark, tmp_path):
     want = sum((k * 7 + i) % 11 != 0 for k in range(1, 121) for i in (0, 2, 4))
     assert documents.count() == want == len(documents.collect())
     assert catalog.QUERIES["folder_audit"](spark, str(tmp_path)).count() == 120
+
+
+def test_text_files_are_those_of_sparks_writer(spark, tmp_path):
+    rows = [("r 1", "a/b=c%", "x", 1), ("r 1", "a/b=c%", "y", 3), (None, "ü", "wé", 400_000), ("", "ü", None, 1), ("r2", None, "z", 0), ("r2", "z", "z", 511), ("r 1", "a/b=c%", "x", 1), ("", "a", "1", 1), (None, "a", "2", 1)]
+    df = spark.createDataFrame(rows, "k string, l string, value string, times int").coalesce(1)
+    fo.write_text_files(df, str(tmp_path / "own"))
+    df.selectExpr("k", "l", "repeat(value, times) AS value").write.partitionBy("k", "l").text(str(tmp_path / "spark"))
+
+    def files(top):
+        found = {}
+        for folder, _, names in os.walk(top):
+            for name in (n for n in names if "part-" in n):
+                with open(os.path.join(folder, name), "rb") as f:
+                    found[os.path.relpath(folder, top), "crc" if name.endswith(".crc") else "data"] = f.read()
+        return found
+
+    own, theirs = files(tmp_path / "own"), files(tmp_path / "spark")
+    assert own.keys() == theirs.keys() and len(own) == 10
+    lines = lambda found: {k: sorted(v.split(b"\n")) for k, v in found.items() if k[1] == "data"}
+    assert lines(own) == lines(theirs)
+    assert {k: v for k, v in own.items() if k[0].startswith("k=r2")} == {k: v for k, v in theirs.items() if k[0].startswith("k=r2")}
+    assert not [n for _, _, names in os.walk(tmp_path / "own") for n in names if "part-" not in n]  # nothing half made is left
+    # Read with the checksums checked.
+    assert sorted(r.value or "" for r in spark.read.text(str(tmp_path / "own")).collect()) == sorted((v or "") * n for _, _, v, n in rows)
+
+
+def test_one_listing_serves_files_and_documents(spark, root):
+    listed, names = fo.listing(spark, root), [*ck.DOCUMENT_KEYS, STATE]
+    assert sorted(fo.read_checkpoint_files(spark, listed).collect()) == sorted(fo.read_checkpoint_files(spark, root).collect())
+    documents = fo.read_checkpoint_documents(spark, listed, names)
+    assert sorted(documents.collect()) == sorted(fo.read_checkpoint_documents(spark, root, names).collect())
+    # A weight file that could not be held as one value is not opened.
+    with open(os.path.join(root, "run a+b", "checkpoint-epoch1-step10", "model.safetensors"), "wb") as f:
+        f.truncate(3 << 30)
+    again = fo.listing(spark, root)
+    assert fo.read_checkpoint_documents(spark, again, names).count() == len(documents.collect())
+
+
+def test_audit_reads_many_files_in_a_task(spark, tmp_path):
+    from sftlake.plans import catalog
+
+    suppliers = spark.createDataFrame([(k, k % 3) for k in range(1, 601)], "s_suppkey bigint, s_nationkey int")
+    suppliers.write.parquet(str(tmp_path / "supplier.parquet"))
+    cost = spark.conf.get(fo._FILE_COST)
+    tracker, group = spark.sparkContext.statusTracker(), "audit"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        assert catalog.QUERIES["folder_audit"](spark, str(tmp_path)).count() == 600
+        stages = {s: tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds}
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    # Some 2,700 files; three runs are listed once.
+    tasks = [s.numTasks for s in stages.values() if s is not None]
+    assert max(tasks) <= 4 * spark.sparkContext.defaultParallelism and sum(tasks) < 150
+    assert spark.conf.get(fo._FILE_COST) == cost
