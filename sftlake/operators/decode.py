@@ -11,7 +11,8 @@ task cuts its rows into blocks, and a block's distinct pieces (or ids) are looke
 
 from __future__ import annotations
 
-import zlib
+import hashlib
+import struct
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import numpy as np
@@ -52,71 +53,88 @@ def _unique(df: DataFrame, key: str, like: DataFrame) -> DataFrame:
 
 
 #: Of distinct items and what the vocabulary has for them: the values of all, one after another, and how many each has.
-Emit = Callable[[list, list], tuple[np.ndarray, np.ndarray]]
+Emit = Callable[[pa.Array, pa.Array], tuple[np.ndarray, np.ndarray]]
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], shape: pa.Schema) -> Iterator[pa.RecordBatch]:
-    """Of rows (key, items): per block its own row (pos -1) with keys, lengths and numbers of the items, and a row for each distinct item."""
+    """Of rows (key, items): per block its own row (pos -1) with keys, lengths and numbers of the items, and a row for each distinct item.
+
+    The block's own row is bytes, not lists: what Spark hands to the next worker it measures row by row, and a list column without values is gone through again each time.
+    """
     from pyspark import TaskContext
 
     part, no = TaskContext.get().partitionId(), 0
     for batch in batches:
-        ends = np.cumsum(pc.list_value_length(batch.column("items")).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+        lengths = pc.list_value_length(batch.column("items"))  # none of a null list
+        ends = np.cumsum(lengths.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
         at = 0
         while at < batch.num_rows:
             before = int(ends[at - 1]) if at else 0
             stop = min(max(at + 1, int(np.searchsorted(ends, before + BLOCK, "right"))), at + BLOCK_ROWS)
-            keys, lists = batch.column("key").slice(at, stop - at), batch.column("items").slice(at, stop - at)
-            sizes = pc.list_value_length(lists).to_pylist()  # none of a null list
-            numbered = pc.list_flatten(lists).dictionary_encode(null_encoding="encode")
+            rows = pa.RecordBatch.from_arrays([batch.column("key").slice(at, stop - at), lengths.slice(at, stop - at)], names=["key", "size"])
+            numbered = pc.list_flatten(batch.column("items").slice(at, stop - at)).dictionary_encode(null_encoding="encode")
             n = len(numbered.dictionary)
             codes = numbered.indices.to_numpy(zero_copy_only=False).astype("<u2" if n <= 1 << 16 else "<u4").tobytes()
-            # By its digest a block of a task that is repeated with its rows in another order is not mistaken for this one.
-            block = f"{part} {no} {n} {zlib.crc32(repr((keys.to_pylist(), sizes)).encode(), zlib.crc32(codes)):08x}"
-            own = {"block": [block], "pos": [-1], "entry": [None], "keys": [keys.to_pylist()], "sizes": [sizes], "codes": [codes]}
-            yield pa.RecordBatch.from_pydict(own, shape)
+            with pa.BufferOutputStream() as sink:
+                with pa.ipc.new_stream(sink, rows.schema) as out:
+                    out.write_batch(rows)
+                head = sink.getvalue().to_pybytes()
+            own = _HEAD.pack(n, len(head)) + head + codes
+            # Named by its digest, a block of a task that is repeated with its rows in another order is not mistaken for this one.
+            name = hashlib.blake2b(own, digest_size=8, salt=_HEAD.pack(part, no)).digest()
+            block = int.from_bytes(name, "little", signed=True)
+            yield pa.RecordBatch.from_pydict({"block": [block], "pos": [-1], "entry": [None], "own": [own]}, shape)
             for lo in range(0, n, 1 << 14):
                 entries = numbered.dictionary.slice(lo, 1 << 14)
                 m = len(entries)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([block] * m, pa.string()), pa.array(np.arange(lo, lo + m), pa.int32()), entries.cast(pa.string()), *(pa.nulls(m, f.type) for f in list(shape)[3:])],
-                    schema=shape,
+                    [pa.array(np.full(m, block)), pa.array(np.arange(lo, lo + m, dtype=np.int32)), entries.cast(pa.string()), pa.nulls(m, pa.binary())], schema=shape
                 )
             at, no = stop, no + 1
 
 
-def _put_together(table: pa.Table, emit: Emit) -> tuple[list, list, np.ndarray, np.ndarray]:
+#: How many distinct items a block has, and how long its table of rows is.
+_HEAD = struct.Struct("<qq")
+
+
+def _put_together(table: pa.Table, emit: Emit) -> tuple[pa.Array, pa.Array, np.ndarray, np.ndarray]:
     """Of a block with what its items were found to be: keys, lengths in items, all values, and where each row's values end."""
-    first = pc.equal(table.column("pos"), -1)
-    own, entries = table.filter(first), table.filter(pc.invert(first)).sort_by("pos")
-    block, n = table.column("block")[0].as_py(), entries.num_rows
-    if own.num_rows != 1 or n != int(block.split(" ")[2]):
-        raise ValueError(f"block {block} is not whole: a task was repeated with its rows in another order")
-    codes = np.frombuffer(own.column("codes")[0].as_py(), "<u2" if n <= 1 << 16 else "<u4")
-    values, sizes = emit(entries.column("entry").to_pylist(), entries.column("value").to_pylist())
+    pos = table.column("pos").to_numpy()
+    order = np.argsort(pos, kind="stable")
+    own = table.column("own")[int(order[0])].as_py()
+    n, size = _HEAD.unpack_from(own) if own is not None else (-1, 0)
+    if n + 1 != len(pos) or not np.array_equal(pos[order], np.arange(-1, n)):
+        raise ValueError(f"block {table.column('block')[0]} is not whole: a task was repeated with its rows in another order")
+    rows = pa.ipc.open_stream(own[_HEAD.size:_HEAD.size + size]).read_next_batch()
+    codes = np.frombuffer(own, "<u2" if n <= 1 << 16 else "<u4", offset=_HEAD.size + size)
+    values, sizes = emit(*(table.column(c).combine_chunks().take(pa.array(order[1:])) for c in ("entry", "value")))
     size = sizes[codes]
     within = np.cumsum(size)
-    flat = values[np.repeat((np.cumsum(sizes) - sizes)[codes] - (within - size), size) + np.arange(size.sum())]
-    lengths = own.column("sizes")[0].as_py()
-    ends = np.cumsum([x or 0 for x in lengths], dtype=np.int64)
-    return own.column("keys")[0].as_py(), lengths, flat, np.concatenate(([0], within))[ends]
+    total = int(within[-1]) if len(within) else 0
+    kind = np.int32 if max(total, len(values)) < 1 << 31 else np.int64
+    at = np.repeat(((np.cumsum(sizes) - sizes)[codes] - (within - size)).astype(kind), size)
+    at += np.arange(total, dtype=kind)
+    flat = values[at]
+    ends = np.cumsum(rows.column("size").fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    return rows.column("key"), rows.column("size"), flat, np.concatenate(([0], within))[ends]
 
 
 def _looked_up(rows: DataFrame, known: DataFrame, put: Callable[[pa.Table], pa.Table], out: DataType) -> DataFrame:
     """(key, out) of rows (key, items), made by ``put`` from blocks of which each distinct item was looked up in ``known`` (entry, value).
 
-    A row for each distinct item of a block is joined; beside them a block moves as keys, lengths and numbers of two or four bytes.
+    A row for each distinct item of a block is joined, and keeps its item only where that is not known; beside them a block moves as keys, lengths
+    and numbers of two or four bytes.
     """
-    key = StructField("key", rows.schema["key"].dataType)
     cut = StructType([
-        StructField("block", StringType()), StructField("pos", IntegerType()), StructField("entry", StringType()),
-        StructField("keys", ArrayType(key.dataType)), StructField("sizes", ArrayType(IntegerType())), StructField("codes", BinaryType()),
+        StructField("block", LongType()), StructField("pos", IntegerType()), StructField("entry", StringType()), StructField("own", BinaryType()),
     ])
     shape = to_arrow_schema(cut)
     blocks = rows.mapInArrow(lambda batches: _blocks(batches, shape), cut)
     # A block's own row is no entry; its name spreads these rows.
-    found = blocks.withColumn("_by", F.coalesce("entry", "block")).join(known.select(F.col("entry").alias("_by"), "value"), "_by", "left")
-    return found.drop("_by").groupBy("block").applyInArrow(put, StructType([key, StructField("out", out)]))
+    by = F.coalesce("entry", F.concat(F.lit("block "), F.col("block").cast("string")))
+    found = blocks.withColumn("_by", by).join(known.select(F.col("entry").alias("_by"), "value"), "_by", "left")
+    told = found.select("block", "pos", F.when(F.col("value").isNull(), F.col("entry")).alias("entry"), "own", "value")
+    return told.groupBy("block").applyInArrow(put, StructType([StructField("key", rows.schema["key"].dataType), StructField("out", out)]))
 
 
 def encode_exact(df: DataFrame, vocab: DataFrame, key: str, text: str, special_tokens: Sequence[str] = (), ids: str = "ids") -> DataFrame:
@@ -125,15 +143,20 @@ def encode_exact(df: DataFrame, vocab: DataFrame, key: str, text: str, special_t
     known = vocab.where("piece is not null").groupBy(F.col("piece").alias("entry")).agg(F.min("id").cast("bigint").alias("value"))
     key_type = to_arrow_schema(rows.select("key").schema).field("key").type
 
-    def own_ids(pieces: list[str], found: list[int | None]) -> tuple[np.ndarray, np.ndarray]:
-        lists = [piece.encode() if i is None else (i,) for piece, i in zip(pieces, found)]
-        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-        return np.fromiter((i for own in lists for i in own), np.int64, int(sizes.sum())), sizes
+    def own_ids(pieces: pa.Array, found: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        unknown = found.is_null()
+        spelt, is_spelt = pieces.filter(unknown), unknown.to_numpy(zero_copy_only=False)
+        sizes = np.ones(len(found), np.int64)
+        sizes[is_spelt] = pc.binary_length(spelt).to_numpy(zero_copy_only=False)
+        flat, of_spelt = np.empty(int(sizes.sum()), np.int64), np.repeat(is_spelt, sizes)
+        flat[of_spelt] = np.frombuffer(b"".join(spelt.cast(pa.binary()).to_pylist()), np.uint8)
+        flat[~of_spelt] = found.drop_null().to_numpy(zero_copy_only=False)
+        return flat, sizes
 
     def put(table: pa.Table) -> pa.Table:
         keys, _, flat, ends = _put_together(table, own_ids)
         lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)), pa.int32()), pa.array(flat))
-        return pa.table([pa.array(keys, key_type), lists], names=["key", "out"])
+        return pa.table([keys.cast(key_type), lists], names=["key", "out"])
 
     coded = _looked_up(rows, known, put, ArrayType(LongType())).select(F.col("key").alias(key), F.col("out").alias(ids))
     return coded.unionByName(_unique(df, key, coded))
@@ -145,18 +168,16 @@ def decode_ids(df: DataFrame, vocab: DataFrame, key: str, ids: str = "ids", text
     known = vocab.groupBy(F.col("id").cast("string").alias("entry")).agg(F.first("hex").alias("value"))
     key_type = to_arrow_schema(rows.select("key").schema).field("key").type
 
-    def own_bytes(given: list[str | None], found: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        for i, digits in zip(given, found):
-            if digits is None:
-                raise ValueError(f"no such id: {'null' if i is None else i}")
-        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 2
-        return np.frombuffer(bytes.fromhex("".join(found)), np.uint8), sizes
+    def own_bytes(given: pa.Array, found: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        for i in given.filter(found.is_null()).to_pylist():
+            raise ValueError(f"no such id: {'null' if i is None else i}")
+        return np.frombuffer(bytes.fromhex("".join(found.to_pylist())), np.uint8), pc.binary_length(found).to_numpy(zero_copy_only=False).astype(np.int64) // 2
 
     def put(table: pa.Table) -> pa.Table:
         keys, lengths, flat, ends = _put_together(table, own_bytes)
         data = flat.tobytes()
-        texts = [None if n is None else data[a:b] for n, a, b in zip(lengths, [0, *ends[:-1].tolist()], ends.tolist())]
-        return pa.table([pa.array(keys, key_type), pa.array(texts, pa.binary())], names=["key", "out"])
+        texts = [None if n is None else data[a:b] for n, a, b in zip(lengths.to_pylist(), [0, *ends[:-1].tolist()], ends.tolist())]
+        return pa.table([keys.cast(key_type), pa.array(texts, pa.binary())], names=["key", "out"])
 
     raw = _looked_up(rows, known, put, BinaryType())
     back = raw.select(F.col("key").alias(key), F.make_valid_utf8(F.col("out").cast("string")).alias(text))

@@ -87,3 +87,48 @@ def test_pieces_are_joined_once_per_block(spark, vocab):
     back = de.decode_ids(ids, vocab, "k")
     assert "Generate" not in plan(ids) + plan(back)  # no row per piece
     assert {r.k: r.text for r in back.collect()} == {i: t or "" for i, t in enumerate(texts)}
+
+
+def nodes(plan):
+    yield plan
+    for i in range(plan.children().size()):
+        yield from nodes(plan.children().apply(i))
+
+
+def test_blocks_move_without_lists(spark, vocab):
+    # What goes to the next worker is measured row by row, and a column of lists without values is gone through again each time.
+    df = frame(spark, TEXTS).selectExpr("concat('key ', k) AS k", "text").repartition(3, "k")
+    ids = de.encode_exact(df, vocab, "k", "text", SPECIAL_TOKENS)
+    back = de.decode_ids(ids, vocab, "k")
+    for made in (ids, back):
+        grouped = [p for p in nodes(made._jdf.queryExecution().analyzed()) if p.nodeName() == "FlatMapGroupsInArrow"]
+        assert grouped and not any("array" in p.children().apply(0).schema().json() for p in grouped)
+    assert {r.k: r.text for r in back.collect()} == {f"key {i}": t or "" for i, t in enumerate(TEXTS)}
+    table = {r.piece: [r.id] for r in vocab.collect() if r.piece is not None}
+    assert {r.k: r.ids for r in ids.collect()}["key 3"] == [i for p in ("   \t\n\n ", "x") for i in table.get(p, list(p.encode()))]
+
+
+def test_a_block_that_is_not_whole(spark, vocab):
+    import pyarrow as pa
+
+    lists = pa.RecordBatch.from_pydict({"key": [1, 2], "items": [["a", "b"], ["b"]]})
+    shape = pa.schema([("block", pa.int64()), ("pos", pa.int32()), ("entry", pa.string()), ("own", pa.binary())])
+
+    class Task:
+        def partitionId(self):
+            return 0
+
+    import pyspark
+
+    before, pyspark.TaskContext.get = pyspark.TaskContext.get, staticmethod(Task)
+    try:
+        whole = pa.Table.from_batches(de._blocks(iter([lists]), shape))
+    finally:
+        pyspark.TaskContext.get = before
+    rows = whole.append_column("value", pa.array([None, 7, 8], pa.int64()))
+    ones = lambda entry, value: (value.to_numpy(), value.is_valid().to_numpy(zero_copy_only=False).astype(int))
+    keys, lengths, flat, ends = de._put_together(rows.take([2, 0, 1]), ones)
+    assert (keys.to_pylist(), lengths.to_pylist(), flat.tolist(), ends.tolist()) == ([1, 2], [2, 1], [7, 8, 8], [2, 3])
+    for some in ([0, 1], [1, 2], [0, 0, 1, 2], [0, 1, 1]):
+        with pytest.raises(ValueError, match="not whole"):
+            de._put_together(rows.take(some), ones)

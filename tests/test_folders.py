@@ -142,7 +142,7 @@ def test_audit_reads_many_files_in_a_task(spark, tmp_path):
 
     suppliers = spark.createDataFrame([(k, k % 3) for k in range(1, 601)], "s_suppkey bigint, s_nationkey int")
     suppliers.write.parquet(str(tmp_path / "supplier.parquet"))
-    cost = spark.conf.get(fo._FILE_COST)
+    cost = spark.conf.get("spark.sql.files.openCostInBytes")
     tracker, group = spark.sparkContext.statusTracker(), "audit"
     spark.sparkContext.setJobGroup(group, group)
     try:
@@ -153,4 +153,4 @@ def test_audit_reads_many_files_in_a_task(spark, tmp_path):
     # Some 2,700 files; three runs are listed once.
     tasks = [s.numTasks for s in stages.values() if s is not None]
     assert max(tasks) <= 4 * spark.sparkContext.defaultParallelism and sum(tasks) < 150
-    assert spark.conf.get(fo._FILE_COST) == cost
+    assert spark.conf.get("spark.sql.files.openCostInBytes") == cost
