@@ -162,16 +162,19 @@ def tag_round_trip(
         rows = computed(
             df.select(F.col(text).alias("_text")), _back=F.array_join(tx.tokens(F.col("_text"), tx.TAGS), "")
         )
+        rows = rows.select(*_held("_text", tags, "_in"), *_held("_back", tags, "_out"))
     else:
         own = df.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
         ids = stored(encode_exact(own, vocab, "_key", "_text", tx.TAGS), "tag-ids")
         back = decode_ids(ids, vocab, "_key", text="_back")
-        rows = own.join(back, "_key", "left").drop("_key")
+        # What a text has is looked for before the join: the texts do not move.
+        rows = own.select("_key", *_held("_text", tags, "_in")).join(back.select("_key", *_held("_back", tags, "_out")), "_key", "left")
     return rows.agg(
         F.count(F.lit(1)).alias("texts"),
-        *(F.count_if(F.col("_text").contains(t)).alias(f"with_{i}") for i, t in enumerate(tags)),
-        *(
-            F.count_if(F.col("_text").contains(t) & ~F.col("_back").contains(t)).alias(f"lost_{i}")
-            for i, t in enumerate(tags)
-        ),
+        *(F.count_if(f"_in_{i}").alias(f"with_{i}") for i in range(len(tags))),
+        *(F.count_if(F.col(f"_in_{i}") & ~F.col(f"_out_{i}")).alias(f"lost_{i}") for i in range(len(tags))),
     )
+
+
+def _held(text: str, tags: Sequence[str], name: str) -> list[Column]:
+    return [F.col(text).contains(t).alias(f"{name}_{i}") for i, t in enumerate(tags)]

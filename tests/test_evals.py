@@ -128,3 +128,21 @@ def test_every_task_is_graded(spark):
     items = inp.table(spark, sf, "benchmark").count()
     assert graded.select("name").distinct().count() == items == 200
     assert graded.count() == inp.table(spark, sf, "documents").count()
+
+
+def test_texts_of_a_round_trip_do_not_move(spark):
+    from sftlake.operators import decode as de
+
+    texts = ["<think>a</think>", "b<answer>1", None, "", "x<think>"]
+    df = spark.createDataFrame(list(enumerate(texts)), "k bigint, text string")
+    vocab = de.byte_vocabulary(spark.createDataFrame([("a",), ("x",)], "piece string"), ("<think>", "</think>"))
+    found = ev.tag_round_trip(df, "text", vocab=vocab, key="k")
+    assert tuple(found.first()) == (5, 2, 1, 0, 0)
+    # Only what a text has is joined.
+    plan = found._jdf.queryExecution().optimizedPlan()
+    top = plan
+    while top.nodeName() != "Join":
+        top = top.children().apply(0)
+    assert "string" not in top.schema().json()
+    # Without a vocabulary as before.
+    assert tuple(ev.tag_round_trip(df, "text").first()) == (5, 2, 1, 0, 0)
