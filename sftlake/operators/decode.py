@@ -28,7 +28,7 @@ from sftlake.operators.ordering import digest, number_by_digest, required
 
 BYTES = 256
 #: Items (pieces or ids) and rows of a block; a longer row is a block of its own.
-BLOCK, BLOCK_ROWS = 1 << 19, 4096
+BLOCK, BLOCK_ROWS = 1 << 20, 8192
 
 
 def byte_vocabulary(words: DataFrame, special_tokens: Sequence[str] = ()) -> DataFrame:
@@ -88,7 +88,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], shape: pa.Schema) -> Iterator[pa.
                 entries = numbered.dictionary.slice(lo, 1 << 14)
                 m = len(entries)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(m, block)), pa.array(np.arange(lo, lo + m, dtype=np.int32)), entries.cast(pa.string()), pa.nulls(m, pa.binary())], schema=shape
+                    [pa.array(np.full(m, block)), pa.array(np.arange(lo, lo + m, dtype=np.int32)), entries.cast(shape.field("entry").type), pa.nulls(m, pa.binary())], schema=shape
                 )
             at, no = stop, no + 1
 
@@ -126,14 +126,15 @@ def _looked_up(rows: DataFrame, known: DataFrame, put: Callable[[pa.Table], pa.T
     and numbers of two or four bytes.
     """
     cut = StructType([
-        StructField("block", LongType()), StructField("pos", IntegerType()), StructField("entry", StringType()), StructField("own", BinaryType()),
+        StructField("block", LongType()), StructField("pos", IntegerType()), StructField("entry", rows.schema["items"].dataType.elementType), StructField("own", BinaryType()),
     ])
     shape = to_arrow_schema(cut)
     blocks = rows.mapInArrow(lambda batches: _blocks(batches, shape), cut)
-    # A block's own row is no entry; its name spreads these rows.
-    by = F.coalesce("entry", F.concat(F.lit("block "), F.col("block").cast("string")))
+    # A block's own row is no entry, and finds nothing: its name only spreads these rows.
+    by = F.coalesce("entry", F.col("block").cast(cut["entry"].dataType))
     found = blocks.withColumn("_by", by).join(known.select(F.col("entry").alias("_by"), "value"), "_by", "left")
-    told = found.select("block", "pos", F.when(F.col("value").isNull(), F.col("entry")).alias("entry"), "own", "value")
+    value = F.when(F.col("entry").isNotNull(), F.col("value"))
+    told = found.select("block", "pos", F.when(value.isNull(), F.col("entry")).alias("entry"), "own", value.alias("value"))
     return told.groupBy("block").applyInArrow(put, StructType([StructField("key", rows.schema["key"].dataType), StructField("out", out)]))
 
 
@@ -164,8 +165,8 @@ def encode_exact(df: DataFrame, vocab: DataFrame, key: str, text: str, special_t
 
 def decode_ids(df: DataFrame, vocab: DataFrame, key: str, ids: str = "ids", text: str = "text") -> DataFrame:
     """(key, text) of every row; null ids are no text, an empty list is the empty one. The rows are read twice, for their ids and for their keys: store them."""
-    rows = df.select(required(key).alias("key"), F.col(ids).alias("items"))
-    known = vocab.groupBy(F.col("id").cast("string").alias("entry")).agg(F.first("hex").alias("value"))
+    rows = df.select(required(key).alias("key"), F.col(ids).cast("array<bigint>").alias("items"))
+    known = vocab.groupBy(F.col("id").cast("bigint").alias("entry")).agg(F.first("hex").alias("value"))
     key_type = to_arrow_schema(rows.select("key").schema).field("key").type
 
     def own_bytes(given: pa.Array, found: pa.Array) -> tuple[np.ndarray, np.ndarray]:

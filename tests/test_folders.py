@@ -154,3 +154,11 @@ def test_audit_reads_many_files_in_a_task(spark, tmp_path):
     tasks = [s.numTasks for s in stages.values() if s is not None]
     assert max(tasks) <= 4 * spark.sparkContext.defaultParallelism and sum(tasks) < 150
     assert spark.conf.get("spark.sql.files.openCostInBytes") == cost
+
+
+def test_text_files_in_another_store(spark, tmp_path):
+    # A store that only Hadoop reaches gets Spark's writer.
+    spark._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.texts.link./in", f"file://{tmp_path}")
+    df = spark.createDataFrame([("r1", "x", 2), ("r2", "y", 1)], "k string, value string, times int")
+    fo.write_text_files(df, "viewfs://texts/in/some")
+    assert sorted(tuple(r) for r in spark.read.text(str(tmp_path / "some")).collect()) == [("xx", "r1"), ("y", "r2")]
